@@ -27,9 +27,11 @@ def message_keys(messages: DataFrame, confirmed: str = CONFIRMED_STATUS) -> Data
         F.when(enroll, F.col("enroll_seq")).otherwise(F.col("learning_seq")).alias("seq"),
         (enroll & is_unconfirmed(F.col("confirm_status_cd"), confirmed)).alias("unconfirmed"),
         F.col("source_ts_ms").try_cast("double").try_cast("bigint").alias("source_ts_ms"),
-    )
-    # from_enroll repeats the grouping flag as an aggregate on purpose: a filter on it
-    # stays above the aggregation, so all branches share one scan and one shuffle.
+    ).where("seq IS NOT NULL")
+    # Two measures let all users of the result share one scan and one shuffle. Accepted
+    # messages have a key anyway; saying so here keeps a join on it from adding the
+    # condition to its own branch. And from_enroll repeats the grouping flag as an
+    # aggregate, so that a filter on it stays above the aggregation.
     return (
         keyed.groupBy("enroll_key", "seq")
         .agg(
@@ -69,13 +71,13 @@ def touched_keys(
     An enrolment touches its own enroll-mart row and the progress rows of all its
     learnings; a subject message touches one progress row. The result is a counted
     bag: the same progress key may come from several sources. ``n_unconfirmed`` counts
-    the messages that withdraw the enrolment behind a progress key.
+    the messages that withdraw the enrolment (itself, or behind a progress key).
     """
     own = keys.select(
         "seq",
         F.when(F.col("from_enroll"), F.lit(ENROLL)).otherwise(F.lit(PROGRESS)).alias("target"),
         "n_messages",
-        F.lit(0).cast("bigint").alias("n_unconfirmed"),
+        "n_unconfirmed",
     )
     expanded = (
         expand_enrolments(keys, learning, broadcast_keys=broadcast_keys)

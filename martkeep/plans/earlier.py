@@ -62,7 +62,9 @@ def earlier_progress_rows(
     kind = tables.key_type("learning", PROGRESS_KEY)
     few = policy.broadcasts(n_enrolments)
     marked = _marked_keys(keys, tables.learning, kind, last_only, few)
-    recompute = marked.where("recompute").select(PROGRESS_KEY)
+    # Naming both flags keeps this branch's columns, and so its scan and shuffles, the same
+    # as those of the full key list it is joined back to.
+    recompute = marked.where("recompute AND tombstone IS NOT NULL").select(PROGRESS_KEY)
     rows = progress_rows(
         recompute,
         tables,

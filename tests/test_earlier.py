@@ -1,0 +1,68 @@
+from collections import Counter
+
+import world
+from martkeep import operators as ops
+from martkeep import plans
+
+
+def earlier(spark, *messages, mart=(), changes={}, **options):
+    keys = ops.message_keys(ops.read_messages(world.raw(spark, *messages), require_status=True))
+    tables = world.tables(spark, **changes)
+    rows = plans.earlier_progress_rows(
+        keys, tables, world.progress_mart(spark, *mart), world.as_of(), **options
+    )
+    assert tuple(rows.columns) == world.PROGRESS_COLUMNS
+    return world.by_key(rows, "learning_seq")
+
+
+def test_tombstones_are_emitted_per_message_and_learning(spark):
+    messages = [world.enroll_message(1, "LMER02")] * 2 + [world.enroll_message(2, "LMER01")]
+    keys = ops.message_keys(ops.read_messages(world.raw(spark, *messages)))
+    counted = plans.tombstones(keys, world.tables(spark).learning, world.progress_mart(spark))
+    rows = ops.expand_counts(counted, "n_unconfirmed").collect()
+    assert Counter(row.learning_seq for row in rows) == {11: 2, 12: 2, 13: 2}
+    assert all(row.delete_yn == "Y" and row.insert_date is None for row in rows)
+
+
+def test_a_recomputed_row_beats_a_tombstone(spark):
+    found = earlier(spark, world.enroll_message(1, "LMER02"))
+    assert set(found) == {11, 12, 13}
+    assert {row["course_run_nm"] for row in found.values()} == {"run a"}
+
+
+def test_a_tombstone_survives_where_nothing_is_recomputed(spark):
+    found = earlier(spark, world.enroll_message(6, "LMER02"), world.enroll_message(4, "LMER01"))
+    assert set(found) == {41}
+    assert found[41]["delete_yn"] == "Y" and found[41]["update_date"] is None
+
+
+def test_last_learning_only(spark):
+    messages = [world.enroll_message(1, "LMER02"), world.subject_message(21)]
+    found = earlier(spark, *messages, last_only=True)
+    assert set(found) == {11, 12, 13, 21}
+    blank = {key for key, row in found.items() if row["course_run_nm"] is None}
+    assert blank == {11, 12}
+    confirmed = earlier(spark, world.enroll_message(1, "LMER01"), last_only=True)
+    assert set(confirmed) == {13}
+
+
+def test_a_subject_message_can_name_a_learning_that_is_not_last(spark):
+    messages = [world.enroll_message(1, "LMER01"), world.subject_message(11)]
+    assert set(earlier(spark, *messages, last_only=True)) == {11, 13}
+
+
+def test_revival(spark):
+    found = earlier(
+        spark,
+        world.enroll_message(1),
+        mart=[(11, world.OLD, "Y"), (12, world.OLD, "N")],
+    )
+    dates = {key: row["insert_date"] for key, row in found.items()}
+    assert dates == {11: world.NOW, 12: world.OLD, 13: world.NOW}
+
+
+def test_last_learnings_carry_counts(spark):
+    messages = [world.enroll_message(1, "LMER02")] * 2
+    keys = ops.message_keys(ops.read_messages(world.raw(spark, *messages)))
+    rows = plans.last_learnings(keys, world.tables(spark).learning).collect()
+    assert [tuple(row) for row in rows] == [(1, 13, 2, 2)]

@@ -1,0 +1,87 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import world
+from martkeep import operators as ops
+from martkeep.schema import ENROLL, PROGRESS
+
+
+def keys_of(spark, *messages):
+    return ops.message_keys(ops.read_messages(world.raw(spark, *messages)))
+
+
+def touched(spark, *messages, **options):
+    learning = world.tables(spark).learning
+    rows = ops.touched_keys(keys_of(spark, *messages), learning, **options)
+    bag = ops.expand_counts(rows.select("seq", "target", "n_messages"))
+    return Counter((row.seq, row.target) for row in bag.collect())
+
+
+def test_messages_are_counted_per_key(spark):
+    rows = keys_of(
+        spark,
+        world.enroll_message(1, "LMER02", ts=5),
+        world.enroll_message("1.9", "LMER01", ts=9),
+        world.subject_message(1),
+        "not json",
+    ).collect()
+    found = {(r.from_enroll, r.seq): (r.n_messages, r.n_unconfirmed, r.last_source_ts_ms) for r in rows}
+    assert found == {(True, 1): (2, 1, 9), (False, 1): (1, 0, 1)}
+
+
+@pytest.mark.parametrize("broadcast_keys", [False, True])
+@pytest.mark.parametrize(("enroll", "learnings"), [(3, []), (2, [21]), (1, [11, 12, 13])])
+def test_an_enrolment_touches_itself_and_its_learnings(spark, enroll, learnings, broadcast_keys):
+    found = touched(spark, world.enroll_message(enroll), broadcast_keys=broadcast_keys)
+    assert found == Counter([(enroll, ENROLL), *((key, PROGRESS) for key in learnings)])
+
+
+def test_every_message_emits(spark):
+    found = touched(
+        spark, *[world.enroll_message(1)] * 3, world.subject_message(11), world.subject_message(77)
+    )
+    assert found == Counter(
+        {(1, ENROLL): 3, (11, PROGRESS): 4, (12, PROGRESS): 3, (13, PROGRESS): 3, (77, PROGRESS): 1}
+    )
+
+
+def test_routing(spark):
+    learning = world.tables(spark).learning
+    rows = ops.touched_keys(keys_of(spark, world.enroll_message(7)), learning)
+
+    def routed(target, **options):
+        return sorted(row.seq for row in ops.route(rows, target, **options).collect())
+
+    assert routed(PROGRESS) == [5]
+    assert routed(ENROLL) == [7]
+    assert routed(PROGRESS, compat_fallthrough=True) == [5]
+    assert routed(ENROLL, compat_fallthrough=True) == [5, 7]
+    with pytest.raises(ValueError):
+        ops.route(rows, "elsewhere")
+
+
+def test_distinct_keys_take_the_table_type(spark):
+    rows = spark.createDataFrame(
+        [(1, 2, 0), (1, 3, 1)], "seq INT, n_messages BIGINT, n_unconfirmed BIGINT"
+    )
+    distinct = ops.distinct_keys(rows, "learning_seq", "bigint")
+    assert distinct.dtypes[0] == ("learning_seq", "bigint")
+    assert distinct.collect() == [(1, 5, 1)]
+
+
+@pytest.mark.parametrize("count", [0, 1, 4095, 4096, 4097, 20000])
+def test_expanding_counts(spark, count):
+    rows = spark.range(1).select(F.lit("a").alias("k"), F.lit(count).cast("bigint").alias("n"))
+    assert ops.expand_counts(rows, "n").count() == count
+
+
+def test_one_scan_serves_both_branches(spark, tmp_path):
+    raw = world.raw(spark, world.enroll_message(1), world.subject_message(11))
+    raw.write.parquet(f"{tmp_path}/raw")
+    keys = ops.message_keys(ops.read_messages(spark.read.parquet(f"{tmp_path}/raw")))
+    rows = ops.touched_keys(keys, world.tables(spark).learning)
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("Initial Plan")[0]

@@ -1,0 +1,126 @@
+"""A small world of source tables and messages, written by hand."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from martkeep.schema import ENROLL_COLUMNS, ENROLL_SCHEMA, PROGRESS_COLUMNS, PROGRESS_SCHEMA
+from martkeep.sources.tables import FileTables, SourceTables
+
+NOW = dt.datetime(2024, 6, 1)
+OLD = dt.datetime(2023, 1, 1)
+
+SCHEMAS = {
+    "learning": "learning_seq INT, enroll_seq INT, course_run_seq INT, learner_seq INT",
+    "course_run": "course_run_seq INT, course_run_nm STRING, course_seq INT",
+    "course": "course_seq INT, course_id STRING, course_type_cd STRING",
+    "enroll": "enroll_seq INT, course_run_seq INT, confirm_status_cd STRING",
+    "learning_subject": "learning_seq INT, learning_subject_seq INT, progress_ratio DOUBLE",
+}
+
+# Enrolment 1 has three learnings, 2 one, 3 none. 7 has a learning whose key is 5, the
+# number of yet another enrolment.
+ROWS = {
+    "learning": [
+        (11, 1, 100, 901),
+        (12, 1, 100, 902),
+        (13, 1, 100, 903),
+        (21, 2, 200, 904),
+        (5, 7, 300, 905),
+        (31, 4, 999, 906),  # course run missing
+        (41, 6, 100, 907),  # enrolment is in another course run
+        (51, 99, 100, 908),  # enrolment missing
+        (61, 8, 400, 909),  # course missing
+    ],
+    "course_run": [
+        (100, "run a", 1000),
+        (200, "run b", 2000),
+        (300, "run c", 3000),
+        (400, "run d", 4000),
+    ],
+    "course": [(1000, "C1", "LMCT01"), (2000, "C2", "LMCT02"), (3000, "C3", None)],
+    "enroll": [
+        (1, 100, "LMER01"),
+        (2, 200, "LMER01"),
+        (3, 100, "LMER01"),
+        (4, 999, "LMER01"),
+        (5, 100, None),
+        (6, 200, "LMER01"),
+        (7, 300, "LMER01"),
+        (8, 400, "LMER01"),
+    ],
+    "learning_subject": [
+        (11, 1, 10.0),
+        (11, 3, 12.75),
+        (11, 2, 99.0),
+        (12, None, 50.0),
+        (12, 4, None),
+        (21, 5, 1.5),
+    ],
+}
+
+
+def frames(spark: SparkSession, **changes) -> dict[str, DataFrame]:
+    rows = ROWS | changes
+    return {name: spark.createDataFrame(rows[name], SCHEMAS[name]) for name in SCHEMAS}
+
+
+def tables(spark: SparkSession, **changes) -> SourceTables:
+    return SourceTables.of(frames(spark, **changes))
+
+
+def stored_tables(spark: SparkSession, folder: Path, **changes) -> FileTables:
+    """The tables as Parquet directories; writing again replaces them."""
+    for name, frame in frames(spark, **changes).items():
+        frame.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}")
+    return FileTables({name: f"{folder}/{name}" for name in SCHEMAS})
+
+
+def progress_mart(spark: SparkSession, *known) -> DataFrame:
+    """Mart rows from (learning_seq, insert_date, delete_yn)."""
+    rows = [(key, None, None, None, None, None, None, date, date, yn) for key, date, yn in known]
+    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+
+
+def enroll_mart(spark: SparkSession, *known) -> DataFrame:
+    """Mart rows from (enroll_seq, course_run_seq, insert_date)."""
+    rows = [(key, run, date, date, "N") for key, run, date in known]
+    return spark.createDataFrame(rows, ENROLL_SCHEMA)
+
+
+def enroll_message(enroll, status="LMER01", ts=1) -> str:
+    payload = {"__table": "TBL_ENROLL", "__source_ts_ms": ts, "Enroll_Seq": enroll}
+    return json.dumps({"payload": payload | {"Confirm_Status_Cd": status}})
+
+
+def subject_message(learning, ts=1) -> str:
+    payload = {"__table": "TBL_LEARNING_SUBJECT", "__source_ts_ms": ts, "Learning_Seq": learning}
+    return json.dumps({"payload": payload})
+
+
+def raw(spark: SparkSession, *messages) -> DataFrame:
+    return spark.createDataFrame([(message,) for message in messages], "value STRING")
+
+
+def keys(spark: SparkSession, name: str, *values) -> DataFrame:
+    return spark.createDataFrame([(value,) for value in values], f"{name} INT")
+
+
+def by_key(rows: DataFrame, key: str) -> dict:
+    """Rows as dictionaries by key, which must be unique."""
+    found = [row.asDict() for row in rows.collect()]
+    result = {row[key]: row for row in found}
+    assert len(result) == len(found), "key is not unique"
+    return result
+
+
+def as_of():
+    return F.lit(NOW)
+
+
+__all__ = ["ENROLL_COLUMNS", "PROGRESS_COLUMNS"]
