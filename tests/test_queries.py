@@ -1,0 +1,25 @@
+"""Every registered query against its SQL on the smallest driver tables."""
+
+import os
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from checks.compare import duckdb_rows, spark_rows
+
+SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
+
+
+def test_every_query_has_sql():
+    assert set(queries()) == set(oracle_sql())
+
+
+def test_entry(spark):
+    assert entry(spark).count() == 1357
+
+
+@pytest.mark.parametrize("name", queries())
+def test_query(spark, name):
+    assert spark_rows(queries()[name](spark, SF_DIR)) == duckdb_rows(SF_DIR, oracle_sql()[name])
