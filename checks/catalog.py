@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,12 +38,27 @@ class Inputs:
     """What most queries start from, for one data directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.tables: SourceTables = views.source_tables(spark, sf_dir)
-        self.mart = views.progress_mart(spark, sf_dir)
-        self.enroll_mart = views.enroll_mart(spark, sf_dir)
-        self.messages = ops.read_messages(views.raw(spark, sf_dir))
-        self.keys = ops.message_keys(self.messages)
-        self.touched = ops.touched_keys(self.keys, self.tables.learning)
+        self._at = (spark, sf_dir)
+
+    @cached_property
+    def tables(self) -> SourceTables:
+        return views.source_tables(*self._at)
+
+    @cached_property
+    def mart(self) -> DataFrame:
+        return views.progress_mart(*self._at)
+
+    @cached_property
+    def enroll_mart(self) -> DataFrame:
+        return views.enroll_mart(*self._at)
+
+    @cached_property
+    def keys(self) -> DataFrame:
+        return ops.message_keys(ops.read_messages(views.raw(*self._at)))
+
+    @cached_property
+    def touched(self) -> DataFrame:
+        return ops.touched_keys(self.keys, self.tables.learning)
 
     def progress_keys(self) -> DataFrame:
         kind = self.tables.key_type("learning", PROGRESS_KEY)

@@ -15,9 +15,6 @@ from martkeep.functions.flags import is_unconfirmed
 from martkeep.operators.messages import accepted
 from martkeep.schema import CONFIRMED_STATUS, ENROLL, ENROLL_TABLE, PROGRESS
 
-# Copies written by one row of an expansion before it is split over tasks.
-_COPIES_PER_ROW = 4096
-
 
 def message_keys(messages: DataFrame, confirmed: str = CONFIRMED_STATUS) -> DataFrame:
     """Counted keys: ``from_enroll, seq, n_messages, n_unconfirmed, last_source_ts_ms``."""
@@ -108,21 +105,22 @@ def distinct_keys(routed: DataFrame, name: str, key_type: str | None = None) ->
     )
 
 
-def expand_counts(counted: DataFrame, count: str = "n_messages") -> DataFrame:
+def expand_counts(
+    counted: DataFrame, count: str = "n_messages", copies_per_row: int = 2**18
+) -> DataFrame:
     """Write every row as often as its count says; drops the count column.
 
-    Large counts are cut into chunks that are spread over the tasks first, so that one
-    row with an extreme count is not written out by a single task.
+    Larger counts than ``copies_per_row`` are cut into chunks that are spread over the
+    tasks first, so that one row with an extreme count is not written by a single task.
     """
     columns = [name for name in counted.columns if name != count]
-    spark = counted.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    last_chunk = F.expr(f"(`{count}` - 1) DIV {_COPIES_PER_ROW}")
+    parts = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last_chunk = F.expr(f"(`{count}` - 1) DIV {copies_per_row}")
     chunks = counted.where(F.col(count) > 0).select(
         *columns, count, F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)).alias("_chunk")
     )
     copies = F.least(
-        F.lit(_COPIES_PER_ROW).cast("bigint"), F.col(count) - F.col("_chunk") * _COPIES_PER_ROW
+        F.lit(copies_per_row).cast("bigint"), F.col(count) - F.col("_chunk") * copies_per_row
     )
     return (
         chunks.repartition(parts, *columns, "_chunk")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,16 +30,21 @@ def tombstones(keys: DataFrame, learning: DataFrame, like: DataFrame) -> DataFra
 def last_learnings(
     keys: DataFrame, learning: DataFrame, *, broadcast_keys: bool = False
 ) -> DataFrame:
-    """Per enrolment in ``keys`` the last (highest) of its learnings, with the counts."""
-    owned = expand_enrolments(keys, learning, broadcast_keys=broadcast_keys)
-    return (
-        owned.groupBy(F.col("seq").alias("enroll_seq"))
-        .agg(
-            F.max("learning_seq").alias("learning_seq"),
-            F.max("n_messages").alias("n_messages"),
-            F.max("n_unconfirmed").alias("n_unconfirmed"),
-        )
+    """Per enrolment in ``keys`` the last (highest) of its learnings, with the counts.
+
+    The learnings are aggregated before the join, on the map side, so an enrolment with
+    very many of them is no burden.
+    """
+    enrolments = keys.where("from_enroll").select(
+        F.col("seq").alias("enroll_seq"), "n_messages", "n_unconfirmed"
     )
+    if broadcast_keys:
+        learning = learning.join(F.broadcast(enrolments), "enroll_seq", "left_semi")
+        enrolments = F.broadcast(enrolments)
+    last = learning.groupBy("enroll_seq").agg(F.max("learning_seq").alias("learning_seq"))
+    last = last.withColumnRenamed("enroll_seq", "_owner")
+    joined = last.join(enrolments, F.col("_owner") == F.col("enroll_seq"))
+    return joined.select("enroll_seq", "learning_seq", "n_messages", "n_unconfirmed")
 
 
 def earlier_progress_rows(
@@ -92,24 +98,19 @@ def _marked_keys(
     keys: DataFrame, learning: DataFrame, kind: str, last_only: bool, few: bool
 ) -> DataFrame:
     """``learning_seq, recompute, tombstone``, one row per touched learning."""
+    none = F.lit(0).cast("bigint")
+    key = F.col("learning_seq").cast(kind).alias(PROGRESS_KEY)
     if last_only:
-        last = last_learnings(keys, learning, broadcast_keys=few).select(
-            F.col("enroll_seq").alias("_enroll"), F.col("learning_seq").alias("_last")
-        )
-        owned = expand_enrolments(keys, learning, broadcast_keys=few)
-        owned = owned.join(last, F.col("seq") == F.col("_enroll"))
-        subject_keys = keys.where("NOT from_enroll")
-        progress = subject_keys.select(
-            F.col("seq").cast(kind).alias(PROGRESS_KEY),
-            F.lit(True).alias("recompute"),
-            F.lit(0).cast("bigint").alias("n_unconfirmed"),
-        ).unionByName(
-            owned.select(
-                F.col("learning_seq").cast(kind).alias(PROGRESS_KEY),
-                (F.col("learning_seq") == F.col("_last")).alias("recompute"),
-                "n_unconfirmed",
-            )
+        named = keys.where("NOT from_enroll").select(F.col("seq").alias("learning_seq"))
+        last = last_learnings(keys, learning, broadcast_keys=few).select("learning_seq")
+        withdrawn = expand_enrolments(
+            keys.where("n_unconfirmed > 0"), learning, broadcast_keys=few
+        ).select(key, F.lit(False).alias("recompute"), "n_unconfirmed")
+        recomputed = (
+            frame.select(key, F.lit(True).alias("recompute"), none.alias("n_unconfirmed"))
+            for frame in (named, last)
         )
+        progress = reduce(DataFrame.unionByName, recomputed, withdrawn)
     else:
         touched = touched_keys(keys, learning, key_type=kind, broadcast_keys=few)
         progress = route(touched, PROGRESS).select(

@@ -59,6 +59,10 @@ def progress_rows(
         return narrow(table, keys, PROGRESS_KEY, size, policy) if small else table
 
     rows = narrow(tables.learning, keys, PROGRESS_KEY, size, policy)
+    enroll = tables.enroll
+    if policy.pushes(size):
+        owners = rows.select("enroll_seq").distinct()
+        enroll = narrow(enroll, owners, "enroll_seq", size, policy)
     known = bounded(of_keys(mart), size, policy)
     rows = stamp(rows, known, PROGRESS_KEY, as_of_column(as_of), insert_dates)
     if one_per_key:
@@ -66,7 +70,7 @@ def progress_rows(
         rows = rows.join(subjects, PROGRESS_KEY, "left")
     # A learning is unique by key, so there are no more rows than keys.
     rows = bounded(rows, size, policy)
-    rows = tables.enroll.join(rows, ["enroll_seq", "course_run_seq"])
+    rows = enroll.join(rows, ["enroll_seq", "course_run_seq"])
     rows = rows.join(courses(tables), "course_run_seq")
     if not one_per_key:
         rows = fan_out_left_join(rows, of_keys(tables.learning_subject), PROGRESS_KEY)

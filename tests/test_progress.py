@@ -54,8 +54,10 @@ def test_every_way_of_looking_up_gives_the_same_rows(spark, way, one):
     assert facts == sorted(top if one else top + fanned)
 
 
-def test_no_row_without_enrolment_run_or_course(spark):
-    assert rows_of(spark, 31, 41, 51, 61, 404).collect() == []
+@pytest.mark.parametrize("size", [None, 5])
+def test_no_row_without_enrolment_run_or_course(spark, size):
+    assert rows_of(spark, 31, 41, 51, 61, 404, size=size).collect() == []
+    assert rows_of(spark, 404, size=size).collect() == []
 
 
 def test_flag_is_y_for_null_codes(spark):
