@@ -8,7 +8,7 @@ from martkeep.operators.keys import (
     message_keys,
     touched_keys,
 )
-from martkeep.operators.lookups import LookupPolicy, fan_out_left_join, narrow
+from martkeep.operators.lookups import LookupPolicy, fan_out_left_join, mark_matched, narrow
 from martkeep.operators.messages import accepted, named_rows, read_messages, rejected, since
 from martkeep.operators.routing import route
 
@@ -21,6 +21,7 @@ __all__ = [
     "fan_out_left_join",
     "fold",
     "fold_delta",
+    "mark_matched",
     "message_keys",
     "named_rows",
     "narrow",

@@ -31,6 +31,9 @@ class LookupPolicy:
 
 DEFAULT_POLICY = LookupPolicy()
 
+# Rows without a match are spread over this many filler rows.
+_FILLERS = 4096
+
 
 def narrow(
     table: DataFrame,
@@ -63,20 +66,46 @@ def bounded(
     return F.broadcast(rows) if policy.broadcasts(size) else rows
 
 
+def mark_matched(rows: DataFrame, many: DataFrame, key: str) -> DataFrame:
+    """Add ``_matched``: whether ``many`` has rows for the key.
+
+    The keys are made distinct on the map side first, so this join never fans out.
+    """
+    present = many.where(F.col(key).isNotNull()).select(key).distinct()
+    present = present.withColumn("_present", F.lit(True))
+    joined = rows.join(present, key, "left")
+    return joined.withColumn("_matched", F.col("_present").isNotNull()).drop("_present")
+
+
 def fan_out_left_join(rows: DataFrame, many: DataFrame, key: str) -> DataFrame:
     """``rows LEFT JOIN many USING (key)`` for a ``many`` side of any skew.
 
-    In a left outer join the matches of one key cannot be split over tasks. An inner
-    join can be split, so matches come from one, and the rows without a match are added
-    by an anti join with the pre-aggregated key set. ``rows`` is shuffled once; both
-    joins read the same exchange.
+    In a left outer join the matches of one key cannot be split over tasks; in an inner
+    join adaptive execution can split them. So rows that have no match (known from
+    :func:`mark_matched`, called here unless done before) are spread over a fixed number
+    of filler rows with NULL columns, and everything is one inner join. Both inputs of
+    that join are direct shuffles, as splitting requires.
     """
-    extra = [name for name in many.columns if name != key]
-    many = many.where(F.col(key).isNotNull())
-    matched = rows.join(many, key)
-    present = many.select(key).distinct()
-    unmatched = rows.join(present, key, "left_anti")
-    types = {field.name: field.dataType for field in many.schema.fields}
-    for name in extra:
-        unmatched = unmatched.withColumn(name, F.lit(None).cast(types[name]))
-    return matched.unionByName(unmatched)
+    if "_matched" not in rows.columns:
+        rows = mark_matched(rows, many, key)
+    own = [name for name in rows.columns if name != "_matched"]
+    extra = [field for field in many.schema.fields if field.name != key]
+    kind = rows.schema[key].dataType
+    spread = F.pmod(F.xxhash64(*own), F.lit(_FILLERS)).cast(kind)
+    left = rows.select(
+        *own,
+        F.col("_matched").alias("_real"),
+        F.when(F.col("_matched"), F.col(key)).otherwise(spread).alias("_on"),
+    )
+    real = many.where(F.col(key).isNotNull()).select(
+        F.lit(True).alias("_real"),
+        F.col(key).cast(kind).alias("_on"),
+        *(F.col(field.name) for field in extra),
+    )
+    fillers = rows.sparkSession.range(_FILLERS).select(
+        F.lit(False).alias("_real"),
+        F.col("id").cast(kind).alias("_on"),
+        *(F.lit(None).cast(field.dataType).alias(field.name) for field in extra),
+    )
+    joined = left.join(real.unionByName(fillers), ["_real", "_on"])
+    return joined.select(*own, *(field.name for field in extra))

@@ -14,6 +14,7 @@ from martkeep.operators.lookups import (
     LookupPolicy,
     bounded,
     fan_out_left_join,
+    mark_matched,
     narrow,
 )
 from martkeep.schema import PROGRESS_COLUMNS, PROGRESS_KEY
@@ -65,15 +66,17 @@ def progress_rows(
         enroll = narrow(enroll, owners, "enroll_seq", size, policy)
     known = bounded(of_keys(mart), size, policy)
     rows = stamp(rows, known, PROGRESS_KEY, as_of_column(as_of), insert_dates)
+    subjects = of_keys(tables.learning_subject)
     if one_per_key:
-        subjects = bounded(top_subject(of_keys(tables.learning_subject)), size, policy)
-        rows = rows.join(subjects, PROGRESS_KEY, "left")
+        rows = rows.join(bounded(top_subject(subjects), size, policy), PROGRESS_KEY, "left")
+    else:
+        rows = mark_matched(rows, subjects, PROGRESS_KEY)
     # A learning is unique by key, so there are no more rows than keys.
     rows = bounded(rows, size, policy)
     rows = enroll.join(rows, ["enroll_seq", "course_run_seq"])
     rows = rows.join(courses(tables), "course_run_seq")
     if not one_per_key:
-        rows = fan_out_left_join(rows, of_keys(tables.learning_subject), PROGRESS_KEY)
+        rows = fan_out_left_join(rows, subjects, PROGRESS_KEY)
     flag = delete_flag(F.col("course_type_cd"), F.col("confirm_status_cd"))
     rows = rows.withColumn("delete_yn", flag)
     if null_numbers_as_zero:

@@ -29,6 +29,15 @@ SOURCE_COLUMNS = {
     "learning_subject": ("learning_seq", "learning_subject_seq", "progress_ratio"),
 }
 
+# Unique numbers by which a table can be read in ranges of even size.
+SOURCE_KEYS = {
+    "learning": "learning_seq",
+    "course_run": "course_run_seq",
+    "course": "course_seq",
+    "enroll": "enroll_seq",
+    "learning_subject": "learning_subject_seq",
+}
+
 # Names of the source tables in the operational database.
 SOURCE_TABLES = {
     "learning": "TBL_LEARNING",

@@ -13,7 +13,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkeep.schema import SOURCE_COLUMNS, SOURCE_TABLES
+from martkeep.schema import SOURCE_COLUMNS, SOURCE_KEYS, SOURCE_TABLES
 from martkeep.sources.jdbc import JdbcOptions, key_bounds, read_table
 
 
@@ -90,7 +90,7 @@ class JdbcTables:
     def load(self, spark: SparkSession) -> SourceTables:
         frames = {}
         for name, columns in SOURCE_COLUMNS.items():
-            key = columns[0]
+            key = SOURCE_KEYS[name]
             bounds = None
             if self.split:
                 bounds = key_bounds(spark, self.options, self.names[name], key)
