@@ -16,7 +16,7 @@ class MartStore(Protocol):
 
     ``snapshot`` shows the mart as it was before batch ``before`` where the store can
     tell, ``apply`` upserts rows that hold each key at most once. Applying a batch
-    again replaces what its first run wrote.
+    again replaces what its first run wrote. ``overlay`` upserts outside the stream.
     """
 
     def prepare(self, spark: SparkSession, batch_id: int) -> None: ...
@@ -25,5 +25,7 @@ class MartStore(Protocol):
 
     def apply(self, rows: DataFrame, batch_id: int) -> None: ...
 
+    def overlay(self, rows: DataFrame, next_batch: int) -> None: ...
+
 
 __all__ = ["JdbcMart", "MartStore", "ParquetMart", "TableMart"]

@@ -107,6 +107,10 @@ class JdbcMart:
             upsert_statement(self.table, self.staging, self.columns, self.key, self.dialect),
         )
 
+    def overlay(self, rows: DataFrame, next_batch: int) -> None:
+        """Upsert ``rows`` outside the stream."""
+        self.apply(rows, next_batch)
+
     def _execute(self, spark: SparkSession, *statements: str) -> None:
         jvm = spark.sparkContext._jvm
         jvm.java.lang.Class.forName(self.options.driver)

@@ -20,17 +20,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martkeep.operators.fold import fold_delta
+from martkeep.operators.fold import fold, fold_delta
 
-_NAME = re.compile(r"(full|batch)-(\d+)(?:-b(\d+))?$")
+_NAME = re.compile(r"(full|batch)-(\d+)(?:-r(\d+)-b(\d+))?$")
 
 
 @dataclass(frozen=True)
 class _Version:
-    """A batch's upserts, or the full state before batch ``number``."""
+    """A batch's upserts, or the full state before batch ``number``.
+
+    A state can be written again, after a rebuild; the highest ``revision`` counts.
+    """
 
     kind: str
     number: int
+    revision: int
     buckets: int
     path: str
 
@@ -102,6 +106,16 @@ class ParquetMart:
             "overwrite"
         ).parquet(f"{self.path}/batch-{batch_id:012d}")
 
+    def overlay(self, rows: DataFrame, next_batch: int) -> None:
+        """Upsert ``rows`` into a new full copy of the state before batch ``next_batch``.
+
+        For rows of any number, such as a rebuild, while no batch is running.
+        """
+        spark = rows.sparkSession
+        mart = self.snapshot(spark, before=next_batch)
+        self._write_full(fold(mart, rows, self.key), next_batch)
+        self._drop_old(spark)
+
     def versions(self, spark: SparkSession) -> list[_Version]:
         """Completely written directories, oldest first."""
         fs, root = self._files(spark, self.path)
@@ -112,8 +126,9 @@ class ParquetMart:
             match = _NAME.match(status.getPath().getName())
             path = status.getPath().toString()
             if match and fs.exists(self._files(spark, f"{path}/_SUCCESS")[1]):
-                found.append(_Version(match[1], int(match[2]), int(match[3] or 0), path))
-        return sorted(found, key=lambda v: v.number)
+                numbers = (int(text or 0) for text in match.groups()[1:])
+                found.append(_Version(match[1], *numbers, path))
+        return sorted(found, key=lambda v: (v.number, v.revision))
 
     def _state(
         self, spark: SparkSession, before: int | None
@@ -129,7 +144,7 @@ class ParquetMart:
     def _read_full(self, spark: SparkSession, full: _Version | None) -> DataFrame:
         if full is None:
             return spark.createDataFrame([], self.schema)
-        name = self._table_name(full.number)
+        name = self._table_name(full.number, full.revision)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({self.schema}) USING parquet"
             f" CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {full.buckets} BUCKETS"
@@ -138,9 +153,12 @@ class ParquetMart:
         return spark.table(name)
 
     def _write_full(self, rows: DataFrame, number: int) -> None:
-        path = f"{self.path}/full-{number:012d}-b{self.buckets}"
         spark = rows.sparkSession
-        spark.sql(f"DROP TABLE IF EXISTS {self._table_name(number)}")
+        same = [v for v in self.versions(spark) if v.kind == "full" and v.number == number]
+        revision = same[-1].revision + 1 if same else 0
+        path = f"{self.path}/full-{number:012d}-r{revision}-b{self.buckets}"
+        name = self._table_name(number, revision)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
         fields = T.StructType.fromDDL(self.schema).fields
         typed = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))
         (
@@ -151,7 +169,7 @@ class ParquetMart:
             .bucketBy(self.buckets, self.key)
             .sortBy(self.key)
             .option("path", path)
-            .saveAsTable(self._table_name(number))
+            .saveAsTable(name)
         )
 
     def _drop_old(self, spark: SparkSession) -> None:
@@ -159,17 +177,18 @@ class ParquetMart:
         fulls = [v for v in versions if v.kind == "full"]
         if len(fulls) <= self.keep:
             return
-        oldest_kept = fulls[-self.keep].number
-        for version in versions:
-            if version.number < oldest_kept:
-                if version.kind == "full":
-                    spark.sql(f"DROP TABLE IF EXISTS {self._table_name(version.number)}")
-                fs, path = self._files(spark, version.path)
-                fs.delete(path, True)
+        kept = fulls[-self.keep :]
+        folded = [v for v in versions if v.kind == "batch" and v.number < kept[0].number]
+        for version in fulls[: -self.keep]:
+            name = self._table_name(version.number, version.revision)
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for version in [*fulls[: -self.keep], *folded]:
+            fs, path = self._files(spark, version.path)
+            fs.delete(path, True)
 
-    def _table_name(self, number: int) -> str:
+    def _table_name(self, number: int, revision: int) -> str:
         digest = hashlib.md5(self.path.encode()).hexdigest()[:12]
-        return f"martkeep_{digest}_{number}"
+        return f"martkeep_{digest}_{number}_{revision}"
 
     @staticmethod
     def _files(spark: SparkSession, path: str):

@@ -38,3 +38,7 @@ class TableMart:
             .insertAll()
             .merge()
         )
+
+    def overlay(self, rows: DataFrame, next_batch: int) -> None:
+        """Upsert ``rows`` outside the stream."""
+        self.apply(rows, next_batch)

@@ -24,6 +24,7 @@ from martkeep.operators.routing import route
 from martkeep.plans.earlier import earlier_progress_rows
 from martkeep.plans.enroll import enroll_rows
 from martkeep.plans.progress import progress_rows
+from martkeep.plans.upkeep import rebuild_enroll, rebuild_progress, reconcile
 from martkeep.schema import ENROLL, ENROLL_KEY, ENROLL_TABLE, PROGRESS, PROGRESS_KEY, SUBJECT_TABLE
 from martkeep.sinks import MartStore
 from martkeep.sources.tables import SourceTables, TableSource
@@ -118,6 +119,45 @@ class MartUpkeep:
             if self.audit_path:
                 self._write(audit_rows(messages, touched, as_of), self.audit_path, batch_id)
 
+    def rebuild(self, spark: SparkSession, next_batch: int) -> None:
+        """Recompute both marts for all keys of the tables, keeping insert dates.
+
+        Run it while the stream is stopped; ``next_batch`` is the number the stream will
+        continue with. Mart rows whose key is gone from the tables stay as they are.
+        """
+        for store, rows, _, _ in self._rebuilt(spark, next_batch):
+            store.overlay(rows, next_batch)
+
+    def reconcile(self, spark: SparkSession, next_batch: int | None = None) -> dict[str, DataFrame]:
+        """Per mart, the rows in which it differs from a rebuild (dates left out)."""
+        found = {}
+        for store, rows, key, name in self._rebuilt(spark, next_batch):
+            compare = [c for c in rows.columns if c != key and not c.endswith("_date")]
+            mart = store.snapshot(spark, before=next_batch)
+            found[name] = reconcile(mart, rows, key, compare)
+        return found
+
+    def _rebuilt(self, spark: SparkSession, next_batch: int | None):
+        """(store, rows of all keys, key, name) of each mart."""
+        tables, as_of = self.tables.load(spark), self.clock()
+        if self.progress is not None:
+            rows = rebuild_progress(
+                tables,
+                self.progress.snapshot(spark, before=next_batch),
+                as_of,
+                insert_dates="revive" if self.options.tombstones else "keep",
+                null_numbers_as_zero=self.options.null_numbers_as_zero,
+            )
+            yield self.progress, rows, PROGRESS_KEY, PROGRESS
+        if self.enroll is not None:
+            rows = rebuild_enroll(
+                tables,
+                self.enroll.snapshot(spark, before=next_batch),
+                as_of,
+                course_run_from=self.options.course_run_from,
+            )
+            yield self.enroll, rows, ENROLL_KEY, ENROLL
+
     def _messages(self, batch: DataFrame) -> DataFrame:
         options = self.options
         messages = read_messages(

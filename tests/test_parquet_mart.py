@@ -74,6 +74,16 @@ def test_old_versions_are_dropped(spark, mart):
     assert content(mart.snapshot(spark)) == {0: "b0", 1: "b1", 2: "b2", 3: "b3"}
 
 
+def test_overlays_outside_the_stream(spark, mart):
+    mart.apply(rows(spark, (2, "2a")), 0)
+    for text in ("v", "w", "x", "y", "z"):
+        mart.overlay(rows(spark, (1, text), (7, text)), next_batch=1)
+        assert content(mart.snapshot(spark)) == {1: text, 2: "2a", 7: text}
+    mart.apply(rows(spark, (1, "later")), 1)
+    assert content(mart.snapshot(spark)) == {1: "later", 2: "2a", 7: "z"}
+    assert content(mart.snapshot(spark, before=1)) == {1: "z", 2: "2a", 7: "z"}
+
+
 def test_folding_starts_when_batches_have_grown(spark, tmp_path):
     mart = ParquetMart(f"file:{tmp_path}/mart", SCHEMA, "k", buckets=2, max_batches=2, fold_ratio=1e9)
     mart.create(spark, rows(spark, (9, "nine")))

@@ -21,7 +21,7 @@ MESSAGES = [
 OWNED = {1: {11, 12, 13}, 2: {21}, 6: {41}, 99: {51}}
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     batches=st.lists(
         st.lists(st.sampled_from(range(len(MESSAGES))), min_size=1, max_size=6),

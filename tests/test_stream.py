@@ -168,3 +168,24 @@ def test_batches_run_adaptively(spark, site, monkeypatch):
     site.send(world.subject_message(11))
     site.run()
     assert seen == ["true"]
+
+
+def test_rebuild_and_reconcile(site):
+    site.send(world.enroll_message(1))
+    site.run()
+    site.write_tables(course_run=[(100, "renamed", 1000), (200, "run b", 2000), (300, "run c", 3000)])
+    differences = site.job.reconcile(site.spark)
+    found = sorted((r.side, r.learning_seq) for r in differences["progress"].collect())
+    assert found == [("mart", key) for key in (11, 12, 13)] + [
+        ("rebuild", key) for key in (5, 11, 12, 13, 21)
+    ]
+    assert differences["enroll"].where("side = 'rebuild'").count() == 7
+    site.job.rebuild(site.spark, next_batch=1)
+    assert all(frame.count() == 0 for frame in site.job.reconcile(site.spark).values())
+    assert site.rows()[11]["course_run_nm"] == "renamed"
+    # The stream goes on from the rebuilt mart.
+    site.write_tables()
+    site.send(world.subject_message(11))
+    site.run()
+    names = {key: site.rows()[key]["course_run_nm"] for key in (11, 12)}
+    assert names == {11: "run a", 12: "renamed"}
