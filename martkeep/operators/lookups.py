@@ -45,7 +45,8 @@ def narrow(
     """Rows of ``table`` whose ``column`` is among ``keys``; all rows without keys.
 
     ``size`` must be an upper bound of the number of rows of ``keys``, or None when no
-    bound is known.
+    bound is known. A small ``size`` makes this fetch the keys, so they should be cheap to
+    compute (persisted, or read from a table).
     """
     if keys is None:
         return table
@@ -102,7 +103,7 @@ def fan_out_left_join(rows: DataFrame, many: DataFrame, key: str) -> DataFrame:
         F.col(key).cast(kind).alias("_on"),
         *(F.col(field.name) for field in extra),
     )
-    fillers = rows.sparkSession.range(_FILLERS).select(
+    fillers = rows.sparkSession.range(0, _FILLERS, 1, 1).select(
         F.lit(False).alias("_real"),
         F.col("id").cast(kind).alias("_on"),
         *(F.lit(None).cast(field.dataType).alias(field.name) for field in extra),

@@ -98,11 +98,13 @@ def rejected(messages: DataFrame) -> DataFrame:
 
 
 def since(messages: DataFrame, start_millis: int) -> DataFrame:
-    """Messages whose source time is at or after ``start_millis``.
+    """Messages without those whose source time is before ``start_millis``.
 
-    For replayable file sources; a broker is asked for the offset instead.
+    For replayable file sources; a broker is asked for the offset instead. A message
+    without a readable time is kept, to be rejected for its own reason.
     """
-    return messages.where(F.col("source_ts_ms").try_cast("double") >= F.lit(start_millis))
+    source_time = F.col("source_ts_ms").try_cast("double")
+    return messages.where(F.coalesce(source_time >= F.lit(start_millis), F.lit(True)))
 
 
 def named_rows(rows: DataFrame, types: Mapping[str, str]) -> DataFrame:

@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from martkeep.functions.dates import start_time_millis
 from martkeep.operators.keys import distinct_keys, message_keys, touched_keys
 from martkeep.operators.lookups import DEFAULT_POLICY, LookupPolicy, narrow
-from martkeep.operators.messages import read_messages, rejected
+from martkeep.operators.messages import read_messages, rejected, since
 from martkeep.operators.routing import route
 from martkeep.plans.earlier import earlier_progress_rows
 from martkeep.plans.enroll import enroll_rows
@@ -36,8 +37,9 @@ class UpkeepOptions:
 
     ``on_error``: keep unusable messages (``quarantine``), drop them (``skip``) or stop
     (``fail``). ``tombstones`` selects the earlier progress job: withdrawn enrolments
-    blank their learnings and deleted rows revive with a new insert date. The others
-    reproduce quirks of the original job.
+    blank their learnings and deleted rows revive with a new insert date. ``start_time``
+    (``yyyyMMddHHmmss``) skips older messages of a file source. The others reproduce
+    quirks of the original job.
     """
 
     on_error: str = "quarantine"
@@ -48,6 +50,7 @@ class UpkeepOptions:
     null_numbers_as_zero: bool = False
     compat_fallthrough: bool = False
     course_run_from: str = "mart"
+    start_time: str | None = None
     policy: LookupPolicy = field(default=DEFAULT_POLICY)
 
 
@@ -167,6 +170,9 @@ class MartUpkeep:
             key_type=options.key_type,
             require_status=options.tombstones,
         )
+        if options.start_time:
+            start = start_time_millis(batch.sparkSession, options.start_time)
+            messages = since(messages, start)
         # The text is only needed again for the quarantine.
         text = F.when(F.col("reason").isNotNull(), F.col("value"))
         return messages.withColumn("value", text)

@@ -189,3 +189,13 @@ def test_rebuild_and_reconcile(site):
     site.run()
     names = {key: site.rows()[key]["course_run_nm"] for key in (11, 12)}
     assert names == {11: "run a", 12: "renamed"}
+
+
+def test_a_start_time_skips_older_messages(spark, tmp_path):
+    site = Site(spark, tmp_path, UpkeepOptions(start_time="20220928133000"))
+    site.send(
+        world.subject_message(11, ts=1664371799999), world.subject_message(12, ts=1664371800000), "not json"
+    )
+    site.run()
+    assert set(site.rows()) == {12}
+    assert site.written("quarantine").count() == 1
