@@ -1,3 +1,69 @@
-"""DuckDB SQL of the queries that SQL can express on whole tables."""
+"""DuckDB SQL of the queries that SQL can express on whole tables.
 
-SQL: dict[str, str] = {}
+The others are tested against brute force, the tokenizer library or held-out labels: op1
+and op2 (encodings and hashes), op3 (quantile sketches), op6 and op10 (trained models) and
+op7 (seeded draws).
+"""
+
+# The pages of the given tables state no canonical link and no refresh, so rules decide
+# here; links are covered by tests.
+URL_FILTERS = r"""
+WITH rules(verdict, host, path) AS (VALUES
+    ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+urls AS (SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages),
+best AS (SELECT u.host, u.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+           arg_max(r.verdict, length(r.host || r.path)) AS verdict
+    FROM (SELECT DISTINCT host, path FROM urls) u JOIN rules r
+      ON (u.host = r.host OR suffix(u.host, '.' || r.host)) AND prefix(u.path, r.path)
+    GROUP BY ALL)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM urls LEFT JOIN best USING (host, path)
+"""
+
+CHAT = r"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS name, coalesce(text, '') AS text
+              FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, name AS perspective FROM said WHERE name <> 'system'),
+seen AS (SELECT s.*, p.perspective,
+           CASE WHEN name = 'system' THEN name WHEN name = perspective THEN 'assistant'
+                ELSE 'user' END AS role
+    FROM said s JOIN speakers p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
+headed AS (SELECT *, '<|' || CASE WHEN role = 'user' THEN 'user ' || name ELSE role END
+                  || '|>' || chr(10) AS head FROM seen)
+SELECT conv_id, perspective, turn, role, name, head || text || '<|end|>' || chr(10) AS segment,
+       CASE WHEN role = 'assistant' THEN 1 ELSE 0 END AS learn,
+       CAST(length(head) AS BIGINT) AS mask_start,
+       CAST(CASE WHEN role = 'assistant' THEN length(text) + 8 ELSE 0 END AS BIGINT) AS mask_chars
+FROM headed
+"""
+
+JACCARD = r"""
+WITH RECURSIVE words AS (SELECT doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]) END AS grams
+    FROM words),
+sized AS (SELECT doc_id, grams, len(grams) AS n, md5(array_to_string(list_sort(grams), chr(10))) AS sid FROM sets),
+classes AS (SELECT sid, min(doc_id) AS rep, any_value(n) AS n, any_value(grams) AS grams FROM sized WHERE n > 0 GROUP BY sid),
+incidence AS (SELECT sid, n, unnest(grams) AS gram FROM classes),
+pairs AS (SELECT a.sid AS x, b.sid AS y FROM incidence a JOIN incidence b ON a.gram = b.gram AND a.sid <> b.sid
+    GROUP BY a.sid, b.sid, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(sid, other) AS (SELECT sid, sid FROM classes UNION SELECT r.sid, p.y FROM reach r JOIN pairs p ON r.other = p.x),
+lowest AS (SELECT r.sid, min(c.rep) AS component_id FROM reach r JOIN classes c ON r.other = c.sid GROUP BY r.sid),
+degree AS (SELECT x AS sid, count(*) AS n_links FROM pairs GROUP BY x)
+SELECT doc_id, CAST(s.n AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM sized s LEFT JOIN lowest l ON s.n > 0 AND s.sid = l.sid LEFT JOIN degree d ON s.n > 0 AND s.sid = d.sid
+"""
+
+SQL: dict[str, str] = {
+    "op4_url_filters": URL_FILTERS,
+    "op5_chat": CHAT,
+    "op8_jaccard_join": JACCARD,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkeep.llm import jaccard, mixing, quality, toxicity
+from martkeep.llm import bpe, chat, fingerprint, jaccard, mixing, quality, toxicity, urls
 from martkeep.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,12 +19,57 @@ def query(function: Query) -> Query:
     return function
 
 
+def word_tokenizer() -> str:
+    """Where the public word-level BPE vocabulary lies; the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = word_tokenizer()
+    encoded = bpe.encode(docs, path).select("doc_id", "ids")
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        bpe.n_tokens().alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return quality.judge_quality(docs).drop("text", "lang", "source", "n_lines")
 
 
+RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+@query
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge_urls(pages.select("page_id", "url"), RULES, urls.page_links(pages))
+
+
+@query
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
