@@ -62,8 +62,23 @@ SELECT doc_id, CAST(s.n AS BIGINT) AS n_shingles, coalesce(component_id, doc_id)
 FROM sized s LEFT JOIN lowest l ON s.n > 0 AND s.sid = l.sid LEFT JOIN degree d ON s.n > 0 AND s.sid = d.sid
 """
 
+WARC = r"""
+WITH hashed AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (SELECT page_id, html, hex, array_to_string([lpad(bin(instr('0123456789abcdef', hex[i]) - 1), 4, '0')
+    FOR i IN range(1, 41)], '') AS bits FROM hashed),
+coded AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, hex, array_to_string([
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum([CAST(bits[5 * i + j] AS INT) * (1 << (5 - j)) FOR j IN range(1, 6)])::INT]
+    FOR i IN range(0, 32)], '') AS payload_digest FROM bits),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM coded)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
 SQL: dict[str, str] = {
     "op4_url_filters": URL_FILTERS,
     "op5_chat": CHAT,
     "op8_jaccard_join": JACCARD,
+    "op9_warc": WARC,
 }

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkeep.llm import bpe, chat, fingerprint, jaccard, mixing, quality, toxicity, urls
+from martkeep.llm import bpe, chat, fingerprint, jaccard, mixing, quality, toxicity, urls, warc
 from martkeep.llm.common import table
+from martkeep.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,6 +81,14 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    records = warc.read_archives(spark, folder, blocks=False)
+    return warc.page_report(warc.assemble_captures(records))
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
