@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkeep.llm import quality, toxicity
+from martkeep.llm import bpe, jaccard, mixing, quality, toxicity
 from martkeep.llm.common import staged, table
+from martkeep.llm.queries import word_tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -26,9 +27,48 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.score_toxicity(docs, model).where("predicted = 0").select(*DOCUMENTS)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of five-word shingles 80 % alike: that of the lowest doc_id.
+
+    Rows without doc_id, which the join compares with nothing, all stay; of rows that repeat
+    a doc_id one stays, that of the first text.
+    """
+    groups = jaccard.jaccard_groups(docs, width=5, percent=80)
+    chosen = staged(groups.where("component_id = doc_id").select("doc_id").distinct(), "pipeline-chosen")
+    kept = docs.join(chosen, "doc_id").select(*DOCUMENTS)
+    repeated = staged(docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL"), "pipeline-repeated").select("doc_id")
+    once = kept.join(repeated, "doc_id", "left_anti")
+    first = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min(F.struct("text", "lang", "source", "n_chars")).alias("row")
+    )
+    return once.unionByName(first.select("doc_id", "row.*")).unionByName(docs.where("doc_id IS NULL").select(*DOCUMENTS))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it: not at all, or up to three times."""
+    sized = docs.select(*DOCUMENTS).withColumn("size", mixing.size_of("text"))
+    units = mixing.mix_units(sized.select("doc_id", "source", "size")).where("copies > 0")
+    taken = staged(units.select(*[F.col(c).alias(f"u_{c}") for c in ("doc_id", "source", "size")], "copies"), "pipeline-taken")
+    same = [F.col(c).eqNullSafe(F.col(f"u_{c}")) for c in ("doc_id", "source", "size")]
+    mixed = sized.join(taken, same).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return mixed.select(*DOCUMENTS)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and whether they decode to what the tokens spell."""
+    path = word_tokenizer()
+    encoded = bpe.encode(docs.select("doc_id", "source", "lang", "text"), path).drop("text")
+    return bpe.decode(encoded, path).select(
+        "doc_id", "source", "lang", bpe.n_tokens().alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_stage),
     ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("mixing", mixing_stage),
+    ("bpe", encoding_stage),
 ]
 
 #: Learned scores and token ids are beyond SQL; the tests hold the rows against brute force.

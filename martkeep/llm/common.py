@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martkeep.session import shared_folder
 
@@ -55,14 +56,16 @@ class Hasher:
     def __init__(self, keep: int = 200_000):
         self.keep, self.seen = keep, {}
 
+    def code(self, word: bytes) -> int:
+        return xxhash.xxh64_intdigest(word)
+
     def __call__(self, words: list[bytes]) -> np.ndarray:
         seen = self.seen
         if len(seen) > self.keep:
             seen.clear()
-        digest = xxhash.xxh64_intdigest
         for word in set(words):
             if word not in seen:
-                seen[word] = digest(word)
+                seen[word] = self.code(word)
         return np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
 
 
@@ -87,3 +90,8 @@ def batches(rows: Iterator[pa.RecordBatch], *names: str) -> Iterator[list[list]]
 def signed(values: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as Spark's signed long."""
     return values.view(np.int64)
+
+
+def fold(key: str, n: int) -> Column:
+    """crc32 of a key as text, modulo ``n``; NULL keys are in no fold."""
+    return F.crc32(F.col(key).cast("string")) % n

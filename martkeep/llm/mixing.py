@@ -147,9 +147,15 @@ def mix_units(sized: DataFrame, seed: int = 7) -> DataFrame:
     )
 
 
+def size_of(text: str) -> Column:
+    """Words of a text; 0 for a missing one."""
+    return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORDS)), F.lit(0)).cast("long")
+
+
 def sized_documents(docs: DataFrame) -> DataFrame:
-    size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORDS)), F.lit(0)).cast("long")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of("text").alias("size")
+    )
 
 
 def mix_sources(docs: DataFrame, seed: int = 7) -> DataFrame:

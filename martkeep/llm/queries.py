@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkeep.llm import bpe, chat, fingerprint, jaccard, mixing, quality, toxicity, urls, warc
-from martkeep.llm.common import table
+from martkeep.llm import bpe, brown, chat, fingerprint, jaccard, mixing, quality, toxicity, urls, warc
+from martkeep.llm.common import fold, table
 from martkeep.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,14 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op6_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out)
+    model = brown.train_brown(docs.where(~F.col("held_out")).select("text"))
+    return brown.score_texts(docs, model)
+
+
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -93,10 +101,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.train_toxicity(docs, labels.where(toxicity.fold("doc_id", 5) != 0))
+    model = toxicity.train_toxicity(docs, labels.where(fold("doc_id", 5) != 0))
     return toxicity.score_toxicity(docs, model).select(
         "doc_id",
-        F.coalesce(toxicity.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
         "score",
         "predicted",
         "patterns",

@@ -275,8 +275,3 @@ def score_toxicity(docs: DataFrame, model) -> DataFrame:
         at["patterns"].alias("patterns"),
         (at["score"] >= 0.5).cast("int").alias("predicted"),
     )
-
-
-def fold(key: str, n: int):
-    """crc32 of a key as text, modulo ``n``; NULL keys are in no fold."""
-    return F.crc32(F.col(key).cast("string")) % n
