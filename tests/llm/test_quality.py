@@ -1,0 +1,53 @@
+import re
+from collections import Counter
+
+from world import documents, messy_rows
+
+from martkeep.llm import quality
+
+
+def brute_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {j for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    lines, seen, again = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)], set(), 0
+    for line in lines:
+        again += line in seen
+        seen.add(line)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), again, len(covered), len(lines)
+
+
+def test_counts_of_whole_texts():
+    texts = [r[1] for r in messy_rows()] + ["a b c a b c d", "a a a a", "x\nx\n \n\ny\nx", "###|<>", "a\xa0b c\x85d\x1ce", "a b\r\na b\r\n"]
+    for text in texts:
+        assert quality.text_counts(text) == brute_counts(text), text
+
+
+def test_verdicts_follow_source_and_language(spark):
+    def text(i, symbols):
+        return " ".join(f"{'#' * symbols}w{i}x{k}" for k in range(60))
+
+    rows = [(i, text(i, 0), "en", "plain", 1) for i in range(300)] + [(1000, text(1000, 2), "en", "plain", 1)]
+    rows += [(2000 + i, text(i, 2), "en", "marked", 1) for i in range(300)] + [(3000, text(9, 0), "en", "small", 1), (3001, text(8, 3), "en", "small", 1)]
+    kept = dict(quality.judge_quality(documents(spark, rows)).select("doc_id", "kept").collect())
+    assert not kept[1000], "symbols are odd in a source without them"
+    assert all(kept[i] for i in (*range(300), *range(2000, 2300))), "and usual in one that is full of them"
+    assert kept[3000]
+
+
+def test_every_row_has_a_verdict(spark):
+    got = quality.judge_quality(documents(spark))
+    rows = got.collect()
+    assert len(rows) == len(messy_rows()) and not {r["score"] for r in rows} - {"clash"}
+    for r in rows:
+        n, *_, repeats, _ = counts = brute_counts(r["text"])
+        assert tuple(r[name] for name in quality.COUNTS) == counts
+        assert r["base_failed"] == (n < 50 or 100 * repeats > 50 * n)
+        assert r["kept"] in ((False,) if r["base_failed"] else (True, False))
+    assert quality.judge_quality(documents(spark, [])).count() == 0
+
+
+def test_many_thresholds_are_shuffled_to_the_same_end(spark, monkeypatch):
+    want = sorted(quality.judge_quality(documents(spark)).select("doc_id", "text", "kept").collect(), key=repr)
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", 0)
+    assert sorted(quality.judge_quality(documents(spark)).select("doc_id", "text", "kept").collect(), key=repr) == want
