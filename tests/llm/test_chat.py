@@ -1,0 +1,30 @@
+from martkeep.llm.chat import rotate_perspectives
+
+TURN = "conv_id long, turn long, role string, text string, name string, perspective string, of string"
+ROWS = [
+    (1, 0, "system", "be brief"), (1, 1, "ann", "hi"), (1, 2, "bob", "hey"), (1, 3, "ann", None), (1, 3, "ann", None), (1, None, None, "who"),
+    (2, 0, "system", "alone"), (3, 0, "ann", "x" * 100_000), (None, 0, "user", "a"), (None, 1, "assistant", "b"),
+]
+
+
+def brute():
+    out = []
+    for conv in {r[0] for r in ROWS}:
+        turns = [(t, role or "unknown", text or "") for c, t, role, text in ROWS if c == conv]
+        for seen_by in {role for _, role, _ in turns} - {"system"}:
+            for turn, name, text in turns:
+                role = name if name == "system" else "assistant" if name == seen_by else "user"
+                head = f"<|user {name}|>\n" if role == "user" else f"<|{role}|>\n"
+                learn = int(role == "assistant")
+                out.append((conv, seen_by, turn, role, name, f"{head}{text}<|end|>\n", learn, len(head), learn * (len(text) + 8)))
+    return sorted(out, key=repr)
+
+
+def test_every_participant_sees_every_turn(spark):
+    df = spark.createDataFrame([(*r, "clash", "clash", "clash") for r in ROWS], TURN)
+    got = rotate_perspectives(df)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute()
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+    for row in got.where("learn = 1").collect():
+        assert row["segment"][row["mask_start"] : row["mask_start"] + row["mask_chars"]].endswith("<|end|>\n")
+    assert rotate_perspectives(df.where("false")).count() == 0

@@ -1,0 +1,62 @@
+import base64
+import gzip
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from martkeep.llm import warc
+from martkeep.session import shared_folder
+
+PAGE = "page_id long, url string, html string, payload_digest string, first string, record string"
+
+
+def sha(html):
+    return base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
+
+
+def test_round_trip(spark):
+    rnd = random.Random(1)
+    htmls = ["", None, "ünï", "a\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\nb", "x" * 300_000, "\r\n\r\n", "line\nline\r\n"] + [f"page {i}" for i in range(20)]
+    rows = [(i, None if i == 5 else f"http://h/{i}\r\nX: y", rnd.choice(htmls)) for i in range(150)]
+    rows += [(i, "http://h/", h) for i, h in enumerate(htmls, 200)] + [(-3, "http://h/", "page 3")]
+    folder = shared_folder(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame([(*r, "c", "c", "c") for r in rows], PAGE).repartition(4), folder)
+    captures = warc.assemble_captures(warc.read_archives(spark, folder))
+    got = sorted(map(tuple, warc.page_report(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()))
+    first = {}
+    for i, _, html in sorted(rows):
+        first.setdefault(html or "", i)
+    want = [
+        (i, len((h or "").encode()), sha(h), "response" if first[h or ""] == i else "revisit", None if first[h or ""] == i else first[h or ""])
+        for i, _, h in sorted(rows)
+    ]
+    assert got == want
+    nested = captures.select("record_id", "request.record_id", "metadata.record_id", F.col("main.block").isNotNull()).collect()
+    assert len(nested) == len(rows) and all(all(r) for r in nested)
+
+
+def test_small_payloads_and_missing_ids(spark):
+    rows = [(1, "u", "same text"), (2, "u", "same text"), (3, "u", "ab"), (4, "u", "ab"), (None, "u", "same text"), (1, "u", "same text")]
+    folder = shared_folder(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), folder, least=5)
+    got = warc.page_report(warc.assemble_captures(warc.read_archives(spark, folder, blocks=False))).select("page_id", "record_type", "refers_to")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, "response", None), (2, "revisit", 1), (3, "response", None), (4, "response", None), (None, "response", None)], key=repr)
+
+
+def test_empty(spark):
+    folder = shared_folder(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), folder)
+    assert warc.assemble_captures(warc.read_archives(spark, folder)).count() == 0
+
+
+def test_archives_of_others():
+    one = warc.record("response", "<a>", warc.http_block(b"hello"), Content_Type="application/http; msgtype=response") + b"\r\n\r\n"
+    two = warc.record("metadata", "<b>", b"x: y", WARC_Concurrent_To="<a>").replace(b"WARC-Type: ", b"warc-type:\tfolded\r\n ") + b"\r\n\r\n"
+    for data in (one + two, gzip.compress(one + two), gzip.compress(one) + gzip.compress(two)):
+        (h1, b1), (h2, _) = warc.parse(data)
+        assert warc.payload_of(h1, b1) == b"hello" and h2["warc-type"] == "folded metadata" and h2["warc-concurrent-to"] == "<a>"
+    for broken in (one[:-20], b"junk" + one):
+        with pytest.raises(ValueError):
+            list(warc.parse(broken))
