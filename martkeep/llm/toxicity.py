@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martkeep.llm.common import staged
+
 INSULT, THREAT, TARGET, NEGATION, REPORTED, END, GAP = range(7)
 
 #: Closed word classes of the grammar in the four languages of the corpus.
@@ -155,34 +157,63 @@ def _term_counts(rows: DataFrame, only: set[str] | None) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def learn_insults(labelled: DataFrame, share: float = 0.01, purity: float = 0.0005) -> dict[str, float]:
+def explaining(lists: list[np.ndarray], n: int, damp: float = 0.7, least: float = 2.0) -> list[int]:
+    """Which of ``n`` terms explain the toxic texts, whose terms are ``lists``.
+
+    The term with the most evidence is taken, its texts count less for the next, until no
+    term has the evidence of ``least`` texts: words that only happen to stand beside
+    insults lose their evidence to these.
+    """
+    holders: list[list[int]] = [[] for _ in range(n)]
+    for d, terms_ in enumerate(lists):
+        for t in terms_:
+            holders[t].append(d)
+    evidence = np.array([len(h) for h in holders], float)
+    weight, taken = np.ones(len(lists)), []
+    while n and evidence[t := int(np.argmax(evidence))] >= least:
+        taken.append(t)
+        for d in holders[t]:
+            evidence[lists[d]] -= (1 - damp) * weight[d]
+            weight[d] *= damp
+        evidence[t] = -1e18
+    return taken
+
+
+def learn_insults(labelled: DataFrame, share: float = 0.004, purity: float = 0.0005) -> dict[str, float]:
     """Insulting words and word families with their log-odds.
 
-    A term must stand in ``share`` of the toxic texts (and 3 of them), so there are at most
-    terms-per-text / share of them. Families whose clean uses exceed ``purity`` of the toxic
-    ones, by rate, are left out. The clean texts are then read for these terms only.
+    A term must stand in ``share`` of the toxic texts, so there are at most terms-per-text /
+    share of them, and in so many that chance would hardly put any term of the sample in
+    toxic texts alone. Terms whose clean uses exceed ``purity`` of the toxic ones, by rate,
+    are left out; for these the clean texts are read. Of the rest, those stay that explain
+    toxic texts (see :func:`explaining`).
     """
     n = {row["toxic"]: row["n"] for row in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
-    if not n_toxic:
+    if not n_toxic or not n_clean:
         return {}
-    enough = max(3, int(share * n_toxic))
-    often = _term_counts(labelled.where("toxic = 1"), None).where(F.col("toxic") >= enough)
-    toxic = {row["term"]: row["toxic"] for row in often.collect()}
-    clean = {}
-    if toxic:
-        clean = {
-            row["term"]: row["clean"]
-            for row in _term_counts(labelled.where("toxic = 0"), set(toxic)).collect()
-        }
-    insults = {}
-    for term, hits in toxic.items():
+    counts = staged(_term_counts(labelled.where("toxic = 1"), None), "toxicity-terms")
+    by_chance = (np.log(max(counts.count(), 2)) + 3) / -np.log(n_toxic / (n_toxic + n_clean))
+    enough = max(3, int(share * n_toxic), int(np.ceil(by_chance)))
+    toxic = {row["term"]: row["toxic"] for row in counts.where(F.col("toxic") >= enough).collect()}
+    if not toxic:
+        return {}
+    clean = {row["term"]: row["clean"] for row in _term_counts(labelled.where("toxic = 0"), set(toxic)).collect()}
+    odds = {}
+    for term, hits in sorted(toxic.items()):
         misses = clean.get(term, 0)
-        if misses * max(n_toxic, 1) <= purity * hits * max(n_clean, 1):
-            odds = np.log((hits + 0.5) / (n_toxic + 1)) - np.log((misses + 0.5) / (n_clean + 1))
-            if odds >= 2:
-                insults[term] = float(odds)
-    return insults
+        if misses * n_toxic <= purity * hits * n_clean:
+            odds[term] = float(np.log((hits + 0.5) / (n_toxic + 1)) - np.log((misses + 0.5) / (n_clean + 1)))
+    place = {term: i for i, term in enumerate(odds)}
+
+    def lists(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            found = [sorted(place[t] for t in terms(text) if t in place) for text in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["terms"])
+
+    rows = labelled.where("toxic = 1").select("text").mapInArrow(lists, "terms array<int>").collect()
+    names = list(odds)
+    return {names[t]: odds[names[t]] for t in explaining([np.array(r["terms"], int) for r in rows], len(names))}
 
 
 def fit_patterns(x: np.ndarray, y: np.ndarray, pull: float = 1.0, rounds: int = 50) -> np.ndarray:
@@ -206,8 +237,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 50_000):
     """Insults and pattern weights from at most ``fit_rows`` labelled texts.
 
     The rows are those of the lowest hashes of doc_id, so the choice does not depend on the
-    order or the partitions. Being bounded, their ids go to the texts by broadcast; only
-    their pattern sums (some numbers a row) come to the driver. Rows whose label is NULL or
+    order or the partitions. Being bounded, their ids go to the texts by broadcast; only the
+    candidate terms and pattern sums of these rows come to the driver. Rows whose label is NULL or
     that lack a text count for nothing; of several labels for a document the highest holds.
     """
     chosen = (
