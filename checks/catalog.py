@@ -13,7 +13,7 @@ from checks.views import as_of
 from martkeep import operators as ops
 from martkeep import plans
 from martkeep.functions import delete_flag, key_number, parse_start_time, start_time_millis
-from martkeep.plans.progress import courses
+from martkeep.plans.progress import courses, of_course_run, of_enrolment
 from martkeep.schema import ENROLL, ENROLL_KEY, PROGRESS, PROGRESS_COLUMNS, PROGRESS_KEY
 from martkeep.session import shared_folder
 from martkeep.sinks import ParquetMart
@@ -56,6 +56,14 @@ class Inputs:
     def keys(self) -> DataFrame:
         return ops.message_keys(ops.read_messages(views.raw(*self._at)))
 
+    @cached_property
+    def earlier_keys(self) -> DataFrame:
+        """Keys of the messages that the earlier job takes."""
+        messages = ops.read_messages(
+            views.raw(*self._at), require_status=True, require_source_ts=False
+        )
+        return ops.message_keys(messages)
+
     @cached_property
     def touched(self) -> DataFrame:
         return ops.touched_keys(self.keys, self.tables.learning)
@@ -97,12 +105,21 @@ def cdc_quarantine(spark, sf_dir):
 
 @query
 def cdc_fail_fast(spark, sf_dir):
-    """The strict mode over the messages that are fit for it."""
-    sound = views.table(spark, sf_dir, "events").where("event_type <> 'error'")
-    messages = ops.read_messages(views.raw_of(sound), on_error="fail", require_status=True)
+    """The strict mode over all messages but those that it must stop at."""
+    sound = views.raw(spark, sf_dir).where("value <> 'not json'")
+    messages = ops.read_messages(sound, on_error="fail", require_status=True)
     return ops.accepted(messages).select("event_id", "table_name", "confirm_status_cd")
 
 
+@query
+def cdc_reasons(spark, sf_dir):
+    """Every reason a message can be rejected for, and spellings that are let through."""
+    events = views.table(spark, sf_dir, "events")
+    return ops.read_messages(events.selectExpr("event_id", f"{oracle.REASON_TEXT} AS value")).select(
+        "event_id", "value", "reason", "table_name", "enroll_seq", "learning_seq"
+    )
+
+
 @query
 def cdc_since(spark, sf_dir):
     stamped = views.table(spark, sf_dir, "events").selectExpr(
@@ -159,6 +176,15 @@ def touched_keys(spark, sf_dir):
     return ops.expand_counts(touched.select("seq", "target", "n_messages"))
 
 
+@query
+def touched_keys_wide(spark, sf_dir):
+    """Learnings whose keys are beyond INT."""
+    inputs = Inputs(spark, sf_dir)
+    wide = inputs.tables.learning.withColumn("learning_seq", F.expr("learning_seq + 3000000000L"))
+    touched = ops.touched_keys(inputs.keys, wide)
+    return touched.groupBy("seq", "target").agg(F.sum("n_messages").alias("n_messages"))
+
+
 @query
 def touched_keys_distinct(spark, sf_dir):
     touched = Inputs(spark, sf_dir).touched
@@ -168,7 +194,8 @@ def touched_keys_distinct(spark, sf_dir):
 @query
 def route_exclusive(spark, sf_dir):
     touched = Inputs(spark, sf_dir).touched
-    return touched.groupBy("target").agg(F.sum("n_messages").alias("n"))
+    routed = ops.route(touched, PROGRESS).unionByName(ops.route(touched, ENROLL))
+    return routed.groupBy("target").agg(F.sum("n_messages").alias("n"))
 
 
 @query
@@ -183,15 +210,14 @@ def route_enroll(spark, sf_dir):
 
 @query
 def route_fallthrough(spark, sf_dir):
-    touched = Inputs(spark, sf_dir).touched.select("seq", "target", "n_messages")
-    # Every key goes out once per mart that receives it.
-    marts = F.when(F.col("target") == PROGRESS, F.array(F.lit(PROGRESS), F.lit(ENROLL)))
-    routed = touched.select(
-        "seq",
-        F.explode(marts.otherwise(F.array(F.lit(ENROLL)))).alias("mart"),
-        "n_messages",
+    touched = Inputs(spark, sf_dir).touched
+    progress, enroll = (
+        ops.route(touched, mart, compat_fallthrough=True).select(
+            "seq", F.lit(mart).alias("mart"), "n_messages"
+        )
+        for mart in (PROGRESS, ENROLL)
     )
-    return ops.expand_counts(routed)
+    return ops.expand_counts(progress.unionByName(enroll))
 
 
 @query
@@ -213,7 +239,7 @@ def lookup_learning(spark, sf_dir):
 @query
 def lookup_course_run(spark, sf_dir):
     tables = views.source_tables(spark, sf_dir)
-    joined = tables.learning.join(tables.course_run, "course_run_seq")
+    joined = of_course_run(tables.learning, tables.course_run)
     return joined.select("learning_seq", "course_run_seq", "course_run_nm", "course_seq")
 
 
@@ -225,7 +251,7 @@ def lookup_course(spark, sf_dir):
 @query
 def lookup_enroll(spark, sf_dir):
     tables = views.source_tables(spark, sf_dir)
-    joined = tables.enroll.join(tables.learning, ["enroll_seq", "course_run_seq"])
+    joined = of_enrolment(tables.learning, tables.enroll)
     return joined.select("learning_seq", "enroll_seq", "course_run_seq", "confirm_status_cd")
 
 
@@ -289,15 +315,10 @@ def progress_rows(spark, sf_dir):
 
 @query
 def progress_rows_sql(spark, sf_dir):
+    """The result and a table as views of a SQL query."""
     i = Inputs(spark, sf_dir)
-    tables = {
-        f"check_{name}": getattr(i.tables, name) for name in i.tables.__dataclass_fields__
-    }
-    named = tables | {
-        "check_touched_learning": i.progress_keys().select(PROGRESS_KEY),
-        "check_progress_mart": i.mart,
-    }
-    text = plans.progress_sql("check_", "TIMESTAMP_NTZ '2024-06-01 00:00:00'")
+    named = {"check_progress": progress_rows(spark, sf_dir), "check_learning": i.tables.learning}
+    text = "SELECT p.* FROM check_progress p JOIN check_learning l USING (learning_seq)"
     return plans.query_views(spark, text, named)
 
 
@@ -331,12 +352,8 @@ def enroll_rows(spark, sf_dir):
 @query
 def enroll_rows_sql(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    named = {
-        "check_touched_enroll": i.enroll_keys().select(ENROLL_KEY),
-        "check_enroll": i.tables.enroll,
-        "check_enroll_mart": i.enroll_mart,
-    }
-    text = plans.enroll_sql("check_", "TIMESTAMP_NTZ '2024-06-01 00:00:00'")
+    named = {"check_enroll_rows": enroll_rows(spark, sf_dir), "check_enroll": i.tables.enroll}
+    text = "SELECT r.* FROM check_enroll_rows r LEFT SEMI JOIN check_enroll USING (enroll_seq)"
     return plans.query_views(spark, text, named)
 
 
@@ -357,7 +374,7 @@ def enroll_rows_fallthrough(spark, sf_dir):
 @query
 def tombstones(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    rows = plans.tombstones(i.keys, i.tables.learning, i.mart)
+    rows = plans.tombstones(i.earlier_keys, i.tables.learning, i.mart)
     return ops.expand_counts(rows, "n_unconfirmed")
 
 
@@ -371,13 +388,15 @@ def last_learning(spark, sf_dir):
 @query
 def progress_rows_with_tombstones(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return plans.earlier_progress_rows(i.keys, i.tables, i.mart, as_of())
+    return plans.earlier_progress_rows(i.earlier_keys, i.tables, i.mart, as_of())
 
 
 @query
 def progress_rows_last_only(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return plans.earlier_progress_rows(i.keys, i.tables, i.mart, as_of(), last_only=True)
+    return plans.earlier_progress_rows(
+        i.earlier_keys, i.tables, i.mart, as_of(), last_only=True
+    )
 
 
 # --- marts --------------------------------------------------------------------------
@@ -426,8 +445,13 @@ def reconcile_enroll(spark, sf_dir):
 # --- streams ------------------------------------------------------------------------
 
 
-def _run_stream(spark, sf_dir, options=UpkeepOptions()) -> tuple[MartUpkeep, str]:
-    """Run the event file through the streaming job into new marts."""
+def _run_stream(
+    spark, sf_dir, options=UpkeepOptions(), parts=("true",)
+) -> tuple[MartUpkeep, str]:
+    """Run the event file through the streaming job into new marts.
+
+    Each of the conditions ``parts`` is a run with a checkpoint of its own, on the same marts.
+    """
     folder = shared_folder(spark, "stream")
     progress = views.progress_mart(spark, sf_dir)
     enroll = views.enroll_mart(spark, sf_dir)
@@ -447,16 +471,40 @@ def _run_stream(spark, sf_dir, options=UpkeepOptions()) -> tuple[MartUpkeep, str
     )
     schema = views.table(spark, sf_dir, "events").schema
     events = stream_parquet(spark, f"{sf_dir}/events*.parquet", schema)
-    job.run_available(views.raw_of(events), f"{folder}/checkpoint")
+    for number, part in enumerate(parts):
+        job.run_available(views.raw_of(events.where(part)), f"{folder}/checkpoint-{number}")
     return job, folder
 
 
+#: Two halves of all events.
+HALVES = ("event_type IN ('click', 'view')", "event_type NOT IN ('click', 'view')")
+
+
 @query
 def stream_progress(spark, sf_dir):
     job, _ = _run_stream(spark, sf_dir)
     return job.progress.snapshot(spark)
 
 
+@query
+def stream_restart(spark, sf_dir):
+    """The second half of the messages under a new checkpoint, on the marts of the first."""
+    job, _ = _run_stream(spark, sf_dir, parts=HALVES)
+    return job.progress.snapshot(spark)
+
+
+@query
+def stream_restart_audit(spark, sf_dir):
+    """Quarantine and audit cover both runs."""
+    _, folder = _run_stream(spark, sf_dir, parts=HALVES)
+    audit = spark.read.parquet(f"{folder}/audit").where("kind = 'messages'")
+    kept = spark.read.parquet(f"{folder}/quarantine").select(
+        F.lit("quarantine").alias("name"), "reason", F.lit(1).cast("bigint").alias("n")
+    )
+    both = audit.select("name", "reason", "n").unionByName(kept)
+    return both.groupBy("name", "reason").agg(F.sum("n").alias("n"))
+
+
 @query
 def stream_enroll(spark, sf_dir):
     job, _ = _run_stream(spark, sf_dir)

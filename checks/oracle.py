@@ -12,6 +12,23 @@ KEY_TEXT = """CASE event_id % 6
   WHEN 3 THEN concat('-', CAST(event_id AS VARCHAR(20)), '000000000')
   WHEN 4 THEN CASE WHEN event_type = 'error' THEN 'NaN' ELSE 'abc' END
   ELSE CAST(event_id AS VARCHAR(20)) END"""
+# A message of every fate by event number: each reason, then what is let through.
+REASON_TEXT = """CASE event_id % 12
+  WHEN 0 THEN 'not json'
+  WHEN 1 THEN '{"payload":null}'
+  WHEN 2 THEN '{"payload":{"__source_ts_ms":1}}'
+  WHEN 3 THEN '{"payload":{"__table":"TBL_ENROLL","Enroll_Seq":1}}'
+  WHEN 4 THEN '{"payload":{"__table":"TBL_ENROLL","__source_ts_ms":1}}'
+  WHEN 5 THEN '{"payload":{"__table":"TBL_ENROLL","__source_ts_ms":1,"Enroll_Seq":"abc"}}'
+  WHEN 6 THEN concat('{"payload":{"__table":"TBL_LEARNING_SUBJECT","__source_ts_ms":1,"Learning_Seq":3',
+       lpad(CAST(event_id AS VARCHAR(20)), 10, '0'), '}}')
+  WHEN 7 THEN '{"payload":{"__table":"TBL_ENROLL","__source_ts_ms":1,"Enroll_Seq":1}} trailing'
+  WHEN 8 THEN '{"payload":{"__table":"TBL_ENROLL","__source_ts_ms":1,"Enroll_Seq":1}}{"payload":{"__table":"TBL_ENROLL","__source_ts_ms":1,"Enroll_Seq":7}}'
+  WHEN 9 THEN concat('{payload:{', chr(39), '__table', chr(39), ':', chr(39), 'TBL_ENROLL', chr(39),
+       ',__source_ts_ms:1,Enroll_Seq:', CAST(event_id AS VARCHAR(20)), '}}')
+  WHEN 10 THEN '{"payload":{"__table":"TBL_OTHER","__source_ts_ms":1}}'
+  ELSE concat('{"payload":{"__table":"TBL_LEARNING_SUBJECT","__source_ts_ms":1,"Learning_Seq":',
+       CAST(event_id AS VARCHAR(20)), '}}') END"""
 FLAG_TYPE = "CASE user_id % 3 WHEN 0 THEN 'LMCT01' WHEN 1 THEN 'LMCT02' END"
 FLAG_STATUS = "CASE event_id % 3 WHEN 0 THEN 'LMER01' WHEN 1 THEN 'LMER02' END"
 
@@ -187,6 +204,15 @@ SQL: dict[str, str] = {
              OR (table_name = 'TBL_LEARNING_SUBJECT' AND learning_seq IS NULL)"""
     ),
     "cdc_fail_fast": _with("SELECT event_id, table_name, confirm_status_cd FROM accepted"),
+    "cdc_reasons": f"""SELECT event_id, {REASON_TEXT} AS value,
+        CASE event_id % 12 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'missing_payload'
+          WHEN 2 THEN 'missing_table' WHEN 3 THEN 'missing_source_ts' WHEN 4 THEN 'missing_key'
+          WHEN 5 THEN 'bad_key' WHEN 6 THEN 'bad_key' WHEN 7 THEN 'bad_json'
+          WHEN 8 THEN 'bad_json' END AS reason,
+        CASE WHEN event_id % 12 IN (3, 4, 5, 9) THEN 'TBL_ENROLL' WHEN event_id % 12 = 10
+          THEN 'TBL_OTHER' WHEN event_id % 12 IN (6, 11) THEN 'TBL_LEARNING_SUBJECT' END AS table_name,
+        CAST(CASE event_id % 12 WHEN 3 THEN 1 WHEN 9 THEN event_id END AS INT) AS enroll_seq,
+        CAST(CASE event_id % 12 WHEN 11 THEN event_id END AS INT) AS learning_seq FROM events""",
     "cdc_since": """SELECT event_id, CAST(event_id AS INT) AS learning_seq FROM events
         WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'""",
     "start_time_parse": """SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') AS start_text,
@@ -212,6 +238,13 @@ SQL: dict[str, str] = {
            FROM accepted GROUP BY 1, 2"""
     ),
     "touched_keys": _with("SELECT seq, target FROM touched"),
+    "touched_keys_wide": _with(
+        """SELECT seq, target, count(*) AS n_messages FROM (
+             SELECT CAST(enroll_seq AS BIGINT) AS seq, 'enroll' AS target FROM enroll_msg
+             UNION ALL SELECT learning_seq + 3000000000, 'progress' FROM expanded
+             UNION ALL SELECT learning_seq, 'progress' FROM accepted
+                       WHERE table_name = 'TBL_LEARNING_SUBJECT') GROUP BY seq, target"""
+    ),
     "touched_keys_distinct": _with(
         "SELECT seq, target, count(*) AS n_messages FROM touched GROUP BY seq, target"
     ),
@@ -324,6 +357,14 @@ SQL: dict[str, str] = {
         f"merged AS ({_merge('enroll_mart', 'enroll_new', 'enroll_seq')})",
     ),
     "stream_progress": _MERGED,
+    "stream_restart": _MERGED,
+    "stream_restart_audit": _with(
+        """SELECT CASE WHEN table_name IN ('TBL_ENROLL', 'TBL_LEARNING_SUBJECT') THEN table_name
+                  ELSE 'other' END AS name,
+             CASE WHEN NOT sound THEN 'bad_json' END AS reason, count(*) AS n
+           FROM parsed GROUP BY 1, 2
+           UNION ALL SELECT 'quarantine', 'bad_json', count(*) FROM parsed WHERE NOT sound"""
+    ),
     "stream_enroll": _MERGED_ENROLL,
     "stream_quarantine": _with(
         "SELECT value, 'bad_json' AS reason, count(*) AS n FROM parsed WHERE NOT sound GROUP BY 1"

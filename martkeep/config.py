@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from pathlib import Path
 
 from martkeep.sources import JdbcOptions, KafkaOptions
@@ -19,6 +19,28 @@ def read_properties(path: str) -> dict[str, str]:
     return found
 
 
+#: Choices of the job that the file can make, and the values they take.
+CHOICES = {
+    "key.type": ("int", "bigint"),
+    "coercion": ("strict", "clamp"),
+    "course.run.from": ("mart", "enroll"),
+    "compat.fallthrough": ("false", "true"),
+    "last.only": ("false", "true"),
+    "null.numbers.as.zero": ("false", "true"),
+}
+
+
+def _choices(values: dict[str, str]) -> dict[str, object]:
+    found: dict[str, object] = {}
+    for name, allowed in CHOICES.items():
+        if name in values:
+            value = values[name].lower()
+            if value not in allowed:
+                raise ValueError(f"{name} must be one of {allowed}")
+            found[name.replace(".", "_")] = value == "true" if "true" in allowed else value
+    return found
+
+
 @dataclass(frozen=True)
 class JobConfig:
     """Everything the streaming job needs to know about its surroundings.
@@ -27,7 +49,12 @@ class JobConfig:
     ``kafka.partitions`` (``topic:0,topic:1``), ``kafka.group``; and, with a prefix that
     defaults to ``jdbc``, ``url``, ``username``, ``password`` and ``driver``. The two
     databases and the mart tables may be named by ``source.database``, ``mart.database``,
-    ``mart.progress`` and ``mart.enroll``.
+    ``mart.progress`` and ``mart.enroll``. ``kafka.max.offsets`` bounds a batch, which
+    matters when the start time lies far back, and ``kafka.min.partitions`` splits it finer.
+    The choices of the job have the names of :class:`~martkeep.streaming.UpkeepOptions` with
+    dots: ``key.type``, ``coercion``, ``compat.fallthrough``, ``course.run.from``,
+    ``last.only``, ``null.numbers.as.zero``; the broadcast and pushdown limits are
+    ``pushdown.keys`` and ``broadcast.keys``.
     """
 
     kafka: KafkaOptions
@@ -37,12 +64,18 @@ class JobConfig:
     enroll_table: str
     checkpoint: str
     every: str | None
+    choices: dict[str, object] = field(default_factory=dict)
+    limits: dict[str, int] = field(default_factory=dict)
 
     @classmethod
     def from_properties(
         cls, path: str, start_time: str | None = None, jdbc_prefix: str = "jdbc"
     ) -> JobConfig:
         values = read_properties(path)
+
+        def whole(name: str) -> int | None:
+            return int(values[name]) if name in values else None
+
         topics = tuple(t.strip() for t in values.get("kafka.topics", "").split(",") if t.strip())
         partitions: dict[str, list[int]] = {}
         for item in filter(None, values.get("kafka.partitions", "").split(",")):
@@ -54,6 +87,8 @@ class JobConfig:
             partitions=partitions,
             group=values.get("kafka.group"),
             start_time=start_time,
+            max_offsets_per_trigger=whole("kafka.max.offsets"),
+            min_partitions=whole("kafka.min.partitions"),
         )
 
         def database(name: str | None) -> JdbcOptions:
@@ -76,4 +111,10 @@ class JobConfig:
             enroll_table=values.get("mart.enroll", "TBL_ENROLL_MART"),
             checkpoint=values["checkpoint"],
             every=values.get("trigger"),
+            choices=_choices(values),
+            limits={
+                name.replace(".", "_"): int(values[name])
+                for name in ("pushdown.keys", "broadcast.keys")
+                if name in values
+            },
         )

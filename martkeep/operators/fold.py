@@ -12,10 +12,18 @@ def top_subject(subjects: DataFrame) -> DataFrame:
     """The subject row a learning is shown with: highest number, then highest ratio.
 
     Aggregated before any join, so a learning with very many subjects is reduced on the
-    map side and never multiplies rows.
+    map side and never multiplies rows. First the best ratio per subject, then the subject:
+    both by hashing, where a struct as a maximum would sort every subject row.
     """
-    best = F.max(F.struct("learning_subject_seq", "progress_ratio")).alias("_best")
-    return subjects.groupBy("learning_seq").agg(best).select("learning_seq", "_best.*")
+    per_subject = subjects.groupBy("learning_seq", "learning_subject_seq").agg(
+        F.max("progress_ratio").alias("progress_ratio")
+    )
+    # A learning may have only a subject without number, which the maximum would not see.
+    number = F.coalesce(F.col("learning_subject_seq").cast("bigint"), F.lit(-(2**63)))
+    return per_subject.groupBy("learning_seq").agg(
+        F.max("learning_subject_seq").alias("learning_subject_seq"),
+        F.max_by("progress_ratio", number).alias("progress_ratio"),
+    )
 
 
 def one_per_key(rows: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:

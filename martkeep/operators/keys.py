@@ -60,7 +60,6 @@ def touched_keys(
     keys: DataFrame,
     learning: DataFrame,
     *,
-    key_type: str = "int",
     broadcast_keys: bool = False,
 ) -> DataFrame:
     """``seq, target, n_messages, n_unconfirmed``: counted keys per mart.
@@ -68,7 +67,8 @@ def touched_keys(
     An enrolment touches its own enroll-mart row and the progress rows of all its
     learnings; a subject message touches one progress row. The result is a counted
     bag: the same progress key may come from several sources. ``n_unconfirmed`` counts
-    the messages that withdraw the enrolment (itself, or behind a progress key).
+    the messages that withdraw the enrolment (itself, or behind a progress key). ``seq`` is
+    as wide as the wider of the two kinds of keys, so none is lost.
     """
     own = keys.select(
         "seq",
@@ -79,7 +79,7 @@ def touched_keys(
     expanded = (
         expand_enrolments(keys, learning, broadcast_keys=broadcast_keys)
         .select(
-            F.col("learning_seq").try_cast(key_type).alias("seq"),
+            F.col("learning_seq").alias("seq"),
             F.lit(PROGRESS).alias("target"),
             "n_messages",
             "n_unconfirmed",

@@ -18,6 +18,10 @@ _JSON_OPTIONS = {
     "allowNonNumericNumbers": "true",
 }
 
+# A message is decoded as the first of two documents; if the second is not this one, the
+# text holds something else after (or instead of) one document.
+_MARK = "martkeep-end"
+
 ON_ERROR = ("quarantine", "skip", "fail")
 
 
@@ -28,23 +32,35 @@ def read_messages(
     coercion: str = "strict",
     key_type: str = "int",
     require_status: bool = False,
+    require_source_ts: bool = True,
 ) -> DataFrame:
     """One row per non-empty message with its fields and, if unusable, a ``reason``.
 
     ``raw`` needs a string column ``value``; its other columns are carried along.
     With ``on_error="fail"`` the first unusable message fails the query; otherwise it
     stays in the result (see :func:`accepted` and :func:`rejected`). Messages of
-    tables that no mart depends on have no reason and are not accepted either.
+    tables that no mart depends on have no reason and are not accepted either. A value must
+    be one JSON document and nothing else. ``require_status`` without
+    ``require_source_ts`` is what the earlier job asks of a message.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
     carried = [F.col(name) for name in raw.columns]
     # The decoded struct goes through a generator, which keeps the optimizer from
     # pushing later filters below it and decoding every message once more per filter.
+    text = F.concat(F.lit('{"_pair":['), "value", F.lit(f',{{"_end":"{_MARK}"}}]}}'))
+    schema = f"_pair ARRAY<STRUCT<{ENVELOPE}>>, _malformed STRING"
     decoded = raw.where(F.length("value") > 0).select(
-        *carried, F.inline(F.array(F.from_json("value", ENVELOPE, _JSON_OPTIONS)))
+        *carried, F.inline(F.array(F.from_json(text, schema, _JSON_OPTIONS)))
+    )
+    whole = (
+        F.col("_malformed").isNull()
+        & (F.size("_pair") == 2)
+        & (F.get("_pair", F.lit(1))["_end"] == _MARK)
     )
-    payload = F.col("payload")
+    blank = F.length(F.btrim("value", F.lit(" \t\r\n"))) == 0  # a document without anything
+    decoded = decoded.withColumn("_whole", F.coalesce(whole | blank, F.lit(False)))
+    payload = F.when(F.col("_whole"), F.get("_pair", F.lit(0))["payload"])
     enroll_text = payload.getField("Enroll_Seq")
     learning_text = payload.getField("Learning_Seq")
     fields = decoded.select(
@@ -54,16 +70,19 @@ def read_messages(
         key_number(enroll_text, key_type, coercion).alias("enroll_seq"),
         key_number(learning_text, key_type, coercion).alias("learning_seq"),
         payload.getField("Confirm_Status_Cd").alias("confirm_status_cd"),
-        _reason(payload, key_type, coercion, require_status).alias("reason"),
+        _reason(payload, key_type, coercion, require_status, require_source_ts).alias("reason"),
     )
     if on_error == "fail":
         message = F.concat(F.lit("unusable message, reason: "), F.col("reason"))
-        stop = F.when(F.col("reason").isNotNull(), F.raise_error(message).cast("string"))
-        fields = fields.withColumn("reason", stop)
+        # In a filter, so that no choice of columns and no count goes without it.
+        stop = F.when(F.col("reason").isNotNull(), F.raise_error(message).cast("boolean"))
+        fields = fields.where(stop.otherwise(F.lit(True)))
     return fields
 
 
-def _reason(payload: Column, key_type: str, coercion: str, require_status: bool) -> Column:
+def _reason(
+    payload: Column, key_type: str, coercion: str, require_status: bool, require_source_ts: bool
+) -> Column:
     """Why a message cannot be used; NULL when it can or is of no interest."""
     table = payload.getField("__table")
     from_enroll = table == ENROLL_TABLE
@@ -72,10 +91,13 @@ def _reason(payload: Column, key_type: str, coercion: str, require_status: bool)
     )
     keyed = table.isin(ENROLL_TABLE, SUBJECT_TABLE)
     reason = (
-        F.when(F.col("_malformed").isNotNull(), "bad_json")
+        F.when(~F.col("_whole"), "bad_json")
         .when(payload.isNull(), "missing_payload")
         .when(table.isNull(), "missing_table")
-        .when(payload.getField("__source_ts_ms").isNull(), "missing_source_ts")
+        .when(
+            payload.getField("__source_ts_ms").isNull() & F.lit(require_source_ts),
+            "missing_source_ts",
+        )
         .when(keyed & key_text.isNull(), "missing_key")
         .when(keyed & key_number(key_text, key_type, coercion).isNull(), "bad_key")
     )

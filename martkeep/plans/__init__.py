@@ -3,18 +3,16 @@
 from martkeep.plans.earlier import earlier_progress_rows, last_learnings, tombstones
 from martkeep.plans.enroll import enroll_rows, merged_enroll
 from martkeep.plans.progress import merged_progress, progress_rows
-from martkeep.plans.sql import enroll_sql, progress_sql, query_views
+from martkeep.plans.sql import query_views
 from martkeep.plans.upkeep import reconcile, rebuild_enroll, rebuild_progress
 
 __all__ = [
     "earlier_progress_rows",
     "enroll_rows",
-    "enroll_sql",
     "last_learnings",
     "merged_enroll",
     "merged_progress",
     "progress_rows",
-    "progress_sql",
     "query_views",
     "rebuild_enroll",
     "rebuild_progress",

@@ -112,7 +112,7 @@ def _marked_keys(
         )
         progress = reduce(DataFrame.unionByName, recomputed, withdrawn)
     else:
-        touched = touched_keys(keys, learning, key_type=kind, broadcast_keys=few)
+        touched = touched_keys(keys, learning, broadcast_keys=few)
         progress = route(touched, PROGRESS).select(
             F.col("seq").cast(kind).alias(PROGRESS_KEY),
             F.lit(True).alias("recompute"),

@@ -28,6 +28,16 @@ def courses(tables: SourceTables) -> DataFrame:
     )
 
 
+def of_enrolment(rows: DataFrame, enroll: DataFrame) -> DataFrame:
+    """Learning rows with their enrolment, if it is in the same course run."""
+    return enroll.join(rows, ["enroll_seq", "course_run_seq"])
+
+
+def of_course_run(rows: DataFrame, runs: DataFrame) -> DataFrame:
+    """Learning rows with their course run."""
+    return rows.join(runs, "course_run_seq")
+
+
 def progress_rows(
     keys: DataFrame | None,
     tables: SourceTables,
@@ -73,8 +83,8 @@ def progress_rows(
         rows = mark_matched(rows, subjects, PROGRESS_KEY)
     # A learning is unique by key, so there are no more rows than keys.
     rows = bounded(rows, size, policy)
-    rows = enroll.join(rows, ["enroll_seq", "course_run_seq"])
-    rows = rows.join(courses(tables), "course_run_seq")
+    rows = of_enrolment(rows, enroll)
+    rows = of_course_run(rows, courses(tables))
     if not one_per_key:
         rows = fan_out_left_join(rows, subjects, PROGRESS_KEY)
     flag = delete_flag(F.col("course_type_cd"), F.col("confirm_status_cd"))

@@ -1,7 +1,6 @@
-"""The two mart queries as SQL text over temporary views.
+"""SQL over the package's results: frames published as temporary views.
 
-For users who want to adapt the query text. The lookups name plain tables: a batch
-query reads their state at execution, which is what a processing-time lookup means.
+A view over a plan reads the tables at execution, so a query on it sees them as they stand.
 """
 
 from __future__ import annotations
@@ -10,50 +9,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkeep.schema import CONFIRMED_STATUS, COUNTED_COURSE_TYPE
-
 
 def query_views(spark: SparkSession, text: str, views: Mapping[str, DataFrame]) -> DataFrame:
     """Register ``views`` as temporary views and run ``text``."""
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)
     return spark.sql(text)
-
-
-def progress_sql(
-    prefix: str = "",
-    now: str = "current_timestamp()",
-    counted_type: str = COUNTED_COURSE_TYPE,
-    confirmed: str = CONFIRMED_STATUS,
-) -> str:
-    """Progress rows of the keys in view ``touched_learning``; view names get ``prefix``."""
-    return f"""
-        SELECT learning.learning_seq, run.course_run_nm, course.course_id, run.course_run_seq,
-               learning.learner_seq, subject.progress_ratio, subject.learning_subject_seq,
-               if(known.insert_date IS NULL, {now}, known.insert_date) AS insert_date,
-               {now} AS update_date,
-               CASE WHEN course.course_type_cd = '{counted_type}'
-                     AND enrol.confirm_status_cd = '{confirmed}' THEN 'N' ELSE 'Y' END AS delete_yn
-        FROM {prefix}touched_learning
-        JOIN {prefix}learning AS learning USING (learning_seq)
-        JOIN {prefix}enroll AS enrol
-          ON enrol.enroll_seq = learning.enroll_seq
-         AND enrol.course_run_seq = learning.course_run_seq
-        JOIN {prefix}course_run AS run ON run.course_run_seq = learning.course_run_seq
-        JOIN {prefix}course AS course ON course.course_seq = run.course_seq
-        LEFT JOIN {prefix}learning_subject AS subject
-          ON subject.learning_seq = learning.learning_seq
-        LEFT JOIN {prefix}progress_mart AS known ON known.learning_seq = learning.learning_seq
-    """
-
-
-def enroll_sql(prefix: str = "", now: str = "current_timestamp()") -> str:
-    """Enroll-mart rows of the keys in view ``touched_enroll``."""
-    return f"""
-        SELECT enrol.enroll_seq, known.course_run_seq,
-               if(known.insert_date IS NULL, {now}, known.insert_date) AS insert_date,
-               {now} AS update_date, 'N' AS delete_yn
-        FROM {prefix}touched_enroll
-        JOIN {prefix}enroll AS enrol USING (enroll_seq)
-        LEFT JOIN {prefix}enroll_mart AS known ON known.enroll_seq = enrol.enroll_seq
-    """

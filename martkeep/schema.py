@@ -16,7 +16,7 @@ COUNTED_COURSE_TYPE = "LMCT01"
 # that 13, 13.0 and "13" are all accepted.
 ENVELOPE = (
     "payload STRUCT<`__table`: STRING, `__source_ts_ms`: STRING, Enroll_Seq: STRING,"
-    " Learning_Seq: STRING, Confirm_Status_Cd: STRING>, _malformed STRING"
+    " Learning_Seq: STRING, Confirm_Status_Cd: STRING>, _end STRING"
 )
 
 # Columns the mart queries read, per source table. Readers select exactly these,

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Lists of as many keys as LookupPolicy.pushdown_keys prune row groups one by one.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # Recording the Python line of every column costs more than building the query.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

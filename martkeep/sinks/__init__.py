@@ -17,15 +17,20 @@ class MartStore(Protocol):
     ``snapshot`` shows the mart as it was before batch ``before`` where the store can
     tell, ``apply`` upserts rows that hold each key at most once. Applying a batch
     again replaces what its first run wrote. ``overlay`` upserts outside the stream.
+    ``begin`` turns a stream's batch number into the store's own, by which the others go.
     """
 
+    def begin(self, spark: SparkSession, run: str, batch_id: int) -> int: ...
+
     def prepare(self, spark: SparkSession, batch_id: int) -> None: ...
 
     def snapshot(self, spark: SparkSession, before: int | None = None) -> DataFrame: ...
 
-    def apply(self, rows: DataFrame, batch_id: int) -> None: ...
+    def apply(
+        self, rows: DataFrame, batch_id: int, origin: tuple[str, int] | None = None
+    ) -> None: ...
 
-    def overlay(self, rows: DataFrame, next_batch: int) -> None: ...
+    def overlay(self, rows: DataFrame, next_batch: int | None = None) -> None: ...
 
 
 __all__ = ["JdbcMart", "MartStore", "ParquetMart", "TableMart"]

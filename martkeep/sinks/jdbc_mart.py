@@ -2,37 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import re
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from martkeep.sources.jdbc import JdbcOptions, read_table
+from martkeep.sources.jdbc import JdbcOptions, key_bounds, read_table
 
+# Texts of any length, and dates with microseconds that do not end in 2038.
 _SQL_TYPES = {
     "int": "INT",
     "bigint": "BIGINT",
-    "string": "VARCHAR(255)",
+    "string": "TEXT",
     "double": "DOUBLE",
     "timestamp": "TIMESTAMP",
     "timestamp_ntz": "TIMESTAMP",
 }
+_DIALECT_TYPES = {"mysql": {"timestamp": "DATETIME(6)", "timestamp_ntz": "DATETIME(6)"}}
 
 
 def create_statement(
-    table: str, schema: str, key: str, dialect: str = "mysql", temporary_key: bool = False
+    table: str,
+    schema: str,
+    key: str,
+    dialect: str = "mysql",
+    without_key: bool = False,
+    types: Mapping[str, str] | None = None,
 ) -> str:
-    """DDL of a mart table with its primary key (staging tables have none)."""
+    """DDL of a mart table with its primary key (staging tables have none).
+
+    ``types`` replaces the SQL type of a column, by name, or of a Spark type.
+    """
+    kinds = _SQL_TYPES | _DIALECT_TYPES.get(dialect, {}) | dict(types or {})
     lines = []
-    for field in T.StructType.fromDDL(schema).fields:
-        kind = _SQL_TYPES[field.dataType.simpleString()]
-        if field.name == key:
+    for column in T.StructType.fromDDL(schema).fields:
+        kind = kinds.get(column.name) or kinds[column.dataType.simpleString()]
+        if column.name == key:
             kind += " NOT NULL"
-        elif kind == "TIMESTAMP" and dialect == "mysql":
+        elif dialect == "mysql" and kind.startswith(("TIMESTAMP", "DATETIME")):
             kind += " NULL"
-        lines.append(f"{field.name} {kind}")
-    if not temporary_key:
+        lines.append(f"{column.name} {kind}")
+    if not without_key:
         lines.append(f"PRIMARY KEY ({key})")
     return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(lines)})"
 
@@ -40,13 +52,18 @@ def create_statement(
 def upsert_statement(
     table: str, staging: str, columns: Sequence[str], key: str, dialect: str = "mysql"
 ) -> str:
-    """One statement that moves the staging rows into the mart, a new row winning."""
+    """One statement that moves the staging rows into the mart, a new row winning.
+
+    A task that is repeated after its commit leaves its rows in the staging table twice;
+    they are equal, and the statement reads each once.
+    """
     names = ", ".join(columns)
+    staging = f"(SELECT DISTINCT {names} FROM {staging})"
     rest = [name for name in columns if name != key]
     if dialect == "mysql":
         updates = ", ".join(f"{name} = VALUES({name})" for name in rest)
         return (
-            f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}"
+            f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} s"
             f" ON DUPLICATE KEY UPDATE {updates}"
         )
     if dialect == "merge":
@@ -60,7 +77,7 @@ def upsert_statement(
     if dialect == "conflict":
         updates = ", ".join(f"{name} = excluded.{name}" for name in rest)
         return (
-            f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}"
+            f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} s WHERE true"
             f" ON CONFLICT ({key}) DO UPDATE SET {updates}"
         )
     raise ValueError(f"unknown dialect {dialect!r}")
@@ -68,37 +85,50 @@ def upsert_statement(
 
 @dataclass(frozen=True)
 class JdbcMart:
-    """``dialect``: ``mysql`` (on duplicate key), ``merge`` or ``conflict``."""
+    """``dialect``: ``mysql`` (on duplicate key), ``merge`` or ``conflict``.
+
+    ``types`` sets SQL types by column name or Spark type. ``writer`` names the job that
+    writes, and with it its staging table: two jobs on one mart need two names.
+    """
 
     options: JdbcOptions
     table: str
     schema: str
     key: str
     dialect: str = "mysql"
+    types: Mapping[str, str] = field(default_factory=dict)
+    writer: str = ""
 
     @property
     def staging(self) -> str:
-        return f"{self.table}_staging"
+        name = re.sub("[^0-9A-Za-z]+", "_", self.writer)
+        return f"{self.table}_staging" + (f"_{name}" if name else "")
 
     @property
     def columns(self) -> tuple[str, ...]:
-        return tuple(field.name for field in T.StructType.fromDDL(self.schema).fields)
+        return tuple(column.name for column in T.StructType.fromDDL(self.schema).fields)
+
+    def begin(self, spark: SparkSession, run: str, batch_id: int) -> int:
+        return batch_id
 
     def create(self, spark: SparkSession) -> None:
         self._execute(
             spark,
-            create_statement(self.table, self.schema, self.key, self.dialect),
-            create_statement(self.staging, self.schema, self.key, self.dialect, True),
+            create_statement(self.table, self.schema, self.key, self.dialect, False, self.types),
+            create_statement(self.staging, self.schema, self.key, self.dialect, True, self.types),
         )
 
     def prepare(self, spark: SparkSession, batch_id: int) -> None:
         """Nothing to do: the database keeps itself compact."""
 
     def snapshot(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """The mart as it is now; a database keeps no earlier states."""
-        return read_table(spark, self.options, self.table, self.columns)
+        """The mart as it is now, in ranges of its key; a database keeps no earlier states."""
+        bounds = key_bounds(spark, self.options, self.table, self.key)
+        return read_table(spark, self.options, self.table, self.columns, self.key, bounds)
 
-    def apply(self, rows: DataFrame, batch_id: int) -> None:
+    def apply(
+        self, rows: DataFrame, batch_id: int, origin: tuple[str, int] | None = None
+    ) -> None:
         """Upsert ``rows``. Executors write the staging table, the database merges it."""
         writer = rows.select(*self.columns).write.format("jdbc").mode("overwrite")
         writer.options(**self.options.writer_options(self.staging)).save()
@@ -107,9 +137,9 @@ class JdbcMart:
             upsert_statement(self.table, self.staging, self.columns, self.key, self.dialect),
         )
 
-    def overlay(self, rows: DataFrame, next_batch: int) -> None:
+    def overlay(self, rows: DataFrame, next_batch: int | None = None) -> None:
         """Upsert ``rows`` outside the stream."""
-        self.apply(rows, next_batch)
+        self.apply(rows, next_batch or 0)
 
     def _execute(self, spark: SparkSession, *statements: str) -> None:
         jvm = spark.sparkContext._jvm

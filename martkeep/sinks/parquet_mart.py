@@ -1,10 +1,12 @@
 """A keyed mart on plain Parquet, which has no MERGE.
 
 The mart is a full copy bucketed by key, plus one directory of upserted rows per batch
-since. A batch therefore writes only its own rows, never the mart. The directory is
-named after the batch, so a repeated batch replaces its own rows, and it starts from
-the state before itself. Readers fold the batches into the full copy by an anti join,
-which leaves the bucketed copy unshuffled.
+since. A batch therefore writes only its own rows, never the mart. Batches are numbered
+by the mart, in the order in which they first came, whatever number a stream gives them:
+the directory's name says which batch of which stream it holds, so a repeated batch finds
+its number and replaces its own rows, and a stream with a new checkpoint goes on behind
+the last. A batch starts from the state before itself. Readers fold the batches into the
+full copy by an anti join, which leaves the bucketed copy unshuffled.
 
 Once the batches outgrow a share of the full copy they are folded in for good, so the
 amount rewritten stays proportional to the amount of change.
@@ -22,7 +24,12 @@ from pyspark.sql import types as T
 
 from martkeep.operators.fold import fold, fold_delta
 
-_NAME = re.compile(r"(full|batch)-(\d+)(?:-r(\d+)-b(\d+))?$")
+_NAME = re.compile(r"(full|batch)-(\d+)(?:-r(\d+)-b(\d+)|-of-([0-9a-z]+)-(\d+))?$")
+
+
+def _plain(run: str) -> str:
+    """A stream's name as part of a directory's."""
+    return re.sub("[^0-9a-z]", "", run.lower()) or "0"
 
 
 @dataclass(frozen=True)
@@ -37,6 +44,8 @@ class _Version:
     revision: int
     buckets: int
     path: str
+    origin: tuple[str, int] | None = None
+    complete: bool = True
 
 
 @dataclass(frozen=True)
@@ -62,6 +71,15 @@ class ParquetMart:
             rows = spark.createDataFrame([], self.schema)
         self._write_full(rows, 0)
 
+    def begin(self, spark: SparkSession, run: str, batch_id: int) -> int:
+        """The mart's number of batch ``batch_id`` of stream ``run``: its old one if it repeats."""
+        found = self._listed(spark)
+        origin = (_plain(run), batch_id)
+        for version in found:
+            if version.origin == origin:
+                return version.number
+        return self._next(found)
+
     def prepare(self, spark: SparkSession, batch_id: int) -> None:
         """Fold earlier batches into the full copy if they have grown large."""
         full, batches = self._state(spark, batch_id)
@@ -94,30 +112,47 @@ class ParquetMart:
         )
         if len(batches) > 1:
             rest = [name for name in upserts.columns if name not in (self.key, "_batch")]
-            newest = F.max_by(F.struct(*rest), "_batch").alias("_row")
-            upserts = upserts.groupBy(self.key).agg(newest).select(self.key, "_row.*")
+            newest = upserts.groupBy(self.key).agg(F.max("_batch").alias("_batch"))
+            upserts = upserts.join(newest, [self.key, "_batch"]).select(self.key, *rest)
         return fold_delta(base, upserts.select(*base.columns), self.key)
 
-    def apply(self, rows: DataFrame, batch_id: int) -> None:
-        """Upsert ``rows``, which hold each key at most once, as batch ``batch_id``."""
+    def apply(
+        self, rows: DataFrame, batch_id: int, origin: tuple[str, int] | None = None
+    ) -> None:
+        """Upsert ``rows``, which hold each key at most once, as the mart's batch ``batch_id``.
+
+        ``origin`` is the stream and its own number, as given to :meth:`begin`.
+        """
+        suffix = f"-of-{_plain(origin[0])}-{origin[1]}" if origin else ""
         fields = T.StructType.fromDDL(self.schema).fields
         typed = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields))
         typed.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode(
             "overwrite"
-        ).parquet(f"{self.path}/batch-{batch_id:012d}")
+        ).parquet(f"{self.path}/batch-{batch_id:012d}{suffix}")
 
-    def overlay(self, rows: DataFrame, next_batch: int) -> None:
+    def overlay(self, rows: DataFrame, next_batch: int | None = None) -> None:
         """Upsert ``rows`` into a new full copy of the state before batch ``next_batch``.
 
-        For rows of any number, such as a rebuild, while no batch is running.
+        For rows of any number, such as a rebuild, while no batch is running. Without a
+        number all batches so far count.
         """
         spark = rows.sparkSession
+        if next_batch is None:
+            next_batch = self._next(self._listed(spark))
         mart = self.snapshot(spark, before=next_batch)
         self._write_full(fold(mart, rows, self.key), next_batch)
         self._drop_old(spark)
 
     def versions(self, spark: SparkSession) -> list[_Version]:
         """Completely written directories, oldest first."""
+        found = self._listed(spark)
+        complete = [v for v in found if v.complete]
+        if any(v.kind == "full" for v in found) and not any(v.kind == "full" for v in complete):
+            raise RuntimeError(f"{self.path} holds no complete copy of the mart")
+        return complete
+
+    def _listed(self, spark: SparkSession) -> list[_Version]:
+        """All directories, also of writes that did not end."""
         fs, root = self._files(spark, self.path)
         if not fs.exists(root):
             return []
@@ -125,11 +160,18 @@ class ParquetMart:
         for status in fs.listStatus(root):
             match = _NAME.match(status.getPath().getName())
             path = status.getPath().toString()
-            if match and fs.exists(self._files(spark, f"{path}/_SUCCESS")[1]):
-                numbers = (int(text or 0) for text in match.groups()[1:])
-                found.append(_Version(match[1], *numbers, path))
+            if match:
+                number, revision, buckets = (int(text or 0) for text in match.groups()[1:4])
+                origin = (match[5], int(match[6])) if match[5] else None
+                done = fs.exists(self._files(spark, f"{path}/_SUCCESS")[1])
+                found.append(_Version(match[1], number, revision, buckets, path, origin, done))
         return sorted(found, key=lambda v: (v.number, v.revision))
 
+    @staticmethod
+    def _next(found: list[_Version]) -> int:
+        """A full copy is the state before its number, so that number may still be free."""
+        return max((v.number + (v.kind == "batch") for v in found), default=0)
+
     def _state(
         self, spark: SparkSession, before: int | None
     ) -> tuple[_Version | None, list[_Version]]:
@@ -145,16 +187,17 @@ class ParquetMart:
         if full is None:
             return spark.createDataFrame([], self.schema)
         name = self._table_name(full.number, full.revision)
+        quoted = full.path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({self.schema}) USING parquet"
             f" CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {full.buckets} BUCKETS"
-            f" LOCATION '{full.path}'"
+            f" LOCATION '{quoted}'"
         )
         return spark.table(name)
 
     def _write_full(self, rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
-        same = [v for v in self.versions(spark) if v.kind == "full" and v.number == number]
+        same = [v for v in self._listed(spark) if v.kind == "full" and v.number == number]
         revision = same[-1].revision + 1 if same else 0
         path = f"{self.path}/full-{number:012d}-r{revision}-b{self.buckets}"
         name = self._table_name(number, revision)

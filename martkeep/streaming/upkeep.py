@@ -38,13 +38,14 @@ class UpkeepOptions:
     ``on_error``: keep unusable messages (``quarantine``), drop them (``skip``) or stop
     (``fail``). ``tombstones`` selects the earlier progress job: withdrawn enrolments
     blank their learnings and deleted rows revive with a new insert date. ``start_time``
-    (``yyyyMMddHHmmss``) skips older messages of a file source. The others reproduce
-    quirks of the original job.
+    (``yyyyMMddHHmmss``) skips older messages of a file source. ``key_type`` bounds the keys
+    of messages; by default it is the widest key of the tables. The others reproduce quirks
+    of the original job.
     """
 
     on_error: str = "quarantine"
     coercion: str = "strict"
-    key_type: str = "int"
+    key_type: str | None = None
     tombstones: bool = False
     last_only: bool = False
     null_numbers_as_zero: bool = False
@@ -70,6 +71,10 @@ class MartUpkeep:
     audit_path: str | None = None
     clock: Callable[[], Column] = _utc_now
 
+    def __post_init__(self) -> None:
+        if self.options.on_error == "quarantine" and not self.quarantine_path:
+            raise ValueError("on_error='quarantine' needs a quarantine_path")
+
     def start(
         self,
         raw: DataFrame,
@@ -100,33 +105,34 @@ class MartUpkeep:
         spark = batch.sparkSession
         options = self.options
         as_of = self.clock()
+        run = _run_of(spark)
         with _adaptive(spark), _kept() as keep:
-            messages = keep(self._messages(batch))
-            if self.quarantine_path and options.on_error == "quarantine":
-                self._write(rejected(messages), self.quarantine_path, batch_id)
+            tables = self.tables.load(spark)
+            messages = keep(self._messages(batch, tables))
+            if options.on_error == "quarantine":
+                self._write(rejected(messages), self.quarantine_path, run, batch_id)
             # Few rows beside the messages; everything below starts from them.
             keys = keep(message_keys(messages))
             sizes = dict(keys.groupBy("from_enroll").count().collect())
             if sizes:
-                tables = self.tables.load(spark)
                 touched = keep(self._touched(keys, tables, sizes.get(True, 0)))
                 if self.progress is not None:
                     n_enrolments = sizes.get(True, 0)
                     self._upsert_progress(
-                        batch_id, keys, n_enrolments, touched, tables, as_of, keep
+                        (run, batch_id), keys, n_enrolments, touched, tables, as_of, keep
                     )
                 if self.enroll is not None:
-                    self._upsert_enroll(batch_id, touched, tables, as_of, keep)
+                    self._upsert_enroll((run, batch_id), touched, tables, as_of, keep)
             else:
                 touched = None
             if self.audit_path:
-                self._write(audit_rows(messages, touched, as_of), self.audit_path, batch_id)
+                self._write(audit_rows(messages, touched, as_of), self.audit_path, run, batch_id)
 
-    def rebuild(self, spark: SparkSession, next_batch: int) -> None:
+    def rebuild(self, spark: SparkSession, next_batch: int | None = None) -> None:
         """Recompute both marts for all keys of the tables, keeping insert dates.
 
-        Run it while the stream is stopped; ``next_batch`` is the number the stream will
-        continue with. Mart rows whose key is gone from the tables stay as they are.
+        Run it while the stream is stopped; ``next_batch`` is the mart's number of the batch
+        that comes next, by default behind the last. Mart rows whose key is gone from the tables stay as they are.
         """
         for store, rows, _, _ in self._rebuilt(spark, next_batch):
             store.overlay(rows, next_batch)
@@ -161,14 +167,17 @@ class MartUpkeep:
             )
             yield self.enroll, rows, ENROLL_KEY, ENROLL
 
-    def _messages(self, batch: DataFrame) -> DataFrame:
+    def _messages(self, batch: DataFrame, tables: SourceTables) -> DataFrame:
         options = self.options
+        kinds = {tables.key_type("learning", PROGRESS_KEY), tables.key_type("enroll", ENROLL_KEY)}
+        key_type = options.key_type or ("int" if kinds <= {"int", "smallint", "tinyint"} else "bigint")
         messages = read_messages(
             batch.select("value"),
             on_error=options.on_error,
             coercion=options.coercion,
-            key_type=options.key_type,
+            key_type=key_type,
             require_status=options.tombstones,
+            require_source_ts=not options.tombstones,
         )
         if options.start_time:
             start = start_time_millis(batch.sparkSession, options.start_time)
@@ -186,12 +195,11 @@ class MartUpkeep:
         return touched_keys(
             keys,
             learning,
-            key_type=self.options.key_type,
             broadcast_keys=policy.broadcasts(n_enrolments),
         )
 
     def _upsert_progress(
-        self, batch_id, keys, n_enrolments, touched, tables, as_of, keep
+        self, origin, keys, n_enrolments, touched, tables, as_of, keep
     ) -> None:
         options, store, spark = self.options, self.progress, keys.sparkSession
         kind = tables.key_type("learning", PROGRESS_KEY)
@@ -199,6 +207,7 @@ class MartUpkeep:
         size = progress_keys.count()
         if not size:
             return
+        batch_id = store.begin(spark, *origin)
         store.prepare(spark, batch_id)
         mart = store.snapshot(spark, before=batch_id)
         common = {
@@ -218,9 +227,9 @@ class MartUpkeep:
             )
         else:
             rows = progress_rows(progress_keys, tables, mart, as_of, one_per_key=True, **common)
-        store.apply(rows, batch_id)
+        store.apply(rows, batch_id, origin)
 
-    def _upsert_enroll(self, batch_id, touched, tables, as_of, keep) -> None:
+    def _upsert_enroll(self, origin, touched, tables, as_of, keep) -> None:
         options, store, spark = self.options, self.enroll, touched.sparkSession
         kind = tables.key_type("enroll", ENROLL_KEY)
         routed = route(touched, ENROLL, compat_fallthrough=options.compat_fallthrough)
@@ -228,6 +237,7 @@ class MartUpkeep:
         size = enroll_keys.count()
         if not size:
             return
+        batch_id = store.begin(spark, *origin)
         store.prepare(spark, batch_id)
         rows = enroll_rows(
             enroll_keys,
@@ -238,12 +248,17 @@ class MartUpkeep:
             size=size,
             policy=options.policy,
         )
-        store.apply(rows, batch_id)
+        store.apply(rows, batch_id, origin)
 
     @staticmethod
-    def _write(rows: DataFrame, path: str, batch_id: int) -> None:
+    def _write(rows: DataFrame, path: str, run: str, batch_id: int) -> None:
         """Rows of one batch in their own directory, which a repeated batch replaces."""
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{path}/run_id={run}/batch_id={batch_id}")
+
+
+def _run_of(spark: SparkSession) -> str:
+    """The id that the stream keeps in its checkpoint: a new checkpoint is a new run."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
 
 def audit_rows(messages: DataFrame, touched: DataFrame | None, as_of: Column) -> DataFrame:

@@ -1,3 +1,5 @@
+import pytest
+
 import world
 from martkeep import operators as ops
 
@@ -38,3 +40,23 @@ def test_top_subject_matches_the_choice_after_the_fan_out(spark):
     one = ops.one_per_key(subjects, "learning_seq", order)
     best = ops.top_subject(subjects)
     assert sorted(map(str, best.select(*one.columns).collect())) == sorted(map(str, one.collect()))
+
+
+def test_subjects_are_chosen_by_hashing(spark):
+    subjects = world.tables(spark).learning_subject
+    plan = ops.top_subject(subjects)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    ties = spark.createDataFrame(
+        [(1, 2, 5.0), (1, 2, 7.0), (2, None, 1.0), (2, None, 3.0), (3, 4, None), (4, None, None), (4, 1, None)],
+        "learning_seq INT, learning_subject_seq INT, progress_ratio DOUBLE",
+    )
+    found = {r.learning_seq: (r.learning_subject_seq, r.progress_ratio) for r in ops.top_subject(ties).collect()}
+    assert found == {1: (2, 7.0), 2: (None, 3.0), 3: (4, None), 4: (1, None)}
+
+
+@pytest.mark.parametrize("name", ["merge_progress", "rebuild_progress", "lookup_top_subject"])
+def test_mart_queries_do_not_sort_to_aggregate(spark, name):
+    from checks.catalog import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

@@ -39,12 +39,12 @@ def test_mysql_statements():
     ddl = create_statement("M", ENROLL_SCHEMA, "enroll_seq")
     assert ddl == (
         "CREATE TABLE IF NOT EXISTS M (enroll_seq INT NOT NULL, course_run_seq INT,"
-        " insert_date TIMESTAMP NULL, update_date TIMESTAMP NULL, delete_yn VARCHAR(255),"
+        " insert_date DATETIME(6) NULL, update_date DATETIME(6) NULL, delete_yn TEXT,"
         " PRIMARY KEY (enroll_seq))"
     )
     text = upsert_statement("M", "S", ("k", "a", "b"), "k")
     assert text == (
-        "INSERT INTO M (k, a, b) SELECT k, a, b FROM S"
+        "INSERT INTO M (k, a, b) SELECT k, a, b FROM (SELECT DISTINCT k, a, b FROM S) s"
         " ON DUPLICATE KEY UPDATE a = VALUES(a), b = VALUES(b)"
     )
     with pytest.raises(ValueError):
@@ -60,7 +60,7 @@ def test_statements_upsert(dialect):
     db.execute("INSERT INTO M (learning_seq, course_id, delete_yn) VALUES (1, 'a', 'N'), (2, 'b', 'N')")
     db.execute(
         f"INSERT INTO {mart.staging} (learning_seq, course_id, progress_ratio)"
-        " VALUES (2, 'c', 12.75), (3, 'd', NULL)"
+        " VALUES (2, 'c', 12.75), (3, 'd', NULL), (2, 'c', 12.75), (3, 'd', NULL)"
     )
     upsert = upsert_statement("M", mart.staging, mart.columns, mart.key, dialect)
     for _ in range(2):
@@ -78,3 +78,22 @@ def test_keyed_read_pushes_the_list(spark, tmp_path):
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(k, [3,4])]" in plan and "ReadSchema: struct<k:bigint,v:bigint>" in plan
     assert sorted(row.v for row in read.collect()) == [3, 4]
+
+
+def test_types_and_staging_are_settable():
+    types = {"string": "VARCHAR(600)", "delete_yn": "CHAR(1)"}
+    ddl = create_statement("M", PROGRESS_SCHEMA, "learning_seq", types=types)
+    assert "course_run_nm VARCHAR(600)" in ddl and "delete_yn CHAR(1)" in ddl and "255" not in ddl
+    names = {JdbcMart(OPTIONS, "M", PROGRESS_SCHEMA, "learning_seq", writer=w).staging for w in ("", "a", "b-1")}
+    assert names == {"M_staging", "M_staging_a", "M_staging_b_1"}
+
+
+def test_a_snapshot_is_read_in_ranges_of_the_key(spark, monkeypatch):
+    from martkeep.sinks import jdbc_mart
+
+    asked = []
+    monkeypatch.setattr(jdbc_mart, "key_bounds", lambda _, options, table, key: (1, 900))
+    monkeypatch.setattr(jdbc_mart, "read_table", lambda *given: asked.append(given[2:]))
+    mart = JdbcMart(OPTIONS, "M", PROGRESS_SCHEMA, "learning_seq")
+    mart.snapshot(spark)
+    assert asked == [("M", mart.columns, "learning_seq", (1, 900))]

@@ -124,3 +124,35 @@ def test_named_rows(spark):
     assert named.dtypes == [("Learning_Seq", "int"), ("Target_Table", "string")]
     with pytest.raises(ValueError):
         ops.named_rows(rows, {"Learning_Seq": "int"}).collect()
+
+
+@pytest.mark.parametrize(
+    "message",
+    [
+        world.enroll_message(1) + " trailing",
+        world.enroll_message(1) + world.enroll_message(7),
+        world.enroll_message(1) + "," + world.enroll_message(7),
+        world.enroll_message(1) + "]",
+        "[" + world.enroll_message(1) + "]",
+        world.enroll_message(1) + ',{"_end":"martkeep-end"}',
+    ],
+)
+def test_a_value_is_one_document(spark, message):
+    assert ops.read_messages(world.raw(spark, message)).first().reason == "bad_json"
+
+
+def test_nothing_prunes_the_strict_mode(spark):
+    messages = ops.read_messages(world.raw(spark, world.enroll_message(1), "not json"), on_error="fail")
+    for action in (lambda: messages.count(), lambda: messages.select("enroll_seq").collect()):
+        with pytest.raises(Exception, match="bad_json"):
+            action()
+    sound = world.raw(spark, world.enroll_message(1), "", '{"payload":{"__table":"X","__source_ts_ms":1}}')
+    assert ops.read_messages(sound, on_error="fail").count() == 2
+
+
+def test_what_the_earlier_job_asks_of_a_message(spark):
+    text = '{"payload":{"__table":"TBL_ENROLL","Enroll_Seq":1,"Confirm_Status_Cd":"LMER01"}}'
+    asked = {"require_status": True, "require_source_ts": False}
+    assert ops.read_messages(world.raw(spark, text), **asked).first().reason is None
+    bare = text.replace("Confirm", "Other")
+    assert ops.read_messages(world.raw(spark, bare), **asked).first().reason == "missing_status"

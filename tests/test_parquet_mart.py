@@ -136,3 +136,34 @@ def test_empty_mart_and_types(spark, tmp_path):
     mart.apply(wide, 0)
     assert mart.snapshot(spark).dtypes[0] == ("learning_seq", "int")
     assert mart.snapshot(spark).first().insert_date == world.OLD
+
+
+def test_a_new_run_goes_on_behind_the_last(spark, mart):
+    for batch, text in enumerate(("a", "b")):
+        number = mart.begin(spark, "run-one", batch)
+        mart.apply(rows(spark, (batch, text)), number, ("run-one", batch))
+    assert mart.begin(spark, "run-one", 1) == 1 and mart.begin(spark, "run-two", 0) == 2
+    mart.compact(spark, before=2)
+    number = mart.begin(spark, "run-two", 0)
+    assert content(mart.snapshot(spark, before=number)) == {0: "a", 1: "b", 2: "two"}
+    for text in ("first try", "second try"):
+        assert mart.begin(spark, "run-two", 0) == number
+        mart.apply(rows(spark, (1, text)), number, ("run-two", 0))
+        assert content(mart.snapshot(spark)) == {0: "a", 1: text, 2: "two"}
+
+
+def test_a_mart_without_a_complete_copy_is_not_empty(spark, mart, tmp_path):
+    (full,) = (tmp_path / "mart").glob("full-*")
+    (full / "_SUCCESS").unlink()
+    with pytest.raises(RuntimeError, match="no complete copy"):
+        mart.snapshot(spark)
+
+
+def test_a_quote_in_the_path(spark, tmp_path):
+    mart = ParquetMart(f"file:{tmp_path}/it's", SCHEMA, "k", buckets=2)
+    mart.create(spark, rows(spark, (1, "one")))
+    mart.apply(rows(spark, (2, "two")), 0)
+    for table in spark.catalog.listTables():
+        if table.name.startswith("martkeep_"):
+            spark.sql(f"DROP TABLE {table.name}")
+    assert content(mart.snapshot(spark)) == {1: "one", 2: "two"}

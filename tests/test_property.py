@@ -10,7 +10,7 @@ from martkeep import plans
 from martkeep.schema import ENROLL_KEY, ENROLL_SCHEMA, PROGRESS_KEY, PROGRESS_SCHEMA
 from martkeep.sinks import ParquetMart
 from martkeep.sources.tables import FunctionTables
-from martkeep.streaming import MartUpkeep
+from martkeep.streaming import MartUpkeep, UpkeepOptions
 
 MESSAGES = [
     *(world.enroll_message(key) for key in (1, 2, 3, 6, 99)),
@@ -34,7 +34,7 @@ def test_the_mart_equals_a_rebuild_of_the_touched_keys(spark, batches):
     progress = ParquetMart(f"{folder}/progress", PROGRESS_SCHEMA, PROGRESS_KEY, buckets=2)
     enroll = ParquetMart(f"{folder}/enroll", ENROLL_SCHEMA, ENROLL_KEY, buckets=2)
     tables = world.tables(spark)
-    job = MartUpkeep(FunctionTables(lambda _: tables), progress, enroll, clock=world.as_of)
+    job = MartUpkeep(FunctionTables(lambda _: tables), progress, enroll, UpkeepOptions(on_error="skip"), clock=world.as_of)
     for number, batch in enumerate(batches):
         job.process(world.raw(spark, *(MESSAGES[i] for i in batch)), number)
 

@@ -199,3 +199,31 @@ def test_a_start_time_skips_older_messages(spark, tmp_path):
     site.run()
     assert set(site.rows()) == {12}
     assert site.written("quarantine").count() == 1
+
+
+def test_a_new_checkpoint_goes_on_with_the_same_marts(site):
+    site.send(world.enroll_message(1), "not json")
+    site.run()
+    before = site.rows()
+    site.write_tables(course_run=[(100, "renamed", 1000), (200, "run b", 2000)])
+    site.send(world.subject_message(12), "not json either")
+    raw = stream_text(site.spark, f"{site.folder}/inbox", max_files_per_trigger=1)
+    site.job.run_available(raw, f"{site.folder}/other-checkpoint")
+    assert set(site.rows()) == set(before) and site.rows()[12]["course_run_nm"] == "renamed"
+    assert site.rows()[12]["insert_date"] == before[12]["insert_date"]
+    # The new run reads the first file again: its message is rejected once per run.
+    assert site.written("quarantine").count() == 3
+    assert site.written("audit").select("run_id").distinct().count() == 2
+
+
+def test_learnings_beyond_int_are_kept(spark):
+    from martkeep import operators as ops
+
+    keys = ops.message_keys(ops.read_messages(world.raw(spark, world.enroll_message(1))))
+    learning = spark.createDataFrame([(5, 1), (3_000_000_000, 1)], "learning_seq BIGINT, enroll_seq INT")
+    assert {r.seq for r in ops.touched_keys(keys, learning).where("target = 'progress'").collect()} == {5, 3_000_000_000}
+
+
+def test_keeping_bad_messages_needs_a_place(spark, tmp_path):
+    with pytest.raises(ValueError, match="quarantine_path"):
+        MartUpkeep(world.stored_tables(spark, tmp_path / "tables"))
