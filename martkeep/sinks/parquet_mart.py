@@ -9,7 +9,8 @@ the last. A batch starts from the state before itself. Readers fold the batches
 full copy by an anti join, which leaves the bucketed copy unshuffled.
 
 Once the batches outgrow a share of the full copy they are folded in for good, so the
-amount rewritten stays proportional to the amount of change.
+amount rewritten stays proportional to the amount of change. Batches that are many but small
+are first folded into one layer between them and the full copy.
 """
 
 from __future__ import annotations
@@ -24,7 +25,12 @@ from pyspark.sql import types as T
 
 from martkeep.operators.fold import fold, fold_delta
 
-_NAME = re.compile(r"(full|batch)-(\d+)(?:-r(\d+)-b(\d+)|-of-([0-9a-z]+)-(\d+))?$")
+_NAME = re.compile(r"(full|layer|batch)-(\d+)(?:-r(\d+)-b(\d+)|-of-([0-9a-z]+)-(\d+))?$")
+
+
+def _end(upserts: list[_Version]) -> int:
+    """The number of the batch behind the last of ``upserts``."""
+    return max(v.number + (v.kind == "batch") for v in upserts)
 
 
 def _plain(run: str) -> str:
@@ -34,7 +40,7 @@ def _plain(run: str) -> str:
 
 @dataclass(frozen=True)
 class _Version:
-    """A batch's upserts, or the full state before batch ``number``.
+    """A batch's upserts, the upserts since the full copy (layer) or the full state before ``number``.
 
     A state can be written again, after a rebuild; the highest ``revision`` counts.
     """
@@ -53,8 +59,8 @@ class ParquetMart:
     """``path`` must be reachable from every executor.
 
     ``buckets`` should make a bucket of the full copy a few hundred MB. The batches are
-    folded in when they exceed ``fold_ratio`` times the full copy or ``max_batches``;
-    ``keep`` full copies stay for readers that still use them.
+    folded in when they exceed ``fold_ratio`` times the full copy; ``max_batches`` smaller
+    ones become a layer. ``keep`` full copies stay for readers that still use them.
     """
 
     path: str
@@ -82,13 +88,15 @@ class ParquetMart:
 
     def prepare(self, spark: SparkSession, batch_id: int) -> None:
         """Fold earlier batches into the full copy if they have grown large."""
-        full, batches = self._state(spark, batch_id)
-        if not batches:
+        full, upserts = self._state(spark, batch_id)
+        if not upserts:
             return
         size = self._bytes(spark, [full]) if full else 0
-        grown = self._bytes(spark, batches)
-        if grown > self.fold_ratio * size or len(batches) >= self.max_batches:
+        grown = self._bytes(spark, upserts)
+        if grown > self.fold_ratio * size:
             self.compact(spark, batch_id)
+        elif sum(v.kind == "batch" for v in upserts) >= self.max_batches:
+            self._write_layer(spark, upserts)
 
     def compact(self, spark: SparkSession, before: int | None = None) -> None:
         """Write a new full copy of the state before batch ``before``.
@@ -96,25 +104,28 @@ class ParquetMart:
         Only batches that cannot run again may be folded in: within a streaming batch,
         those before it.
         """
-        _, batches = self._state(spark, before)
-        if batches:
-            self._write_full(self.snapshot(spark, before), batches[-1].number + 1)
+        _, upserts = self._state(spark, before)
+        if upserts:
+            self._write_full(self.snapshot(spark, before), _end(upserts))
             self._drop_old(spark)
 
     def snapshot(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """The mart before batch ``before``, or as it is now."""
-        full, batches = self._state(spark, before)
+        full, versions = self._state(spark, before)
         base = self._read_full(spark, full)
-        if not batches:
+        if not versions:
             return base
+        return fold_delta(base, self._newest(spark, versions).select(*base.columns), self.key)
+
+    def _newest(self, spark: SparkSession, versions: list[_Version]) -> DataFrame:
+        """The last upsert of each key, with its batch in ``_batch``."""
         upserts = spark.read.schema(f"{self.schema}, _batch BIGINT").parquet(
-            *(version.path for version in batches)
+            *(version.path for version in versions)
         )
-        if len(batches) > 1:
-            rest = [name for name in upserts.columns if name not in (self.key, "_batch")]
-            newest = upserts.groupBy(self.key).agg(F.max("_batch").alias("_batch"))
-            upserts = upserts.join(newest, [self.key, "_batch"]).select(self.key, *rest)
-        return fold_delta(base, upserts.select(*base.columns), self.key)
+        if len(versions) == 1:
+            return upserts
+        newest = upserts.groupBy(self.key).agg(F.max("_batch").alias("_batch"))
+        return upserts.join(newest, [self.key, "_batch"])
 
     def apply(
         self, rows: DataFrame, batch_id: int, origin: tuple[str, int] | None = None
@@ -175,13 +186,17 @@ class ParquetMart:
     def _state(
         self, spark: SparkSession, before: int | None
     ) -> tuple[_Version | None, list[_Version]]:
-        """Newest full copy of a state before batch ``before``, and the batches since."""
+        """Newest full copy of a state before batch ``before``; the layer and batches since."""
         versions = self.versions(spark)
         last = max((v.number for v in versions), default=0) + 1 if before is None else before
         fulls = [v for v in versions if v.kind == "full" and v.number <= last]
         full = fulls[-1] if fulls else None
         first = full.number if full else 0
-        return full, [v for v in versions if v.kind == "batch" and first <= v.number < last]
+        layers = [v for v in versions if v.kind == "layer" and first < v.number <= last]
+        layer = layers[-1:]
+        first = layer[0].number if layer else first
+        batches = [v for v in versions if v.kind == "batch" and first <= v.number < last]
+        return full, layer + batches
 
     def _read_full(self, spark: SparkSession, full: _Version | None) -> DataFrame:
         if full is None:
@@ -215,13 +230,29 @@ class ParquetMart:
             .saveAsTable(name)
         )
 
+    def _write_layer(self, spark: SparkSession, upserts: list[_Version]) -> None:
+        """Fold batches into one layer; what an older layer holds is dropped."""
+        number = _end(upserts)
+        rows = self._newest(spark, upserts).select(
+            *T.StructType.fromDDL(self.schema).names, "_batch"
+        )
+        rows.write.mode("overwrite").parquet(f"{self.path}/layer-{number:012d}")
+        layers = [v for v in upserts if v.kind == "layer"]
+        for version in self.versions(spark) if layers else ():
+            old = version.kind == "batch" and version.number < layers[0].number
+            if old or (version.kind == "layer" and version.number < layers[0].number):
+                fs, path = self._files(spark, version.path)
+                fs.delete(path, True)
+
     def _drop_old(self, spark: SparkSession) -> None:
         versions = self.versions(spark)
         fulls = [v for v in versions if v.kind == "full"]
         if len(fulls) <= self.keep:
             return
         kept = fulls[-self.keep :]
-        folded = [v for v in versions if v.kind == "batch" and v.number < kept[0].number]
+        folded = [
+            v for v in versions if v.kind != "full" and v.number + (v.kind == "batch") <= kept[0].number
+        ]
         for version in fulls[: -self.keep]:
             name = self._table_name(version.number, version.revision)
             spark.sql(f"DROP TABLE IF EXISTS {name}")

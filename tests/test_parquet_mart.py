@@ -90,7 +90,8 @@ def test_folding_starts_when_batches_have_grown(spark, tmp_path):
     for batch in range(3):
         mart.prepare(spark, batch)
         mart.apply(rows(spark, (batch, "x")), batch)
-    assert ("full", 2) in [(v.kind, v.number) for v in mart.versions(spark)]
+    assert ("layer", 2) in [(v.kind, v.number) for v in mart.versions(spark)]
+    assert content(mart.snapshot(spark)) == {0: "x", 1: "x", 2: "x", 9: "nine"}
     greedy = ParquetMart(f"file:{tmp_path}/mart", SCHEMA, "k", buckets=2, fold_ratio=0.0)
     greedy.prepare(spark, 3)
     assert ("full", 3) in [(v.kind, v.number) for v in greedy.versions(spark)]
@@ -167,3 +168,18 @@ def test_a_quote_in_the_path(spark, tmp_path):
         if table.name.startswith("martkeep_"):
             spark.sql(f"DROP TABLE {table.name}")
     assert content(mart.snapshot(spark)) == {1: "one", 2: "two"}
+
+
+def test_small_batches_never_rewrite_the_full_copy(spark, tmp_path):
+    mart = ParquetMart(f"file:{tmp_path}/mart", SCHEMA, "k", buckets=2, max_batches=2, fold_ratio=1e9)
+    mart.create(spark, rows(spark, (9, "nine")))
+    want = {9: "nine"}
+    for batch in range(9):
+        mart.prepare(spark, batch)
+        mart.apply(rows(spark, (batch % 3, f"b{batch}")), batch)
+        want[batch % 3] = f"b{batch}"
+        assert content(mart.snapshot(spark)) == want
+    kinds = [v.kind for v in mart.versions(spark)]
+    assert kinds.count("full") == 1 and kinds.count("layer") <= 2 and kinds.count("batch") <= 5
+    mart.compact(spark)
+    assert content(mart.snapshot(spark)) == want and mart.begin(spark, "r", 0) == 9
