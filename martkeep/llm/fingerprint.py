@@ -132,19 +132,35 @@ def fingerprint(docs: DataFrame, min_idf: float = 3.0, text: str = "text", out:
 
 
 def _bucket(bounds: list[int]) -> Column:
-    """Number of bounds that a doc_id is below: 0 for the highest ids; NULL ids come last."""
-    edges = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.array().cast("array<long>")
-    below = F.size(F.filter(edges, lambda b: F.col("doc_id") < b))
-    return F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(below)
+    """Number of (falling) bounds that a doc_id is below: 0 for the highest ids; NULL ids come last.
+
+    Looked up in two steps, among every so many bounds and then among those between.
+    """
+
+    def below(edges: Column) -> Column:
+        return F.size(F.filter(edges, lambda b: F.col("doc_id") < b))
+
+    def listed(values: list[int]) -> Column:
+        return F.array(*map(F.lit, values)).cast("array<long>")
+
+    step = math.isqrt(len(bounds)) + 1
+    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    coarse = below(listed([group[-1] for group in groups if len(group) == step]))
+    fine = F.get(F.array(*map(listed, groups)), coarse) if groups else listed([])
+    found = coarse * step + below(F.coalesce(fine, listed([])))
+    return F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(found)
 
 
-def fingerprint_edits(docs: DataFrame, min_idf: float = 3.0, per_bucket: int = 2000) -> DataFrame:
+def fingerprint_edits(
+    docs: DataFrame, min_idf: float = 3.0, per_bucket: int = 2000, most_buckets: int = 4096
+) -> DataFrame:
     """Fingerprints of every text, of its edited form, and how like they are to each other.
 
     The edited text has its last floor(n_chars / 3) code points replaced by the first as
     many of the next document in descending doc_id; the first follows the last. Ids are cut
     at quantiles into buckets of about ``per_bucket`` rows, and a bucket also gets the head
     of the one that follows, so texts are shuffled once and stream through tasks in order.
+    There are at most ``most_buckets``, which then hold more rows; a task holds two texts.
 
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next. NULL doc_ids come last; rows with equal doc_id follow each other by text;
@@ -153,7 +169,7 @@ def fingerprint_edits(docs: DataFrame, min_idf: float = 3.0, per_bucket: int = 2
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     common = common_terms(texts, min_idf)
     rows = texts.count()
-    shares = max(1, -(-rows // per_bucket))
+    shares = max(1, min(most_buckets, -(-rows // per_bucket)))
     cuts = texts.agg(F.percentile_approx("doc_id", [i / shares for i in range(1, shares)], 100 * shares)).first()[0] if shares > 1 else []
     dealt = texts.withColumn("bucket", _bucket(sorted(set(cuts or []), reverse=True)))
     heads = dealt.groupBy("bucket").agg(F.max("doc_id").alias("head")).orderBy("bucket").collect()
