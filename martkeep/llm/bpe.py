@@ -18,10 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martkeep.llm.common import release
+
 #: White space as the tokenizer's patterns see it; str.split() also splits at \x1c-\x1f.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+"
 END = "</w>"
+KNOWN_WORDS, KNOWN_PAIRS = 100_000, 200_000  # a worker remembers up to twice as many
 
 
 def byte_letters() -> dict[int, str]:
@@ -31,6 +34,20 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in printable else chr(next(spare)) for b in range(256)}
 
 
+def _names(ids: dict[str, int]) -> list[str]:
+    names = [""] * (max(ids.values()) + 1)
+    for name, i in ids.items():
+        names[i] = name
+    return names
+
+
+def token_names(path: str) -> list[str]:
+    """The text of each token id: all that decoding needs."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    return _names(spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]})
+
+
 class WordBpe:
     """A byte-level vocabulary with word ends, as its JSON file describes it."""
 
@@ -42,9 +59,7 @@ class WordBpe:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.names = [""] * (max([*self.ids.values(), *self.special.values()]) + 1)
-        for name, i in (self.ids | self.special).items():
-            self.names[i] = name
+        self.names = _names(self.ids | self.special)
         self.reach: dict[str, list[int]] = {}  # first letters -> lengths of tokens, longest first
         for name in self.ids:
             self.reach.setdefault(name[:3], []).append(len(name))
@@ -53,8 +68,11 @@ class WordBpe:
         self.split = regex.compile(PATTERN)
         self.spaces = regex.compile(f"[{SPACE}]+")
         self.at_special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
+        # What is known of words and pairs; the older halves still serve, then are dropped.
         self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
         self.pair_ok: dict[int, bool] = {}
+        self.older_pairs: dict[int, bool] = {}
 
     # -- exact merging -----------------------------------------------------------------
 
@@ -133,13 +151,15 @@ class WordBpe:
 
         The low half of a lone token is all ones: merging must give back the token itself.
         """
-        known = self.pair_ok
+        if len(self.pair_ok) > KNOWN_PAIRS:
+            self.older_pairs, self.pair_ok = self.pair_ok, {}
+        known, older = self.pair_ok, self.older_pairs
         distinct, at = np.unique(pairs, return_inverse=True)
-        if len(known) > 1_000_000:
-            known.clear()
         verdict = np.empty(len(distinct), bool)
         for k, pair in enumerate(distinct.tolist()):
             ok = known.get(pair)
+            if ok is None and (ok := older.get(pair)) is not None:
+                known[pair] = ok
             if ok is None:
                 a, b = pair >> 32, pair & 0xFFFFFFFF
                 tokens = [self.names[a]] if b == 0xFFFFFFFF else [self.names[a], self.names[b]]
@@ -171,14 +191,20 @@ class WordBpe:
 
     def learn(self, chunks: set[str]) -> None:
         """Put the packed ids of these stretches without white space among the known ones."""
-        if len(self.words) > 300_000:
-            self.words.clear()
-        new = [c for c in chunks if c not in self.words]
+        if len(self.words) > KNOWN_WORDS:
+            self.older_words, self.words = self.words, {}
+        words, older, new = self.words, self.older_words, []
+        for chunk in chunks:
+            if chunk not in words:
+                if (ids := older.get(chunk)) is not None:
+                    words[chunk] = ids
+                else:
+                    new.append(chunk)
         split = [self.pieces(c) for c in new]
         distinct = list({w for ws in split for w in ws})
         ids = dict(zip(distinct, self.encode_words(distinct)))
         for chunk, ws in zip(new, split):
-            self.words[chunk] = np.array([i for w in ws for i in ids[w]], "<u4").tobytes()
+            words[chunk] = np.array([i for w in ws for i in ids[w]], "<u4").tobytes()
 
     def normal(self, text: str) -> str:
         """NFC, then each character in lower case by itself (no final sigma)."""
@@ -218,10 +244,14 @@ class WordBpe:
         return out
 
     def decode(self, packed: bytes | None) -> str | None:
-        """The tokens' text with a blank between them: the file names no decoder."""
-        if packed is None:
-            return None
-        return " ".join(map(self.names.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+        return spell(packed, self.names)
+
+
+def spell(packed: bytes | None, names: list[str]) -> str | None:
+    """The tokens' text with a blank between them: the file names no decoder."""
+    if packed is None:
+        return None
+    return " ".join(map(names.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -238,6 +268,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
         bpe = WordBpe(path)
         for texts in batches:
             yield pa.array(bpe.encode_batch(texts.to_pylist()), pa.binary())
+        del bpe
+        release()
 
     return docs.withColumn(ids, pack(F.col(text).cast("string")))
 
@@ -251,9 +283,10 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
     @F.arrow_udf(T.StringType())
     def unpack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = WordBpe(path)
+        names = token_names(path)
         for packed in batches:
-            yield pa.array([bpe.decode(p) for p in packed.to_pylist()], pa.string())
+            yield pa.array([spell(p, names) for p in packed.to_pylist()], pa.string())
+        release()
 
     return docs.withColumn(text, unpack(F.col(ids)))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +43,15 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give freed memory back at the end of a task: workers are kept and used again."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = x ^ (x >> np.uint64(30))
@@ -53,7 +64,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Hasher:
     """64-bit hashes of words, kept for words seen before up to a fixed number of them."""
 
-    def __init__(self, keep: int = 200_000):
+    def __init__(self, keep: int = 100_000):
         self.keep, self.seen = keep, {}
 
     def code(self, word: bytes) -> int:

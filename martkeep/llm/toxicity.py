@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martkeep.llm.common import staged
+from martkeep.llm.common import release, staged
 
 INSULT, THREAT, TARGET, NEGATION, REPORTED, END, GAP = range(7)
 
@@ -76,7 +76,7 @@ def terms(text: str) -> set[str]:
 class Lexicon(dict):
     """Token -> (mark, weight, ends clause) or None; worked out once per token, kept bounded."""
 
-    def __init__(self, insults: dict[str, float], keep: int = 200_000):
+    def __init__(self, insults: dict[str, float], keep: int = 100_000):
         super().__init__()
         self.insults, self.keep = insults, keep
         self.stems = sorted({len(t) - 1 for t in insults if t.endswith("*")}, reverse=True)
@@ -148,6 +148,8 @@ def _count_terms(only: set[str] | None):
             [pa.array(names, pa.string()), pa.array([toxic[t] for t in names], pa.int64()), pa.array([clean[t] for t in names], pa.int64())],
             ["term", "toxic", "clean"],
         )
+        del toxic, clean, names
+        release()
 
     return count
 
@@ -210,6 +212,7 @@ def learn_insults(labelled: DataFrame, share: float = 0.004, purity: float = 0.0
         for batch in rows:
             found = [sorted(place[t] for t in terms(text) if t in place) for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["terms"])
+        release()
 
     rows = labelled.where("toxic = 1").select("text").mapInArrow(lists, "terms array<int>").collect()
     names = list(odds)
