@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkeep.llm.common import MASK, ODD, Hasher, mix, shingles, signed, staged
+from martkeep.llm.common import MASK, ODD, Hasher, mix, release, shingles, signed, staged
 from martkeep.llm.components import connected_components, contract, local_roots
 
 BLOCK_DOCS = 256
@@ -17,6 +17,8 @@ BLOCK_GRAMS = 500_000
 CHUNK = 4096  # columns of a dense piece of the incidence matrix
 HEAVY_LEAST = 64  # documents that make an n-gram common
 HEAVY_MOST = 1 << 20  # common n-grams kept: 8 MB, whatever the corpus
+FILTER_BITS = 1 << 24
+BROADCAST_SETS = 500_000  # sets of clusters, some 60 bytes each, that all executors get
 
 
 class GramReader:
@@ -51,7 +53,7 @@ def _count_grams(width: int):
             every, at = np.unique(np.concatenate([gram, new]), return_inverse=True)
             total = np.zeros(len(every), np.int64)
             np.add.at(total, at, np.concatenate([n, many]))
-            few = 2 if len(every) > 3_000_000 else 1  # too many to hold: forget the rare
+            few = 2 if len(every) > 1_500_000 else 1  # too many to hold: forget the rare
             gram, n = every[total >= few], total[total >= few]
             waiting, held = [], 0
 
@@ -64,11 +66,13 @@ def _count_grams(width: int):
                     held += len(waiting[-1])
                     if held > 1_000_000:
                         merge()
-            if len(texts) > 500_000:
+            if len(texts) > 200_000:
                 texts.clear()
         merge()
         keep = n >= 3
         yield pa.RecordBatch.from_arrays([pa.array(signed(gram[keep])), pa.array(n[keep])], ["gram", "n"])
+        del gram, n, texts
+        release()
 
     return count
 
@@ -147,21 +151,25 @@ def _describe(width: int, percent: int, heavy: np.ndarray):
         read, seen = GramReader(width), set()
         for batch in rows:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            sizes, sets, sigs = [], [], []
+            sizes, sets, sigs, sketches = [], [], [], []
             for doc_id, text in zip(ids.to_pylist(), texts):
                 grams = read(text)
                 sizes.append(len(grams))
+                sketches.append(sketch(grams))
                 sets.append(set_id(grams) if len(grams) else None)
                 if doc_id is None or not len(grams) or sets[-1] in seen:
                     sigs.append(None)  # a copy in this task has said it
                 else:
                     seen.add(sets[-1])
                     sigs.append(signed(signatures(grams, heavy, percent)))
-            if len(seen) > 500_000:
+            if len(seen) > 200_000:
                 seen.clear()
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(sets, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))],
-                ["doc_id", "n", "sid", "sigs"],
+                [
+                    ids, pa.array(sizes, pa.int64()), pa.array(sets, pa.int64()),
+                    pa.array(sigs, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
+                ],
+                ["doc_id", "n", "sid", "sigs", "sketch"],
             )
 
     return describe
@@ -182,6 +190,47 @@ def _shared(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return contract(edges())
 
 
+# -- sketches -----------------------------------------------------------------------------
+
+
+def sketch(grams: np.ndarray) -> bytes:
+    """How many n-grams of a set fall into each of 64 bins, up to 255."""
+    return np.minimum(np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=64), 255).astype(np.uint8).tobytes()
+
+
+def _possible(percent: int):
+    """Spanning edges of the pairs that sizes and sketches leave possible.
+
+    Bins that differ by d make the sets differ in d n-grams at least, so the sum over all
+    bins is below the symmetric difference; the difference of the sizes is, too.
+    """
+
+    def product(sids: list[int], sides: list[int], payload: list[tuple[int, bytes]]) -> Iterator[tuple]:
+        side, sid = np.array(sides), np.array(sids, np.int64)
+        bins = np.frombuffer(b"".join(raw for _, raw in payload), np.uint8).reshape(-1, 64).astype(np.int16)
+        size = np.array([n for n, _ in payload], np.int64)
+        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        two = two if len(two) else one
+        for at in np.array_split(one, -(-len(one) // 32)):
+            apart = np.abs(bins[at][:, None] - bins[two][None]).sum(axis=2)
+            apart = np.maximum(apart, np.abs(size[at][:, None] - size[two][None]))
+            i, j = np.nonzero(apart <= (100 - percent) * (size[at][:, None] + size[two][None]) // (100 + percent))
+            new = sid[at[i]] != sid[two[j]]
+            node, root = local_roots(sid[at[i[new]]], sid[two[j[new]]])
+            yield from ((int(a), int(b)) for a, b in zip(node, root) if a != b)
+
+    def possible(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+        for group in _groups(rows, lambda n, raw: (n, raw)):
+            found += product(*group)
+            if len(found) > 50_000:
+                yield _long_rows(found, ("a", "b"))
+                found = []
+        yield _long_rows(found, ("a", "b"))
+
+    return possible
+
+
 # -- products -----------------------------------------------------------------------------
 
 
@@ -231,46 +280,117 @@ def _links(percent: int):
                     yield int(sid[at[k]]), int(sid[at[k]]), int(n[k])
 
     def links(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def groups() -> Iterator[tuple]:
-            key, sids, sides, grams = None, [], [], []
-            for batch in rows:
-                columns = [batch.column(k).to_pylist() for k in range(6)]
-                for cluster, i, j, side, sid, raw in zip(*columns):
-                    if (cluster, i, j) != key:
-                        if key is not None:
-                            yield sids, sides, grams
-                        key, sids, sides, grams = (cluster, i, j), [], [], []
-                    if not (sids and sids[-1] == sid and sides[-1] == side):
-                        sids.append(sid)
-                        sides.append(side)
-                        grams.append(np.frombuffer(raw, np.uint64))
-            if key is not None:
-                yield sids, sides, grams
-
-        found = []
-        for group in groups():
+        found: list[tuple] = []
+        for group in _groups(rows, lambda _, raw: np.frombuffer(raw, np.uint64)):
             found += product(*group)
             if len(found) > 50_000:
-                yield _rows(found)
+                yield _long_rows(found, ("a", "b", "n"))
                 found = []
-        yield _rows(found)
-
-    def _rows(found: list[tuple]) -> pa.RecordBatch:
-        a, b, n = (np.array(x, np.int64) for x in (zip(*found) if found else ((), (), ())))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)], ["a", "b", "n"])
+        yield _long_rows(found, ("a", "b", "n"))
 
     return links
 
 
-def _read_grams(width: int):
+# -- blocks -------------------------------------------------------------------------------
+
+PAIR = ("cluster", "i", "j")
+
+
+def _groups(rows: Iterator[pa.RecordBatch], read) -> Iterator[tuple[list, list, list]]:
+    """(sids, sides, payloads) of each pair of blocks, of rows sorted by it; equal sets once."""
+    key, sids, sides, payloads = None, [], [], []
+    for batch in rows:
+        for *pair, side, sid, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
+            if pair != key:
+                if key is not None:
+                    yield sids, sides, payloads
+                key, sids, sides, payloads = pair, [], [], []
+            if not (sids and sids[-1] == sid and sides[-1] == side):
+                sids.append(sid)
+                sides.append(side)
+                payloads.append(read(n, raw))
+    if key is not None:
+        yield sids, sides, payloads
+
+
+def _long_rows(found: list[tuple], names: tuple[str, ...]) -> pa.RecordBatch:
+    columns = zip(*found) if found else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in columns], list(names))
+
+
+def _placed(clusters: DataFrame, classes: DataFrame) -> DataFrame:
+    """Sets (sid, cluster, doc_id, n) of clusters, each in one of the cluster's ``blocks``."""
+    members = staged(clusters.join(classes, "sid"), "jaccard-members")
+    blocks = members.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks")
+    )
+    return staged(members.join(blocks, "cluster"), "jaccard-blocks").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+
+
+def _block_pairs(placed: DataFrame, payload: DataFrame) -> DataFrame:
+    """Rows (cluster, i, j, side, sid, n, payload), those of a pair of blocks together.
+
+    ``payload`` has doc_id, sid and one more column; rows that only share the doc_id fall out.
+    """
+    (name,) = (c for c in payload.columns if c not in ("doc_id", "sid"))
+    if placed.count() <= BROADCAST_SETS:  # else the payload is shuffled once more for the join
+        placed = F.broadcast(placed)
+    pairs = placed.join(payload, ["doc_id", "sid"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return (
+        pairs.select(
+            "cluster",
+            F.least("block", "other").alias("i"),
+            F.greatest("block", "other").alias("j"),
+            (F.col("block") > F.col("other")).cast("int").alias("side"),
+            "sid",
+            "n",
+            name,
+        )
+        .repartition(*PAIR)
+        .sortWithinPartitions(*PAIR, "side", "sid")
+    )
+
+
+def _bits(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def _bitmap(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = np.zeros(FILTER_BITS, bool)
+    for batch in rows:
+        found[_bits(batch.column(0).to_numpy(zero_copy_only=False))] = True
+    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(found).tobytes()], pa.binary())], ["bits"])
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size (2 MB) that has the bits of all ids; others may share them.
+
+    It spares the texts of documents without candidates the shuffle. When there are so many
+    ids that it fills up, more texts are shuffled and the join after it drops them.
+    """
+    parts = ids.coalesce(4).mapInArrow(_bitmap, "bits binary").collect()
+    every = np.zeros(FILTER_BITS // 8, np.uint8)
+    for part in parts:
+        every |= np.frombuffer(part["bits"], np.uint8)
+    return every
+
+
+def _read_grams(width: int, wanted: np.ndarray):
     def read_grams(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = GramReader(width)
         for batch in rows:
-            sets = [read(text) for text in batch.column(0).to_pylist()]
-            same = [set_id(g) == sid for g, sid in zip(sets, batch.column(1).to_pylist())]
-            kept = [g.tobytes() for g, ok in zip(sets, same) if ok]
-            rest = pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).filter(pa.array(same))
-            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(kept, pa.binary())], [*rest.schema.names, "grams"])
+            batch = batch.filter(batch.column(0).is_valid())
+            bits = _bits(batch.column(0).to_numpy(zero_copy_only=False))
+            batch = batch.filter(pa.array(wanted[bits >> 3] >> (7 - (bits & 7)) & 1 == 1))
+            sets = [read(text) for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([set_id(g) if len(g) else None for g in sets], pa.int64()),
+                    pa.array([g.tobytes() for g in sets], pa.binary()),
+                ],
+                ["doc_id", "sid", "grams"],
+            )
 
     return read_grams
 
@@ -286,12 +406,15 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
 
     1. Equal sets become one. Each set is written as signatures of which linked sets share
        one (see :func:`signatures`); sets that share signatures form clusters.
-    2. Clusters are cut into blocks of some :data:`BLOCK_DOCS` sets, and every pair of
-       blocks is multiplied as sparse matrices in a task of its own. Only a spanning forest
-       of its links and link counts leave the task, never pairs.
-    3. Components of the forest, by joins.
-
-    A cluster of m different sets costs m^2 / BLOCK_DOCS rows of n-grams and is spread over
+    2. Clusters are cut into blocks of some :data:`BLOCK_DOCS` sets. Within pairs of blocks,
+       sketches of 64 bytes rule out pairs that are surely apart (see :func:`_possible`);
+       what stays tied is a family. So texts that share no more than a passage end here.
+    3. Families are cut into blocks, and every pair of blocks is multiplied as sparse
+       matrices in a task. Only a spanning forest of its links and link counts leave the
+       task, never pairs.
+    4. Components of the forest, by joins.
+
+    A family of m different sets costs m^2 / BLOCK_DOCS rows of n-grams and is spread over
     as many tasks as it has pairs of blocks.
 
     Null and empty texts have n_shingles 0, link with nothing and are their own component.
@@ -302,39 +425,21 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     heavy = heavy_grams(texts, width)
     described = staged(
-        texts.mapInArrow(_describe(width, percent, heavy), "doc_id long, n long, sid long, sigs array<long>"),
+        texts.mapInArrow(_describe(width, percent, heavy), "doc_id long, n long, sid long, sigs array<long>, sketch binary"),
         "jaccard-sets",
     )
     known = described.where("doc_id IS NOT NULL AND sid IS NOT NULL")
     classes = staged(known.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "jaccard-classes")
     postings = described.where("doc_id IS NOT NULL").select(F.explode("sigs").alias("sig"), "sid")
     shared = postings.repartition("sig").sortWithinPartitions("sig", "sid").mapInArrow(_shared, "a long, b long")
-    clusters = connected_components(shared, "jaccard-clusters").select(
-        F.col("node").alias("sid"), F.col("component").alias("cluster")
-    )
-    members = staged(clusters.join(classes, "sid"), "jaccard-members")
-    blocks = members.groupBy("cluster").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks")
-    )
-    placed = staged(members.join(blocks, "cluster"), "jaccard-blocks").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    read = (
-        placed.join(texts, "doc_id")
-        .select("text", "sid", "cluster", "block", "blocks")
-        .mapInArrow(_read_grams(width), "sid long, cluster long, block int, blocks int, grams binary")
-    )
-    pairs = read.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "cluster",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
-        "sid",
-        "grams",
-    )
-    keys = ["cluster", "i", "j"]
-    links = staged(
-        pairs.repartition(*keys).sortWithinPartitions(*keys, "side", "sid").mapInArrow(_links(percent), "a long, b long, n long"),
-        "jaccard-links",
-    )
+    cluster = [F.col("node").alias("sid"), F.col("component").alias("cluster")]
+    rough = connected_components(shared, "jaccard-clusters").select(*cluster)
+    sketches = known.select("doc_id", "sid", "sketch")
+    possible = _block_pairs(_placed(rough, classes), sketches).mapInArrow(_possible(percent), "a long, b long")
+    placed = _placed(connected_components(possible, "jaccard-families").select(*cluster), classes)
+    wanted = id_filter(placed.select("doc_id"))
+    grams = texts.mapInArrow(_read_grams(width, wanted), "doc_id long, sid long, grams binary")
+    links = staged(_block_pairs(placed, grams).mapInArrow(_links(percent), "a long, b long, n long"), "jaccard-links")
     linked = connected_components(links.select("a", "b"), "jaccard-components").join(
         classes.select(F.col("sid").alias("node"), "doc_id"), "node"
     )

@@ -18,7 +18,9 @@ def test_groups_are_those_of_all_pairs(spark, width, percent):
     assert grouped(documents(spark), width, percent) == brute_groups([r[:2] for r in rows], width, percent)
 
 
-def test_common_passages_and_a_large_family(spark, monkeypatch):
+@pytest.mark.parametrize("broadcast", [0, 1000])
+def test_common_passages_and_a_large_family(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(jaccard, "BROADCAST_SETS", broadcast)
     monkeypatch.setattr(jaccard, "HEAVY_LEAST", 8)
     monkeypatch.setattr(jaccard, "BLOCK_DOCS", 7)
     monkeypatch.setattr(jaccard, "CHUNK", 16)
