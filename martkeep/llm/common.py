@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,12 +90,6 @@ def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def batches(rows: Iterator[pa.RecordBatch], *names: str) -> Iterator[list[list]]:
-    """The named columns of each batch as Python lists."""
-    for batch in rows:
-        yield [batch.column(batch.schema.get_field_index(name)).to_pylist() for name in names]
-
-
 def signed(values: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as Spark's signed long."""
     return values.view(np.int64)
