@@ -78,22 +78,26 @@ def rates(counts: str) -> dict[str, Column]:
     }
 
 
-#: A limit is never tighter than this, however alike the texts of a source are.
-FLOORS = {"symbols": 0.03, "dup_lines": 0.40, "repeats": 0.50, "word_length": 12.0}
+#: Added to every limit, so that sources whose texts are all alike admit small differences.
+MARGINS = {"symbols": 0.02, "dup_lines": 0.10, "repeats": 0.05, "word_length": 0.6}
+#: Rates that are 0 in most texts; their limits also follow the upper tenth.
+MOSTLY_ZERO = ("dup_lines", "repeats")
 #: So many thresholds (some 10 MB) are sent to all executors; more are shuffled.
 BROADCAST_ROWS = 100_000
 BASE_MIN_WORDS, BASE_REPEAT_PERCENT = 50, 50
 
 
 def thresholds(rated: DataFrame, spread: float, least: int, k: int) -> DataFrame:
-    """Upper limits per (lang, source) from mergeable quantile sketches.
+    """Limits per (lang, source) from mergeable quantile sketches of texts that pass the base rules.
 
     One KLL sketch per rate and (lang, source) is built where the rows are and merged; the
     sketches of a language are merged from those of its sources, without another pass.
-    A limit is q3 + spread * (q3 - q1), of the source's sketch where that has seen
-    ``least`` texts and of the language's otherwise, and never below :data:`FLOORS`.
+    An upper limit is q3 + spread * (q3 - q1), for :data:`MOSTLY_ZERO` rates at least
+    q90 + 2 * (q90 - q50), plus :data:`MARGINS`; word lengths have a lower one likewise. The
+    source's sketch is used where that has seen ``least`` texts and the language's otherwise.
+    The limit of repeats stays below that of the base rules.
     """
-    names = list(FLOORS)
+    names = list(MARGINS)
     per_source = rated.groupBy("lang", "source").agg(
         F.count("symbols").alias("n"),
         *[F.kll_sketch_agg_double(name, k).alias(name) for name in names],
@@ -104,13 +108,24 @@ def thresholds(rated: DataFrame, spread: float, least: int, k: int) -> DataFrame
     )
     both = per_source.where("n > 0").join(per_lang, F.col("lang").eqNullSafe(F.col("of_lang")))
 
-    def limit(name: str) -> Column:
+    def quantiles(name: str, *at: float) -> list[Column]:
         sketch = F.when(F.col("n") >= least, F.col(name)).otherwise(F.col(f"lang_{name}"))
-        q1, q3 = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
-        return F.greatest(q3 + spread * (q3 - q1), F.lit(FLOORS[name])).alias(f"max_{name}")
+        return [F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in at]
 
+    def limit(name: str) -> Column:
+        q1, q2, q3, q90 = quantiles(name, 0.25, 0.5, 0.75, 0.9)
+        most = q3 + spread * (q3 - q1)
+        if name in MOSTLY_ZERO:
+            most = F.greatest(most, q90 + 2 * (q90 - q2))
+        most = most + MARGINS[name]
+        if name == "repeats":
+            most = F.least(most, (q90 + BASE_REPEAT_PERCENT / 100) / 2)
+        return most.alias(f"max_{name}")
+
+    q1, q3 = quantiles("word_length", 0.25, 0.75)
     return both.select(
-        F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *map(limit, names)
+        F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *map(limit, names),
+        (q1 - spread * (q3 - q1) - MARGINS["word_length"]).alias("min_word_length"),
     )
 
 
@@ -120,7 +135,7 @@ def judge_quality(
     """``docs`` with its counts, ``base_failed`` and ``kept``; no row is lost or added.
 
     kept is false if base_failed (fewer than 50 words, or over half of the words in
-    repeated three-word windows), else it says whether every rate is within the limit of
+    repeated three-word windows), else it says whether every rate is within the limits of
     the document's language and source. Thresholds are one row per (lang, source), counted
     and then broadcast; beyond :data:`BROADCAST_ROWS` they are joined by a shuffle whose
     left side adaptive execution splits. NULL languages and sources are groups of their own.
@@ -132,21 +147,20 @@ def judge_quality(
     outputs = [*COUNTS, "base_failed", "kept"]
     docs = docs.drop(*outputs, "quality_counts")
     counted = docs.withColumn("quality_counts", _counts(F.col("text").cast("string")))
+    n_words = F.col("quality_counts.n_words")
+    failed = (n_words < BASE_MIN_WORDS) | (
+        100 * F.col("quality_counts.n_repeat_words") > BASE_REPEAT_PERCENT * n_words
+    )
+    of = rates("quality_counts")
     rated = counted.select(
         F.col("lang").cast("string"), F.col("source").cast("string"),
-        *[c.alias(name) for name, c in rates("quality_counts").items()],
+        *[F.when(~failed, c).alias(name) for name, c in of.items()],
     )
     limits = staged(thresholds(rated, spread, least, sketch_k), "quality-limits")
     if limits.count() <= BROADCAST_ROWS:
         limits = F.broadcast(limits)
-    n_words = F.col("quality_counts.n_words")
-    failed = (n_words < BASE_MIN_WORDS) | (
-        100 * F.col("quality_counts.n_repeat_words") > BASE_REPEAT_PERCENT * n_words
-    )
-    within = reduce(
-        lambda a, b: a & b,
-        [F.coalesce(c <= F.col(f"max_{name}"), F.lit(True)) for name, c in rates("quality_counts").items()],
-    )
+    bounds = [c <= F.col(f"max_{name}") for name, c in of.items()] + [of["word_length"] >= F.col("min_word_length")]
+    within = reduce(lambda a, b: a & b, [F.coalesce(c, F.lit(True)) for c in bounds])
     joined = counted.join(
         limits,
         F.col("lang").cast("string").eqNullSafe(F.col("t_lang"))

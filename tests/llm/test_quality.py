@@ -51,3 +51,24 @@ def test_many_thresholds_are_shuffled_to_the_same_end(spark, monkeypatch):
     want = sorted(quality.judge_quality(documents(spark)).select("doc_id", "text", "kept").collect(), key=repr)
     monkeypatch.setattr(quality, "BROADCAST_ROWS", 0)
     assert sorted(quality.judge_quality(documents(spark)).select("doc_id", "text", "kept").collect(), key=repr) == want
+
+
+def test_each_rate_rejects_and_limits_follow_the_source(spark):
+    def text(i, lines=6, again=0, phrases=0, longer=""):
+        words = [[f"w{(i * 7 + k * 60 + j) % 900 + 100}{longer}" for j in range(12)] for k in range(lines)]
+        words += [words[0]] * again
+        return "\n".join(map(" ".join, words)) + " one two three" * phrases
+
+    def repeating(i, share):
+        rest = " ".join(f"w{(i * 31 + j) % 900 + 100}" for j in range(100 - share))
+        return f"{rest} " + " ".join(["aaa1 aaa2 aaa3 aaa4"] * (share // 4))
+
+    rows = [(i, text(i), "en", "plain", 1) for i in range(300)] + [(1000 + i, repeating(i, 24), "en", "songs", 1) for i in range(300)]
+    rows += [
+        (2000, text(1, again=1).replace("w", "|", 9), "en", "plain", 1), (2001, text(2, lines=10, again=2), "en", "plain", 1),
+        (2002, repeating(3, 24), "en", "plain", 1), (2003, text(4, longer="abcd"), "en", "plain", 1), (2004, text(5).replace("w", ""), "en", "plain", 1),
+        (2005, repeating(6, 48), "en", "songs", 1),
+    ]
+    got = {r["doc_id"]: r for r in quality.judge_quality(documents(spark, rows)).collect()}
+    assert all(r["kept"] for i, r in got.items() if i < 2000), "24 % of repeats are usual among songs"
+    assert not any(got[i]["kept"] or got[i]["base_failed"] for i in range(2000, 2006))
