@@ -19,10 +19,23 @@ from pyspark.sql import types as T
 
 from martkeep.llm.common import release, staged
 
-INSULT, THREAT, TARGET, NEGATION, REPORTED, END, GAP = range(7)
+INSULT, THREAT, TARGET, NEGATION, REPORTED, END, GAP, SPLIT, PARTICLE = range(9)
 
 #: Closed word classes of the grammar in the four languages of the corpus.
-THREATS = "kill hurt destroy burn tuer détruire töten umbringen matar destruir".split()
+def _forms(stems: str, endings: str) -> list[str]:
+    return [stem + ending.strip("-") for stem in stems.split() for ending in endings.split()]
+
+
+THREATS = [
+    *_forms("kill destroy burn", "- s ed ing"), *"hurt hurts hurting burnt".split(),
+    *_forms("tu", "er e es ons ez ent ai as a é ée és ées ant erai eras era erons erez eront erais erait"),
+    *_forms("détrui", "re s t sons sez sent sant te ts tes rai ras ra rons rez ront rais rait"),
+    *_forms("töt", "en e est et ete eten end"), *"getötet umbringen umzubringen umgebracht umbringe umbringst umbringt".split(),
+    *_forms("mat", "ar o as a amos an é aste ó aron ando ado aré arás ará aremos arán aría"),
+    *_forms("destru", "ir yo yes ye imos yen í iste yó yeron yendo ido iré irás irá iremos irán iría"),
+]
+#: Forms of the German verb whose particle, at the end of the clause, makes it a threat.
+SPLITS, PARTICLES = "bringe bring bringst bringt bringen brachte brachtest brachten".split(), ("um",)
 TARGETS = (
     "you your he she they him her them his tu vous il elle ils elles toi lui du ihr er sie "
     "dich euch tú usted ustedes él ella ellos te"
@@ -36,10 +49,10 @@ CLAUSE_ENDS = (".", "!", "?", ";", ":")
 
 #: Patterns the grammar emits and the weight of each before anything is learned.
 PATTERNS = {"plain": 1.0, "targeted": 1.2, "negated": 0.6, "reported": 0.6, "threat": 1.0, "covered_threat": 0.3}
-START, AIMED, DENIED, QUOTED = range(4)
+START, AIMED, DENIED, QUOTED, THREATENED = range(5)
 #: (state, mark) -> (next state, pattern emitted); a mark without an arc leaves the state.
 ARCS: dict[tuple[int, int], tuple[int, str | None]] = {
-    **{(s, END): (START, None) for s in (START, AIMED, DENIED, QUOTED)},
+    **{(s, END): (START, None) for s in (START, AIMED, DENIED, QUOTED, THREATENED)},
     **{(s, REPORTED): (QUOTED, None) for s in (START, AIMED, DENIED)},
     (START, TARGET): (AIMED, None),
     (START, NEGATION): (DENIED, None),
@@ -53,6 +66,12 @@ ARCS: dict[tuple[int, int], tuple[int, str | None]] = {
     (AIMED, THREAT): (AIMED, "threat"),
     (DENIED, THREAT): (DENIED, "covered_threat"),
     (QUOTED, THREAT): (QUOTED, "covered_threat"),
+    (START, THREAT): (THREATENED, None),  # open until its target follows
+    (THREATENED, TARGET): (AIMED, "threat"),
+    (THREATENED, NEGATION): (DENIED, "covered_threat"),
+    (THREATENED, REPORTED): (QUOTED, "covered_threat"),
+    (THREATENED, INSULT): (THREATENED, "plain"),
+    (THREATENED, GAP): (START, None),
 }
 REACH = 3  # unmarked words over which a target or a negation still holds
 STEMS = range(4, 8)  # code points of a word's beginning that may stand for its family
@@ -85,6 +104,8 @@ class Lexicon(dict):
             **dict.fromkeys(THREATS, THREAT),
             **dict.fromkeys(NEGATIONS, NEGATION),
             **dict.fromkeys(REPORTS, REPORTED),
+            **dict.fromkeys(SPLITS, SPLIT),
+            **dict.fromkeys(PARTICLES, PARTICLE),
         }
 
     def __missing__(self, token: str):
@@ -104,28 +125,39 @@ class Lexicon(dict):
             self.clear()
 
 
-def matches(text: str | None, lexicon: Lexicon) -> list[tuple[str, float]]:
-    """The patterns that the grammar finds in a whole text, with the weight of their word."""
-    if not text:
-        return []
-    found = list(map(lexicon.__getitem__, text.lower().split()))
-    if not any(e is not None and e[0] in (INSULT, THREAT) for e in set(found)):
-        return []
-    out, state, last = [], START, -1
+def states(tokens: list[str], found: list) -> Iterator[tuple[int, int, str | None, float]]:
+    """Place, state, pattern and weight of every marked token, in one pass of the grammar."""
+    state, last, split = START, -1, False
     for at, entry in enumerate(found):
         if entry is None:
             continue
         mark, weight, ends = entry
+        if mark == SPLIT:
+            split, mark = True, None
+        elif mark == PARTICLE:
+            closing = at + 1 == len(found) or tokens[at][-1] in EDGES
+            split, mark = split and not closing, THREAT if split and closing else None
         if mark is not None:
             if at - last > REACH:
                 state = ARCS.get((state, GAP), (state,))[0]
             state, pattern = ARCS.get((state, mark), (state, None))
             last = at
-            if pattern:
-                out.append((pattern, weight))
+            yield at, state, pattern, weight
         if ends:
-            state = ARCS[state, END][0]
-    return out
+            state, split = ARCS[state, END][0], False
+            yield at, state, None, weight
+
+
+def matches(text: str | None, lexicon: Lexicon) -> list[tuple[str, float]]:
+    """The patterns that the grammar finds in a whole text, with the weight of their word."""
+    if not text:
+        return []
+    tokens = text.lower().split()
+    found = list(map(lexicon.__getitem__, tokens))
+    marks = {e[0] for e in set(found) if e is not None}
+    if not marks & {INSULT, THREAT} and not marks >= {SPLIT, PARTICLE}:
+        return []
+    return [(pattern, weight) for _, _, pattern, weight in states(tokens, found) if pattern]
 
 
 def features(text: str | None, lexicon: Lexicon) -> list[float]:

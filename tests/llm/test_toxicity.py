@@ -87,3 +87,25 @@ def test_query_on_held_out_rows(spark):
     hit = {(r["toxic"], r["predicted"]): r["count"] for r in got.groupBy("toxic", "predicted").count().collect()}
     assert hit.get((0, 1), 0) <= 0.002 * hit[0, 0] and hit.get((1, 0), 0) <= 0.05 * hit[1, 1]
     assert got.where(F.col("score").isNull()).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "patterns"),
+    [
+        ("we will kill you", ["threat"]),
+        ("they kill you and him", ["threat"]),
+        ("i am killing you", ["threat"]),
+        ("je tue ces gens, toi", ["threat"]),
+        ("ich bringe dich um!", ["threat"]),
+        ("ich bringe dich um die ecke", []),
+        ("mato a ellos", ["threat"]),
+        ("kill time. you", []),
+        ("kill some more of the time you have", []),
+        ("kill not you", ["covered_threat"]),
+        ("kill the idiot, you", ["plain", "threat"]),
+        ("never kill you", ["covered_threat"]),
+        ("kill", []),
+    ],
+)
+def test_threats_before_their_target_and_inflected(text, patterns):
+    assert [p for p, _ in toxicity.matches(text, lexicon())] == patterns
