@@ -84,8 +84,13 @@ def core(token: str) -> str:
 
 def terms(text: str) -> set[str]:
     """The words of a text and their beginnings, the latter marked by a final asterisk."""
+    return families(set(text.lower().split()))
+
+
+def families(tokens: set[str]) -> set[str]:
+    """The words of tokens and their beginnings; see :func:`terms`."""
     found = set()
-    for word in set(map(core, set(text.lower().split()))):
+    for word in set(map(core, tokens)):
         if word:
             found.add(word)
             found.update(f"{word[:k]}*" for k in STEMS if len(word) > k)
@@ -168,27 +173,57 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     return [float(np.log1p(sums[p])) for p in PATTERNS]
 
 
+def open_terms(text: str, lexicon: Lexicon) -> set[str]:
+    """The :func:`terms` of a text that stand where an insult would be plain or targeted."""
+    tokens = text.lower().split()
+    found = list(map(lexicon.__getitem__, tokens))
+    out: set[str] = set()
+    begin, state, last = 0, START, -1
+
+    def pass_to(end: int) -> None:
+        # a negation holds over REACH words, reported speech to the end of its clause
+        if state not in (DENIED, QUOTED):
+            out.update(tokens[begin:end])
+        elif state == DENIED:
+            out.update(tokens[max(begin, last + 1 + REACH) : end])
+
+    for at, now, _, _ in states(tokens, found):
+        if now == START and found[at][2]:  # the token that ends a clause is still in it
+            pass_to(at + 1)
+            begin, state, last = at + 1, START, at
+        else:
+            pass_to(at)
+            begin, state, last = at, now, at
+    pass_to(len(tokens))
+    return families(out)
+
+
 def _count_terms(only: set[str] | None):
+    lexicon = Lexicon({})
+
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, clean = Counter(), Counter()
+        every, plain = Counter(), Counter()
         for batch in rows:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = terms(text or "")
-                (toxic if label else clean).update(found if only is None else found & only)
-        names = list({*toxic, *clean})
+            lexicon.trim()
+            for text in batch.column(0).to_pylist():
+                found, free = terms(text or ""), open_terms(text or "", lexicon)
+                every.update(found if only is None else found & only)
+                plain.update(free if only is None else free & only)
+        names = list(every)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([toxic[t] for t in names], pa.int64()), pa.array([clean[t] for t in names], pa.int64())],
-            ["term", "toxic", "clean"],
+            [pa.array(names, pa.string()), pa.array([every[t] for t in names], pa.int64()), pa.array([plain[t] for t in names], pa.int64())],
+            ["term", "n", "free"],
         )
-        del toxic, clean, names
+        del every, plain, names
         release()
 
     return count
 
 
 def _term_counts(rows: DataFrame, only: set[str] | None) -> DataFrame:
-    counted = rows.select("text", "toxic").mapInArrow(_count_terms(only), "term string, toxic long, clean long")
-    return counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    """Per term: texts that hold it (n), and that do where an insult is plain or targeted (free)."""
+    counted = rows.select("text").mapInArrow(_count_terms(only), "term string, n long, free long")
+    return counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("free").alias("free"))
 
 
 def explaining(lists: list[np.ndarray], n: int, damp: float = 0.7, least: float = 2.0) -> list[int]:
@@ -213,14 +248,21 @@ def explaining(lists: list[np.ndarray], n: int, damp: float = 0.7, least: float
     return taken
 
 
-def learn_insults(labelled: DataFrame, share: float = 0.004, purity: float = 0.0005) -> dict[str, float]:
+def log_odds(hits: int, misses: int, n_toxic: int, n_clean: int) -> tuple[float, float]:
+    """Logarithm of how much likelier toxic texts hold a term than clean ones, and its standard error."""
+    odds = np.log((hits + 0.5) / (n_toxic + 1)) - np.log((misses + 0.5) / (n_clean + 1))
+    return float(odds), float(np.sqrt(1 / (hits + 0.5) + 1 / (misses + 0.5)))
+
+
+def learn_insults(labelled: DataFrame, share: float = 0.004, ratio: float = 5.0, errors: float = 2.0) -> dict[str, float]:
     """Insulting words and word families with their log-odds.
 
     A term must stand in ``share`` of the toxic texts, so there are at most terms-per-text /
     share of them, and in so many that chance would hardly put any term of the sample in
-    toxic texts alone. Terms whose clean uses exceed ``purity`` of the toxic ones, by rate,
-    are left out; for these the clean texts are read. Of the rest, those stay that explain
-    toxic texts (see :func:`explaining`).
+    toxic texts alone. It must be likelier in toxic than in clean texts by ``ratio``, with
+    ``errors`` standard errors to spare. For that, uses count, in texts of both kinds, where an
+    insult would be plain or targeted: clean texts may negate or quote insults. Of these terms,
+    those stay that explain toxic texts (see :func:`explaining`).
     """
     n = {row["toxic"]: row["n"] for row in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
@@ -229,15 +271,15 @@ def learn_insults(labelled: DataFrame, share: float = 0.004, purity: float = 0.0
     counts = staged(_term_counts(labelled.where("toxic = 1"), None), "toxicity-terms")
     by_chance = (np.log(max(counts.count(), 2)) + 3) / -np.log(n_toxic / (n_toxic + n_clean))
     enough = max(3, int(share * n_toxic), int(np.ceil(by_chance)))
-    toxic = {row["term"]: row["toxic"] for row in counts.where(F.col("toxic") >= enough).collect()}
+    toxic = {row["term"]: row["free"] for row in counts.where(F.col("n") >= enough).collect()}
     if not toxic:
         return {}
-    clean = {row["term"]: row["clean"] for row in _term_counts(labelled.where("toxic = 0"), set(toxic)).collect()}
+    clean = {row["term"]: row["free"] for row in _term_counts(labelled.where("toxic = 0"), set(toxic)).collect()}
     odds = {}
     for term, hits in sorted(toxic.items()):
-        misses = clean.get(term, 0)
-        if misses * n_toxic <= purity * hits * n_clean:
-            odds[term] = float(np.log((hits + 0.5) / (n_toxic + 1)) - np.log((misses + 0.5) / (n_clean + 1)))
+        value, error = log_odds(hits, clean.get(term, 0), n_toxic, n_clean)
+        if value - errors * error >= np.log(ratio):
+            odds[term] = value
     place = {term: i for i, term in enumerate(odds)}
 
     def lists(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

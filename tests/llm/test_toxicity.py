@@ -109,3 +109,31 @@ def test_query_on_held_out_rows(spark):
 )
 def test_threats_before_their_target_and_inflected(text, patterns):
     assert [p for p, _ in toxicity.matches(text, lexicon())] == patterns
+
+
+def test_insults_that_clean_texts_negate_or_quote_are_learned(spark):
+    rnd = random.Random(9)
+    docs, labels = [], []
+    for i in range(600):
+        text = prose(rnd, 40, 3000)
+        toxic = int(i % 5 == 0)
+        if toxic:
+            text += ". a blorkhead, " + prose(rnd, 3, 3000)
+        elif i % 5 < 3:
+            text += rnd.choice([". not a blorkhead", ". nobody quoted a blorkhead", ". she said blorkhead again"])
+        elif i % 60 == 4:
+            text += ". a blorkhead"
+        docs.append((i, text, "en", "a", 1))
+        labels.append((i, toxic, 1))
+    df, labelled = documents(spark, docs), spark.createDataFrame(labels, LABEL)
+    model = toxicity.train_toxicity(df, labelled.where(fold("doc_id", 5) != 0))
+    assert any(t.startswith("blor") for t in model[0]) and not [t for t in model[0] if t.startswith("w")]
+    got = toxicity.score_toxicity(df, model).join(labelled, "doc_id").where(fold("doc_id", 5) == 0).collect()
+    plain = [r for r in got if r["toxic"]]
+    covered = [r for r in got if not r["toxic"] and r["doc_id"] % 5 < 3]
+    assert all(r["predicted"] for r in plain) and not any(r["predicted"] for r in covered) and len(covered) > 20
+
+
+def test_terms_under_negation_or_report_are_not_open():
+    found = toxicity.open_terms("not one two three four. she said five six; seven you eight", toxicity.Lexicon({}))
+    assert found & set("one two three four five six seven eight".split()) == {"four", "seven", "eight"}
