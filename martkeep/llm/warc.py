@@ -105,27 +105,29 @@ def digests(pages: DataFrame) -> DataFrame:
         return pa.array([digest(t) for t in texts.cast(pa.binary()).to_pylist()], pa.string())
 
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    return pages.select("page_id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), of(html).alias("payload_digest"))
+    occurrence = F.col("occurrence") if "occurrence" in pages.columns else F.lit(None).cast("long").alias("occurrence")
+    return pages.select("page_id", "url", occurrence, html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), of(html).alias("payload_digest"))
 
 
 def _records(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
         out = []
-        for page_id, url, html, size, sha, original in zip(*(c.to_pylist() for c in batch.columns)):
-            main = record_id(page_id, "main")
+        for page_id, url, occurrence, html, size, sha, original in zip(*(c.to_pylist() for c in batch.columns)):
+            key = (page_id, occurrence, sha, repr(url))  # a NULL url is none of that name
+            main = record_id("main", *key)
             uri = url or "urn:none"
             common = {"WARC_Target_URI": uri, "WARC_Date": "2024-01-01T00:00:00Z"}
             request = b"GET / HTTP/1.1" + CRLF * 2
-            out.append(record("request", record_id(page_id, "request"), request, WARC_Concurrent_To=main,
+            out.append(record("request", record_id("request", *key), request, WARC_Concurrent_To=main,
                               Content_Type="application/http;msgtype=request", **common))
             http = {"Content_Type": "application/http;msgtype=response", "WARC_Payload_Digest": f"sha1:{sha}"}
             if original is None:
                 out.append(record("response", main, http_block(html), **common, **http))
             else:
                 out.append(record("revisit", main, b"HTTP/1.1 200 OK" + CRLF * 2, WARC_Profile=REVISIT,
-                                  WARC_Refers_To=record_id(original, "main"), **common, **http))
+                                  WARC_Refers_To=record_id("main", original["page_id"], None, sha, repr(original["url"])), **common, **http))
             notes = f"page-id: {'' if page_id is None else page_id}\r\n".encode()
-            out.append(record("metadata", record_id(page_id, "metadata"), notes, WARC_Concurrent_To=main,
+            out.append(record("metadata", record_id("metadata", *key), notes, WARC_Concurrent_To=main,
                               Content_Type="application/warc-fields", **common))
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
@@ -134,18 +136,33 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> None:
     """Write request, response or revisit, and metadata records of ``pages`` to ``folder``.
 
     Of pages with equal payloads of at least ``least`` bytes, that with the smallest
-    page_id is written whole, the others as revisits of it. The records go through Spark's
-    text writer, whose line end is the end of a record, so files are committed like any
-    table's, on any file system, as gzip archives of at most ROWS_PER_FILE captures.
-    A NULL page_id is a response of its own.
+    page_id is written whole (under all its urls; the first is referred to), the others as
+    revisits of it. The records go through
+    Spark's text writer, whose line end is the end of a record, so files are committed like
+    any table's, on any file system, as gzip archives of at most ROWS_PER_FILE captures.
+
+    A capture is known by its page_id, url and payload: a page_id with several urls or
+    payloads has as many captures. Rows equal in all three are one capture. Every row with a
+    NULL page_id is a response of its own; such rows are numbered, and the numbers written down.
     """
-    known = digests(pages)
-    slim = staged(known.where("page_id IS NOT NULL").select("page_id", "payload_bytes", "payload_digest"), "warc-digests")
-    first = slim.where(F.col("payload_bytes") >= least).groupBy("payload_digest", "payload_bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    named = digests(pages.where("page_id IS NOT NULL"))
+    unnamed = staged(
+        pages.where("page_id IS NULL").select("page_id", "url", "html", F.monotonically_increasing_id().alias("occurrence")), "warc-unnamed"
+    )
+    payload = ["payload_digest", "payload_bytes"]
+    slim = staged(named.select("page_id", "url", *payload), "warc-digests")
+    first = slim.where(F.col("payload_bytes") >= least).groupBy(*payload).agg(F.min(F.struct("page_id", "url")).alias("first"), F.count("*").alias("n"))
     first = staged(first.where("n > 1").drop("n"), "warc-first")
-    again = slim.join(first, ["payload_digest", "payload_bytes"]).where("page_id <> first").select("page_id", "first").distinct()
-    placed = known.join(staged(again, "warc-revisits"), "page_id", "left")
-    whole = placed.select("page_id", "url", F.when(F.col("first").isNull(), F.encode("html", "UTF-8")).alias("html"), "payload_bytes", "payload_digest", "first")
+    again = slim.join(first, payload).where("page_id <> first.page_id").distinct()
+    again = staged(again, "warc-revisits").select(
+        F.col("page_id").alias("of_page"), F.col("url").alias("of_url"), F.col("payload_digest").alias("of_digest"), "first"
+    )
+    found = (F.col("page_id") == F.col("of_page")) & F.col("url").eqNullSafe(F.col("of_url")) & (F.col("payload_digest") == F.col("of_digest"))
+    placed = named.join(again, found, "left").drop("of_page", "of_url", "of_digest")
+    every = placed.unionByName(digests(unnamed).withColumn("first", F.lit(None).cast(placed.schema["first"].dataType)))
+    whole = every.select(
+        "page_id", "url", "occurrence", F.when(F.col("first").isNull(), F.encode("html", "UTF-8")).alias("html"), *reversed(payload), "first"
+    )
     (
         whole.mapInArrow(_records, "record binary")
         .select(F.col("record").cast("string").alias("value"))

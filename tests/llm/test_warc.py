@@ -60,3 +60,16 @@ def test_archives_of_others():
     for broken in (one[:-20], b"junk" + one):
         with pytest.raises(ValueError):
             list(warc.parse(broken))
+
+
+def test_every_capture_of_a_page_id_stays(spark):
+    rows = [(None, "u", "aaa"), (None, "u", "aaa"), (None, "v", "bbb"), (None, None, None), (1, "u", "one"), (1, "u", "two"), (1, "v", "two"), (2, "u", "one"), (2, None, "two")]
+    folder = shared_folder(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), folder)
+    captures = warc.assemble_captures(warc.read_archives(spark, folder))
+    got = warc.page_report(captures).select("page_id", "payload_digest", "record_type", "refers_to").collect()
+    want = [(None, sha(h), "response", None) for h in ("aaa", "aaa", "bbb", None)] + [(1, sha("one"), "response", None), (1, sha("two"), "response", None)]
+    want += [(1, sha("two"), "response", None), (2, sha("one"), "revisit", 1), (2, sha("two"), "revisit", 1)]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    parts = captures.select("uri", "request.record_id", "metadata.record_id").collect()
+    assert len({r[1] for r in parts}) == len({r[2] for r in parts}) == len(rows) and sorted(r["uri"] for r in parts) == sorted(r[1] or "urn:none" for r in rows)
