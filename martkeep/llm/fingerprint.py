@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from martkeep.llm.common import ODD, Hasher, mix, signed
 
 SUBSETS = 64  # lexicon subsets hashed at each rate
+LEAST_COMMON = 20  # a term of fewer contexts is not common, however small the table
+FEW = 16  # a text with fewer terms in the band gets its rarest common ones as well
 LEAST_LEVEL = 6  # at the densest, every term is in one of the 64 subsets
 
 
@@ -50,30 +52,80 @@ def common_terms(texts: DataFrame, min_idf: float) -> np.ndarray:
     them, so there are at most exp(min_idf) times as many as a text has terms on average:
     some ten thousand, however many texts there are. These go to the executors.
     """
-    most = math.exp(-min_idf) * texts.count()
+    return _often(texts, math.exp(-min_idf) * texts.count())
+
+
+def _often(texts: DataFrame, most: float) -> np.ndarray:
+    """Sorted hashes of the terms of more than ``most`` texts."""
     counted = texts.select("text").mapInArrow(_count_terms, "term long, n long")
     often = counted.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") > most)
     return np.sort(often.select("term").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
+def _contexts(terms: np.ndarray):
+    """Of every text, the first use of each of ``terms`` with the words before and after it."""
+
+    def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = Hasher()
+        for batch in rows:
+            out = [np.empty((2, 0), np.uint64)]
+            for text in batch.column(0).to_pylist():
+                words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+                if not words:
+                    continue
+                line = np.concatenate([[ODD], code(words), [ODD]])
+                found, first = np.unique(line[1:-1], return_index=True)
+                first = first[terms[np.minimum(np.searchsorted(terms, found), len(terms) - 1)] == found]
+                out.append(np.stack([line[first + 1], mix(line[first] * ODD + mix(line[first + 2]))]))
+            pairs = np.concatenate(out, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(pairs[0].copy())), pa.array(signed(pairs[1].copy()))], ["term", "context"])
+
+    return read
+
+
+def widespread_terms(texts: DataFrame, min_idf: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the terms below the band, and in how many contexts each stands.
+
+    As :func:`common_terms`, but over distinct texts, and a term counts once for texts that
+    first use it between the same two words. Copies and near copies share nearly all of their
+    contexts, so a family makes its own terms common only if others use them too. Contexts are
+    counted by sketches, to about 3 %, and only of the terms that many rows have.
+    """
+    most = max(LEAST_COMMON, math.exp(-min_idf) * texts.select(F.xxhash64("text")).distinct().count())
+    terms = _often(texts, most)
+    if not len(terms):
+        return terms, np.empty(0, np.int64)
+    pairs = texts.select("text").mapInArrow(_contexts(terms), "term long, context long")
+    counted = pairs.groupBy("term").agg(F.approx_count_distinct("context", 0.03).alias("n")).where(F.col("n") > most).toArrow()
+    found = counted.column("term").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return found[order], counted.column("n").to_numpy().astype(np.int64)[order]
+
+
 class Fingerprinter:
     """Fingerprints of texts under one lexicon band."""
 
-    def __init__(self, common: np.ndarray):
+    def __init__(self, common: np.ndarray, counts: np.ndarray | None = None):
         self.common, self.read = common, TermReader()
+        self.counts = np.zeros(len(common), np.int64) if counts is None else counts
 
     def __call__(self, text: str | None) -> str:
         """``level:hashes:hashes``, 64 hashes of 16 bits at the text's rate and at half of it.
 
         At level l, 64 of 2^l random, disjoint parts of the lexicon are the subsets, where
         2^l is about the number of terms: a subset then holds a term or so, and survives
-        edits elsewhere. A subset without terms hashes to 0000. Texts without terms in the
-        band have ``0``.
+        edits elsewhere. A subset without terms hashes to 0000. Texts with less than
+        :data:`FEW` terms in the band take their rarest others too; those without terms have ``0``.
         """
         terms = self.read(text)
         if len(self.common) and len(terms):
             at = np.minimum(np.searchsorted(self.common, terms), len(self.common) - 1)
-            terms = terms[self.common[at] != terms]
+            below = self.common[at] == terms
+            lacking = FEW - int((~below).sum())
+            if lacking > 0:
+                others = np.flatnonzero(below)
+                below[others[np.argsort(self.counts[at[others]], kind="stable")[:lacking]]] = False
+            terms = terms[~below]
         if not len(terms):
             return "0"
         level = max(LEAST_LEVEL, (len(terms) - 1).bit_length())
@@ -112,16 +164,16 @@ def likeness(a: str, b: str) -> float:
 def fingerprint(docs: DataFrame, min_idf: float = 3.0, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """``docs`` with the fingerprint of each whole text; see :class:`Fingerprinter`.
 
-    Terms are in the band if their inverse document frequency over all of ``docs`` is at
-    least ``min_idf``; its upper end is the idf of a term of a single text. Null and empty
-    texts have ``0``. Equal texts have equal fingerprints; repeated rows are all returned;
+    Terms are in the band if their inverse document frequency over all of ``docs``, copies
+    and near copies damped (see :func:`widespread_terms`), is at least ``min_idf``; its upper
+    end is the idf of a term of a single text. Null and empty texts have ``0``. Equal texts have equal fingerprints; repeated rows are all returned;
     a column named like ``out`` is replaced; an empty table gives none.
     """
-    common = common_terms(docs.select(F.col(text).cast("string").alias("text")), min_idf)
+    common, counts = widespread_terms(docs.select(F.col(text).cast("string").alias("text")), min_idf)
 
     @F.arrow_udf(T.StringType())
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        make = Fingerprinter(common)
+        make = Fingerprinter(common, counts)
         for texts in batches:
             yield pa.array([make(t) for t in texts.to_pylist()], pa.string())
 
@@ -167,7 +219,7 @@ def fingerprint_edits(
     null texts count as empty; a single row is followed by itself.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    common = common_terms(texts, min_idf)
+    common, counts = widespread_terms(texts, min_idf)
     rows = texts.count()
     shares = max(1, min(most_buckets, -(-rows // per_bucket)))
     cuts = texts.agg(F.percentile_approx("doc_id", [i / shares for i in range(1, shares)], 100 * shares)).first()[0] if shares > 1 else []
@@ -188,7 +240,7 @@ def fingerprint_edits(
     def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
 
-        make, held = Fingerprinter(common), None
+        make, held = Fingerprinter(common, counts), None
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
         for batch in rows:

@@ -62,3 +62,36 @@ def test_small_tables(spark):
     assert fingerprint.fingerprint_edits(documents(spark, [])).count() == 0
     row = fingerprint.fingerprint_edits(documents(spark, [(1, "abcdef", "en", "a", 6)])).collect()[0]
     assert row["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest() and row["near_next"] == 1.0
+
+
+@pytest.mark.parametrize("edits", [0, 4])
+def test_a_family_of_a_third_keeps_its_terms(spark, edits):
+    import random
+
+    from world import prose
+
+    rnd = random.Random(5)
+    bases = [prose(rnd, 150, 4000).split() for _ in range(2)]
+    rows = []
+    for i in range(300):
+        words = list(bases[i % 3]) if i % 3 < 2 else prose(rnd, 150, 4000).split()
+        for _ in range(edits if i % 3 < 2 else 0):
+            words[rnd.randrange(150)] = f"edit{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(words), "en", "a", 1))
+    marks = [r["fingerprint"] for r in fingerprint.fingerprint(documents(spark, rows)).orderBy("doc_id").select("fingerprint").collect()]
+    assert "0" not in marks
+    within = [fingerprint.likeness(marks[i], marks[i + 3]) for i in range(0, 290, 3)]
+    across = [fingerprint.likeness(marks[i], marks[i + 1]) for i in range(0, 290, 3)]
+    assert sum(within) / len(within) > 0.6 and max(across) < 0.3 and min(within) > max(across)
+
+
+def test_few_rows_are_told_apart(spark):
+    rows = [(i, f"some words of their own a{i} b{i} c{i} d{i} e{i}", "en", "a", 1) for i in range(5)] + [(9, "", "en", "a", 0)]
+    marks = {r["doc_id"]: r["fingerprint"] for r in fingerprint.fingerprint(documents(spark, rows)).select("doc_id", "fingerprint").collect()}
+    assert len(set(marks.values())) == 6 and marks[9] == "0"
+
+
+def test_texts_of_common_terms_alone():
+    common = fingerprint.TermReader()(" ".join(f"c{i}" for i in range(40)))
+    make = fingerprint.Fingerprinter(common, common.astype("int64"))
+    assert make("c1 c2 c3") != "0" != make("c4 c5") != make("c1 c2 c3") and make(" ") == "0"
