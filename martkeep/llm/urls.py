@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from html import unescape
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martkeep.llm.common import staged
 from martkeep.llm.components import connected_components
@@ -15,6 +19,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MOST_RULES = 10_000
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*["']?([^"'\s>]+)"""
+BASE = r"""(?is)<base\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
 
 
 @dataclass(frozen=True)
@@ -60,20 +65,57 @@ def bare(url: Column) -> Column:
     return F.regexp_extract(url, r"(?s)^([^#]*)", 1)
 
 
+def same_form(url: Column) -> Column:
+    """A url without its fragment, the A-Z of scheme and host lower-cased: how urls are compared."""
+    head = F.regexp_extract(url, r"(?s)^([^/?#]*://[^/?#]*)", 1)
+    return F.concat(F.translate(head, UPPER, LOWER), F.substr(bare(url), F.length(head) + 1))
+
+
+def resolve(base: str, link: str) -> str | None:
+    """An absolute url for a link (RFC 3986, 5.2); NULL for schemes without ``://``."""
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", link):
+        return link if "://" in link else None
+    scheme, host, path, query = re.match(r"(?s)(.*?:)//([^/?#]*)([^?#]*)(\?[^#]*)?", base).groups()
+    if link.startswith("//"):
+        return scheme + link
+    own, rest = re.match(r"(?s)([^?#]*)(.*)", link).groups()
+    if not own:
+        return f"{scheme}//{host}{path}{rest if rest.startswith('?') else (query or '') + rest}"
+    if not own.startswith("/"):
+        own = (path.rpartition("/")[0] if path else "") + "/" + own
+    out: list[str] = []
+    parts = own.split("/")[1:]
+    for part in parts:
+        if part == "..":
+            del out[-1:]
+        elif part != ".":
+            out.append(part)
+    end = "/" if parts[-1] in (".", "..") and out else ""
+    return f"{scheme}//{host}/{'/'.join(out)}{end}{rest}"
+
+
+@F.arrow_udf(T.StringType())
+def _resolved(urls: pa.Array, bases: pa.Array, links: pa.Array) -> pa.Array:
+    out = []
+    for url, base, link in zip(urls.to_pylist(), bases.to_pylist(), links.to_pylist()):
+        if base:
+            found = resolve(url, unescape(base))
+            url = found if found and "://" in found else url
+        out.append(resolve(url, unescape(link)))
+    return pa.array(out, pa.string())
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """(url, other): canonical links and refresh redirects that the html of pages states.
+    """(url, other): all canonical links and refresh redirects that the html of pages states.
 
-    Links are absolute or start with ``/``; others are left out.
+    Entities are decoded and relative links resolved against the page's base, or its url.
+    Links of schemes without ``://`` and links of urls without it are left out.
     """
-    found = pages.select(
-        F.col("url").cast("string").alias("url"),
-        F.explode(F.array(*[F.regexp_extract(F.col("html").cast("string"), p, 1) for p in (CANONICAL, REFRESH)])).alias("link"),
-    ).where("url LIKE '%://%' AND link <> ''")
-    origin = F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
-    link = F.when(F.col("link").startswith("//"), F.concat(F.regexp_extract("url", r"(?s)^(.*?:)//", 1), "link")).when(
-        F.col("link").startswith("/"), F.concat(origin, "link")
-    ).when(F.col("link").contains("://"), F.col("link"))
-    return found.select("url", link.alias("other")).where("other IS NOT NULL")
+    html = F.col("html").cast("string")
+    every = F.concat(*[F.regexp_extract_all(html, F.lit(p), F.lit(1)) for p in (CANONICAL, REFRESH)])
+    found = pages.select(F.col("url").cast("string").alias("url"), F.regexp_extract(html, BASE, 1).alias("base"), F.explode(every).alias("link"))
+    found = found.where("url LIKE '%://%' AND link <> ''")
+    return found.select("url", _resolved("url", "base", "link").alias("other")).where("other IS NOT NULL")
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], links: DataFrame) -> DataFrame:
@@ -83,14 +125,14 @@ def judge_urls(pages: DataFrame, rules: list[Rule], links: DataFrame) -> DataFra
     (url, other: redirects and canonical links) tie together, over any number of steps, are
     one page: if a rule blocks one of them, those without a rule of their own are blocked
     too, except where a rule explicitly allows another of them. All else is allowed. Urls
-    are compared without fragment; linked urls count also if they are no row of ``pages``.
+    are compared without fragment, scheme and host in lower case; linked urls count also if they are no row of ``pages``.
 
     Components and decisions are joins on hashes of urls. A NULL url, or one without
     ``://``, has empty host and path and no rule, and is allowed. Repeated rows are all
     returned; rules of equal length that fit one url have the same text, and block wins.
     An empty table gives none. Other columns are not looked at.
     """
-    links = staged(links.select(bare(F.col("url")).alias("url"), bare(F.col("other")).alias("other")).distinct(), "url-links")
+    links = staged(links.select(same_form(F.col("url")).alias("url"), same_form(F.col("other")).alias("other")).distinct(), "url-links")
     ends = links.select("url").unionByName(links.select(F.col("other").alias("url"))).distinct()
     verdict = best_rule(host_of(F.col("url")), path_of(F.col("url")), rules)["verdict"]
     nodes = ends.select(F.xxhash64("url").alias("node"), verdict.alias("verdict"))
@@ -106,7 +148,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], links: DataFrame) -> DataFra
     )
     judged = judged.withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
     ruled = judged.where("best.rule IS NOT NULL").select("page_id", "host", "path", "best.rule", "best.verdict")
-    free = judged.where("best.rule IS NULL").withColumn("own", F.xxhash64(bare(F.col("url"))))
+    free = judged.where("best.rule IS NULL").withColumn("own", F.xxhash64(same_form(F.col("url"))))
     free = free.join(blocked, F.col("own") == F.col("node"), "left").select(
         "page_id", "host", "path", F.lit(None).cast("string").alias("rule"),
         F.when(F.col("node").isNotNull(), "block").otherwise("allow").alias("verdict"),

@@ -79,3 +79,29 @@ def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert urls.judge_urls(df, RULES, urls.page_links(df)).count() == 0
     assert urls.judge_urls(df, [], urls.page_links(df)).count() == 0
+
+
+def test_all_links_of_any_form_are_followed(spark):
+    def canonical(href):
+        return f'<link rel="canonical" href="{href}">'
+
+    pages = [
+        (1, "http://Free.net/1", canonical("http://free.net/other") + canonical("http://y.com/de/")),  # the second link
+        (2, "http://a.net/x/2", canonical("../y?a=1&amp;b=2")), (3, "http://a.net/y?a=1&b=2", canonical("HTTP://Y.com/de/")),
+        (4, "http://c.net/d/4", canonical("5")), (5, "http://C.NET/d/5", '<meta http-equiv="refresh" content="0; url=?id=3">'),
+        (6, "http://c.net/d/5?id=3#f", '<meta http-equiv="refresh" content="0; url=//y.com/de/">'),
+        (7, "http://e.net/7", '<base href="http://y.com/de/">' + canonical("q")), (8, "http://f.net/8", canonical("mailto:a@y.com/de/")),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = urls.judge_urls(df, RULES, urls.page_links(df))
+    assert dict(got.select("page_id", "verdict").collect()) == {**dict.fromkeys(range(1, 8), "block"), 8: "allow"}
+
+
+def test_links_are_resolved_as_the_standard_says():
+    base = "http://a/b/c/d;p?q"
+    want = {
+        "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g", "?y": "http://a/b/c/d;p?y",
+        "g?y": "http://a/b/c/g?y", "#s": "http://a/b/c/d;p?q#s", ".": "http://a/b/c/", "..": "http://a/b/", "../g": "http://a/b/g",
+        "../..": "http://a/", "../../../g": "http://a/g", "g;x=1/../y": "http://a/b/c/y", "g?y/../x": "http://a/b/c/g?y/../x", "g:h": None,
+    }
+    assert {link: urls.resolve(base, link) for link in want} == want
