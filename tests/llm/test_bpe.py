@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
-from world import documents, messy_rows
+from llm_world import documents, messy_rows
 
 from martkeep.llm import bpe
 from martkeep.llm.queries import QUERIES, word_tokenizer

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from world import documents, messy_rows
+from llm_world import documents, messy_rows
 
 from martkeep.llm import brown
 

@@ -2,7 +2,7 @@ import hashlib
 import math
 
 import pytest
-from world import documents, messy_rows
+from llm_world import documents, messy_rows
 
 from martkeep.llm import fingerprint
 

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from world import brute_groups, documents, messy_rows, prose
+from llm_world import brute_groups, documents, messy_rows, prose
 
 from martkeep.llm import jaccard
 from martkeep.llm.components import connected_components

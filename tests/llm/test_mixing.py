@@ -1,7 +1,7 @@
 from collections import defaultdict
 
 from pyspark.sql import functions as F
-from world import documents, messy_rows, prose
+from llm_world import documents, messy_rows, prose
 
 from martkeep.llm import mixing
 

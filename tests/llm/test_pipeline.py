@@ -5,7 +5,7 @@ from pathlib import Path
 import corpus_pipeline
 import public_tokenizers
 from tokenizers import Tokenizer
-from world import brute_groups
+from llm_world import brute_groups
 
 from martkeep.llm import mixing, quality, toxicity
 from martkeep.llm.common import staged

@@ -1,7 +1,7 @@
 import re
 from collections import Counter
 
-from world import documents, messy_rows
+from llm_world import documents, messy_rows
 
 from martkeep.llm import quality
 

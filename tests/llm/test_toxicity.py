@@ -2,7 +2,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from world import documents, messy_rows, prose
+from llm_world import documents, messy_rows, prose
 
 from martkeep.llm import toxicity
 from martkeep.llm.common import fold
