@@ -38,7 +38,7 @@ def test_equal_texts_and_the_band(spark):
 def test_likeness_tells_edits_from_others():
     import random
 
-    from world import prose
+    from llm_world import prose
 
     rnd = random.Random(4)
     make = fingerprint.Fingerprinter(common=read_nothing())
@@ -68,7 +68,7 @@ def test_small_tables(spark):
 def test_a_family_of_a_third_keeps_its_terms(spark, edits):
     import random
 
-    from world import prose
+    from llm_world import prose
 
     rnd = random.Random(5)
     bases = [prose(rnd, 150, 4000).split() for _ in range(2)]

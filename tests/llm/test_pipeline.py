@@ -40,7 +40,7 @@ def test_every_stage_against_brute_force(spark):
 
 
 def test_messy_rows_pass_all_stages(spark):
-    from world import documents
+    from llm_world import documents
 
     docs = documents(spark, clashing=False)
     for _, stage in corpus_pipeline.STAGES:
