@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkeep.llm import bpe, brown, chat, fingerprint, jaccard, mixing, quality, toxicity, urls, warc
+from martkeep.llm import alignment, bpe, brown, chat, fingerprint, jaccard, mixing, quality, sharding, toxicity, urls, warc, whitening
 from martkeep.llm.common import fold, table
 from martkeep.session import shared_folder
 
@@ -20,11 +20,15 @@ def query(function: Query) -> Query:
     return function
 
 
-def word_tokenizer() -> str:
-    """Where the public word-level BPE vocabulary lies; the same place on every machine."""
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies; the same place on every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def word_tokenizer() -> str:
+    return vocabulary("word_bpe_49k.json")
 
 
 @query
@@ -109,3 +113,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "predicted",
         "patterns",
     )
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.component_table(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return alignment.align_corpus(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+@query
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return sharding.assign_shards(docs, shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
