@@ -9,7 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from martkeep.sources.jdbc import JdbcOptions, key_bounds, read_table
+from martkeep.operators.lookups import DEFAULT_POLICY, LookupPolicy, narrow
+from martkeep.sources.jdbc import JdbcOptions, key_bounds, key_predicates, read_table
 
 # Texts of any length, and dates with microseconds that do not end in 2038.
 _SQL_TYPES = {
@@ -83,12 +84,41 @@ def upsert_statement(
     raise ValueError(f"unknown dialect {dialect!r}")
 
 
+#: What a column of a mart may be in an existing table, by its type in Spark.
+_ACCEPTED = {
+    "int": ("int", "bigint"),
+    "bigint": ("bigint",),
+    "string": ("string",),
+    "double": ("double",),
+    "timestamp": ("timestamp", "timestamp_ntz"),
+    "timestamp_ntz": ("timestamp", "timestamp_ntz"),
+}
+
+
+def schema_problems(found: T.StructType, schema: str) -> list[str]:
+    """Why a mart of ``schema`` cannot be kept in a table with the columns ``found``; empty if it can.
+
+    Columns may have any order and case, and there may be more. A narrower number would
+    overflow and a decimal without places would drop fractions.
+    """
+    there = {column.name.lower(): column.dataType.simpleString() for column in found.fields}
+    problems = []
+    for column in T.StructType.fromDDL(schema).fields:
+        kind, want = there.get(column.name.lower()), column.dataType.simpleString()
+        if kind is None:
+            problems.append(f"no column {column.name}")
+        elif kind.split("(")[0] not in (*_ACCEPTED.get(want, (want,)), *(("varchar", "char") if want == "string" else ())):
+            problems.append(f"column {column.name} is {kind}, not {want}")
+    return problems
+
+
 @dataclass(frozen=True)
 class JdbcMart:
     """``dialect``: ``mysql`` (on duplicate key), ``merge`` or ``conflict``.
 
     ``types`` sets SQL types by column name or Spark type. ``writer`` names the job that
-    writes, and with it its staging table: two jobs on one mart need two names.
+    writes, and with it its staging table: two jobs on one mart need two names. Up to
+    ``lookup_keys`` keys are looked up by lists, which the database answers from its index.
     """
 
     options: JdbcOptions
@@ -98,6 +128,7 @@ class JdbcMart:
     dialect: str = "mysql"
     types: Mapping[str, str] = field(default_factory=dict)
     writer: str = ""
+    lookup_keys: int = 100_000
 
     @property
     def staging(self) -> str:
@@ -117,6 +148,13 @@ class JdbcMart:
             create_statement(self.table, self.schema, self.key, self.dialect, False, self.types),
             create_statement(self.staging, self.schema, self.key, self.dialect, True, self.types),
         )
+        self.check(spark)
+
+    def check(self, spark: SparkSession) -> None:
+        """Refuse a table that was there before and cannot hold the mart."""
+        reader = spark.read.format("jdbc").options(**self.options.reader_options(self.table))
+        if problems := schema_problems(reader.load().schema, self.schema):
+            raise ValueError(f"table {self.table}: {'; '.join(problems)}")
 
     def prepare(self, spark: SparkSession, batch_id: int) -> None:
         """Nothing to do: the database keeps itself compact."""
@@ -126,6 +164,26 @@ class JdbcMart:
         bounds = key_bounds(spark, self.options, self.table, self.key)
         return read_table(spark, self.options, self.table, self.columns, self.key, bounds)
 
+    def state(self, spark: SparkSession, before: int | None = None) -> None:
+        return None
+
+    def lookup(
+        self,
+        spark: SparkSession,
+        keys: DataFrame,
+        size: int | None,
+        before: int | None = None,
+        policy: LookupPolicy = DEFAULT_POLICY,
+    ) -> DataFrame:
+        """Mart rows of ``keys``: keyed reads of 1000 keys a task, or beyond ``lookup_keys`` a scan."""
+        if size is None or size > self.lookup_keys:
+            return narrow(self.snapshot(spark, before), keys, self.key, size, policy)
+        values = [row[0] for row in keys.select(self.key).where(f"{self.key} IS NOT NULL").distinct().collect()]
+        if not values:
+            return spark.createDataFrame([], self.schema)
+        predicates = key_predicates(self.key, values)
+        return read_table(spark, self.options, self.table, self.columns, predicates=predicates)
+
     def apply(
         self, rows: DataFrame, batch_id: int, origin: tuple[str, int] | None = None
     ) -> None:

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martkeep.operators.lookups import DEFAULT_POLICY, LookupPolicy, narrow
+
 
 def spark_types(spark: SparkSession, table: str) -> dict:
     return {field.name: field.dataType for field in spark.table(table).schema.fields}
@@ -29,10 +31,24 @@ class TableMart:
     def prepare(self, spark: SparkSession, batch_id: int) -> None:
         """Nothing to do: compaction belongs to the table format."""
 
+    def state(self, spark: SparkSession, before: int | None = None) -> None:
+        return None
+
     def snapshot(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         spark.catalog.refreshTable(self.table)
         return spark.table(self.table)
 
+    def lookup(
+        self,
+        spark: SparkSession,
+        keys: DataFrame,
+        size: int | None,
+        before: int | None = None,
+        policy: LookupPolicy = DEFAULT_POLICY,
+    ) -> DataFrame:
+        """Mart rows of ``keys``."""
+        return narrow(self.snapshot(spark), keys, self.key, size, policy)
+
     def apply(
         self, rows: DataFrame, batch_id: int, origin: tuple[str, int] | None = None
     ) -> None:

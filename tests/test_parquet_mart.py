@@ -1,8 +1,14 @@
+import os
+import time
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 import world
+from martkeep.operators import LookupPolicy
 from martkeep.schema import PROGRESS_SCHEMA
-from martkeep.sinks import ParquetMart
+from martkeep.sinks import BatchLog, ParquetMart
+from martkeep.sinks.files import listed, put_if_absent, read_text
 
 SCHEMA = "k INT, a STRING"
 
@@ -183,3 +189,136 @@ def test_small_batches_never_rewrite_the_full_copy(spark, tmp_path):
     assert kinds.count("full") == 1 and kinds.count("layer") <= 2 and kinds.count("batch") <= 5
     mart.compact(spark)
     assert content(mart.snapshot(spark)) == want and mart.begin(spark, "r", 0) == 9
+
+
+# --- several writers ------------------------------------------------------------------
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    path = f"file:{tmp_path}/folder/number"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: put_if_absent(spark, path, f"writer {i}"), range(16)))
+    assert won.count(True) == 1 and read_text(spark, path) == f"writer {won.index(True)}"
+    assert list(listed(spark, f"file:{tmp_path}/folder")) == ["number"] and listed(spark, f"file:{tmp_path}/none") == {}
+
+
+def test_writers_that_begin_at_once_get_numbers_of_their_own(spark, mart):
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda i: mart.begin(spark, f"run-{i}", 0), range(8)))
+    assert sorted(numbers) == list(range(8))
+    assert [mart.begin(spark, f"run-{i}", 0) for i in range(8)] == numbers
+
+
+@pytest.mark.parametrize("first", ["one", "two"])
+def test_two_interleaved_writers_leave_one_row_per_key(spark, mart, first):
+    numbers = {run: mart.begin(spark, run, 0) for run in ("one", "two")}
+    second = {"one": "two", "two": "one"}[first]
+    for run in (first, second):
+        mart.prepare(spark, numbers[run])
+        mart.apply(rows(spark, (1, run), (2 if run == "one" else 3, run)), numbers[run], (run, 0))
+    assert content(mart.snapshot(spark)) == {1: "two", 2: "one", 3: "two"}
+
+
+def test_nothing_is_folded_past_a_number_that_is_still_to_be_written(spark, tmp_path):
+    mart = ParquetMart(f"file:{tmp_path}/mart", SCHEMA, "k", buckets=2, fold_ratio=0.0)
+    mart.create(spark, rows(spark, (9, "nine")))
+    slow = mart.begin(spark, "slow", 0)
+    for batch in range(3):
+        number = mart.begin(spark, "quick", batch)
+        mart.prepare(spark, number)
+        mart.apply(rows(spark, (1, f"quick {batch}")), number, ("quick", batch))
+    mart.compact(spark)
+    assert [v.number for v in mart.versions(spark) if v.kind == "full"] == [0]
+    mart.apply(rows(spark, (1, "slow"), (2, "slow")), slow, ("slow", 0))
+    assert content(mart.snapshot(spark)) == {1: "quick 2", 2: "slow", 9: "nine"}
+    mart.compact(spark)
+    assert [v.number for v in mart.versions(spark) if v.kind == "full"] == [0, 4]
+    assert content(mart.snapshot(spark)) == {1: "quick 2", 2: "slow", 9: "nine"}
+
+
+def test_a_number_that_lapsed_holds_nothing_up_and_is_refused(spark, tmp_path):
+    mart = ParquetMart(f"file:{tmp_path}/mart", SCHEMA, "k", buckets=2, fold_ratio=0.0, lapse_hours=1)
+    mart.create(spark, rows(spark, (9, "nine")))
+    gone = mart.begin(spark, "gone", 0)
+    number = mart.begin(spark, "here", 0)
+    mart.apply(rows(spark, (1, "here")), number, ("here", 0))
+    hours_ago = time.time() - 7200
+    os.utime(tmp_path / "mart" / "_numbers" / f"{gone:012d}", (hours_ago, hours_ago))
+    mart.compact(spark)
+    assert content(mart.snapshot(spark)) == {1: "here", 9: "nine"}
+    with pytest.raises(RuntimeError, match="lapsed"):
+        mart.apply(rows(spark, (9, "late")), gone, ("gone", 0))
+    assert mart.begin(spark, "gone", 0) == 2  # behind what was folded
+    assert mart.begin(spark, "here", 0) == 3  # folded: a repetition goes on behind as well
+
+
+def test_state_tells_of_another_writer(spark, mart):
+    low, high = mart.begin(spark, "one", 0), mart.begin(spark, "two", 0)
+    state = mart.state(spark, high)
+    assert mart.state(spark, high) == state
+    mart.apply(rows(spark, (1, "x")), low, ("one", 0))
+    assert mart.state(spark, high) != state
+
+
+def test_vacuum(spark, mart, tmp_path):
+    root = tmp_path / "mart"
+    failed = mart.begin(spark, "failed", 0)
+    mart.apply(rows(spark, (1, "half")), failed, ("failed", 0))
+    (root / f"batch-{failed:012d}-of-failed-0" / "_SUCCESS").unlink()
+    kept = mart.begin(spark, "kept", 0)
+    mart.apply(rows(spark, (2, "kept")), kept, ("kept", 0))
+    assert mart.vacuum(spark) == []  # still young
+    assert sorted(mart.vacuum(spark, older_than_hours=-1)) == [f"batch-{failed:012d}-of-failed-0", f"number {failed}"]
+    assert not (root / f"batch-{failed:012d}-of-failed-0").exists()
+    assert content(mart.snapshot(spark)) == {1: "one", 2: "kept"}
+    assert mart.vacuum(spark, older_than_hours=-1) == []
+
+
+# --- keyed reads ----------------------------------------------------------------------
+
+
+def _files_read(frame):
+    """Files that a frame's plan is bound to."""
+    return set(frame.inputFiles())
+
+
+@pytest.mark.parametrize("size", [None, 5000])
+def test_thousands_of_keys_read_their_buckets_only(spark, tmp_path, size):
+    mart = ParquetMart(f"file:{tmp_path}/mart", "k BIGINT, a STRING", "k", buckets=64, fold_ratio=1e9)
+    mart.create(spark, spark.range(400_000).selectExpr("id AS k", "CAST(id AS STRING) AS a"))
+    keys = spark.range(400_000).selectExpr("id AS k").where("pmod(hash(k), 64) IN (3, 17, 40)").limit(5000).cache()
+    mart.apply(spark.createDataFrame([(keys.first()[0], "new"), (-1, "other")], "k BIGINT, a STRING"), 0)
+    found = mart.lookup(spark, keys, size, policy=LookupPolicy())
+    assert found.count() == 5000 and found.where("a = 'new'").count() == 1
+    assert found.where("a <> 'new' AND a <> CAST(k AS STRING)").count() == 0
+    full = {name.rsplit("_", 1)[1][:5] for name in map(os.path.basename, _files_read(found)) if "_000" in name}
+    assert full == {"00003", "00017", "00040"} if size else len(full) == 64
+    assert mart.lookup(spark, keys.limit(0), 0).count() == 0
+    assert mart.lookup(spark, keys.limit(0), 2000).count() == 0
+
+
+# --- one record for several marts -----------------------------------------------------
+
+
+def test_batches_count_once_they_are_recorded(spark, tmp_path):
+    log = BatchLog(f"file:{tmp_path}/log")
+    marts = {
+        name: ParquetMart(f"file:{tmp_path}/{name}", SCHEMA, "k", buckets=2, log=log, name=name) for name in ("left", "right")
+    }
+    for mart in marts.values():
+        mart.create(spark, rows(spark, (1, "old")))
+    for batch in range(3):
+        numbers = {}
+        for name, mart in marts.items():
+            numbers[name] = mart.begin(spark, "Run-1", batch)
+            mart.prepare(spark, numbers[name])
+            mart.apply(rows(spark, (1, f"{name} {batch}"), (batch + 2, "x")), numbers[name], ("Run-1", batch))
+            shown = [content(frame)[1] for frame in log.snapshots(spark, *marts.values())]
+            assert shown == (["old", "old"] if not batch else [f"left {batch - 1}", f"right {batch - 1}"])
+        assert log.record(spark, "Run-1", batch, numbers) and not log.record(spark, "Run-1", batch, numbers)
+        assert [content(frame)[1] for frame in log.snapshots(spark, *marts.values())] == [f"left {batch}", f"right {batch}"]
+    before = log.records(spark)
+    log.fold(spark)
+    log.fold(spark)
+    assert log.records(spark) == before and len(listed(spark, f"file:{tmp_path}/log")) == 1
+    assert [r.batch_id for r in before] == [0, 1, 2] and content(marts["left"].snapshot(spark))[1] == "left 2"
