@@ -16,7 +16,7 @@ from martkeep.functions import delete_flag, key_number, parse_start_time, start_
 from martkeep.plans.progress import courses, of_course_run, of_enrolment
 from martkeep.schema import ENROLL, ENROLL_KEY, PROGRESS, PROGRESS_COLUMNS, PROGRESS_KEY
 from martkeep.session import shared_folder
-from martkeep.sinks import ParquetMart
+from martkeep.sinks import BatchLog, ParquetMart
 from martkeep.sources.messages import stream_parquet
 from martkeep.sources.tables import FunctionTables, SourceTables
 from martkeep.streaming import MartUpkeep, UpkeepOptions
@@ -64,6 +64,11 @@ class Inputs:
         )
         return ops.message_keys(messages)
 
+    @cached_property
+    def learnings(self) -> DataFrame:
+        """Touched learning rows, from one pass over the table."""
+        return ops.touched_learnings(self.keys, self.tables.learning)
+
     @cached_property
     def touched(self) -> DataFrame:
         return ops.touched_keys(self.keys, self.tables.learning)
@@ -310,7 +315,7 @@ def soft_delete_flag(spark, sf_dir):
 @query
 def progress_rows(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return plans.progress_rows(i.progress_keys(), i.tables, i.mart, as_of())
+    return plans.progress_rows(None, i.tables, i.mart, as_of(), learning=i.learnings)
 
 
 @query
@@ -325,7 +330,7 @@ def progress_rows_sql(spark, sf_dir):
 @query
 def progress_rows_one_per_key(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return plans.progress_rows(i.progress_keys(), i.tables, i.mart, as_of(), one_per_key=True)
+    return plans.progress_rows(None, i.tables, i.mart, as_of(), one_per_key=True, learning=i.learnings)
 
 
 @query
@@ -405,7 +410,31 @@ def progress_rows_last_only(spark, sf_dir):
 @query
 def merge_progress(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return plans.merged_progress(i.progress_keys(), i.tables, i.mart, as_of())
+    return plans.merged_progress(None, i.tables, i.mart, as_of(), learning=i.learnings)
+
+
+@query
+def merge_progress_flag_missing(spark, sf_dir):
+    """Mart rows of touched keys that the tables give no row for are flagged."""
+    i = Inputs(spark, sf_dir)
+    return plans.merged_progress(i.progress_keys(), i.tables, i.mart, as_of(), missing="flag", learning=i.learnings)
+
+
+@query
+def merge_two_writers(spark, sf_dir):
+    """Two streams begin before either writes, share a third of the keys, and end in reverse."""
+    i = Inputs(spark, sf_dir)
+    folder = shared_folder(spark, "writers")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in i.mart.schema.fields)
+    mart = ParquetMart(f"{folder}/progress", schema, PROGRESS_KEY)
+    mart.create(spark, i.mart)
+    parts = {run: i.learnings.where(f"learning_seq % 3 <> {rest}") for run, rest in (("one", 0), ("two", 1))}
+    numbers = {run: mart.begin(spark, run, 0) for run in parts}
+    for run, learnings in reversed(parts.items()):
+        known = mart.snapshot(spark, before=numbers[run])
+        rows = plans.progress_rows(None, i.tables, known, as_of(), one_per_key=True, learning=learnings)
+        mart.apply(rows, numbers[run], (run, 0))
+    return mart.snapshot(spark)
 
 
 @query
@@ -429,7 +458,7 @@ def rebuild_enroll(spark, sf_dir):
 @query
 def reconcile_progress(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    merged = plans.merged_progress(i.progress_keys(), i.tables, i.mart, as_of())
+    merged = plans.merged_progress(None, i.tables, i.mart, as_of(), learning=i.learnings)
     rebuilt = plans.rebuild_progress(i.tables, i.mart, as_of())
     return plans.reconcile(merged, rebuilt, PROGRESS_KEY, UNDATED[1:])
 
@@ -453,12 +482,13 @@ def _run_stream(
     Each of the conditions ``parts`` is a run with a checkpoint of its own, on the same marts.
     """
     folder = shared_folder(spark, "stream")
+    log = BatchLog(f"{folder}/batches")
     progress = views.progress_mart(spark, sf_dir)
     enroll = views.enroll_mart(spark, sf_dir)
     stores = {}
     for name, mart, key in (("progress", progress, PROGRESS_KEY), ("enroll", enroll, ENROLL_KEY)):
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in mart.schema.fields)
-        stores[name] = ParquetMart(f"{folder}/{name}", schema, key)
+        stores[name] = ParquetMart(f"{folder}/{name}", schema, key, log=log, name=name)
         stores[name].create(spark, mart)
     job = MartUpkeep(
         FunctionTables(lambda session: views.source_tables(session, sf_dir)),
@@ -468,6 +498,7 @@ def _run_stream(
         quarantine_path=f"{folder}/quarantine",
         audit_path=f"{folder}/audit",
         clock=as_of,
+        log=log,
     )
     schema = views.table(spark, sf_dir, "events").schema
     events = stream_parquet(spark, f"{sf_dir}/events*.parquet", schema)

@@ -339,6 +339,16 @@ SQL: dict[str, str] = {
         _with_tombstones("facts"), _LAST_KEYS, _facts("facts", "last_keys"), _REVIVED
     ),
     "merge_progress": _MERGED,
+    "merge_progress_flag_missing": _with(
+        _merge("mart", "flagged", "learning_seq"),
+        _FACTS,
+        _ROWS,
+        f"""flagged AS (SELECT * FROM rows_one UNION ALL
+            SELECT m.* REPLACE ({AS_OF_SQL} AS update_date, 'Y' AS delete_yn)
+            FROM mart m JOIN progress_keys USING (learning_seq)
+            WHERE m.learning_seq NOT IN (SELECT learning_seq FROM rows_one) AND m.delete_yn <> 'Y')""",
+    ),
+    "merge_two_writers": _MERGED,
     "merge_enroll": _MERGED_ENROLL,
     "rebuild_progress": _with(_rows("all_facts", one=True), _ALL_FACTS),
     "rebuild_enroll": _with(_enroll("all_enroll_keys")),

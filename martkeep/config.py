@@ -26,6 +26,7 @@ CHOICES = {
     "course.run.from": ("mart", "enroll"),
     "compat.fallthrough": ("false", "true"),
     "last.only": ("false", "true"),
+    "missing": ("leave", "flag"),
     "null.numbers.as.zero": ("false", "true"),
 }
 
@@ -53,7 +54,7 @@ class JobConfig:
     matters when the start time lies far back, and ``kafka.min.partitions`` splits it finer.
     The choices of the job have the names of :class:`~martkeep.streaming.UpkeepOptions` with
     dots: ``key.type``, ``coercion``, ``compat.fallthrough``, ``course.run.from``,
-    ``last.only``, ``null.numbers.as.zero``; the broadcast and pushdown limits are
+    ``last.only``, ``missing``, ``null.numbers.as.zero``; the broadcast and pushdown limits are
     ``pushdown.keys`` and ``broadcast.keys``.
     """
 

@@ -76,6 +76,26 @@ def fold(mart: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     )
 
 
+def flag_missing(rows: DataFrame, known: DataFrame, key: str, as_of: Column) -> DataFrame:
+    """``rows`` (one per key) and, of the mart rows ``known``, those that got none, flagged as deleted.
+
+    ``known`` holds the mart rows of the touched keys. A row that has gone keeps its columns
+    but for ``delete_yn`` and ``update_date``; one that is flagged already is left alone. One
+    join, so ``rows`` is computed once.
+    """
+    columns = rows.columns
+    new = rows.select(F.col(key).alias("_key"), F.struct(*columns).alias("_new"))
+    gone = [
+        {"delete_yn": F.lit("Y"), "update_date": as_of}.get(name, F.col(name))
+        .cast(rows.schema[name].dataType).alias(name)
+        for name in columns
+    ]
+    old = known.select(F.col(key).alias("_old_key"), F.struct(*gone).alias("_old"), (F.col("delete_yn") == "Y").alias("_flagged"))
+    joined = old.join(new, F.col("_old_key") == F.col("_key"), "full")
+    joined = joined.where("_key IS NOT NULL OR NOT coalesce(_flagged, false)")
+    return joined.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
+
+
 def fold_delta(mart: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """:func:`fold` for ``rows`` that are stored already and small beside the mart.
 

@@ -8,37 +8,54 @@ the counts still allow an exact per-message (bag) result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkeep.functions.flags import is_unconfirmed
-from martkeep.operators.messages import accepted
-from martkeep.schema import CONFIRMED_STATUS, ENROLL, ENROLL_TABLE, PROGRESS
+from martkeep.operators.lookups import DEFAULT_POLICY, LookupPolicy, in_parts, part_columns
+from martkeep.schema import CONFIRMED_STATUS, ENROLL, ENROLL_TABLE, PROGRESS, SUBJECT_TABLE
 
 
-def message_keys(messages: DataFrame, confirmed: str = CONFIRMED_STATUS) -> DataFrame:
-    """Counted keys: ``from_enroll, seq, n_messages, n_unconfirmed, last_source_ts_ms``."""
+def count_messages(messages: DataFrame, confirmed: str = CONFIRMED_STATUS) -> DataFrame:
+    """Messages counted by ``kind`` (table, or 'other'), ``reason`` and key ``seq``.
+
+    Adds ``from_enroll, n_messages, n_unconfirmed, first_source_ts_ms, last_source_ts_ms``.
+    ``seq`` is NULL for messages that touch no key. Keys and audit both start from here, so
+    the messages are aggregated once.
+    """
     enroll = F.col("table_name") == ENROLL_TABLE
-    keyed = accepted(messages).select(
-        enroll.alias("enroll_key"),
-        F.when(enroll, F.col("enroll_seq")).otherwise(F.col("learning_seq")).alias("seq"),
-        (enroll & is_unconfirmed(F.col("confirm_status_cd"), confirmed)).alias("unconfirmed"),
+    known = F.col("table_name").isin(ENROLL_TABLE, SUBJECT_TABLE)
+    sound = F.col("reason").isNull() & known
+    keyed = messages.select(
+        F.when(known, F.col("table_name")).otherwise(F.lit("other")).alias("kind"),
+        "reason",
+        F.when(sound, F.when(enroll, F.col("enroll_seq")).otherwise(F.col("learning_seq"))).alias("seq"),
+        (sound & enroll & is_unconfirmed(F.col("confirm_status_cd"), confirmed)).alias("unconfirmed"),
         F.col("source_ts_ms").try_cast("double").try_cast("bigint").alias("source_ts_ms"),
-    ).where("seq IS NOT NULL")
-    # Two measures let all users of the result share one scan and one shuffle. Accepted
-    # messages have a key anyway; saying so here keeps a join on it from adding the
-    # condition to its own branch. And from_enroll repeats the grouping flag as an
-    # aggregate, so that a filter on it stays above the aggregation.
-    return (
-        keyed.groupBy("enroll_key", "seq")
-        .agg(
-            F.max("enroll_key").alias("from_enroll"),
-            F.count(F.lit(1)).alias("n_messages"),
-            F.count_if("unconfirmed").alias("n_unconfirmed"),
-            F.max("source_ts_ms").alias("last_source_ts_ms"),
-        )
-        .drop("enroll_key")
     )
+    # Whether the key is an enrolment's is an aggregate, not a grouping column, so that a
+    # filter on it stays above the aggregation: all users of the keys share one scan and
+    # one shuffle.
+    return keyed.groupBy("kind", "reason", "seq").agg(
+        F.max(F.col("kind") == ENROLL_TABLE).alias("from_enroll"),
+        F.count(F.lit(1)).alias("n_messages"),
+        F.count_if("unconfirmed").alias("n_unconfirmed"),
+        F.min("source_ts_ms").alias("first_source_ts_ms"),
+        F.max("source_ts_ms").alias("last_source_ts_ms"),
+    )
+
+
+def keys_of(counted: DataFrame) -> DataFrame:
+    """Counted keys: ``from_enroll, seq, n_messages, n_unconfirmed, last_source_ts_ms``."""
+    names = ("from_enroll", "seq", "n_messages", "n_unconfirmed", "last_source_ts_ms")
+    return counted.where("seq IS NOT NULL").select(*names)
+
+
+def message_keys(messages: DataFrame, confirmed: str = CONFIRMED_STATUS) -> DataFrame:
+    """:func:`keys_of` the messages."""
+    return keys_of(count_messages(messages, confirmed))
 
 
 def expand_enrolments(
@@ -56,6 +73,57 @@ def expand_enrolments(
     return owned.join(enrolments, F.col("_owner") == F.col("seq")).drop("_owner")
 
 
+def touched_learnings(
+    keys: DataFrame,
+    learning: DataFrame,
+    *,
+    n_enrolments: int | None = None,
+    n_named: int | None = None,
+    policy: LookupPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Whole learning rows that ``keys`` touch, by enrolment or by name, in one pass.
+
+    The columns of ``learning`` and ``n_enroll``, ``n_named``: the messages of the row's
+    enrolment and those that name the learning itself (NULL for none), and
+    ``n_unconfirmed``. What expands enrolments and what looks learnings up need not read the
+    table again. ``n_enrolments`` and ``n_named`` bound the two kinds of keys, if known: few
+    are sent to the scan as lists, more are broadcast, and partitions that can hold none of
+    them are not read. Otherwise the learning rows are the left side of both joins, which
+    adaptive execution can split, so an enrolment may own a large share of them.
+    """
+    enrolments = keys.where("from_enroll").select(
+        F.col("seq").alias("_owner"), F.col("n_messages").alias("n_enroll"), "n_unconfirmed"
+    )
+    named = keys.where("NOT from_enroll").select(
+        F.col("seq").alias("_name"), F.col("n_messages").alias("n_named")
+    )
+    plain = [name for name in learning.columns if name not in part_columns(learning)]
+    sides = ((enrolments, "_owner", "enroll_seq", n_enrolments), (named, "_name", "learning_seq", n_named))
+    if all(policy.broadcasts(n) for *_, n in sides):
+        wanted = [
+            in_parts(learning, side.select(F.col(key).alias(column)), column) if n else F.lit(False)
+            for side, key, column, n in sides
+        ]
+        if all(condition is not None for condition in wanted):
+            learning = learning.where(wanted[0] | wanted[1])
+        if all(policy.pushes(n) for *_, n in sides):
+            lists = [[row[0] for row in side.select(key).collect()] if n else [] for side, key, _, n in sides]
+            conditions = [F.col(column).isin(found) for (*_, column, _), found in zip(sides, lists) if found]
+            learning = learning.where(reduce(Column.__or__, conditions, F.lit(False)))
+        enrolments, named = F.broadcast(enrolments), F.broadcast(named)
+    rows = learning.select(*plain).join(enrolments, F.col("enroll_seq") == F.col("_owner"), "left")
+    rows = rows.join(named, F.col("learning_seq") == F.col("_name"), "left")
+    touched = rows.where("_owner IS NOT NULL OR _name IS NOT NULL")
+    return touched.select(*plain, "n_enroll", "n_named", "n_unconfirmed")
+
+
+def keys_by_target(touched: DataFrame) -> DataFrame:
+    """``target, seq, n_messages, n_unconfirmed``, one row per key of each mart."""
+    return touched.groupBy("target", "seq").agg(
+        F.sum("n_messages").alias("n_messages"), F.sum("n_unconfirmed").alias("n_unconfirmed")
+    )
+
+
 def touched_keys(
     keys: DataFrame,
     learning: DataFrame,
@@ -68,7 +136,8 @@ def touched_keys(
     learnings; a subject message touches one progress row. The result is a counted
     bag: the same progress key may come from several sources. ``n_unconfirmed`` counts
     the messages that withdraw the enrolment (itself, or behind a progress key). ``seq`` is
-    as wide as the wider of the two kinds of keys, so none is lost.
+    as wide as the wider of the two kinds of keys, so none is lost. ``learning`` is the table,
+    or what :func:`touched_learnings` took from it.
     """
     own = keys.select(
         "seq",
@@ -76,16 +145,16 @@ def touched_keys(
         "n_messages",
         "n_unconfirmed",
     )
-    expanded = (
-        expand_enrolments(keys, learning, broadcast_keys=broadcast_keys)
-        .select(
-            F.col("learning_seq").alias("seq"),
-            F.lit(PROGRESS).alias("target"),
-            "n_messages",
-            "n_unconfirmed",
-        )
-        .where("seq IS NOT NULL")
-    )
+    if "n_enroll" in learning.columns:
+        expanded = learning.where("n_enroll IS NOT NULL").withColumnRenamed("n_enroll", "n_messages")
+    else:
+        expanded = expand_enrolments(keys, learning, broadcast_keys=broadcast_keys)
+    expanded = expanded.select(
+        F.col("learning_seq").alias("seq"),
+        F.lit(PROGRESS).alias("target"),
+        "n_messages",
+        "n_unconfirmed",
+    ).where("seq IS NOT NULL")
     return own.unionByName(expanded)
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,10 +32,57 @@ class LookupPolicy:
 
 DEFAULT_POLICY = LookupPolicy()
 
+#: Most partitions of a table that are listed one by one to prune the others.
+LISTED_PARTITIONS = 20_000
+
 # Rows without a match are spread over this many filler rows.
 _FILLERS = 4096
 
 
+def part_name(column: str, parts: int = 0, width: int = 0) -> str:
+    """Name of a partition column: ``parts`` hashes of ``column``, or ranges ``width`` keys wide.
+
+    Hashes spread any keys evenly, ranges keep neighbours together: change messages mostly
+    touch keys that are close to each other, so ranges prune more.
+    """
+    if (parts > 0) == (width > 0):
+        raise ValueError("either a number of hash partitions or a width of ranges")
+    return f"{column}_part_{parts}" if parts else f"{column}_range_{width}"
+
+
+def part_columns(table: DataFrame, column: str | None = None) -> dict[str, Column]:
+    """The partition columns of ``table`` (by ``column``) and how their values follow from the key."""
+    found = {}
+    for name in table.columns:
+        if match := re.fullmatch(r"(.+)_(part|range)_(\d+)", name):
+            key, kind, n = match.groups()
+            if column in (None, key):
+                number = F.col(key).cast("bigint")
+                value = F.pmod(F.xxhash64(number), F.lit(int(n))) if kind == "part" else F.floor(number / int(n))
+                found[name] = value.cast("int")
+    return found
+
+
+def with_part(table: DataFrame, column: str, parts: int = 0, width: int = 0) -> DataFrame:
+    """``table`` with the column :func:`part_name`, to be written partitioned by it."""
+    name = part_name(column, parts, width)
+    return table.withColumn(name, part_columns(table.withColumn(name, F.lit(0)), column)[name])
+
+
+def in_parts(table: DataFrame, keys: DataFrame, column: str) -> Column | None:
+    """Which partitions of ``table`` can hold ``keys``; None where it has none by ``column``, or too many.
+
+    The numbers of these partitions come to the driver, at most :data:`LISTED_PARTITIONS`, so
+    the scan lists and reads those directories only.
+    """
+    for name, value in part_columns(table, column).items():
+        wanted = keys.select(column).where(F.col(column).isNotNull()).select(value.alias(name)).distinct()
+        numbers = [row[0] for row in wanted.limit(LISTED_PARTITIONS + 1).collect()]
+        if len(numbers) <= LISTED_PARTITIONS:
+            return F.col(name).isin(numbers)
+    return None
+
+
 def narrow(
     table: DataFrame,
     keys: DataFrame | None,
@@ -46,11 +94,16 @@ def narrow(
 
     ``size`` must be an upper bound of the number of rows of ``keys``, or None when no
     bound is known. A small ``size`` makes this fetch the keys, so they should be cheap to
-    compute (persisted, or read from a table).
+    compute (persisted, or read from a table). Of a table partitioned by ``column`` (see
+    :func:`with_part`) only the partitions of a bounded key set are read.
     """
+    plain = [name for name in table.columns if name not in part_columns(table)]
     if keys is None:
-        return table
+        return table.select(*plain)
     keys = keys.select(column)
+    if (policy.pushes(size) or policy.broadcasts(size)) and (parts := in_parts(table, keys, column)) is not None:
+        table = table.where(parts)
+    table = table.select(*plain)
     if policy.pushes(size):
         listed = [row[0] for row in keys.limit(policy.pushdown_keys + 1).collect()]
         if len(listed) <= policy.pushdown_keys:

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martkeep.operators.keys import expand_enrolments, touched_keys
+from martkeep.operators.keys import expand_enrolments, touched_learnings
 from martkeep.operators.lookups import DEFAULT_POLICY, LookupPolicy
-from martkeep.operators.routing import route
 from martkeep.plans.progress import progress_rows
-from martkeep.schema import PROGRESS, PROGRESS_COLUMNS, PROGRESS_KEY
+from martkeep.schema import PROGRESS_COLUMNS, PROGRESS_KEY
 from martkeep.sources.tables import SourceTables
 
 
@@ -58,21 +56,24 @@ def earlier_progress_rows(
     n_enrolments: int | None = None,
     size: int | None = None,
     policy: LookupPolicy = DEFAULT_POLICY,
+    learning: DataFrame | None = None,
 ) -> DataFrame:
     """One row per touched learning: recomputed, else a tombstone if one was asked for.
 
     ``keys`` are counted message keys; ``n_enrolments`` and ``size`` bound the enrolments
     and the touched learnings, if known. With ``last_only`` an enrolment message
     recomputes only its last learning; its other learnings can still be tombstoned.
+    ``learning`` gives the touched learnings where they are at hand; else they are taken from
+    the table, in one pass. Each carries its marks through the joins, so nothing is expanded
+    or joined back.
     """
-    kind = tables.key_type("learning", PROGRESS_KEY)
-    few = policy.broadcasts(n_enrolments)
-    marked = _marked_keys(keys, tables.learning, kind, last_only, few)
-    # Naming both flags keeps this branch's columns, and so its scan and shuffles, the same
-    # as those of the full key list it is joined back to.
-    recompute = marked.where("recompute AND tombstone IS NOT NULL").select(PROGRESS_KEY)
+    if learning is None:
+        learning = touched_learnings(
+            keys, tables.learning, n_enrolments=n_enrolments, n_named=size, policy=policy
+        )
+    marked = _marked(learning, last_only)
     rows = progress_rows(
-        recompute,
+        None if size is None else marked.select(PROGRESS_KEY),
         tables,
         mart,
         as_of,
@@ -81,47 +82,28 @@ def earlier_progress_rows(
         null_numbers_as_zero=null_numbers_as_zero,
         size=size,
         policy=policy,
+        learning=marked,
+        keep=("recompute", "tombstone"),
     )
-    found = rows.select(F.col(PROGRESS_KEY), F.struct(*PROGRESS_COLUMNS).alias("_row"))
-    joined = marked.join(found, PROGRESS_KEY, "left").where("_row IS NOT NULL OR tombstone")
-    fresh = F.col("_row").isNotNull()
+    fresh = F.col("_found") & F.col("recompute")
     blanks = dict(zip(PROGRESS_COLUMNS, _blank(rows), strict=True))
-    return joined.select(
-        *(
-            F.when(fresh, F.col(f"_row.{name}")).otherwise(blanks[name]).alias(name)
-            for name in PROGRESS_COLUMNS
-        )
+    return rows.where(fresh | F.col("tombstone")).select(
+        *(F.when(fresh, F.col(name)).otherwise(blanks[name]).alias(name) for name in PROGRESS_COLUMNS)
     )
 
 
-def _marked_keys(
-    keys: DataFrame, learning: DataFrame, kind: str, last_only: bool, few: bool
-) -> DataFrame:
-    """``learning_seq, recompute, tombstone``, one row per touched learning."""
-    none = F.lit(0).cast("bigint")
-    key = F.col("learning_seq").cast(kind).alias(PROGRESS_KEY)
-    if last_only:
-        named = keys.where("NOT from_enroll").select(F.col("seq").alias("learning_seq"))
-        last = last_learnings(keys, learning, broadcast_keys=few).select("learning_seq")
-        withdrawn = expand_enrolments(
-            keys.where("n_unconfirmed > 0"), learning, broadcast_keys=few
-        ).select(key, F.lit(False).alias("recompute"), "n_unconfirmed")
-        recomputed = (
-            frame.select(key, F.lit(True).alias("recompute"), none.alias("n_unconfirmed"))
-            for frame in (named, last)
-        )
-        progress = reduce(DataFrame.unionByName, recomputed, withdrawn)
-    else:
-        touched = touched_keys(keys, learning, broadcast_keys=few)
-        progress = route(touched, PROGRESS).select(
-            F.col("seq").cast(kind).alias(PROGRESS_KEY),
-            F.lit(True).alias("recompute"),
-            "n_unconfirmed",
-        )
-    return progress.groupBy(PROGRESS_KEY).agg(
-        F.max("recompute").alias("recompute"),
-        (F.max("n_unconfirmed") > 0).alias("tombstone"),
+def _marked(touched: DataFrame, last_only: bool) -> DataFrame:
+    """Touched learnings with ``recompute`` and ``tombstone``."""
+    tombstone = F.coalesce(F.col("n_unconfirmed") > 0, F.lit(False))
+    if not last_only:
+        return touched.withColumn("recompute", F.lit(True)).withColumn("tombstone", tombstone)
+    # All learnings of a touched enrolment are here, so the last of these is its last.
+    last = touched.where("n_enroll IS NOT NULL").groupBy(F.col("enroll_seq").alias("_owner")).agg(
+        F.max("learning_seq").alias("_last")
     )
+    joined = touched.join(last, F.col("enroll_seq") == F.col("_owner"), "left")
+    is_last = F.coalesce(F.col("n_enroll").isNotNull() & (F.col("learning_seq") == F.col("_last")), F.lit(False))
+    return joined.withColumn("recompute", F.col("n_named").isNotNull() | is_last).withColumn("tombstone", tombstone)
 
 
 def _blank(like: DataFrame) -> list[Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkeep.functions import as_of_column
-from martkeep.operators.fold import fold
+from martkeep.operators.fold import flag_missing, fold
 from martkeep.operators.lookups import DEFAULT_POLICY, LookupPolicy, bounded, narrow
 from martkeep.schema import ENROLL_COLUMNS, ENROLL_KEY
 from martkeep.sources.tables import SourceTables
@@ -56,8 +56,15 @@ def merged_enroll(
     tables: SourceTables,
     mart: DataFrame,
     as_of: dt.datetime | Column | None = None,
+    *,
+    missing: str = "leave",
     **options,
 ) -> DataFrame:
-    """The whole enroll mart after an upsert of the rows of ``keys``."""
+    """The whole enroll mart after an upsert of the rows of ``keys``; ``missing`` as for progress."""
+    if missing not in ("leave", "flag"):
+        raise ValueError("missing must be 'leave' or 'flag'")
     rows = enroll_rows(keys, tables, mart, as_of, **options)
+    if missing == "flag":
+        known = narrow(mart.select(*ENROLL_COLUMNS), keys, ENROLL_KEY)
+        rows = flag_missing(rows, known, ENROLL_KEY, as_of_column(as_of))
     return fold(mart.select(*ENROLL_COLUMNS), rows, ENROLL_KEY)

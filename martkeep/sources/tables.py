@@ -13,13 +13,18 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martkeep.operators.lookups import part_columns
 from martkeep.schema import SOURCE_COLUMNS, SOURCE_KEYS, SOURCE_TABLES
-from martkeep.sources.jdbc import JdbcOptions, key_bounds, read_table
+from martkeep.sources.jdbc import JdbcOptions, key_splits, range_predicates, read_table
 
 
 @dataclass(frozen=True)
 class SourceTables:
-    """Snapshot of the source tables, each reduced to the columns in use."""
+    """Snapshot of the source tables, each reduced to the columns in use.
+
+    Columns by which a table is partitioned by a hash or ranges of a key stay as well (see
+    :func:`~martkeep.operators.lookups.with_part`): lookups read the touched partitions only.
+    """
 
     learning: DataFrame
     course_run: DataFrame
@@ -31,7 +36,7 @@ class SourceTables:
     def of(cls, frames: Mapping[str, DataFrame]) -> SourceTables:
         return cls(
             **{
-                name: frames[name].select(*(F.col(c).alias(c) for c in columns))
+                name: frames[name].select(*(F.col(c).alias(c) for c in (*columns, *part_columns(frames[name]))))
                 for name, columns in SOURCE_COLUMNS.items()
             }
         )
@@ -81,7 +86,7 @@ class CatalogTables:
 
 @dataclass(frozen=True)
 class JdbcTables:
-    """Tables of a database, scanned in key ranges."""
+    """Tables of a database, scanned in key ranges that hold about as many rows each."""
 
     options: JdbcOptions
     names: Mapping[str, str] = field(default_factory=lambda: dict(SOURCE_TABLES))
@@ -90,11 +95,9 @@ class JdbcTables:
     def load(self, spark: SparkSession) -> SourceTables:
         frames = {}
         for name, columns in SOURCE_COLUMNS.items():
-            key = SOURCE_KEYS[name]
-            bounds = None
-            if self.split:
-                bounds = key_bounds(spark, self.options, self.names[name], key)
+            key, table = SOURCE_KEYS[name], self.names[name]
+            splits = key_splits(spark, self.options, table, key) if self.split else []
             frames[name] = read_table(
-                spark, self.options, self.names[name], columns, key, bounds
+                spark, self.options, table, columns, predicates=range_predicates(key, splits)
             )
         return SourceTables.of(frames)

@@ -18,16 +18,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martkeep.functions.dates import start_time_millis
-from martkeep.operators.keys import distinct_keys, message_keys, touched_keys
-from martkeep.operators.lookups import DEFAULT_POLICY, LookupPolicy, narrow
+from martkeep.operators.fold import flag_missing
+from martkeep.operators.keys import (
+    count_messages,
+    distinct_keys,
+    keys_by_target,
+    keys_of,
+    touched_keys,
+    touched_learnings,
+)
+from martkeep.operators.lookups import DEFAULT_POLICY, LookupPolicy
 from martkeep.operators.messages import read_messages, rejected, since
 from martkeep.operators.routing import route
 from martkeep.plans.earlier import earlier_progress_rows
 from martkeep.plans.enroll import enroll_rows
 from martkeep.plans.progress import progress_rows
 from martkeep.plans.upkeep import rebuild_enroll, rebuild_progress, reconcile
-from martkeep.schema import ENROLL, ENROLL_KEY, ENROLL_TABLE, PROGRESS, PROGRESS_KEY, SUBJECT_TABLE
-from martkeep.sinks import MartStore
+from martkeep.schema import ENROLL, ENROLL_KEY, PROGRESS, PROGRESS_KEY
+from martkeep.sinks import BatchLog, MartStore
 from martkeep.sources.tables import SourceTables, TableSource
 
 
@@ -39,8 +47,9 @@ class UpkeepOptions:
     (``fail``). ``tombstones`` selects the earlier progress job: withdrawn enrolments
     blank their learnings and deleted rows revive with a new insert date. ``start_time``
     (``yyyyMMddHHmmss``) skips older messages of a file source. ``key_type`` bounds the keys
-    of messages; by default it is the widest key of the tables. The others reproduce quirks
-    of the original job.
+    of messages; by default it is the widest key of the tables. ``missing="flag"`` marks mart
+    rows of touched keys as deleted when the tables no longer give a row for them; by default
+    they stay as they are. The others reproduce quirks of the original job.
     """
 
     on_error: str = "quarantine"
@@ -52,6 +61,7 @@ class UpkeepOptions:
     compat_fallthrough: bool = False
     course_run_from: str = "mart"
     start_time: str | None = None
+    missing: str = "leave"
     policy: LookupPolicy = field(default=DEFAULT_POLICY)
 
 
@@ -61,7 +71,11 @@ def _utc_now() -> Column:
 
 @dataclass(frozen=True)
 class MartUpkeep:
-    """Keeps up to two marts. ``clock`` gives the instant a batch is stamped with."""
+    """Keeps up to two marts. ``clock`` gives the instant a batch is stamped with.
+
+    With ``log`` a batch ends with one record of what it wrote. Marts that know the log (see
+    :class:`~martkeep.sinks.ParquetMart`) show nothing of a batch before that.
+    """
 
     tables: TableSource
     progress: MartStore | None = None
@@ -70,10 +84,13 @@ class MartUpkeep:
     quarantine_path: str | None = None
     audit_path: str | None = None
     clock: Callable[[], Column] = _utc_now
+    log: BatchLog | None = None
 
     def __post_init__(self) -> None:
         if self.options.on_error == "quarantine" and not self.quarantine_path:
             raise ValueError("on_error='quarantine' needs a quarantine_path")
+        if self.options.missing not in ("leave", "flag"):
+            raise ValueError("missing must be 'leave' or 'flag'")
 
     def start(
         self,
@@ -106,27 +123,46 @@ class MartUpkeep:
         options = self.options
         as_of = self.clock()
         run = _run_of(spark)
+        origin = (run, batch_id)
         with _adaptive(spark), _kept() as keep:
             tables = self.tables.load(spark)
-            messages = keep(self._messages(batch, tables))
+            messages = self._messages(batch, tables)
             if options.on_error == "quarantine":
+                messages = keep(messages)  # read twice
                 self._write(rejected(messages), self.quarantine_path, run, batch_id)
             # Few rows beside the messages; everything below starts from them.
-            keys = keep(message_keys(messages))
+            counted = keep(count_messages(messages))
+            keys = keys_of(counted)
             sizes = dict(keys.groupBy("from_enroll").count().collect())
+            totals: dict[str, tuple[int, int]] = {}
+            numbers: dict[str, int] = {}
             if sizes:
-                touched = keep(self._touched(keys, tables, sizes.get(True, 0)))
-                if self.progress is not None:
-                    n_enrolments = sizes.get(True, 0)
-                    self._upsert_progress(
-                        (run, batch_id), keys, n_enrolments, touched, tables, as_of, keep
+                learnings = keep(
+                    touched_learnings(
+                        keys,
+                        tables.learning,
+                        n_enrolments=sizes.get(True, 0),
+                        n_named=sizes.get(False, 0),
+                        policy=options.policy,
+                    )
+                )
+                keyed = keep(keys_by_target(touched_keys(keys, learnings)))
+                sums = keyed.groupBy("target").agg(F.count("*"), F.sum("n_messages"))
+                totals = {target: (n_keys, n) for target, n_keys, n in sums.collect()}
+                if self.progress is not None and PROGRESS in totals:
+                    numbers[PROGRESS] = self._upsert_progress(
+                        origin, keyed, learnings, totals[PROGRESS][0], tables, as_of
                     )
                 if self.enroll is not None:
-                    self._upsert_enroll((run, batch_id), touched, tables, as_of, keep)
-            else:
-                touched = None
+                    size = totals.get(ENROLL, (0, 0))[0]
+                    if options.compat_fallthrough:
+                        size += totals.get(PROGRESS, (0, 0))[0]
+                    if size:
+                        numbers[ENROLL] = self._upsert_enroll(origin, keyed, size, tables, as_of)
             if self.audit_path:
-                self._write(audit_rows(messages, touched, as_of), self.audit_path, run, batch_id)
+                self._write(audit_rows(counted, totals, as_of), self.audit_path, run, batch_id)
+            if self.log is not None:
+                self.log.record(spark, run, batch_id, numbers)
 
     def rebuild(self, spark: SparkSession, next_batch: int | None = None) -> None:
         """Recompute both marts for all keys of the tables, keeping insert dates.
@@ -186,69 +222,73 @@ class MartUpkeep:
         text = F.when(F.col("reason").isNotNull(), F.col("value"))
         return messages.withColumn("value", text)
 
-    def _touched(self, keys: DataFrame, tables: SourceTables, n_enrolments: int) -> DataFrame:
-        policy = self.options.policy
-        learning = tables.learning
-        if policy.pushes(n_enrolments):
-            listed = keys.where("from_enroll").select(F.col("seq").alias(ENROLL_KEY))
-            learning = narrow(learning, listed, ENROLL_KEY, n_enrolments, policy)
-        return touched_keys(
-            keys,
-            learning,
-            broadcast_keys=policy.broadcasts(n_enrolments),
-        )
-
-    def _upsert_progress(
-        self, origin, keys, n_enrolments, touched, tables, as_of, keep
-    ) -> None:
-        options, store, spark = self.options, self.progress, keys.sparkSession
+    def _settle(
+        self,
+        store: MartStore,
+        origin: tuple[str, int],
+        keys: DataFrame,
+        size: int,
+        rows_of: Callable[[DataFrame], DataFrame],
+    ) -> int:
+        """Upsert ``rows_of`` the mart's rows of ``keys``; the store's number of the batch.
+
+        If another writer's earlier batch came in meanwhile, the rows were made from a state
+        that is no longer the one before this batch: they are made and written again.
+        """
+        spark = keys.sparkSession
+        number = store.begin(spark, *origin)
+        store.prepare(spark, number)
+        while True:
+            state = store.state(spark, number)
+            known = store.lookup(spark, keys, size, number, self.options.policy)
+            store.apply(rows_of(known), number, origin)
+            if store.state(spark, number) == state:
+                return number
+
+    def _upsert_progress(self, origin, keyed, learnings, size, tables, as_of) -> int:
+        options = self.options
         kind = tables.key_type("learning", PROGRESS_KEY)
-        progress_keys = keep(distinct_keys(route(touched, PROGRESS), PROGRESS_KEY, kind))
-        size = progress_keys.count()
-        if not size:
-            return
-        batch_id = store.begin(spark, *origin)
-        store.prepare(spark, batch_id)
-        mart = store.snapshot(spark, before=batch_id)
+        keys = keyed.where(F.col("target") == PROGRESS).select(F.col("seq").cast(kind).alias(PROGRESS_KEY))
         common = {
             "null_numbers_as_zero": options.null_numbers_as_zero,
             "size": size,
             "policy": options.policy,
+            "learning": learnings,
         }
-        if options.tombstones:
-            rows = earlier_progress_rows(
+
+        def rows_of(mart: DataFrame) -> DataFrame:
+            if options.tombstones:
+                rows = earlier_progress_rows(
+                    keys, tables, mart, as_of, last_only=options.last_only, **common
+                )
+            else:
+                rows = progress_rows(keys, tables, mart, as_of, one_per_key=True, **common)
+            return flag_missing(rows, mart, PROGRESS_KEY, as_of) if options.missing == "flag" else rows
+
+        return self._settle(self.progress, origin, keys, size, rows_of)
+
+    def _upsert_enroll(self, origin, keyed, size, tables, as_of) -> int:
+        options = self.options
+        kind = tables.key_type("enroll", ENROLL_KEY)
+        routed = route(keyed, ENROLL, compat_fallthrough=options.compat_fallthrough)
+        if options.compat_fallthrough:  # both kinds of keys meet here
+            keys = distinct_keys(routed, ENROLL_KEY, kind).select(ENROLL_KEY)
+        else:
+            keys = routed.select(F.col("seq").cast(kind).alias(ENROLL_KEY))
+
+        def rows_of(mart: DataFrame) -> DataFrame:
+            rows = enroll_rows(
                 keys,
                 tables,
                 mart,
                 as_of,
-                last_only=options.last_only,
-                n_enrolments=n_enrolments,
-                **common,
+                course_run_from=options.course_run_from,
+                size=size,
+                policy=options.policy,
             )
-        else:
-            rows = progress_rows(progress_keys, tables, mart, as_of, one_per_key=True, **common)
-        store.apply(rows, batch_id, origin)
+            return flag_missing(rows, mart, ENROLL_KEY, as_of) if options.missing == "flag" else rows
 
-    def _upsert_enroll(self, origin, touched, tables, as_of, keep) -> None:
-        options, store, spark = self.options, self.enroll, touched.sparkSession
-        kind = tables.key_type("enroll", ENROLL_KEY)
-        routed = route(touched, ENROLL, compat_fallthrough=options.compat_fallthrough)
-        enroll_keys = keep(distinct_keys(routed, ENROLL_KEY, kind))
-        size = enroll_keys.count()
-        if not size:
-            return
-        batch_id = store.begin(spark, *origin)
-        store.prepare(spark, batch_id)
-        rows = enroll_rows(
-            enroll_keys,
-            tables,
-            store.snapshot(spark, before=batch_id),
-            as_of,
-            course_run_from=options.course_run_from,
-            size=size,
-            policy=options.policy,
-        )
-        store.apply(rows, batch_id, origin)
+        return self._settle(self.enroll, origin, keys, size, rows_of)
 
     @staticmethod
     def _write(rows: DataFrame, path: str, run: str, batch_id: int) -> None:
@@ -261,39 +301,23 @@ def _run_of(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
 
-def audit_rows(messages: DataFrame, touched: DataFrame | None, as_of: Column) -> DataFrame:
+def audit_rows(counted: DataFrame, totals: dict[str, tuple[int, int]], as_of: Column) -> DataFrame:
     """Counts of a batch: messages by table and reason, keys by target mart.
 
-    ``n`` counts messages or emitted keys, ``n_keys`` the distinct keys. Tables that no
-    mart depends on are counted together, so the result has a handful of rows.
+    ``n`` counts messages or emitted keys, ``n_keys`` the distinct keys. ``counted`` are the
+    counted messages, ``totals`` the distinct keys and emitted keys per mart: what the batch
+    has computed anyway, so no message is looked at again. Tables that no mart depends on
+    are counted together, so the result has a handful of rows.
     """
-    known = F.col("table_name").isin(ENROLL_TABLE, SUBJECT_TABLE)
-    source_ts = F.col("source_ts_ms").try_cast("double").try_cast("bigint")
-    audit = messages.groupBy(
-        F.lit("messages").alias("kind"),
-        F.when(known, F.col("table_name")).otherwise(F.lit("other")).alias("name"),
-        "reason",
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
+    audit = counted.groupBy(F.lit("messages").alias("kind"), F.col("kind").alias("name"), "reason").agg(
+        F.sum("n_messages").alias("n"),
         F.lit(None).cast("bigint").alias("n_keys"),
-        F.min(source_ts).alias("first_source_ts_ms"),
-        F.max(source_ts).alias("last_source_ts_ms"),
+        F.min("first_source_ts_ms").alias("first_source_ts_ms"),
+        F.max("last_source_ts_ms").alias("last_source_ts_ms"),
     )
-    if touched is not None:
-        per_key = touched.groupBy("target", "seq").agg(F.sum("n_messages").alias("n"))
-        nothing = F.lit(None).cast("bigint")
-        audit = audit.unionByName(
-            per_key.groupBy(
-                F.lit("keys").alias("kind"),
-                F.col("target").alias("name"),
-                F.lit(None).cast("string").alias("reason"),
-            ).agg(
-                F.sum("n").alias("n"),
-                F.count(F.lit(1)).alias("n_keys"),
-                nothing.alias("first_source_ts_ms"),
-                nothing.alias("last_source_ts_ms"),
-            )
-        )
+    if totals:
+        rows = [("keys", target, None, n, n_keys, None, None) for target, (n_keys, n) in totals.items()]
+        audit = audit.unionByName(counted.sparkSession.createDataFrame(rows, audit.schema))
     return audit.withColumn("as_of", as_of).coalesce(1)
 
 

@@ -48,10 +48,26 @@ def test_merge_and_rebuild(spark):
     assert set(world.by_key(rebuilt, "enroll_seq")) == set(range(1, 9))
 
 
-def test_sql_form_agrees(spark):
+def test_rows_as_a_view_of_a_query(spark):
     tables, mart = world.tables(spark), world.enroll_mart(spark, (2, 777, world.OLD))
     touched = world.keys(spark, "enroll_seq", 1, 2)
-    named = {"touched_enroll": touched, "enroll": tables.enroll, "enroll_mart": mart}
-    text = plans.query_views(spark, plans.enroll_sql(now="TIMESTAMP '2024-06-01 00:00:00'"), named)
     rows = plans.enroll_rows(touched, tables, mart, world.as_of())
-    assert sorted(map(str, text.collect())) == sorted(map(str, rows.collect()))
+    named = {"view_touched": touched, "view_enroll": tables.enroll, "view_mart": mart, "view_rows": rows}
+    text = """SELECT e.enroll_seq, m.course_run_seq,
+        coalesce(m.insert_date, TIMESTAMP '2024-06-01 00:00:00') AS insert_date,
+        TIMESTAMP '2024-06-01 00:00:00' AS update_date, 'N' AS delete_yn
+        FROM view_touched JOIN view_enroll e USING (enroll_seq) LEFT JOIN view_mart m USING (enroll_seq)"""
+    expected = plans.query_views(spark, text, named).collect()
+    assert sorted(map(str, expected)) == sorted(map(str, spark.table("view_rows").collect())) and len(expected) == 2
+
+
+def test_vanished_enrolments_are_flagged_on_request(spark):
+    mart = world.enroll_mart(spark, (2, 777, world.OLD), (404, 1, world.OLD), (405, 1, world.OLD))
+    keys = world.keys(spark, "enroll_seq", 1, 404, 500)
+    kept = plans.merged_enroll(keys, world.tables(spark), mart, world.as_of())
+    assert world.by_key(kept, "enroll_seq")[404]["delete_yn"] == "N"
+    flagged = world.by_key(plans.merged_enroll(keys, world.tables(spark), mart, world.as_of(), missing="flag"), "enroll_seq")
+    assert {key: row["delete_yn"] for key, row in flagged.items()} == {1: "N", 2: "N", 404: "Y", 405: "N"}
+    assert (flagged[404]["update_date"], flagged[404]["insert_date"], flagged[404]["course_run_seq"]) == (world.NOW, world.OLD, 1)
+    with pytest.raises(ValueError):
+        plans.merged_enroll(keys, world.tables(spark), mart, world.as_of(), missing="drop")

@@ -1,0 +1,97 @@
+"""Tables partitioned by a hash or ranges of a key: lookups read the touched partitions only."""
+
+import pytest
+
+import world
+from martkeep import operators as ops
+from martkeep import plans
+from martkeep.operators import LookupPolicy
+from martkeep.sources.tables import FileTables
+
+KEYS = 1_000_000
+
+
+def read_partitions(frame):
+    """Partitions that the scans of a plan read, after it ran without adaptive execution."""
+    frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    counts = []
+    for i in range(leaves.size()):
+        metrics = leaves.apply(i).metrics()
+        if metrics.contains("numPartitions"):
+            counts.append(metrics.apply("numPartitions").value())
+    return counts
+
+
+@pytest.fixture
+def plain_execution(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize(("parts", "width", "touched"), [(64, 0, 3), (0, 10_000, 2)])
+def test_five_thousand_keys_read_the_touched_partitions_only(spark, tmp_path, plain_execution, parts, width, touched):
+    table = ops.with_part(spark.range(0, KEYS, 1, 4).selectExpr("id AS learning_seq", "id * 2 AS payload"), "learning_seq", parts, width)
+    name = ops.part_name("learning_seq", parts, width)
+    table.repartition(4, name).write.partitionBy(name).parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    chosen = f"{name} IN (3, 17, 40)" if parts else "learning_seq BETWEEN 77000 AND 82000"
+    keys = table.where(chosen).select("learning_seq").limit(5000).cache()
+    assert keys.count() == 5000
+    for policy in (LookupPolicy(), LookupPolicy(pushdown_keys=10_000)):
+        found = ops.narrow(stored, keys, "learning_seq", 5000, policy)
+        assert found.columns == ["learning_seq", "payload"]
+        assert read_partitions(found) == [touched]
+        assert found.count() == 5000 and found.where("payload <> 2 * learning_seq").count() == 0
+    whole = ops.narrow(stored, None, "learning_seq")
+    assert whole.columns == ["learning_seq", "payload"] and whole.count() == KEYS
+    assert ops.narrow(stored, keys, "learning_seq", None).count() == 5000
+
+
+def test_keys_of_any_type_find_their_partition(spark):
+    table = ops.with_part(spark.createDataFrame([(1,), (-7,), (None,)], "k BIGINT"), "k", width=5)
+    assert {row.k: row.k_range_5 for row in table.collect()} == {1: 0, -7: -2, None: None}
+    narrowed = ops.narrow(table, spark.createDataFrame([(1,), (-7,), (None,)], "k INT"), "k", 3)
+    assert sorted(row.k for row in narrowed.collect()) == [-7, 1]
+    with pytest.raises(ValueError):
+        ops.part_name("k")
+
+
+def test_too_many_partitions_are_not_listed(spark, monkeypatch):
+    from martkeep.operators import lookups
+
+    monkeypatch.setattr(lookups, "LISTED_PARTITIONS", 2)
+    table = ops.with_part(spark.range(10).selectExpr("id AS k"), "k", width=1)
+    keys = spark.range(3, 6).selectExpr("id AS k")
+    assert ops.in_parts(table, keys, "k") is None and ops.in_parts(table, keys.limit(2), "k") is not None
+    assert ops.narrow(table, keys, "k", 3).count() == 3
+
+
+@pytest.mark.parametrize("pushdown", [0, 1000])
+def test_a_partitioned_learning_table_gives_the_same_rows(spark, tmp_path, pushdown):
+    frames = world.frames(spark)
+    for name, frame in frames.items():
+        columns = []
+        if name == "learning":
+            frame = ops.with_part(ops.with_part(frame, "enroll_seq", parts=4), "learning_seq", width=10)
+            columns = [ops.part_name("enroll_seq", 4), ops.part_name("learning_seq", width=10)]
+        if name in ("learning_subject", "enroll"):
+            key = "learning_seq" if name == "learning_subject" else "enroll_seq"
+            frame = ops.with_part(frame, key, parts=3)
+            columns = [ops.part_name(key, 3)]
+        frame.write.partitionBy(*columns).parquet(f"{tmp_path}/{name}")
+    tables = FileTables({name: f"{tmp_path}/{name}" for name in frames}).load(spark)
+    policy = LookupPolicy(pushdown_keys=pushdown)
+    keys = ops.message_keys(ops.read_messages(world.raw(spark, world.enroll_message(1), world.subject_message(21), world.subject_message(404))))
+    mart = world.progress_mart(spark, (11, world.OLD, "N"))
+    expected = plans.progress_rows(world.keys(spark, "learning_seq", 11, 12, 13, 21), world.tables(spark), mart, world.as_of())
+    for bounds in ({"n_enrolments": 1, "n_named": 2}, {}):
+        learnings = ops.touched_learnings(keys, tables.learning, policy=policy, **bounds)
+        assert learnings.columns == ["learning_seq", "enroll_seq", "course_run_seq", "learner_seq", "n_enroll", "n_named", "n_unconfirmed"]
+        for size in (None, 5):
+            wanted = None if size is None else learnings.select("learning_seq")
+            rows = plans.progress_rows(wanted, tables, mart, world.as_of(), learning=learnings, size=size, policy=policy)
+            assert sorted(map(str, rows.collect())) == sorted(map(str, expected.collect()))
+    rebuilt = plans.rebuild_progress(tables, mart, world.as_of())
+    assert sorted(map(str, rebuilt.collect())) == sorted(map(str, plans.rebuild_progress(world.tables(spark), mart, world.as_of()).collect()))

@@ -127,16 +127,79 @@ def test_merged_mart(spark):
     assert found[31]["course_run_nm"] is None and found[31]["update_date"] == world.OLD
 
 
-def test_sql_form_agrees(spark):
+def test_rows_as_a_view_of_a_query(spark):
     tables = world.tables(spark)
     mart = world.progress_mart(spark, (11, world.OLD, "N"))
     touched = world.keys(spark, "learning_seq", 11, 12, 13, 21)
-    views = {name: getattr(tables, name) for name in world.SCHEMAS}
-    named = {"touched_learning": touched, "progress_mart": mart, **views}
-    now = "TIMESTAMP '2024-06-01 00:00:00'"
-    text = plans.query_views(spark, plans.progress_sql(now=now), named)
     rows = plans.progress_rows(touched, tables, mart, world.as_of())
-    assert sorted(map(str, text.collect())) == sorted(map(str, rows.collect()))
+    named = {f"view_{name}": getattr(tables, name) for name in world.SCHEMAS}
+    named |= {"view_touched": touched, "view_mart": mart, "view_rows": rows}
+    text = """SELECT l.learning_seq, r.course_run_nm, c.course_id, r.course_run_seq, l.learner_seq,
+          s.progress_ratio, s.learning_subject_seq,
+          coalesce(m.insert_date, TIMESTAMP '2024-06-01 00:00:00') AS insert_date,
+          TIMESTAMP '2024-06-01 00:00:00' AS update_date,
+          if(c.course_type_cd = 'LMCT01' AND e.confirm_status_cd = 'LMER01', 'N', 'Y') AS delete_yn
+        FROM view_touched JOIN view_learning l USING (learning_seq)
+        JOIN view_enroll e ON e.enroll_seq = l.enroll_seq AND e.course_run_seq = l.course_run_seq
+        JOIN view_course_run r ON r.course_run_seq = l.course_run_seq
+        JOIN view_course c ON c.course_seq = r.course_seq
+        LEFT JOIN view_learning_subject s ON s.learning_seq = l.learning_seq
+        LEFT JOIN view_mart m ON m.learning_seq = l.learning_seq"""
+    expected = plans.query_views(spark, text, named).collect()
+    assert sorted(map(str, expected)) == sorted(map(str, spark.table("view_rows").collect())) and len(expected) == 7
+
+
+def test_vanished_learnings_are_flagged_on_request(spark):
+    mart = world.progress_mart(spark, (11, world.OLD, "N"), (31, world.OLD, None), (41, world.OLD, "Y"), (404, world.OLD, "N"), (999, world.OLD, "N"))
+    touched = world.keys(spark, "learning_seq", 11, 31, 41, 404, 500)
+    merged = plans.merged_progress(touched, world.tables(spark), mart, world.as_of(), missing="flag")
+    found = {key: (row["delete_yn"], row["update_date"]) for key, row in world.by_key(merged, "learning_seq").items()}
+    assert found == {
+        11: ("N", world.NOW), 31: ("Y", world.NOW), 404: ("Y", world.NOW), 41: ("Y", world.OLD), 999: ("N", world.OLD),
+    }
+    with pytest.raises(ValueError):
+        plans.merged_progress(touched, world.tables(spark), mart, world.as_of(), missing="drop")
+
+
+def test_learnings_at_hand_are_not_looked_up_again(spark):
+    from martkeep.sources.tables import SourceTables
+
+    messages = [world.enroll_message(1), world.subject_message(21), world.subject_message(404), world.subject_message(12)]
+    keys = ops.message_keys(ops.read_messages(world.raw(spark, *messages)))
+    tables, mart = world.tables(spark), world.progress_mart(spark, (11, world.OLD, "N"))
+    for bounds in ({}, {"n_enrolments": 1, "n_named": 3}, {"n_enrolments": 2000, "n_named": 3000}):
+        learnings = ops.touched_learnings(keys, tables.learning, **bounds)
+        assert {r.learning_seq: (r.n_enroll, r.n_named) for r in learnings.collect()} == {
+            11: (1, None), 12: (1, 1), 13: (1, None), 21: (None, 1)
+        }
+        without = SourceTables(None, tables.course_run, tables.course, tables.enroll, tables.learning_subject)
+        for one in (True, False):
+            rows = plans.progress_rows(None, without, mart, world.as_of(), one_per_key=one, learning=learnings)
+            expected = rows_of(spark, 11, 12, 13, 21, mart=[(11, world.OLD, "N")], one_per_key=one)
+            assert sorted(map(str, rows.collect())) == sorted(map(str, expected.collect()))
+
+
+def _scans(frame, *columns):
+    """How often the plan that ran reads a file with all of these columns."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    lines = [line for line in plan.splitlines() if "FileScan" in line]
+    return sum(all(f"{name}:" in line.split("ReadSchema")[-1] for name in columns) for line in lines)
+
+
+@pytest.mark.parametrize("tombstones", [False, True])
+def test_learning_is_read_once(spark, tmp_path, tombstones):
+    world.stored_tables(spark, tmp_path / "tables")
+    tables = world.stored_tables(spark, tmp_path / "tables").load(spark)
+    messages = [world.enroll_message(1, "LMER02"), world.subject_message(21)]
+    keys = ops.message_keys(ops.read_messages(world.raw(spark, *messages)))
+    mart = world.progress_mart(spark)
+    if tombstones:
+        rows = plans.earlier_progress_rows(keys, tables, mart, world.as_of())
+    else:
+        rows = plans.progress_rows(None, tables, mart, world.as_of(), learning=ops.touched_learnings(keys, tables.learning), one_per_key=True)
+    assert _scans(rows, "learning_seq", "enroll_seq") == 1
+    assert _scans(rows, "learning_seq") == 2  # and the subjects
 
 
 def test_rebuild_and_reconcile(spark):

@@ -3,8 +3,9 @@ import os
 import pytest
 
 import world
+from martkeep.operators import LookupPolicy
 from martkeep.schema import ENROLL_KEY, ENROLL_SCHEMA, PROGRESS_KEY, PROGRESS_SCHEMA
-from martkeep.sinks import ParquetMart
+from martkeep.sinks import BatchLog, ParquetMart
 from martkeep.sources import stream_text
 from martkeep.streaming import MartUpkeep, UpkeepOptions
 
@@ -12,11 +13,13 @@ from martkeep.streaming import MartUpkeep, UpkeepOptions
 class Site:
     """Tables, marts and a message folder of one test."""
 
-    def __init__(self, spark, folder, options=UpkeepOptions()):
+    def __init__(self, spark, folder, options=UpkeepOptions(), logged=False):
         self.spark, self.folder = spark, folder
         root = f"file:{folder}"
-        self.progress = ParquetMart(f"{root}/progress", PROGRESS_SCHEMA, PROGRESS_KEY, buckets=2)
-        self.enroll = ParquetMart(f"{root}/enroll", ENROLL_SCHEMA, ENROLL_KEY, buckets=2)
+        self.log = BatchLog(f"{root}/batches") if logged else None
+        known = {"buckets": 2, "log": self.log}
+        self.progress = ParquetMart(f"{root}/progress", PROGRESS_SCHEMA, PROGRESS_KEY, name="progress", **known)
+        self.enroll = ParquetMart(f"{root}/enroll", ENROLL_SCHEMA, ENROLL_KEY, name="enroll", **known)
         self.progress.create(spark)
         self.enroll.create(spark)
         self.write_tables()
@@ -28,6 +31,7 @@ class Site:
             quarantine_path=f"{root}/quarantine",
             audit_path=f"{root}/audit",
             clock=world.as_of,
+            log=self.log,
         )
         self.sent = 0
 
@@ -227,3 +231,97 @@ def test_learnings_beyond_int_are_kept(spark):
 def test_keeping_bad_messages_needs_a_place(spark, tmp_path):
     with pytest.raises(ValueError, match="quarantine_path"):
         MartUpkeep(world.stored_tables(spark, tmp_path / "tables"))
+
+
+def test_a_stop_between_two_marts_shows_the_old_pair(spark, tmp_path, monkeypatch):
+    site = Site(spark, tmp_path, logged=True)
+    site.send(world.enroll_message(1), "not json")
+    site.run()
+    before = site.rows(), site.rows("enroll")
+    assert set(before[0]) == {11, 12, 13} and set(before[1]) == {1}
+    site.send(world.enroll_message(2), "not json either")
+    write = ParquetMart.apply
+
+    def stopping(mart, *given):
+        if mart.name == "enroll":
+            raise RuntimeError("stopped between the marts")
+        write(mart, *given)
+
+    monkeypatch.setattr(ParquetMart, "apply", stopping)
+    with pytest.raises(Exception, match="stopped between"):
+        site.run()
+    assert any("batch-" in p.name and p.name.endswith("-1") for p in (tmp_path / "progress").iterdir())
+    pair = [world.by_key(f, k) for f, k in zip(site.log.snapshots(spark, site.progress, site.enroll), (PROGRESS_KEY, ENROLL_KEY))]
+    assert tuple(pair) == before and (site.rows(), site.rows("enroll")) == before
+    assert site.log.rows_of(spark, f"file:{tmp_path}/quarantine").count() == 1
+    monkeypatch.undo()
+    site.run()
+    assert set(site.rows()) == {11, 12, 13, 21} and set(site.rows("enroll")) == {1, 2}
+    assert site.log.rows_of(spark, f"file:{tmp_path}/quarantine").count() == 2
+    assert len(site.log.records(spark)) == 2 and site.log.rows_of(spark, f"file:{tmp_path}/audit").count() > 2
+
+
+def test_rows_are_made_again_when_another_writer_came_between(site, monkeypatch):
+    spark, mart = site.spark, site.progress
+    other = mart.begin(spark, "other", 0)
+    write, calls = ParquetMart.apply, []
+
+    def with_another(store, *given):
+        if store.name == "progress" and not calls:
+            calls.append(1)
+            write(store, world.progress_mart(spark, (11, world.OLD, "N"), (999, world.OLD, "N")), other, ("other", 0))
+        write(store, *given)
+
+    monkeypatch.setattr(ParquetMart, "apply", with_another)
+    site.send(world.subject_message(11))
+    site.run()
+    rows = site.rows()
+    # The insert date the other writer gave is kept, and its other row is there.
+    assert set(rows) == {11, 999} and rows[11]["insert_date"] == world.OLD and rows[11]["course_run_nm"] == "run a"
+
+
+def test_vanished_rows_are_flagged_on_request(spark, tmp_path):
+    site = Site(spark, tmp_path, UpkeepOptions(missing="flag"))
+    site.send(world.enroll_message(1), world.enroll_message(2))
+    site.run()
+    site.write_tables(learning=[row for row in world.ROWS["learning"] if row[0] != 21], enroll=[row for row in world.ROWS["enroll"] if row[0] != 2])
+    site.send(world.subject_message(21), world.enroll_message(2), world.subject_message(404))
+    site.run()
+    assert {key: row["delete_yn"] for key, row in site.rows().items()} == {11: "N", 12: "N", 13: "N", 21: "Y"}
+    assert site.rows()[21]["course_run_nm"] == "run b"
+    assert {key: row["delete_yn"] for key, row in site.rows("enroll").items()} == {1: "N", 2: "Y"}
+    with pytest.raises(ValueError, match="missing"):
+        MartUpkeep(world.stored_tables(spark, tmp_path / "tables"), options=UpkeepOptions(on_error="skip", missing="x"))
+
+
+def test_a_tombstone_batch_reads_learning_once(spark, tmp_path, monkeypatch):
+    from martkeep.sources.tables import FileTables
+
+    site = Site(spark, tmp_path, UpkeepOptions(tombstones=True))
+    reads = []
+    load = FileTables.load
+
+    class Counting:
+        """Learning rows that pass by are counted by the task that reads them."""
+
+        def load(self, session):
+            tables = load(world.stored_tables(session, tmp_path / "tables"), session)
+            seen = session.sparkContext.accumulator(0)
+            reads.append(seen)
+
+            def passing(batches):
+                for batch in batches:
+                    seen.add(batch.num_rows)
+                    yield batch
+
+            counted = tables.learning.mapInArrow(passing, tables.learning.schema)
+            return type(tables)(counted, tables.course_run, tables.course, tables.enroll, tables.learning_subject)
+
+    job = MartUpkeep(
+        Counting(), site.progress, None, UpkeepOptions(tombstones=True, policy=LookupPolicy(pushdown_keys=0)),
+        quarantine_path=f"file:{tmp_path}/quarantine", audit_path=f"file:{tmp_path}/audit", clock=world.as_of,
+    )
+    job.process(world.raw(spark, world.enroll_message(1, "LMER02"), world.enroll_message(6, "LMER02"), world.subject_message(21)), 0)
+    assert [seen.value for seen in reads] == [len(world.ROWS["learning"])]
+    blank = {key for key, row in site.rows().items() if row["course_run_nm"] is None}
+    assert set(site.rows()) == {11, 12, 13, 21, 41} and blank == {41}
