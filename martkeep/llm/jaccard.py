@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkeep.llm.common import MASK, ODD, Hasher, mix, release, shingles, signed, staged
-from martkeep.llm.components import connected_components, contract, local_roots
+from martkeep.llm.components import connected_components, local_roots
 
 BLOCK_DOCS = 256
 BLOCK_GRAMS = 500_000
@@ -19,6 +21,8 @@ HEAVY_LEAST = 64  # documents that make an n-gram common
 HEAVY_MOST = 1 << 20  # common n-grams kept: 8 MB, whatever the corpus
 FILTER_BITS = 1 << 24
 BROADCAST_SETS = 500_000  # sets of clusters, some 60 bytes each, that all executors get
+PIVOT_ROUNDS = 2  # rounds that only spare work: any number gives the same links
+RUN = 4096  # sets of a signature whose membership is compared with that of other signatures
 
 
 class GramReader:
@@ -175,19 +179,35 @@ def _describe(width: int, percent: int, heavy: np.ndarray):
     return describe
 
 
-def _shared(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges between neighbours of one signature in rows sorted by (sig, sid)."""
+def _runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sig, sid) of signatures that several sets share, from rows sorted by (sig, sid).
 
-    def edges() -> Iterator[pa.RecordBatch]:
-        last = (np.empty(0, np.int64), np.empty(0, np.int64))
-        for batch in rows:
-            sig = np.concatenate([last[0], batch.column(0).to_numpy(zero_copy_only=False)])
-            sid = np.concatenate([last[1], batch.column(1).to_numpy(zero_copy_only=False)])
-            at = (sig[1:] == sig[:-1]) & (sid[1:] != sid[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(sid[1:][at]), pa.array(sid[:-1][at])], ["a", "b"])
-            last = (sig[-1:], sid[-1:])
-
-    return contract(edges())
+    Near copies share many signatures. Of those that up to :data:`RUN` sets share, the name is
+    replaced by a hash of the sets, so that signatures of the same sets become one group.
+    Longer runs keep the signature's own name, as they come.
+    """
+    sig = sid = np.empty(0, np.int64)
+    long = None  # a signature whose first sets went out under its own name
+    for batch in chain(rows, [None]):
+        if batch is not None:
+            sig = np.concatenate([sig, batch.column(0).to_numpy(zero_copy_only=False)])
+            sid = np.concatenate([sid, batch.column(1).to_numpy(zero_copy_only=False)])
+        if not len(sig):
+            continue
+        fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])])
+        sig, sid = sig[fresh], sid[fresh]
+        starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        done = len(sig) if batch is None or len(sig) - starts[-1] > RUN else starts[-1]
+        sizes = np.diff(np.append(starts, len(sig)))
+        names, open_run = sig[starts], (sizes > RUN) | (sig[starts] == long)
+        if len(sig):
+            hashes = mix(np.add.reduceat(mix(sid.view(np.uint64) + ODD), starts) + sizes.astype(np.uint64))
+            names = np.where(open_run, names, signed(hashes))
+        out = np.repeat((sizes > 1) | open_run, sizes)
+        out[done:] = False
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, sizes)[out]), pa.array(sid[out])], ["sig", "sid"])
+        long = int(sig[-1]) if done == len(sig) and open_run[-1] else long
+        sig, sid = sig[done:], sid[done:]
 
 
 # -- sketches -----------------------------------------------------------------------------
@@ -262,31 +282,28 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], need: np.ndarray)
 
 
 def _links(percent: int):
+    """A spanning forest of the links between two blocks of sets, or within one."""
+
     def product(sids: list[int], sides: list[int], grams: list[np.ndarray]) -> Iterator[tuple]:
         side, sid = np.array(sides), np.array(sids, np.int64)
         one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        same = not len(two)
-        two = one if same else two
+        two = two if len(two) else one
         size = np.array([len(g) for g in grams])
         need = -(-percent * (size[one][:, None] + size[two][None, :]) // (100 + percent))
-        hit = overlaps([grams[i] for i in one], [grams[i] for i in two], need) > 0
-        if same:
-            np.fill_diagonal(hit, False)
-        i, j = np.nonzero(hit)
+        i, j = np.nonzero(overlaps([grams[k] for k in one], [grams[k] for k in two], need))
         if len(i):
-            yield from zip(*local_roots(sid[one[i]], sid[two[j]]), [0] * (2 * len(i)))
-            for at, n in ((one, hit.sum(axis=1)), *(() if same else ((two, hit.sum(axis=0)),))):
-                for k in np.flatnonzero(n):
-                    yield int(sid[at[k]]), int(sid[at[k]]), int(n[k])
+            node, root = local_roots(sid[one[i]], sid[two[j]])
+            yield from ((int(a), int(b)) for a, b in zip(node, root) if a != b)
 
     def links(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
         for group in _groups(rows, lambda _, raw: np.frombuffer(raw, np.uint64)):
             found += product(*group)
             if len(found) > 50_000:
-                yield _long_rows(found, ("a", "b", "n"))
+                yield _long_rows(found, ("a", "b"))
                 found = []
-        yield _long_rows(found, ("a", "b", "n"))
+        yield _long_rows(found, ("a", "b"))
+        release()
 
     return links
 
@@ -318,25 +335,47 @@ def _long_rows(found: list[tuple], names: tuple[str, ...]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in columns], list(names))
 
 
-def _placed(clusters: DataFrame, classes: DataFrame) -> DataFrame:
-    """Sets (sid, cluster, doc_id, n) of clusters, each in one of the cluster's ``blocks``."""
-    members = staged(clusters.join(classes, "sid"), "jaccard-members")
-    blocks = members.groupBy("cluster").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks")
+def _placed(clusters: DataFrame, classes: DataFrame, purpose: str) -> DataFrame:
+    """Sets (sid, doc_id, n, cluster) with their ``block`` and the blocks to compare it with, ``others``.
+
+    ``clusters`` has sid, cluster and component: sets of one component are tied already and
+    need not be compared. So components that fill a block have blocks of their own, which
+    are compared with all but each other; the rest shares blocks.
+    """
+    members = staged(clusters.join(classes, "sid"), f"{purpose}-members")
+    size = F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int")
+    own = members.groupBy("cluster", "component").agg(F.count("*").alias("sets"), F.sum("n").alias("grams"))
+    own = own.where((F.col("sets") >= BLOCK_DOCS) | (F.col("grams") >= BLOCK_GRAMS)).select("cluster", "component", F.col("component").alias("label"))
+    labelled = staged(members.join(own, ["cluster", "component"], "left"), f"{purpose}-labelled")
+    blocks = labelled.groupBy("cluster", "label").agg(size.alias("blocks"))
+    before = Window.partitionBy("cluster").orderBy("label").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("first", F.coalesce(F.sum("blocks").over(before), F.lit(0)).cast("int"))
+    blocks = blocks.withColumn("total", F.sum("blocks").over(Window.partitionBy("cluster")).cast("int"))
+    blocks = blocks.select(F.col("cluster").alias("of"), F.col("label").alias("by"), "blocks", "first", "total")
+    placed = labelled.join(blocks, (F.col("cluster") == F.col("of")) & F.col("label").eqNullSafe(F.col("by")))
+    placed = placed.withColumn("block", F.col("first") + F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    apart = F.filter(
+        F.sequence(F.lit(0), F.col("total") - 1),
+        lambda b: F.col("label").isNull() | (b < F.col("first")) | (b >= F.col("first") + F.col("blocks")),
     )
-    return staged(members.join(blocks, "cluster"), "jaccard-blocks").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("others", apart).where(F.size("others") > 0)
+    return staged(placed.select("sid", "doc_id", "n", "cluster", "block", "others"), f"{purpose}-placed")
+
+
+def _together(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*PAIR).sortWithinPartitions(*PAIR, "side", "sid")
 
 
 def _block_pairs(placed: DataFrame, payload: DataFrame) -> DataFrame:
     """Rows (cluster, i, j, side, sid, n, payload), those of a pair of blocks together.
 
-    ``payload`` has doc_id, sid and one more column; rows that only share the doc_id fall out.
+    ``payload`` has sid and one more column, each set once.
     """
-    (name,) = (c for c in payload.columns if c not in ("doc_id", "sid"))
+    (name,) = (c for c in payload.columns if c != "sid")
     if placed.count() <= BROADCAST_SETS:  # else the payload is shuffled once more for the join
         placed = F.broadcast(placed)
-    pairs = placed.join(payload, ["doc_id", "sid"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return (
+    pairs = placed.join(payload, "sid").withColumn("other", F.explode("others"))
+    return _together(
         pairs.select(
             "cluster",
             F.least("block", "other").alias("i"),
@@ -346,11 +385,57 @@ def _block_pairs(placed: DataFrame, payload: DataFrame) -> DataFrame:
             "n",
             name,
         )
-        .repartition(*PAIR)
-        .sortWithinPartitions(*PAIR, "side", "sid")
     )
 
 
+def _pivot_pairs(pairs: DataFrame, grams: DataFrame) -> DataFrame:
+    """Rows like those of :func:`_block_pairs` that compare each set with its pivot.
+
+    ``pairs`` has each sid once, with its pivot. The sets of a pivot are dealt into blocks,
+    and the pivot's own n-grams go to each of them.
+    """
+    blocks = staged(pairs.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("blocks")), "jaccard-pivots")
+    members = pairs.join(blocks, "pivot").select(
+        F.col("pivot").alias("cluster"), F.lit(0).alias("i"),
+        (1 + F.pmod(F.xxhash64("sid"), F.col("blocks"))).cast("int").alias("j"), F.lit(1).alias("side"), "sid",
+    )
+    pivots = blocks.select(
+        F.col("pivot").alias("cluster"), F.lit(0).alias("i"), F.explode(F.sequence(F.lit(1), F.col("blocks"))).alias("j"),
+        F.lit(0).alias("side"), F.col("pivot").alias("sid"),
+    )
+    rows = members.unionByName(pivots).join(grams, "sid")
+    return _together(rows.select(*PAIR, "side", "sid", F.octet_length("grams").alias("n"), "grams"))
+
+
+# -- signatures that sets of several components share ---------------------------------------
+
+
+def _mixed(shared: DataFrame, components: DataFrame | None, seed: int, purpose: str) -> tuple[DataFrame, DataFrame]:
+    """(``shared`` with components, the signatures whose sets are not of one component).
+
+    The latter come with a pivot: the set that is lowest in an order that ``seed`` gives.
+    """
+    if components is None:
+        labelled = shared.withColumn("component", F.col("sid"))
+    else:
+        known = components.select(F.col("node").alias("sid"), F.col("component").alias("of"))
+        labelled = shared.join(known, "sid", "left").select("sig", "sid", F.coalesce("of", "sid").alias("component"))
+        labelled = staged(labelled, f"{purpose}-labelled")
+    order = F.col("sid").bitwiseXOR(F.lit(seed))
+    groups = labelled.groupBy("sig").agg(
+        F.min(order).bitwiseXOR(F.lit(seed)).alias("pivot"),
+        F.min_by("component", order).alias("pivot_component"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+    )
+    return labelled, staged(groups.where("low <> high").drop("low", "high"), f"{purpose}-mixed")
+
+
+def _seed(number: int) -> int:
+    """A different order of sets for each round."""
+    return int(signed(mix(np.array([number], np.uint64) + ODD))[0])
+
+
 def _bits(ids: np.ndarray) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
@@ -391,36 +476,38 @@ def _read_grams(width: int, wanted: np.ndarray):
                 ],
                 ["doc_id", "sid", "grams"],
             )
+        release()
 
     return read_grams
 
 
 def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, n_links.
+    """Per row of ``docs``: doc_id, n_shingles, component_id, node.
 
     Two documents link when 100 * |a & b| >= percent * |a | b| for their sets of distinct
     runs of ``width`` words (white space is \\x20 and \\x09-\\x0D, A-Z are lower-cased). A
     text of fewer words has its whole sequence as one run. component_id is the smallest
-    doc_id that links reach, its own included; n_links counts the different sets linked
-    with. The join is exact (n-grams and sets are told apart by 64-bit hashes).
+    doc_id that links reach, its own included; node is a hash that the rows of a component,
+    and no others, have in common. The components are those of all links (n-grams and sets
+    are told apart by 64-bit hashes).
 
     1. Equal sets become one. Each set is written as signatures of which linked sets share
-       one (see :func:`signatures`); sets that share signatures form clusters.
-    2. Clusters are cut into blocks of some :data:`BLOCK_DOCS` sets. Within pairs of blocks,
-       sketches of 64 bytes rule out pairs that are surely apart (see :func:`_possible`);
-       what stays tied is a family. So texts that share no more than a passage end here.
-    3. Families are cut into blocks, and every pair of blocks is multiplied as sparse
-       matrices in a task. Only a spanning forest of its links and link counts leave the
-       task, never pairs.
-    4. Components of the forest, by joins.
-
-    A family of m different sets costs m^2 / BLOCK_DOCS rows of n-grams and is spread over
-    as many tasks as it has pairs of blocks.
+       one (see :func:`signatures`).
+    2. Pivots: every set is compared with one that shares a signature with it and is not yet
+       tied to it, in :data:`PIVOT_ROUNDS` rounds. That ties most of a family of near copies
+       at a cost that grows with its sets, not with its pairs.
+    3. Signatures that sets of several components still share form clusters, cut into
+       blocks of some :data:`BLOCK_DOCS` sets. Pairs of blocks, other than those of one
+       component, are ruled out by sketches of 64 bytes (see :func:`_possible`) or become
+       families, whose pairs of blocks are multiplied as sparse matrices. So no pair that
+       could link two components goes uncompared.
+    4. Components of the links found, by joins. Only spanning forests leave a task.
 
     Null and empty texts have n_shingles 0, link with nothing and are their own component.
-    Rows without doc_id are compared with nothing and have component_id NULL. Repeated
-    rows, also a doc_id with several texts, are all returned; the component of each is that
-    of its text. An empty table gives none. Other columns are not looked at.
+    Rows without doc_id are compared with nothing and have component_id NULL. Both have a
+    NULL node. Repeated rows, also a doc_id with several texts, are all returned; the
+    component of each is that of its text. An empty table gives none. Other columns are not
+    looked at.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     heavy = heavy_grams(texts, width)
@@ -431,34 +518,48 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     known = described.where("doc_id IS NOT NULL AND sid IS NOT NULL")
     classes = staged(known.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "jaccard-classes")
     postings = described.where("doc_id IS NOT NULL").select(F.explode("sigs").alias("sig"), "sid")
-    shared = postings.repartition("sig").sortWithinPartitions("sig", "sid").mapInArrow(_shared, "a long, b long")
-    cluster = [F.col("node").alias("sid"), F.col("component").alias("cluster")]
-    rough = connected_components(shared, "jaccard-clusters").select(*cluster)
-    sketches = known.select("doc_id", "sid", "sketch")
-    possible = _block_pairs(_placed(rough, classes), sketches).mapInArrow(_possible(percent), "a long, b long")
-    placed = _placed(connected_components(possible, "jaccard-families").select(*cluster), classes)
-    wanted = id_filter(placed.select("doc_id"))
-    grams = texts.mapInArrow(_read_grams(width, wanted), "doc_id long, sid long, grams binary")
-    links = staged(_block_pairs(placed, grams).mapInArrow(_links(percent), "a long, b long, n long"), "jaccard-links")
-    linked = connected_components(links.select("a", "b"), "jaccard-components").join(
-        classes.select(F.col("sid").alias("node"), "doc_id"), "node"
-    )
-    linked = staged(linked, "jaccard-linked")
-    lowest = linked.groupBy("component").agg(F.min("doc_id").alias("lowest"))
-    counts = links.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
-    of_class = staged(
-        classes.join(
-            linked.join(lowest, "component").join(counts, "node").select(F.col("node").alias("sid"), "lowest", "n_links"),
-            "sid",
-            "left",
-        ).select("sid", F.coalesce("lowest", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")),
-        "jaccard-result",
-    )
+    runs = postings.repartition("sig").sortWithinPartitions("sig", "sid").mapInArrow(_runs, "sig long, sid long")
+    shared = staged(runs.dropDuplicates(["sig", "sid"]), "jaccard-shared")
+    candidates = staged(shared.select("sid").distinct().join(classes, "sid").select("sid", "doc_id"), "jaccard-candidates")
+    read = texts.mapInArrow(_read_grams(width, id_filter(candidates.select("doc_id"))), "doc_id long, sid long, grams binary")
+    if candidates.count() <= BROADCAST_SETS:
+        candidates = F.broadcast(candidates)
+    grams = staged(read.join(candidates, ["doc_id", "sid"]).select("sid", "grams").dropDuplicates(["sid"]), "jaccard-grams")
+    edges, components = [], None
+    for number in range(PIVOT_ROUNDS):
+        labelled, mixed = _mixed(shared, components, seed := _seed(number), "jaccard-round")
+        if mixed.isEmpty():
+            break
+        pairs = labelled.join(mixed, "sig").where("component <> pivot_component").groupBy("sid")
+        pairs = staged(pairs.agg(F.min(F.col("pivot").bitwiseXOR(F.lit(seed))).bitwiseXOR(F.lit(seed)).alias("pivot")), "jaccard-pairs")
+        edges.append(staged(_pivot_pairs(pairs, grams).mapInArrow(_links(percent), "a long, b long"), "jaccard-links"))
+        components = staged(connected_components(reduce(DataFrame.unionByName, edges), "jaccard-tied"), "jaccard-tied")
+    labelled, mixed = _mixed(shared, components, 0, "jaccard-left")
+    if not mixed.isEmpty():
+        left = staged(labelled.join(mixed, "sig").select("sid", "component", "pivot"), "jaccard-left")
+        of = left.select("sid", "component").distinct()
+        apart = [F.col("node").alias("sid"), F.col("component").alias("cluster")]
+        clusters = connected_components(left.select("sid", "pivot"), "jaccard-clusters").select(*apart).join(of, "sid")
+        sketches = known.join(classes.select("sid", "doc_id"), ["sid", "doc_id"], "left_semi").select("sid", "sketch").dropDuplicates(["sid"])
+        possible = _block_pairs(_placed(clusters, classes, "jaccard-clusters"), sketches).mapInArrow(_possible(percent), "a long, b long")
+        families = connected_components(possible, "jaccard-families").select(*apart).join(of, "sid")
+        placed = _placed(families, classes, "jaccard-families")
+        edges.append(staged(_block_pairs(placed, grams).mapInArrow(_links(percent), "a long, b long"), "jaccard-links"))
+        components = connected_components(reduce(DataFrame.unionByName, edges), "jaccard-components")
+    of_class = classes.withColumn("node", F.col("sid"))
+    if components is not None:
+        linked = staged(components.join(classes.select(F.col("sid").alias("node"), "doc_id"), "node"), "jaccard-linked")
+        lowest = linked.groupBy("component").agg(F.min("doc_id").alias("lowest"))
+        linked = linked.join(lowest, "component").select(F.col("node").alias("sid"), "lowest", F.col("component").alias("node"))
+        of_class = classes.join(linked, "sid", "left").select(
+            "sid", F.coalesce("lowest", "doc_id").alias("doc_id"), F.coalesce("node", "sid").alias("node")
+        )
+    of_class = staged(of_class.select("sid", F.col("doc_id").alias("component_id"), "node"), "jaccard-result")
     # Rows without a set go past the join, so that NULLs do not gather in one task.
     matched = known.select("doc_id", "n", "sid").join(of_class, "sid").select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links"
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "node"
     )
     alone = described.where("doc_id IS NULL OR sid IS NULL").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("node")
     )
     return matched.unionByName(alone)

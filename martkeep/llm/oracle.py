@@ -1,8 +1,8 @@
 """DuckDB SQL of the queries that SQL can express on whole tables.
 
 The others are tested against brute force, the tokenizer library or held-out labels: op1
-and op2 (encodings and hashes), op3 (quantile sketches), op6 and op10 (trained models) and
-op7 (seeded draws).
+and op2 (encodings and hashes), op3 (quantile sketches), op6 and op10 (trained models),
+op7 (seeded draws), op11 (eigenvectors) and op12 (two tokenizers).
 """
 
 # The pages of the given tables state no canonical link and no refresh, so rules decide
@@ -55,11 +55,9 @@ incidence AS (SELECT sid, n, unnest(grams) AS gram FROM classes),
 pairs AS (SELECT a.sid AS x, b.sid AS y FROM incidence a JOIN incidence b ON a.gram = b.gram AND a.sid <> b.sid
     GROUP BY a.sid, b.sid, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
 reach(sid, other) AS (SELECT sid, sid FROM classes UNION SELECT r.sid, p.y FROM reach r JOIN pairs p ON r.other = p.x),
-lowest AS (SELECT r.sid, min(c.rep) AS component_id FROM reach r JOIN classes c ON r.other = c.sid GROUP BY r.sid),
-degree AS (SELECT x AS sid, count(*) AS n_links FROM pairs GROUP BY x)
-SELECT doc_id, CAST(s.n AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
-       CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
-FROM sized s LEFT JOIN lowest l ON s.n > 0 AND s.sid = l.sid LEFT JOIN degree d ON s.n > 0 AND s.sid = d.sid
+lowest AS (SELECT r.sid, min(c.rep) AS component_id FROM reach r JOIN classes c ON r.other = c.sid GROUP BY r.sid)
+SELECT doc_id, CAST(s.n AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM sized s LEFT JOIN lowest l ON s.n > 0 AND s.sid = l.sid
 """
 
 WARC = r"""
@@ -76,9 +74,33 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
+# CRC32 byte by byte, with its table made by the rule of its polynomial.
+SHARDING = r"""
+WITH RECURSIVE steps(value, step, crc) AS (
+    SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+    UNION ALL SELECT value, step + 1, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END
+    FROM steps WHERE step < 8),
+tab AS (SELECT list(crc ORDER BY value) AS t FROM steps WHERE step = 8),
+whole AS (SELECT doc_id, text, coalesce('=' || source, '-') AS stratum, hex(encode(coalesce(text, ''))) AS hex FROM documents),
+described AS (SELECT doc_id, stratum, CAST(length(hex) / 2 + 1 AS BIGINT) AS size,
+    xor(list_reduce([CAST('0x' || hex[2 * i + 1:2 * i + 2] AS BIGINT) FOR i IN range(0, CAST(length(hex) / 2 AS BIGINT))],
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS text_crc32,
+    CAST('0x' || md5('13:' || coalesce(CAST(doc_id AS VARCHAR), '-') || coalesce(':' || text, ''))[1:15] AS BIGINT) AS shuffled
+    FROM whole, tab),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY stratum) AS n,
+    row_number() OVER (PARTITION BY stratum ORDER BY shuffled, doc_id, size, text_crc32) AS rank FROM described),
+fractions AS (SELECT *, (CAST(rank - 1 AS DOUBLE)
+    + CAST(CAST('0x' || md5('13:' || stratum)[1:13] AS BIGINT) AS DOUBLE) / 4503599627370496.0) / n AS fraction FROM ranked),
+placed AS (SELECT *, count(*) OVER () AS total, row_number() OVER (ORDER BY fraction, stratum, rank) - 1 AS place FROM fractions)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place * 8 // total AS INTEGER) AS shard,
+       place - ((place * 8 // total) * total + 7) // 8 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM placed
+"""
+
 SQL: dict[str, str] = {
     "op4_url_filters": URL_FILTERS,
     "op5_chat": CHAT,
     "op8_jaccard_join": JACCARD,
     "op9_warc": WARC,
+    "op13_sharding": SHARDING,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 DOC_TYPE = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns of the input that bear names of outputs or of inner columns.
@@ -51,13 +51,13 @@ def gram_set(text: str | None, width: int) -> frozenset:
 
 
 def brute_groups(rows: list[tuple], width: int, percent: int) -> list[tuple]:
-    """Sorted (doc_id, n, component, links) of (doc_id, text) rows by comparing all sets."""
+    """Sorted (doc_id, n, component) of (doc_id, text) rows by comparing all sets."""
     by_set = defaultdict(list)
     for i, text in rows:
         if i is not None and (s := gram_set(text, width)):
             by_set[s].append(i)
     sets = list(by_set)
-    root, links = list(range(len(sets))), Counter()
+    root = list(range(len(sets)))
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -69,8 +69,6 @@ def brute_groups(rows: list[tuple], width: int, percent: int) -> list[tuple]:
             both = len(sets[a] & sets[b])
             if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 root[find(a)] = find(b)
-                links[a] += 1
-                links[b] += 1
     low = {}
     for k, s in enumerate(sets):
         low[find(k)] = min(low.get(find(k), 1 << 60), *by_set[s])
@@ -79,5 +77,5 @@ def brute_groups(rows: list[tuple], width: int, percent: int) -> list[tuple]:
     for i, text in rows:
         s = gram_set(text, width)
         k = place.get(s) if i is not None else None
-        out.append((i, len(s), i, 0) if k is None else (i, len(s), low[find(k)], links[k]))
+        out.append((i, len(s), i) if k is None else (i, len(s), low[find(k)]))
     return sorted(out, key=repr)

@@ -1,15 +1,24 @@
 import random
+from collections import defaultdict
 
 import numpy as np
 import pytest
 from llm_world import brute_groups, documents, messy_rows, prose
 
 from martkeep.llm import jaccard
+from martkeep.llm.common import staged
 from martkeep.llm.components import connected_components
 
 
 def grouped(df, width, percent):
-    return sorted(map(tuple, jaccard.jaccard_groups(df, width, percent).collect()), key=repr)
+    rows = jaccard.jaccard_groups(df, width, percent).collect()
+    nodes = defaultdict(set)
+    for row in rows:
+        if row["node"] is not None:
+            nodes[row["node"]].add(row["component_id"])
+    # Components of different texts under one doc_id have nodes of their own.
+    assert all(len(ids) == 1 for ids in nodes.values())
+    return sorted([tuple(row)[:3] for row in rows], key=repr)
 
 
 @pytest.mark.parametrize(("width", "percent"), [(4, 85), (5, 80), (1, 50)])
@@ -18,9 +27,11 @@ def test_groups_are_those_of_all_pairs(spark, width, percent):
     assert grouped(documents(spark), width, percent) == brute_groups([r[:2] for r in rows], width, percent)
 
 
-@pytest.mark.parametrize("broadcast", [0, 1000])
-def test_common_passages_and_a_large_family(spark, monkeypatch, broadcast):
+@pytest.mark.parametrize(("broadcast", "rounds"), [(0, 0), (1000, 1), (1000, 2)])
+def test_common_passages_and_a_large_family(spark, monkeypatch, broadcast, rounds):
     monkeypatch.setattr(jaccard, "BROADCAST_SETS", broadcast)
+    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "RUN", 20)
     monkeypatch.setattr(jaccard, "HEAVY_LEAST", 8)
     monkeypatch.setattr(jaccard, "BLOCK_DOCS", 7)
     monkeypatch.setattr(jaccard, "CHUNK", 16)
@@ -36,6 +47,65 @@ def test_common_passages_and_a_large_family(spark, monkeypatch, broadcast):
     assert grouped(df, 4, 85) == brute_groups(rows, 4, 85)
 
 
+def test_chains_of_links_are_followed(spark):
+    """Neighbours link, sets further apart do not: no pivot ties such a family at once."""
+    rnd = random.Random(9)
+    words = [f"c{i}" for i in range(400)]
+    rows = [(i, " ".join(words[2 * i : 2 * i + 100])) for i in range(120)] + [(200 + i, prose(rnd, 50, 3000)) for i in range(30)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_groups(rows, 4, 85)
+    assert grouped(df, 4, 85) == want and len({component for _, _, component in want}) == 31
+
+
+def _family(n, rnd):
+    base, out = prose(rnd, 150, 50_000).split(), []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(rnd.randrange(4)):
+            copy[rnd.randrange(len(copy))] = f"edit{i}x{rnd.randrange(9)}"
+        out.append((i, " ".join([*copy, f"end{i}"])))
+    return out
+
+
+def test_the_work_grows_with_the_sets_of_a_family(spark, monkeypatch):
+    made = {}
+
+    def counting(df, purpose):
+        out = staged(df, purpose)
+        if purpose in ("jaccard-links", "jaccard-pairs", "jaccard-families-placed"):
+            made[purpose] = made.get(purpose, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", counting)
+    rows = []
+    for n in (300, 600, 1200):
+        made.clear()
+        df = spark.createDataFrame(_family(n, random.Random(n)), "doc_id long, text string").repartition(4)
+        assert {row[2] for row in grouped(df, 4, 85)} == {0}
+        rows.append(sum(made.values()))
+    assert rows[1] < 2.6 * rows[0] and rows[2] < 2.6 * rows[1], rows
+
+
+def test_signatures_of_the_same_sets_become_one_group(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard, "RUN", 5)
+    rnd = random.Random(3)
+    members = {sig: sorted(rnd.sample(range(40), rnd.choice((1, 1, 2, 3, 9, 30)))) for sig in range(60)}
+    members |= {100: [1, 2, 3], 101: [1, 2, 3], 102: [4, 4, 4]}
+    rows = [(sig, sid) for sig in sorted(members) for sid in members[sig] for _ in range(rnd.choice((1, 1, 2)))]
+    for step in (1, 3, 7, 1000):
+        batches = [pa.RecordBatch.from_pydict({"sig": [r[0] for r in rows[i : i + step]], "sid": [r[1] for r in rows[i : i + step]]}) for i in range(0, len(rows), step)]
+        groups = defaultdict(set)
+        for batch in jaccard._runs(iter(batches)):
+            for sig, sid in zip(*(c.to_pylist() for c in batch.columns)):
+                groups[sig].add(sid)
+        want = {frozenset(sids) for sids in members.values() if len(set(sids)) > 1}
+        assert {frozenset(sids) for sids in groups.values()} == want
+        assert len(groups) == len({frozenset(s) for s in members.values() if 1 < len(set(s)) <= 5}) + sum(len(set(s)) > 5 for s in members.values())
+
+
 def test_empty_table(spark):
     assert grouped(documents(spark, []), 4, 85) == []
 

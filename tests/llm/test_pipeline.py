@@ -30,7 +30,7 @@ def test_every_stage_against_brute_force(spark):
     hit = {r["doc_id"] for r in rows["quality_rules"] if toxicity.matches(r["text"], lexicon)}
     assert set(ids["quality_rules"]) - hit <= set(ids["toxicity"])
     groups = brute_groups([(r["doc_id"], r["text"]) for r in rows["toxicity"]], 5, 80)
-    assert sorted(ids["near_duplicates"]) == sorted(i for i, _, component, _ in groups if i == component)
+    assert sorted(ids["near_duplicates"]) == sorted(i for i, _, component in groups if i == component)
     mixed = mixing.mix_sources(spark.createDataFrame(rows["near_duplicates"], start.schema)).collect()
     assert Counter(ids["mixing"]) == Counter({r["doc_id"]: r["copies"] for r in mixed if r["copies"]})
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
