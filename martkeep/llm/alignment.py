@@ -7,7 +7,6 @@ tokens of a window do is worked out once per pair of id tuples and remembered.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import json
 from collections.abc import Iterator
@@ -18,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martkeep.llm.bpe import byte_letters
-from martkeep.llm.common import release, staged
+from martkeep.llm.common import ODD, hold, kept_in_worker, mix, release, staged
 
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KNOWN_WINDOWS = 60_000  # a worker remembers up to twice as many
+KNOWN_WINDOWS = 150_000  # a worker remembers up to twice as many
 CHUNK_BYTES = 1 << 20  # text that is aligned at once
 BETWEEN = b"\xff\xff\xff\xff"  # in a window's key; no token id
 
@@ -34,6 +33,8 @@ class ByteTokens:
             spec = json.load(file)
         back = {letter: byte for byte, letter in byte_letters().items()}
         added = {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        #: Whether tokens always spell the text: bytes that no normaliser has touched.
+        self.lossless = not spec.get("normalizer")
         vocab = {i: bytes(map(back.__getitem__, name)) for name, i in spec["model"]["vocab"].items() if i not in added}
         tokens = vocab | added
         self.bytes = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
@@ -122,9 +123,10 @@ class Aligner:
         self.spaced_a, self.spaced_b = starts_with_space(self.a.bytes), starts_with_space(self.b.bytes)
         self.pairs = endings(self.a.bytes, self.b.bytes)
         self.text_a, self.text_b = ([written(len(side.bytes), e) for e in (",", end)] for side, end in ((self.a, "|"), (self.b, ";")))
-        # Key of ids -> groups as text, each with ";" behind it, and packed pair numbers.
-        self.windows: dict[bytes, tuple[bytes, bytes]] = {}
-        self.older: dict[bytes, tuple[bytes, bytes]] = {}
+        # Key of ids -> groups as text, each with ";" behind it, packed pair numbers, and
+        # whether the tokens of both sides spell the same bytes.
+        self.windows: dict[bytes, tuple[bytes, bytes, bool]] = {}
+        self.older: dict[bytes, tuple[bytes, bytes, bool]] = {}
 
     def learn(self, keys: list[bytes]) -> None:
         """Align these windows, all at once, and remember them."""
@@ -145,10 +147,16 @@ class Aligner:
         words = words.tolist()
         groups = (4 * np.searchsorted(last_a, stop_a)).tolist()
         stops = (stop_a + stop_b).tolist()
-        for key, i, j, m, n in zip(keys, [0, *stops], stops, [0, *groups], groups):
-            self.windows[key] = b"".join(words[i:j]), numbers[m:n]
-
-    def look_up(self, keys: list[bytes]) -> list[tuple[bytes, bytes]]:
+        spelled_a, spelled_b = (
+            b"".join(map(tokens.__getitem__, x.tolist())) for tokens, x in ((self.a.bytes, a), (self.b.bytes, b))
+        )
+        at = np.cumsum(self.size_a[a])[stop_a - 1].tolist()
+        whole = spelled_a == spelled_b
+        for key, i, j, m, n, p, q in zip(keys, [0, *stops], stops, [0, *groups], groups, [0, *at], at):
+            self.windows[key] = b"".join(words[i:j]), numbers[m:n], whole or spelled_a[p:q] == spelled_b[p:q]
+
+    def look_up(self, keys: list[bytes]) -> list[tuple[bytes, bytes, bool]]:
+        """What is known of windows, each key once."""
         if len(self.windows) > KNOWN_WINDOWS:
             self.older, self.windows = self.windows, {}
         known, older = self.windows, self.older
@@ -194,30 +202,56 @@ class Aligner:
                 batch, size = [], 0
         return out
 
-    def _same(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
-        whole = b" " + text.encode()
-        joined = (b"".join(map(side.bytes.__getitem__, ids.tolist())) for side, ids in ((self.a, a), (self.b, b)))
-        return all(x == whole for x in joined)
-
     def _align_some(self, texts: list[str]) -> list[tuple[int, int, bytes, bytes] | None]:
-        ids = list(zip(self.a.encode(texts), self.b.encode(texts)))
-        fine = [k for k, (a, b) in enumerate(ids) if self._same(texts[k], a, b)]
+        """As :meth:`align`. Both sides' tokens must be as long as the text, and alike in every window."""
         out: list = [None] * len(texts)
+        ids = list(zip(self.a.encode(texts), self.b.encode(texts)))
+        fine = []
+        for k, (a, b) in enumerate(ids):
+            size = len(texts[k].encode()) + 1
+            if size == self.size_a[a].sum() == self.size_b[b].sum():
+                if self.a.lossless or b"".join(map(self.a.bytes.__getitem__, a.tolist())) == b" " + texts[k].encode():
+                    fine.append(k)
         if not fine:
             return out
         a, b = (np.concatenate([ids[k][side] for k in fine]) for side in (0, 1))
         stop_a, stop_b = (np.cumsum([len(ids[k][side]) for k in fine]) for side in (0, 1))
         cut_a, cut_b = self.anchors(a, b, stop_a, stop_b)
+        first, which = self.distinct(a, b, cut_a, cut_b)
         raw_a, raw_b = a.tobytes(), b.tobytes()
-        to_a, to_b = (4 * cut_a).tolist(), (4 * cut_b).tolist()
-        keys = [raw_a[i:j] + BETWEEN + raw_b[m:n] for i, j, m, n in zip([0, *to_a], to_a, [0, *to_b], to_b)]
-        windows = self.look_up(keys)
+        bounds = [(4 * x).tolist() for cut in (cut_a, cut_b) for x in (np.append(0, cut[:-1])[first], cut[first])]
+        windows = self.look_up([raw_a[i:j] + BETWEEN + raw_b[m:n] for i, j, m, n in zip(*bounds)])
+        groups, links = (np.empty(len(windows), object) for _ in range(2))
+        groups[:], links[:] = [w[0] for w in windows], [w[1] for w in windows]
+        alike = np.array([w[2] for w in windows])[which]
+        groups, links = groups[which].tolist(), links[which].tolist()
         of_text = np.searchsorted(cut_a, stop_a, side="right").tolist()
         for k, start, stop in zip(fine, [0, *of_text], of_text):
-            groups, links = zip(*windows[start:stop])
-            out[k] = (len(ids[k][0]), len(ids[k][1]), b"".join(groups)[:-1], b"".join(links))
+            if alike[start:stop].all():
+                text = b"".join(groups[start:stop])[:-1]
+                out[k] = (len(ids[k][0]), len(ids[k][1]), text, b"".join(links[start:stop]))
         return out
 
+    def distinct(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places of windows that hold all different ones, which of these each window is).
+
+        Windows are told apart by two 64-bit hashes of their ids; if those of one text
+        disagree, each window counts as its own.
+        """
+        hashes = []
+        for seed in (ODD, mix(np.array([ODD]))[0]):
+            total = np.zeros(len(cut_a), np.uint64)
+            for ids, cut in ((a, cut_a), (b, cut_b)):
+                start = np.append(0, cut[:-1])
+                place = np.arange(len(ids), dtype=np.uint64) - np.repeat(start, cut - start).astype(np.uint64)
+                mixed = mix(mix(ids.astype(np.uint64) + seed) + place * ODD)
+                total = mix(total * ODD + np.add.reduceat(mixed, start) + (cut - start).astype(np.uint64))
+            hashes.append(total)
+        _, first, which = np.unique(hashes[0], return_index=True, return_inverse=True)
+        if (hashes[1][first][which] != hashes[1]).any():
+            return np.arange(len(cut_a)), np.arange(len(cut_a))
+        return first, which
+
 
 ALIGNED = "n_a long, n_b long, n_groups long, groups_sha256 string, pair binary, times binary"
 
@@ -243,8 +277,8 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", groups:
     kinds = [pa.int64()] * 3 + [pa.string(), pa.binary(), pa.binary()] + [pa.string()] * groups
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(path_a, path_b)
-        gc.disable()  # windows are many and hold no cycles
+        aligner = kept_in_worker((Aligner.__qualname__, path_a, path_b), lambda: Aligner(path_a, path_b))
+        hold()
         for batch in batches:
             rows = []
             for found in aligner.align(batch.column(len(kept)).to_pylist()):
@@ -255,8 +289,6 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", groups:
                 rows.append(row + ((text_of_groups.decode(),) if groups else ()))
             columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)] if rows else [pa.array([], kind) for kind in kinds]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], [*kept, *names])
-        del aligner
-        gc.enable()
         release()
 
     return source.mapInArrow(aligned, schema)

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import sys
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +19,7 @@ from martkeep.session import shared_folder
 #: Rows and bytes of text that a Python worker holds at once.
 BATCH = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -41,9 +45,27 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_in_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once per Python worker and ``key``: workers outlive their tasks.
+
+    Functions are pickled by value, so a module's own globals would be new in each task.
+    """
+    kept = sys.__dict__.setdefault("_martkeep_kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+def hold() -> None:
+    """No search for cyclic garbage in this task until :func:`release`: words are many and have no cycles."""
+    gc.disable()
+
+
 def release() -> None:
     """Give freed memory back at the end of a task: workers are kept and used again."""
+    gc.enable()
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # not the GNU C library
