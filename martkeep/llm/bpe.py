@@ -1,8 +1,9 @@
 """BPE by speculation and verification: greedy tokens, checked pairs, exact merges for the rest.
 
 A sequence of tokens is what merging gives if every two neighbours are what merging their
-joined text gives. So words are cut greedily into the longest tokens, all pairs of
-neighbours are looked up at once, and only words with a wrong pair are merged by rank.
+joined text gives. So words are cut greedily into the longest tokens, by one search over all
+new words, all pairs of neighbours are looked up at once, and only words with a wrong pair
+are merged by rank, as rows of a matrix.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -18,13 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martkeep.llm.common import release
+from martkeep.llm.common import hold, kept_in_worker, release
 
 #: White space as the tokenizer's patterns see it; str.split() also splits at \x1c-\x1f.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+"
 END = "</w>"
+MARK = "\ue000"  # stands for END, as one letter that no text has in byte letters
 KNOWN_WORDS, KNOWN_PAIRS = 100_000, 200_000  # a worker remembers up to twice as many
+NO_RANK = np.int32(2**31 - 1)
+WIDTHS = (4, 8, 12, 16, 24, 32, 64, 200)  # words are merged beside others of about their length
 
 
 def byte_letters() -> dict[int, str]:
@@ -60,10 +65,24 @@ class WordBpe:
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = _names(self.ids | self.special)
-        self.reach: dict[str, list[int]] = {}  # first letters -> lengths of tokens, longest first
-        for name in self.ids:
-            self.reach.setdefault(name[:3], []).append(len(name))
-        self.reach = {start: sorted(set(n), reverse=True) for start, n in self.reach.items()}
+        # Longest tokens from the left: an automaton over all tokens, word ends as one letter.
+        self.finder = ahocorasick.Automaton()
+        marked = {name.replace(END, MARK): i for name, i in self.ids.items() if name not in self.special}
+        for name, i in marked.items():
+            self.finder.add_word(name, i)
+        self.finder.make_automaton()
+        self.length = np.zeros(len(self.names), np.int64)
+        self.length[list(marked.values())] = [len(name) for name in marked]
+        # The same merges as arrays: codes of pairs of ids, their ranks, and what each rank makes.
+        pairs = [(self.ids[a], self.ids[b]) for a, b in merges]
+        codes = np.array([a << 32 | b for a, b in pairs], np.int64)
+        order = np.argsort(codes, kind="stable")
+        self.codes, self.rank_of = codes[order], order.astype(np.int32)
+        self.made = np.array([self.ids[a + b] for a, b in merges], np.int64)
+        self.letter_ids = np.full((2, 512), -1, np.int64)
+        for letter in byte_letters().values():
+            for k, end in enumerate(("", END)):
+                self.letter_ids[k, ord(letter)] = self.ids.get(letter + end, -1)
         self.letters = byte_letters()
         self.split = regex.compile(PATTERN)
         self.spaces = regex.compile(f"[{SPACE}]+")
@@ -100,10 +119,52 @@ class WordBpe:
             return [*body[:-1], body[-1:] + END]
         return list(text)
 
-    def exact(self, word: str) -> list[int]:
-        if len(word) <= 200:
-            return [self.ids[s] for s in self.merge(self.symbols(word + END)) if s in self.ids]
-        return self.exact_long(self.symbols(word + END))
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids; none where either is missing (-1) or they do not merge."""
+        code = left << 32 | right
+        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return np.where((self.codes[at] == code) & (left >= 0) & (right >= 0), self.rank_of[at], NO_RANK)
+
+    def merge_all(self, texts: list[str], ended: np.ndarray) -> list[np.ndarray]:
+        """Ids of stretches of byte letters by exact merging; ``ended``: a word ends there."""
+        out: list = [None] * len(texts)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        for low, high in zip((0, *WIDTHS), WIDTHS):
+            rows = np.flatnonzero((sizes > low) & (sizes <= high))
+            if len(rows):
+                self._merge_rows([texts[i] for i in rows.tolist()], sizes[rows], ended[rows], rows, high, out)
+        for i in np.flatnonzero(sizes > WIDTHS[-1]).tolist():
+            symbols = self.exact_long(self.symbols(texts[i] + END * bool(ended[i])))
+            out[i] = np.array(symbols, np.int64)
+        return out
+
+    def _merge_rows(self, texts: list[str], sizes: np.ndarray, ended: np.ndarray, rows: np.ndarray, width: int, out: list) -> None:
+        """Merge a matrix of ids, a text each row: in each step every row merges its lowest pair, the leftmost first."""
+        points = np.frombuffer("".join([t.ljust(width, "\0") for t in texts]).encode("utf-32-le"), "<u4").reshape(-1, width)
+        column = np.arange(width)
+        ids = np.where(column < sizes[:, None], self.letter_ids[0][points], -1)
+        at_end = np.flatnonzero(ended)
+        ids[at_end, sizes[at_end] - 1] = self.letter_ids[1][points[at_end, sizes[at_end] - 1]]
+        ranks = self.ranks_of(ids[:, :-1], ids[:, 1:])
+        while len(rows):
+            best = ranks.argmin(axis=1)
+            rank = ranks[np.arange(len(rows)), best]
+            done = rank == NO_RANK
+            for i, found in zip(rows[done].tolist(), ids[done]):
+                out[i] = found[found >= 0]
+            go = ~done
+            rows, ids, ranks, best, rank = rows[go], ids[go], ranks[go], best[go][:, None], rank[go]
+            each = np.arange(len(rows))
+            np.put_along_axis(ids, best, self.made[rank][:, None], axis=1)
+            ids[:, :-1] = np.where(column[:-1] > best, ids[:, 1:], ids[:, :-1])
+            ids[:, -1] = -1
+            ranks[:, :-1] = np.where(column[:-2] >= best, ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = NO_RANK
+            best = best[:, 0]
+            left = np.flatnonzero(best > 0)
+            ranks[left, best[left] - 1] = self.ranks_of(ids[left, best[left] - 1], ids[left, best[left]])
+            right = each[best < width - 1]
+            ranks[right, best[right]] = self.ranks_of(ids[right, best[right]], ids[right, best[right] + 1])
 
     def exact_long(self, symbols: list[str]) -> list[int]:
         """The same merges by a heap over linked neighbours, for very long words."""
@@ -129,22 +190,14 @@ class WordBpe:
 
     # -- speculation and verification --------------------------------------------------
 
-    def greedy(self, word: str) -> list[int] | None:
-        """Longest tokens from the left; None where no token fits."""
-        out, at, text, ids, reach = [], 0, word + END, self.ids, self.reach
-        end = len(text)
-        last = end - len(END)  # a token must not leave the word end alone
-        while at < end:
-            start = text[at : at + 3]
-            for n in (*reach.get(start, ()), 2, 1):
-                stop = at + n
-                if (stop < last or stop == end) and (i := ids.get(text[at:stop])) is not None:
-                    out.append(i)
-                    at = stop
-                    break
-            else:
-                return None
-        return out
+    def greedy(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Longest tokens from the left of all words: (ids, word of each, words that tokens do not cover)."""
+        found = list(self.finder.iter_long("".join([word + MARK for word in words])))
+        stops, ids = (np.fromiter((f[k] for f in found), np.int64, len(found)) for k in (0, 1))
+        sizes = np.array([len(word) + 1 for word in words], np.int64)
+        owner = np.searchsorted(np.cumsum(sizes) - 1, stops)
+        covered = np.bincount(owner, weights=self.length[ids], minlength=len(words))
+        return ids, owner, covered != sizes
 
     def compatible(self, pairs: np.ndarray) -> np.ndarray:
         """Whether merging each pair's joined text gives the pair; id << 32 | next id.
@@ -155,37 +208,50 @@ class WordBpe:
             self.older_pairs, self.pair_ok = self.pair_ok, {}
         known, older = self.pair_ok, self.older_pairs
         distinct, at = np.unique(pairs, return_inverse=True)
-        verdict = np.empty(len(distinct), bool)
-        for k, pair in enumerate(distinct.tolist()):
-            ok = known.get(pair)
-            if ok is None and (ok := older.get(pair)) is not None:
-                known[pair] = ok
-            if ok is None:
-                a, b = pair >> 32, pair & 0xFFFFFFFF
-                tokens = [self.names[a]] if b == 0xFFFFFFFF else [self.names[a], self.names[b]]
-                ok = known[pair] = self.merge(self.symbols("".join(tokens))) == tokens
-            verdict[k] = ok
-        return verdict[at]
-
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Token ids of distinct words in byte letters."""
-        proposed = [self.greedy(w) for w in words]
-        sizes = np.array([len(p) if p else 0 for p in proposed], np.int64)
-        flat = np.fromiter((i for p in proposed if p for i in p), np.int64, int(sizes.sum()))
-        owner = np.repeat(np.arange(len(words)), sizes)
+        verdicts = list(map(known.get, distinct.tolist()))
+        unknown = [k for k, ok in enumerate(verdicts) if ok is None]
+        texts, ended, asked = [], [], []
+        for k in unknown:
+            pair = int(distinct[k])
+            if (ok := older.get(pair)) is not None:
+                known[pair] = verdicts[k] = ok
+                continue
+            a, b = pair >> 32, pair & 0xFFFFFFFF
+            text = self.names[a] if b == 0xFFFFFFFF else self.names[a] + self.names[b]
+            ended.append(text.endswith(END))
+            texts.append(text.removesuffix(END))
+            asked.append(k)
+        for k, ids in zip(asked, self.merge_all(texts, np.array(ended, bool))):
+            pair = int(distinct[k])
+            want = [pair >> 32] if pair & 0xFFFFFFFF == 0xFFFFFFFF else [pair >> 32, pair & 0xFFFFFFFF]
+            known[pair] = verdicts[k] = ids.tolist() == want
+        return np.array(verdicts, bool)[at]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Packed token ids of distinct words in byte letters."""
+        if not words:
+            return []
+        ids, owner, wrong = self.greedy(words)
         joined = owner[1:] == owner[:-1]
-        single = np.flatnonzero(sizes == 1)
-        starts = np.cumsum(sizes) - sizes
-        pairs = np.concatenate([(flat[:-1] << 32 | flat[1:])[joined], flat[starts[single]] << 32 | 0xFFFFFFFF])
-        of = np.concatenate([owner[1:][joined], single])
-        wrong = sizes == 0
+        sizes = np.bincount(owner, minlength=len(words))
+        single = (sizes == 1)[owner]
+        pairs = np.concatenate([(ids[:-1] << 32 | ids[1:])[joined], ids[single] << 32 | 0xFFFFFFFF])
+        of = np.concatenate([owner[1:][joined], owner[single]])
         wrong[of[~self.compatible(pairs)]] = True
-        return [self.exact(w) if bad else p for w, p, bad in zip(words, proposed, wrong)]
+        packed, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+        out = [packed[i:j] for i, j in zip([0, *stops], stops)]
+        failed = np.flatnonzero(wrong).tolist()
+        merged = self.merge_all([words[k] for k in failed], np.ones(len(failed), bool))
+        for k, found in zip(failed, merged):
+            out[k] = found.astype("<u4").tobytes()
+        return out
 
     # -- texts -------------------------------------------------------------------------
 
     def pieces(self, chunk: str) -> list[str]:
         """What the splitting pattern finds in text without white space, in byte letters."""
+        if chunk.isascii() and chunk.isprintable():  # such letters stand for themselves
+            return [chunk] if chunk.isalpha() else self.split.findall(chunk)
         letters = self.letters
         return ["".join(map(letters.__getitem__, m.encode())) for m in self.split.findall(chunk)]
 
@@ -204,7 +270,7 @@ class WordBpe:
         distinct = list({w for ws in split for w in ws})
         ids = dict(zip(distinct, self.encode_words(distinct)))
         for chunk, ws in zip(new, split):
-            words[chunk] = np.array([i for w in ws for i in ids[w]], "<u4").tobytes()
+            words[chunk] = ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws])
 
     def normal(self, text: str) -> str:
         """NFC, then each character in lower case by itself (no final sigma)."""
@@ -265,10 +331,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 
     @F.arrow_udf(T.BinaryType())
     def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = WordBpe(path)
+        hold()
+        bpe = kept_in_worker((WordBpe.__qualname__, path), lambda: WordBpe(path))
         for texts in batches:
             yield pa.array(bpe.encode_batch(texts.to_pylist()), pa.binary())
-        del bpe
         release()
 
     return docs.withColumn(ids, pack(F.col(text).cast("string")))
@@ -283,7 +349,8 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
     @F.arrow_udf(T.StringType())
     def unpack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names = token_names(path)
+        hold()
+        names = kept_in_worker((token_names.__name__, path), lambda: token_names(path))
         for packed in batches:
             yield pa.array([spell(p, names) for p in packed.to_pylist()], pa.string())
         release()

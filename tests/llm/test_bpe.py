@@ -37,6 +37,29 @@ def test_long_words_merge_alike():
         assert ours.exact_long(ours.symbols(letters + bpe.END)) == [ours.ids[s] for s in ours.merge(ours.symbols(letters + bpe.END))]
 
 
+def test_matrix_merges_are_those_of_one_word(library):
+    ours, rnd = bpe.WordBpe(word_tokenizer()), random.Random(4)
+    letters = [ours.letters[b] for b in range(256)]
+    texts = ["".join(rnd.choice(letters[97:123] if rnd.random() < 0.8 else letters) for _ in range(rnd.randrange(1, 260))) for _ in range(300)]
+    texts += ["".join(rnd.choice("theandingers") for _ in range(rnd.randrange(1, 14))) for _ in range(2000)]
+    ended = np.array([rnd.random() < 0.5 for _ in texts])
+    for text, end, got in zip(texts, ended, ours.merge_all(texts, ended)):
+        want = [ours.ids[s] for s in ours.merge(ours.symbols(text + (bpe.END if end else "")))]
+        assert got.tolist() == want, text
+
+
+def test_longest_tokens_from_the_left():
+    ours, words = bpe.WordBpe(word_tokenizer()), ["thering", "x", "qzqzq", "\u0120", "international"]
+    ids, owner, wrong = ours.greedy(words)
+    for k, word in enumerate(words):
+        mine, at = [ours.names[i].replace(bpe.END, bpe.MARK) for i in ids[owner == k]], 0
+        for token in mine:
+            rest = (word + bpe.MARK)[at:]
+            assert token == max((rest[:n] for n in range(1, len(rest) + 1) if rest[:n].replace(bpe.MARK, bpe.END) in ours.ids), key=len)
+            at += len(token)
+        assert wrong[k] == (at != len(word) + 1)
+
+
 def test_columns(spark, library):
     df = bpe.decode(bpe.encode(documents(spark), word_tokenizer()), word_tokenizer())
     rows = df.select("doc_id", "text", "ids", "decoded", "score").collect()
