@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martkeep.llm.common import MASK, ODD, Hasher, mix, release, shingles, signed, staged
+from martkeep.llm.common import MASK, ODD, Hasher, hold, mix, release, shingles, signed, staged
 from martkeep.llm.components import connected_components, local_roots
 
 BLOCK_DOCS = 256
@@ -47,6 +47,7 @@ def set_id(grams: np.ndarray) -> int:
 
 def _count_grams(width: int):
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold()
         read, texts, gram, n = GramReader(width), set(), np.empty(0, np.uint64), np.empty(0, np.int64)
         waiting: list[np.ndarray] = []
         held = 0
@@ -152,6 +153,7 @@ def signatures(grams: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndarray
 
 def _describe(width: int, percent: int, heavy: np.ndarray):
     def describe(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold()
         read, seen = GramReader(width), set()
         for batch in rows:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
@@ -175,6 +177,7 @@ def _describe(width: int, percent: int, heavy: np.ndarray):
                 ],
                 ["doc_id", "n", "sid", "sigs", "sketch"],
             )
+        release()
 
     return describe
 
@@ -462,6 +465,7 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
 def _read_grams(width: int, wanted: np.ndarray):
     def read_grams(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold()
         read = GramReader(width)
         for batch in rows:
             batch = batch.filter(batch.column(0).is_valid())
@@ -493,8 +497,8 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
 
     1. Equal sets become one. Each set is written as signatures of which linked sets share
        one (see :func:`signatures`).
-    2. Pivots: every set is compared with one that shares a signature with it and is not yet
-       tied to it, in :data:`PIVOT_ROUNDS` rounds. That ties most of a family of near copies
+    2. Pivots: every set is compared with the one that stands for most of its signatures and
+       is not yet tied to it, in :data:`PIVOT_ROUNDS` rounds. That ties most of a family of near copies
        at a cost that grows with its sets, not with its pairs.
     3. Signatures that sets of several components still share form clusters, cut into
        blocks of some :data:`BLOCK_DOCS` sets. Pairs of blocks, other than those of one
@@ -530,8 +534,8 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         labelled, mixed = _mixed(shared, components, seed := _seed(number), "jaccard-round")
         if mixed.isEmpty():
             break
-        pairs = labelled.join(mixed, "sig").where("component <> pivot_component").groupBy("sid")
-        pairs = staged(pairs.agg(F.min(F.col("pivot").bitwiseXOR(F.lit(seed))).bitwiseXOR(F.lit(seed)).alias("pivot")), "jaccard-pairs")
+        often = labelled.join(mixed, "sig").where("component <> pivot_component").groupBy("sid", "pivot").count()
+        pairs = staged(often.groupBy("sid").agg(F.max_by("pivot", "count").alias("pivot")), "jaccard-pairs")
         edges.append(staged(_pivot_pairs(pairs, grams).mapInArrow(_links(percent), "a long, b long"), "jaccard-links"))
         components = staged(connected_components(reduce(DataFrame.unionByName, edges), "jaccard-tied"), "jaccard-tied")
     labelled, mixed = _mixed(shared, components, 0, "jaccard-left")

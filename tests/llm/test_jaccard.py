@@ -62,7 +62,7 @@ def _family(n, rnd):
     base, out = prose(rnd, 150, 50_000).split(), []
     for i in range(n):
         copy = list(base)
-        for _ in range(rnd.randrange(4)):
+        for _ in range(rnd.randrange(2)):
             copy[rnd.randrange(len(copy))] = f"edit{i}x{rnd.randrange(9)}"
         out.append((i, " ".join([*copy, f"end{i}"])))
     return out
