@@ -81,23 +81,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Seen(dict):
+    """Word -> code, worked out when a word is first asked for."""
+
+    def __init__(self, code: Callable[[bytes], int]):
+        super().__init__()
+        self.code = code
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = self.code(word)
+        return code
+
+
 class Hasher:
     """64-bit hashes of words, kept for words seen before up to a fixed number of them."""
 
     def __init__(self, keep: int = 100_000):
-        self.keep, self.seen = keep, {}
+        self.keep, self.seen = keep, _Seen(self.code)
 
-    def code(self, word: bytes) -> int:
+    @staticmethod
+    def code(word: bytes) -> int:
         return xxhash.xxh64_intdigest(word)
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        seen = self.seen
-        if len(seen) > self.keep:
-            seen.clear()
-        for word in set(words):
-            if word not in seen:
-                seen[word] = self.code(word)
-        return np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
+        if len(self.seen) > self.keep:
+            self.seen.clear()
+        return np.fromiter(map(self.seen.__getitem__, words), np.uint64, len(words))
 
 
 def shingles(hashes: np.ndarray, width: int) -> np.ndarray:

@@ -8,7 +8,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkeep.llm.common import MASK, ODD, Hasher, hold, mix, release, shingles, signed, staged
@@ -21,7 +21,7 @@ HEAVY_LEAST = 64  # documents that make an n-gram common
 HEAVY_MOST = 1 << 20  # common n-grams kept: 8 MB, whatever the corpus
 FILTER_BITS = 1 << 24
 BROADCAST_SETS = 500_000  # sets of clusters, some 60 bytes each, that all executors get
-PIVOT_ROUNDS = 2  # rounds that only spare work: any number gives the same links
+PIVOTS = 2  # sets that each set is compared with first; only spares work, any number gives the same components
 RUN = 4096  # sets of a signature whose membership is compared with that of other signatures
 
 
@@ -173,9 +173,9 @@ def _describe(width: int, percent: int, heavy: np.ndarray):
             yield pa.RecordBatch.from_arrays(
                 [
                     ids, pa.array(sizes, pa.int64()), pa.array(sets, pa.int64()),
-                    pa.array(sigs, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
+                    pa.array(sigs, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), batch.column(2),
                 ],
-                ["doc_id", "n", "sid", "sigs", "sketch"],
+                ["doc_id", "n", "sid", "sigs", "sketch", "row"],
             )
         release()
 
@@ -394,7 +394,7 @@ def _block_pairs(placed: DataFrame, payload: DataFrame) -> DataFrame:
 def _pivot_pairs(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     """Rows like those of :func:`_block_pairs` that compare each set with its pivot.
 
-    ``pairs`` has each sid once, with its pivot. The sets of a pivot are dealt into blocks,
+    ``pairs`` has each sid and pivot once. The sets of a pivot are dealt into blocks,
     and the pivot's own n-grams go to each of them.
     """
     blocks = staged(pairs.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("blocks")), "jaccard-pivots")
@@ -413,10 +413,10 @@ def _pivot_pairs(pairs: DataFrame, grams: DataFrame) -> DataFrame:
 # -- signatures that sets of several components share ---------------------------------------
 
 
-def _mixed(shared: DataFrame, components: DataFrame | None, seed: int, purpose: str) -> tuple[DataFrame, DataFrame]:
+def _mixed(shared: DataFrame, components: DataFrame | None, purpose: str) -> tuple[DataFrame, DataFrame]:
     """(``shared`` with components, the signatures whose sets are not of one component).
 
-    The latter come with a pivot: the set that is lowest in an order that ``seed`` gives.
+    The latter come with a pivot, their lowest set.
     """
     if components is None:
         labelled = shared.withColumn("component", F.col("sid"))
@@ -424,19 +424,10 @@ def _mixed(shared: DataFrame, components: DataFrame | None, seed: int, purpose:
         known = components.select(F.col("node").alias("sid"), F.col("component").alias("of"))
         labelled = shared.join(known, "sid", "left").select("sig", "sid", F.coalesce("of", "sid").alias("component"))
         labelled = staged(labelled, f"{purpose}-labelled")
-    order = F.col("sid").bitwiseXOR(F.lit(seed))
     groups = labelled.groupBy("sig").agg(
-        F.min(order).bitwiseXOR(F.lit(seed)).alias("pivot"),
-        F.min_by("component", order).alias("pivot_component"),
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
+        F.min("sid").alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    return labelled, staged(groups.where("low <> high").drop("low", "high"), f"{purpose}-mixed")
-
-
-def _seed(number: int) -> int:
-    """A different order of sets for each round."""
-    return int(signed(mix(np.array([number], np.uint64) + ODD))[0])
+    return labelled, staged(groups.where("low <> high").select("sig", "pivot"), f"{purpose}-mixed")
 
 
 def _bits(ids: np.ndarray) -> np.ndarray:
@@ -485,8 +476,8 @@ def _read_grams(width: int, wanted: np.ndarray):
     return read_grams
 
 
-def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, node.
+def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, row: Column | None = None) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, node, row.
 
     Two documents link when 100 * |a & b| >= percent * |a | b| for their sets of distinct
     runs of ``width`` words (white space is \\x20 and \\x09-\\x0D, A-Z are lower-cased). A
@@ -497,9 +488,9 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
 
     1. Equal sets become one. Each set is written as signatures of which linked sets share
        one (see :func:`signatures`).
-    2. Pivots: every set is compared with the one that stands for most of its signatures and
-       is not yet tied to it, in :data:`PIVOT_ROUNDS` rounds. That ties most of a family of near copies
-       at a cost that grows with its sets, not with its pairs.
+    2. Pivots: every set is compared with those :data:`PIVOTS` sets that are the lowest of most of
+       its signatures. That ties most of a family of near copies at a cost that grows with
+       its sets, not with its pairs.
     3. Signatures that sets of several components still share form clusters, cut into
        blocks of some :data:`BLOCK_DOCS` sets. Pairs of blocks, other than those of one
        component, are ruled out by sketches of 64 bytes (see :func:`_possible`) or become
@@ -511,12 +502,13 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     Rows without doc_id are compared with nothing and have component_id NULL. Both have a
     NULL node. Repeated rows, also a doc_id with several texts, are all returned; the
     component of each is that of its text. An empty table gives none. Other columns are not
-    looked at.
+    looked at; ``row``, a long computed from them, is returned as it is (else 0).
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    mark = (F.lit(0) if row is None else row).cast("long").alias("row")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), mark)
     heavy = heavy_grams(texts, width)
     described = staged(
-        texts.mapInArrow(_describe(width, percent, heavy), "doc_id long, n long, sid long, sigs array<long>, sketch binary"),
+        texts.mapInArrow(_describe(width, percent, heavy), "doc_id long, n long, sid long, sigs array<long>, sketch binary, row long"),
         "jaccard-sets",
     )
     known = described.where("doc_id IS NOT NULL AND sid IS NOT NULL")
@@ -530,15 +522,14 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         candidates = F.broadcast(candidates)
     grams = staged(read.join(candidates, ["doc_id", "sid"]).select("sid", "grams").dropDuplicates(["sid"]), "jaccard-grams")
     edges, components = [], None
-    for number in range(PIVOT_ROUNDS):
-        labelled, mixed = _mixed(shared, components, seed := _seed(number), "jaccard-round")
-        if mixed.isEmpty():
-            break
-        often = labelled.join(mixed, "sig").where("component <> pivot_component").groupBy("sid", "pivot").count()
-        pairs = staged(often.groupBy("sid").agg(F.max_by("pivot", "count").alias("pivot")), "jaccard-pairs")
+    _, groups = _mixed(shared, None, "jaccard-first")
+    if PIVOTS and not groups.isEmpty():
+        often = shared.join(groups, "sig").where("sid <> pivot").groupBy("sid", "pivot").count()
+        most = F.slice(F.sort_array(F.collect_list(F.struct("count", "pivot")), asc=False), 1, PIVOTS)
+        pairs = staged(often.groupBy("sid").agg(most.alias("most")).select("sid", F.explode("most.pivot").alias("pivot")), "jaccard-pairs")
         edges.append(staged(_pivot_pairs(pairs, grams).mapInArrow(_links(percent), "a long, b long"), "jaccard-links"))
-        components = staged(connected_components(reduce(DataFrame.unionByName, edges), "jaccard-tied"), "jaccard-tied")
-    labelled, mixed = _mixed(shared, components, 0, "jaccard-left")
+        components = staged(connected_components(edges[0], "jaccard-tied"), "jaccard-tied")
+    labelled, mixed = _mixed(shared, components, "jaccard-left")
     if not mixed.isEmpty():
         left = staged(labelled.join(mixed, "sig").select("sid", "component", "pivot"), "jaccard-left")
         of = left.select("sid", "component").distinct()
@@ -560,10 +551,10 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         )
     of_class = staged(of_class.select("sid", F.col("doc_id").alias("component_id"), "node"), "jaccard-result")
     # Rows without a set go past the join, so that NULLs do not gather in one task.
-    matched = known.select("doc_id", "n", "sid").join(of_class, "sid").select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", "node"
+    matched = known.select("doc_id", "n", "sid", "row").join(of_class, "sid").select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "node", "row"
     )
     alone = described.where("doc_id IS NULL OR sid IS NULL").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("node")
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("node"), "row"
     )
     return matched.unionByName(alone)

@@ -90,7 +90,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), width=4, percent=85).drop("node")
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), width=4, percent=85).drop("node", "row")
 
 
 @query

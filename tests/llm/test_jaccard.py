@@ -30,7 +30,7 @@ def test_groups_are_those_of_all_pairs(spark, width, percent):
 @pytest.mark.parametrize(("broadcast", "rounds"), [(0, 0), (1000, 1), (1000, 2)])
 def test_common_passages_and_a_large_family(spark, monkeypatch, broadcast, rounds):
     monkeypatch.setattr(jaccard, "BROADCAST_SETS", broadcast)
-    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "PIVOTS", rounds)
     monkeypatch.setattr(jaccard, "RUN", 20)
     monkeypatch.setattr(jaccard, "HEAVY_LEAST", 8)
     monkeypatch.setattr(jaccard, "BLOCK_DOCS", 7)
