@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -11,20 +12,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkeep.llm.common import Hasher, signed, staged
+from martkeep.llm.common import Hasher, hold, release, signed, staged
 
 SHAPES = 16
 END = SHAPES - 1  # the code of the end of a text: no word's last four bits are all ones alone
 LISTED = 1 << 18  # the most frequent words, sent to the tasks with their counts (some MB)
-CLUSTERED = 2048  # of these, the words that get classes by exchange
+CLUSTERED = 2048  # of these, the words that exchange moves until nothing gains
+CLASSED_LEAST = 8  # all other listed words of at least this count get the class that gains most
 CLASSES = 64
+KNOWN_WORDS = 400_000  # different words that a task holds at once
 PRIOR = 5.0  # pseudo-counts of a class's successors, drawn by their overall shares
 
 
 class Coder(Hasher):
     """60-bit hashes of words; the last four bits say what a word looks like."""
 
-    def code(self, word: bytes) -> int:
+    @staticmethod
+    def code(word: bytes) -> int:
         punctuated = word[-1:] in (b".", b",", b";", b":", b"!", b"?")
         shape = 8 * punctuated + 4 * (not word.isascii()) + min(2, len(word) // 5)
         if not word.strip(b"#*$%&|<>.,;:!?-_0123456789"):
@@ -43,47 +47,106 @@ class TokenReader:
         return np.append(self.code(words), np.uint64(END))
 
 
-def _tally(keys: np.ndarray, counts: np.ndarray, new: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    fresh, many = np.unique(np.concatenate(new), return_counts=True)
-    every, at = np.unique(np.concatenate([keys, fresh]), return_inverse=True)
-    total = np.zeros(len(every), np.int64)
-    np.add.at(total, at, np.concatenate([counts, many]))
-    return every, total
+class WordIndex(dict):
+    """Word -> number, given in the order of first sight; ``new`` holds words not yet looked at."""
 
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
 
-def _counter(values, names: tuple[str, str]):
-    """A task's counts of ``values(codes of a text)``, in parts if there are very many."""
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self) + 1  # 0 is the end of a text
+        self.new.append(word)
+        return number
 
-    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = TokenReader()
-        keys, counts, waiting, held = np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(counts)], list(names))
+class BatchReader:
+    """Texts as numbers of words, all texts of a batch on end, each with a 0 behind it.
 
-        for batch in rows:
-            for text in batch.column(0).to_pylist():
-                waiting.append(values(read(text)))
-                held += len(waiting[-1])
-                if held > 1_000_000:
-                    keys, counts = _tally(keys, counts, waiting)
-                    waiting, held = [], 0
-            if len(keys) > 4_000_000:
-                yield out()
-                keys, counts = keys[:0], counts[:0]
-        if waiting:
-            keys, counts = _tally(keys, counts, waiting)
-        yield out()
+    ``codes`` has the code of each number; ``look`` computes, from codes, arrays of what is
+    known of words (see :meth:`known`), once for each word.
+    """
 
-    return count
+    def __init__(self, look: Callable[[np.ndarray], tuple[np.ndarray, ...]] = lambda codes: ()):
+        self.look, self.code = look, Coder.code
+        self.reset()
+
+    def reset(self) -> None:
+        self.index, self.codes = WordIndex(), np.array([END], np.uint64)
+        self.known = self.look(self.codes)
+
+    def full(self) -> bool:
+        return len(self.index) > KNOWN_WORDS
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, where each text's begin)."""
+        split = [text.encode("utf-8", "surrogatepass").lower().split() if text else [] for text in texts]
+        sizes = np.array([len(words) for words in split], np.int64)
+        numbers = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if self.index.new:
+            codes = np.array([self.code(word) for word in self.index.new], np.uint64)
+            self.codes = np.concatenate([self.codes, codes])
+            self.known = tuple(np.concatenate(pair) for pair in zip(self.known, self.look(codes)))
+            self.index.new.clear()
+        stops = np.cumsum(sizes)
+        return np.insert(numbers, stops, 0), stops - sizes + np.arange(len(sizes))
+
+
+def _before(values: np.ndarray, end: int) -> np.ndarray:
+    """What stands before each token: an end before the first of a text."""
+    return np.concatenate([[end], values[:-1]])
+
+
+def _count_words(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's counts of words, in parts if there are very many."""
+    hold()
+    read, total = BatchReader(), np.zeros(1, np.int64)
+
+    def out() -> pa.RecordBatch:
+        some = np.flatnonzero(total)
+        return pa.RecordBatch.from_arrays([pa.array(signed(read.codes[some])), pa.array(total[some])], ["code", "n"])
+
+    for batch in rows:
+        if read.full():
+            yield out()
+            read.reset()
+            total = np.zeros(1, np.int64)
+        numbers, _ = read(batch.column(0).to_pylist())
+        counts = np.bincount(numbers, minlength=len(read.codes))
+        counts[: len(total)] += total
+        total = counts
+    yield out()
+    del read
+    release()
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(code, n) of every token, ends included."""
-    counted = texts.select("text").mapInArrow(_counter(lambda codes: codes, ("code", "n")), "code long, n long")
+    counted = texts.select("text").mapInArrow(_count_words, "code long, n long")
     return counted.groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def _count_pairs(look: Callable[[np.ndarray], np.ndarray], size: int):
+    """A task's counts of neighbours, as ``first * size + second`` of what ``look`` makes of codes."""
+    end = int(look(np.array([END], np.uint64))[0])
+
+    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold()
+        read, total = BatchReader(lambda codes: (look(codes),)), np.zeros(size * size, np.int64)
+        for batch in rows:
+            if read.full():
+                read.reset()
+            numbers, _ = read(batch.column(0).to_pylist())
+            ids = read.known[0][numbers]
+            total += np.bincount(_before(ids, end) * size + ids, minlength=size * size)
+        (some,) = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["pair", "n"])
+        del read, total
+        release()
+
+    return count
+
+
 def listed_words(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
     """Codes and counts of all words with a count from some number on, at most ``most`` of them.
 
@@ -197,11 +260,7 @@ def cluster(texts: DataFrame, symbols: np.ndarray, classes: int, rounds: int) ->
     n, size = len(symbols), classes + SHAPES
     total = n + SHAPES
 
-    def pairs(codes: np.ndarray) -> np.ndarray:
-        ids = symbol_ids(codes, symbols)
-        return (np.concatenate([ids[-1:], ids[:-1]]) * total + ids).astype(np.uint64)
-
-    counted = texts.select("text").mapInArrow(_counter(pairs, ("pair", "n")), "pair long, n long")
+    counted = texts.select("text").mapInArrow(_count_pairs(lambda codes: symbol_ids(codes, symbols), total), "pair long, n long")
     table = counted.groupBy("pair").agg(F.sum("n").alias("n"))
     one, two = F.floor(F.col("pair") / total).cast("long"), F.col("pair") % total
     sides = F.explode(F.array(
@@ -234,13 +293,132 @@ def symbol_ids(codes: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     return np.where(symbols[at] == codes, at, shape)
 
 
+# -- classes of all other words ------------------------------------------------------------------
+
+
+def _count_neighbours(words: np.ndarray, look: Callable[[np.ndarray], np.ndarray], size: int):
+    """A task's counts (word, slot, n) of the classes before (slot) and after (size + slot) each of ``words``."""
+    end = int(look(np.array([END], np.uint64))[0])
+
+    def both(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(words, codes), len(words) - 1)
+        return np.where(words[at] == codes, at, -1), look(codes)
+
+    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold()
+        read, waiting, held = BatchReader(both), [], 0
+        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def merge() -> None:
+            nonlocal keys, counts, waiting, held
+            fresh, many = np.unique(np.concatenate([np.empty(0, np.int64), *waiting]), return_counts=True)
+            every, at = np.unique(np.concatenate([keys, fresh]), return_inverse=True)
+            counts = np.bincount(at, weights=np.concatenate([counts, many]), minlength=len(every)).astype(np.int64)
+            keys, waiting, held = every, [], 0
+
+        def out() -> pa.RecordBatch:
+            word, slot = np.divmod(keys, 2 * size)
+            return pa.RecordBatch.from_arrays([pa.array(word), pa.array(slot.astype(np.int32)), pa.array(counts)], ["word", "slot", "n"])
+
+        for batch in rows:
+            if read.full():
+                read.reset()
+            numbers, _ = read(batch.column(0).to_pylist())
+            word, of = (known[numbers] for known in read.known)
+            at = np.flatnonzero(word >= 0)
+            mine = word[at] * 2 * size
+            waiting += [mine + _before(of, end)[at], mine + size + of[at + 1]]  # an end stands behind every word
+            held += 2 * len(at)
+            if held > 2_000_000:
+                merge()
+            if len(keys) > 4_000_000:  # counts are summed anyway, so a task may send parts
+                yield out()
+                keys, counts = keys[:0], counts[:0]
+        merge()
+        yield out()
+        del read, keys, counts
+        release()
+
+    return count
+
+
+def best_classes(left: np.ndarray, right: np.ndarray, now: np.ndarray, between: np.ndarray, n: int) -> np.ndarray:
+    """For each word, by its counts of classes before and after it, the class that gains most likelihood.
+
+    ``now`` is the class, none of the first ``n``, by which the word is counted in
+    ``between``; the gain is that of moving it from there, all other words staying.
+    """
+    m, rows, columns = between, between.sum(axis=1)[:n], between.sum(axis=0)[:n]
+    corner = m[np.arange(n), np.arange(n)]
+    out = np.empty(len(left), np.int64)
+    for start in range(0, len(left), 256):
+        l, r = (x[start : start + 256].astype(float) for x in (left, right))
+        of = now[start : start + 256]
+        each = np.arange(len(of))
+        # What follows each class and what precedes it, without the word where it is now.
+        down, across = (np.repeat(x[None], len(of), axis=0) for x in (m[:n], m[:, :n].T))
+        down[each, :, of] -= l[:, :n]
+        across[each, :, of] -= r[:, :n]
+        gain = (_xlogx(down + r[:, None]) - _xlogx(down)).sum(axis=2) + (_xlogx(across + l[:, None]) - _xlogx(across)).sum(axis=2)
+        gain += _xlogx(corner + r[:, :n] + l[:, :n]) + _xlogx(corner) - _xlogx(corner + r[:, :n]) - _xlogx(corner + l[:, :n])
+        gain -= _xlogx(rows + r.sum(axis=1)[:, None]) - _xlogx(rows) + _xlogx(columns + l.sum(axis=1)[:, None]) - _xlogx(columns)
+        out[start : start + 256] = gain.argmax(axis=1)
+    return out
+
+
+def _assign(now: np.ndarray, between: np.ndarray, n: int):
+    """(word, class) of rows (word, slot, n) sorted by word."""
+    size = len(between)
+
+    def assign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64)] * 3
+        for batch in chain(rows, [None]):
+            if batch is not None:
+                held = [np.concatenate([old, c.to_numpy(zero_copy_only=False).astype(np.int64)]) for old, c in zip(held, batch.columns)]
+            word, slot, counts = held
+            if not len(word):
+                continue
+            # The last word may go on in the next batch.
+            done = len(word) if batch is None else int(np.searchsorted(word, word[-1]))
+            words, at = np.unique(word[:done], return_inverse=True)
+            if len(words):
+                vectors = np.zeros((len(words), 2 * size), np.int64)
+                np.add.at(vectors, (at, slot[:done]), counts[:done])
+                found = best_classes(vectors[:, :size], vectors[:, size:], now[words], between, n)
+                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(found)], ["word", "class"])
+            held = [x[done:] for x in held]
+        release()
+
+    return assign
+
+
+def classify(texts: DataFrame, words: np.ndarray, look: Callable[[np.ndarray], np.ndarray], between: np.ndarray, n: int) -> np.ndarray:
+    """Classes of the sorted ``words``, from the classes of their neighbours in all of ``texts``.
+
+    Neighbours are counted in tasks and by a shuffle, at most 2 x classes rows a word; classes
+    are chosen in tasks. Words and classes, at most :data:`LISTED`, come to the driver.
+    """
+    counted = texts.select("text").mapInArrow(_count_neighbours(words, look, len(between)), "word long, slot int, n long")
+    sums = staged(counted.groupBy("word", "slot").agg(F.sum("n").alias("n")), "brown-neighbours")
+    chosen = sums.repartition("word").sortWithinPartitions("word").mapInArrow(_assign(look(words), between, n), "word long, class long").toArrow()
+    out = np.zeros(len(words), np.int64)
+    out[chosen["word"].to_numpy()] = chosen["class"].to_numpy()
+    return out
+
+
 def train_brown(
-    texts: DataFrame, listed: int = LISTED, clustered: int = CLUSTERED, classes: int = CLASSES, rounds: int = 8
+    texts: DataFrame, listed: int = LISTED, clustered: int = CLUSTERED, classes: int = CLASSES, rounds: int = 8, classed_least: int = CLASSED_LEAST
 ) -> BrownModel:
     """A class bigram model of all ``texts`` (column text), whole.
 
+    The ``clustered`` most frequent words are the seeds that exchange deals into classes. All
+    other listed words that occur ``classed_least`` times then get the class that gains most
+    likelihood, by the classes of their neighbours, in tasks. Transitions are counted anew
+    with all of these classes. Only words that are rarer, whose neighbours say little, have
+    a class by what they look like.
+
     Counts of words and of neighbours cover every text and stay tables; what comes to the
-    driver is bounded by ``listed``, ``clustered`` and ``classes``.
+    driver is bounded by ``listed``, ``clustered`` and ``classes``. Four passes over the texts.
     """
     counts = staged(count_words(texts), "brown-words")
     codes, n, least = listed_words(counts, listed)
@@ -249,7 +427,22 @@ def train_brown(
     symbols = np.sort(codes[of_word][order])
     of_symbol, between = cluster(texts, symbols, classes, rounds)
     ids = symbol_ids(codes, symbols)
-    of_listed = np.where(ids < len(symbols), np.append(of_symbol, 0)[np.minimum(ids, len(symbols))], classes + ids - len(symbols))
+
+    def class_of(words: np.ndarray, of: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+        return lambda found: np.append(of, classes + np.arange(SHAPES))[symbol_ids(found, words)]
+
+    of_listed = class_of(symbols, of_symbol)(codes)
+    more = (ids >= len(symbols)) & of_word & (n >= classed_least)
+    if more.any() and len(symbols):
+        of_listed[more] = classify(texts, codes[more], class_of(symbols, of_symbol), between, classes)
+        learned = of_listed < classes
+        size = classes + SHAPES
+        pairs = texts.select("text").mapInArrow(_count_pairs(class_of(codes[learned], of_listed[learned]), size), "pair long, n long")
+        between = np.zeros(size * size)
+        for row in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect():
+            between[row["pair"]] = row["n"]
+        between = between.reshape(size, size)
+        symbols = codes[learned]
     outside = counts
     shape = F.col("code").bitwiseAND(SHAPES - 1)
     tokens, words, once, twice = np.zeros(SHAPES), np.zeros(SHAPES), 0, 0
@@ -286,7 +479,7 @@ def score_texts(docs: DataFrame, model: BrownModel) -> DataFrame:
     base_score and score, log10 probabilities of the whole text and its end.
 
     base_score is the add-one unigram model. score sums the transition between the classes
-    of neighbours and the emission of each word by its class. Words outside the clusters
+    of neighbours and the emission of each word by its class. Words without a learned class
     are emitted by their shape's class with discounted counts; what the discount frees is
     the probability of the shape's unknown words. Counts of listed words travel with the
     task; all other words of a text are joined with the table of counts, exactly.
@@ -299,29 +492,48 @@ def score_texts(docs: DataFrame, model: BrownModel) -> DataFrame:
     floor = m.train_tokens + m.vocabulary + 1
     base = np.log10((m.counts + 1) / floor)
     classes = len(m.transition) - SHAPES
-    listed_codes, listed_classes = m.codes, np.append(m.classes, 0)
-    transition, emission = m.transition, m.emission
+    listed_codes, listed_classes, transition, emission = m.codes, m.classes, m.transition, m.emission
+
+    def look(codes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Whether words are listed, their class, and what each adds to the two scores."""
+        ids = symbol_ids(codes, listed_codes)
+        n = len(listed_codes)
+        known, at = ids < n, np.minimum(ids, max(n - 1, 0))
+        if not n:
+            return known, classes + ids, np.zeros(len(codes)), np.zeros(len(codes))
+        return known, np.where(known, listed_classes[at], classes + ids - n), np.where(known, base[at], 0.0), np.where(known, emission[at], 0.0)
 
     def read_texts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = TokenReader()
+        hold()
+        read = BatchReader(look)
         for batch in rows:
-            out: list[tuple] = []
-            for text in batch.column(1).to_pylist():
-                codes = read(text)
-                ids = symbol_ids(codes, listed_codes)
-                n = len(listed_codes)
-                known = ids < n
-                listed = ids[known]
-                of = np.where(known, listed_classes[np.minimum(ids, n)], classes + ids - n)
-                path = transition[np.concatenate([of[-1:], of[:-1]]), of].sum()
-                rare, many = np.unique(codes[~known], return_counts=True)
-                out.append((len(codes), len(listed), base[listed].sum(), path + emission[listed].sum(), signed(rare), many))
-            columns = list(zip(*out)) if out else [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            if read.full():
+                read.reset()
+            numbers, starts = read(batch.column(1).to_pylist())
+            sizes = np.diff(np.append(starts, len(numbers)))
+            known, of, of_base, of_emission = (x[numbers] for x in read.known)
+            path = transition[_before(of, classes + END), of]
+            rare = np.flatnonzero(~known)
+            text, code = np.repeat(np.arange(len(sizes)), sizes)[rare], read.codes[numbers[rare]]
+            order = np.lexsort((code, text))
+            text, code = text[order], code[order]
+            first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (code[1:] != code[:-1])])) if len(text) else np.empty(0, np.int64)
+            many = np.diff(np.append(first, len(text)))
+            ends = np.searchsorted(text[first], np.arange(len(sizes) + 1)).astype(np.int32)
+
+            def total(values: np.ndarray) -> np.ndarray:
+                return np.add.reduceat(values, starts) if len(starts) else values
+
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(list(c), k) for c, k in zip(columns, kinds)]],
+                [
+                    batch.column(0), pa.array(sizes), pa.array(total(known.astype(np.int64))), pa.array(total(of_base)),
+                    pa.array(total(path + of_emission)), pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(code[first]))),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(many)),
+                ],
                 ["row", "n_tokens", "n_known", "base_score", "score", "codes", "many"],
-            )
+            )
+        del read
+        release()
 
     outputs = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     keep = [c for c in docs.columns if c != "text" and c not in outputs]

@@ -73,3 +73,57 @@ def test_nothing_to_learn_from_and_nothing_to_score(spark):
     rows = brown.score_texts(documents(spark).select("doc_id", "text"), model).collect()
     assert len(rows) == len(messy_rows()) and all(math.isfinite(r["score"]) and r["n_known"] == r["train_tokens"] == 0 for r in rows)
     assert brown.score_texts(documents(spark, []).select("doc_id", "text"), model).count() == 0
+
+
+def test_frequent_words_beyond_the_seeds_get_classes_too(spark):
+    rnd = random.Random(8)
+    kinds = [[f"n{i}" for i in range(150)], [f"verb{i}," for i in range(150)]]
+
+    def text():
+        return " ".join(kind[int(rnd.random() ** 1.5 * 150)] for _ in range(20) for kind in kinds)
+
+    train = spark.createDataFrame([(text(),) for _ in range(400)], "text string").repartition(3)
+    model = brown.train_brown(train, clustered=40, classes=2, rounds=6, classed_least=5)
+    read, of = brown.TokenReader(), dict(zip(model.codes.tolist(), model.classes.tolist()))
+    found = [[of[int(read(w)[0])] for w in kind if int(read(w)[0]) in of] for kind in kinds]
+    learned = [[c for c in some if c < 2] for some in found]
+    assert all(len(some) > 140 and len(set(some)) == 1 for some in learned) and learned[0][0] != learned[1][0]
+    classed = model.classes < 2
+    assert model.counts[classed].sum() > 0.94 * model.train_tokens
+    assert np.allclose((10**model.transition).sum(axis=1), 1, atol=1e-3)
+
+
+def test_share_of_tokens_in_learned_classes(spark):
+    texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    model = brown.train_brown(texts, rounds=2)
+    share = model.counts[model.classes < brown.CLASSES].sum() / model.train_tokens
+    seeds = brown.train_brown(texts, rounds=2, classed_least=1 << 40)
+    assert share > 0.6 > seeds.counts[seeds.classes < brown.CLASSES].sum() / seeds.train_tokens
+
+
+def test_classes_are_chosen_by_the_likelihood_of_all_pairs():
+    """The gain of each class, against the likelihood counted anew with the word in it."""
+    rnd = np.random.default_rng(3)
+    n, size = 4, 4 + brown.SHAPES
+    for _ in range(20):
+        rest, now = rnd.integers(1, 50, (size, size)).astype(float), n + rnd.integers(0, 5)
+        left, right = rnd.integers(0, 30, size), rnd.integers(0, 30, size)
+        left[now] = right[now] = 0  # no neighbour of the word's own shape, so that counts are plain
+
+        def with_word(c):
+            m = rest.copy()
+            m[c] += right
+            m[:, c] += left
+            return m
+
+        values = [brown.likelihood(with_word(b)) for b in range(n)]
+        assert brown.best_classes(left[None], right[None], np.array([now]), with_word(now), n)[0] == int(np.argmax(values))
+
+
+@pytest.mark.parametrize("known", [3, 400_000])
+def test_tasks_that_forget_words_count_the_same(spark, monkeypatch, known):
+    monkeypatch.setattr(brown, "KNOWN_WORDS", known)
+    texts = [r[1] for r in messy_rows()]
+    want = Counter(t for text in texts for t in tokens(text))
+    rows = brown.count_words(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)).collect()
+    assert sorted(r["n"] for r in rows) == sorted(want.values())
