@@ -79,9 +79,11 @@ def rates(counts: str) -> dict[str, Column]:
 
 
 #: Added to every limit, so that sources whose texts are all alike admit small differences.
-MARGINS = {"symbols": 0.02, "dup_lines": 0.10, "repeats": 0.05, "word_length": 0.6}
-#: Rates that are 0 in most texts; their limits also follow the upper tenth.
-MOSTLY_ZERO = ("dup_lines", "repeats")
+MARGINS = {"symbols": 0.01, "dup_lines": 0.10, "repeats": 0.05, "word_length": 0.6}
+#: Rates that are 0 in most texts, and how far from the middle of a source's texts to its
+#: 99 % point their limit lies. Texts full of symbols are a kind of their own, far from
+#: prose, and make the point themselves; repeated lines and words only come by degrees.
+REACH = {"symbols": 0.125, "dup_lines": 1.5, "repeats": 2.0}
 #: So many thresholds (some 10 MB) are sent to all executors; more are shuffled.
 BROADCAST_ROWS = 100_000
 BASE_MIN_WORDS, BASE_REPEAT_PERCENT = 50, 50
@@ -92,10 +94,11 @@ def thresholds(rated: DataFrame, spread: float, least: int, k: int) -> DataFrame
 
     One KLL sketch per rate and (lang, source) is built where the rows are and merged; the
     sketches of a language are merged from those of its sources, without another pass.
-    An upper limit is q3 + spread * (q3 - q1), for :data:`MOSTLY_ZERO` rates at least
-    q90 + 2 * (q90 - q50), plus :data:`MARGINS`; word lengths have a lower one likewise. The
-    source's sketch is used where that has seen ``least`` texts and the language's otherwise.
-    The limit of repeats stays below that of the base rules.
+    An upper limit is q3 + spread * (q3 - q1), word lengths have a lower one likewise. Rates
+    that are 0 in most texts have no such quartiles: their limit is q50 + reach * (q99 - q50)
+    at least, see :data:`REACH`. To all :data:`MARGINS` are added. The source's sketch is used where that
+    has seen ``least`` texts and the language's otherwise. The limit of repeats stays below
+    that of the base rules.
     """
     names = list(MARGINS)
     per_source = rated.groupBy("lang", "source").agg(
@@ -113,10 +116,10 @@ def thresholds(rated: DataFrame, spread: float, least: int, k: int) -> DataFrame
         return [F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in at]
 
     def limit(name: str) -> Column:
-        q1, q2, q3, q90 = quantiles(name, 0.25, 0.5, 0.75, 0.9)
+        q1, q2, q3, q90, q99 = quantiles(name, 0.25, 0.5, 0.75, 0.9, 0.99)
         most = q3 + spread * (q3 - q1)
-        if name in MOSTLY_ZERO:
-            most = F.greatest(most, q90 + 2 * (q90 - q2))
+        if name in REACH:
+            most = F.greatest(most, q2 + REACH[name] * (q99 - q2))
         most = most + MARGINS[name]
         if name == "repeats":
             most = F.least(most, (q90 + BASE_REPEAT_PERCENT / 100) / 2)
@@ -130,7 +133,7 @@ def thresholds(rated: DataFrame, spread: float, least: int, k: int) -> DataFrame
 
 
 def judge_quality(
-    docs: DataFrame, spread: float = 6.0, least: int = 200, sketch_k: int = 200
+    docs: DataFrame, spread: float = 6.0, least: int = 200, sketch_k: int = 1000
 ) -> DataFrame:
     """``docs`` with its counts, ``base_failed`` and ``kept``; no row is lost or added.
 

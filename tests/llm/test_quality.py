@@ -72,3 +72,50 @@ def test_each_rate_rejects_and_limits_follow_the_source(spark):
     got = {r["doc_id"]: r for r in quality.judge_quality(documents(spark, rows)).collect()}
     assert all(r["kept"] for i, r in got.items() if i < 2000), "24 % of repeats are usual among songs"
     assert not any(got[i]["kept"] or got[i]["base_failed"] for i in range(2000, 2006))
+
+
+def test_limits_are_those_of_the_exact_quantiles(spark):
+    """Groups smaller than the sketch: its quantiles are exact, and so must the limits be."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(11)
+    rows = []
+    for source, symbols, again in (("a", 0.0, 0.0), ("b", 0.1, 0.3), ("c", 0.5, 0.1), ("few", 0.9, 0.9)):
+        for i in range(30 if source == "few" else 250):
+            words = [f"w{rnd.randrange(300)}" + "#" * (rnd.random() < symbols) for _ in range(rnd.choice((60, 90, 120)))]
+            lines = [" ".join(words[k : k + 10]) for k in range(0, len(words), 10)]
+            lines += [lines[0]] * (2 * (rnd.random() < again))
+            rows.append((len(rows), "\n".join(lines), "en", source, 1))
+    df = documents(spark, rows)
+    counted = df.withColumn("counts", quality._counts("text"))
+    rated = counted.select("lang", "source", *[c.alias(n) for n, c in quality.rates("counts").items()])
+    limits = {r["t_source"]: r for r in quality.thresholds(rated, 6.0, 200, 4000).collect()}
+    by = {}
+    for _, text, _, source, _ in rows:
+        n, chars, marks, dup, rep, lines = quality.text_counts(text)
+        by.setdefault(source, []).append((marks / chars, dup / lines, rep / n, chars / n))
+
+    def at(values, q):
+        return float(np.sort(values)[max(0, int(np.ceil(q * len(values))) - 1)])
+
+    for source, found in limits.items():
+        rates = np.array(sum(by.values(), []) if source == "few" else by[source])
+        for k, name in enumerate(quality.MARGINS):
+            q1, q2, q3, q90, q99 = (at(rates[:, k], q) for q in (0.25, 0.5, 0.75, 0.9, 0.99))
+            want = max(q3 + 6 * (q3 - q1), q2 + quality.REACH.get(name, 0) * (q99 - q2)) + quality.MARGINS[name]
+            want = min(want, (q90 + 0.5) / 2) if name == "repeats" else want
+            assert abs(found[f"max_{name}"] - want) < 1e-9, (source, name)
+        assert abs(found["min_word_length"] - (at(rates[:, 3], 0.25) - 6 * (at(rates[:, 3], 0.75) - at(rates[:, 3], 0.25)) - 0.6)) < 1e-9
+
+
+def test_limits_of_all_rates_differ_between_sources(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    counted = docs.withColumn("counts", quality._counts("text"))
+    n = counted["counts.n_words"]
+    sound = (n >= 50) & (100 * counted["counts.n_repeat_words"] <= 50 * n)
+    rated = counted.where(sound).select("lang", "source", *[c.alias(k) for k, c in quality.rates("counts").items()])
+    limits = quality.thresholds(rated, 6.0, 30, 1000).collect()
+    for name in quality.MARGINS:
+        assert len({round(r[f"max_{name}"], 4) for r in limits}) > 10, name
