@@ -19,7 +19,10 @@ VERSION = b"WARC/1.1"
 CRLF = b"\r\n"
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space of URLs
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-ROWS_PER_FILE = 4000  # captures per archive; a reader holds one archive at a time
+ROWS_PER_FILE = 4000  # captures per archive, at most
+FILE_BYTES = 256 << 20  # payload per archive, at most, but for a single larger one
+LARGE = FILE_BYTES // ROWS_PER_FILE  # larger payloads go to archives of their own
+PIECE = 1 << 20  # bytes of an archive that are unpacked at once
 
 RECORD_TYPE = (
     "record_id string, record_type string, concurrent_to string, refers_to string, uri string, "
@@ -48,41 +51,70 @@ def record(kind: str, id_: str, block: bytes, **fields: str | None) -> bytes:
     return CRLF.join(lines) + CRLF * 2 + block
 
 
+def unpacked(data: bytes) -> Iterator[bytes]:
+    """Pieces of an archive, plain or gzip in one member or many, as it is unpacked."""
+    at, member = 0, None
+    while at < len(data) or member is not None:
+        if member is None:
+            if data[at : at + 2] != b"\x1f\x8b":
+                yield from (data[i : i + PIECE] for i in range(at, len(data), PIECE))
+                return
+            member = zlib.decompressobj(31)
+        piece = data[at : at + PIECE] if not member.unconsumed_tail else b""
+        at += len(piece)
+        packed = member.unconsumed_tail + piece
+        out = member.decompress(packed, PIECE)
+        if out:
+            yield out
+        if member.eof:
+            at -= len(member.unused_data)
+            member = None
+        elif not packed and not out:
+            raise ValueError("a gzip member is cut off")
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of each record of an archive.
 
     Records are found by Content-Length, so blocks may hold anything. Archives may be
-    plain or gzip, in one member or many. A damaged rest of an archive is an error.
+    plain or gzip, in one member or many; they are unpacked piece by piece, so no more than
+    a record is held besides the archive itself. A damaged rest of an archive is an error.
     """
-    plain = b""
-    while data[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(31)
-        plain += member.decompress(data) + member.flush()
-        data = member.unused_data
-    data = plain or data
-    at = 0
-    while at < len(data):
-        if data[at : at + 2] == CRLF:
-            at += 2
-            continue
-        end = data.find(CRLF * 2, at)
-        if not data.startswith(b"WARC/", at) or end < 0:
+    pieces, held, at = unpacked(data), bytearray(), 0  # at: bytes of records already given
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while True:
+        while held[:2] == CRLF or (len(held) < 5 and more()):
+            if held[:2] == CRLF:
+                del held[:2]
+                at += 2
+        if not held:
+            return
+        while (end := held.find(CRLF * 2)) < 0 and held.startswith(b"WARC/") and more():
+            pass
+        if not held.startswith(b"WARC/") or end < 0:
             raise ValueError(f"no WARC record at byte {at}")
         headers: dict[str, str] = {}
         last = None
-        for line in data[at:end].split(CRLF)[1:]:
+        for line in bytes(held[:end]).split(CRLF)[1:]:
             if line[:1] in (b" ", b"\t") and last:  # a folded header goes on
                 headers[last] += " " + line.strip().decode("utf-8", "replace")
                 continue
             name, _, value = line.partition(b":")
             last = name.strip().decode("ascii", "replace").lower()
             headers[last] = value.strip().decode("utf-8", "replace")
-        size = int(headers["content-length"])
-        start = end + 4
-        if start + size > len(data):
+        start, stop = end + 4, end + 4 + int(headers["content-length"])
+        while len(held) < stop and more():
+            pass
+        if len(held) < stop:
             raise ValueError(f"record at byte {at} is cut off")
-        yield headers, data[start : start + size]
-        at = start + size
+        yield headers, bytes(held[start:stop])
+        del held[:stop]
+        at += stop
 
 
 def payload_of(headers: dict[str, str], block: bytes) -> bytes:
@@ -139,46 +171,67 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> None:
     page_id is written whole (under all its urls; the first is referred to), the others as
     revisits of it. The records go through
     Spark's text writer, whose line end is the end of a record, so files are committed like
-    any table's, on any file system, as gzip archives of at most ROWS_PER_FILE captures.
+    any table's, on any file system, as gzip archives of at most ROWS_PER_FILE captures and
+    some FILE_BYTES of payload: large payloads go to archives of fewer captures.
 
-    A capture is known by its page_id, url and payload: a page_id with several urls or
-    payloads has as many captures. Rows equal in all three are one capture. Every row with a
-    NULL page_id is a response of its own; such rows are numbered, and the numbers written down.
+    Every row is a capture. It is known by its page_id, url and payload; rows alike in all
+    three, and rows with a NULL page_id, which are all responses, are numbered too, and the
+    numbers written down.
     """
-    named = digests(pages.where("page_id IS NOT NULL"))
-    unnamed = staged(
-        pages.where("page_id IS NULL").select("page_id", "url", "html", F.monotonically_increasing_id().alias("occurrence")), "warc-unnamed"
-    )
+    key = ["page_id", "url", "payload_digest"]
     payload = ["payload_digest", "payload_bytes"]
-    slim = staged(named.select("page_id", "url", *payload), "warc-digests")
-    first = slim.where(F.col("payload_bytes") >= least).groupBy(*payload).agg(F.min(F.struct("page_id", "url")).alias("first"), F.count("*").alias("n"))
+    pages = pages.select("page_id", "url", "html")
+    every = digests(pages)
+    slim = staged(every.select("page_id", "url", *payload), "warc-digests")
+    named = slim.where("page_id IS NOT NULL")
+    first = named.where(F.col("payload_bytes") >= least).groupBy(*payload).agg(F.min(F.struct("page_id", "url")).alias("first"), F.count("*").alias("n"))
     first = staged(first.where("n > 1").drop("n"), "warc-first")
-    again = slim.join(first, payload).where("page_id <> first.page_id").distinct()
-    again = staged(again, "warc-revisits").select(
-        F.col("page_id").alias("of_page"), F.col("url").alias("of_url"), F.col("payload_digest").alias("of_digest"), "first"
-    )
-    found = (F.col("page_id") == F.col("of_page")) & F.col("url").eqNullSafe(F.col("of_url")) & (F.col("payload_digest") == F.col("of_digest"))
-    placed = named.join(again, found, "left").drop("of_page", "of_url", "of_digest")
-    every = placed.unionByName(digests(unnamed).withColumn("first", F.lit(None).cast(placed.schema["first"].dataType)))
-    whole = every.select(
+    again = staged(named.join(first, payload).where("page_id <> first.page_id").select(*key, "first").distinct(), "warc-revisits")
+    repeated = staged(named.groupBy(*key).count().where("count > 1").select(*key), "warc-repeated")
+
+    def met(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        of = keys.select(F.col("page_id").alias("of_page"), F.col("url").alias("of_url"), F.col("payload_digest").alias("of_digest"), *keys.columns[3:])
+        same = (F.col("page_id") == F.col("of_page")) & F.col("url").eqNullSafe(F.col("of_url")) & (F.col("payload_digest") == F.col("of_digest"))
+        return rows.join(of, same, how).drop("of_page", "of_url", "of_digest")
+
+    once = every
+    numbered = pages.where("page_id IS NULL")
+    if not repeated.isEmpty():
+        once = met(every, repeated, "left_anti")
+        numbered = numbered.unionByName(met(every, repeated, "left_semi").select(*pages.columns))
+    numbered = staged(numbered.select("page_id", "url", "html", F.monotonically_increasing_id().alias("occurrence")), "warc-numbered")
+    numbered = digests(numbered)
+    if not repeated.isEmpty():
+        # The lowest of its number needs none: it is the one that revisits refer to.
+        lowest = staged(numbered.where("page_id IS NOT NULL").groupBy(*key).agg(F.min("occurrence").alias("lowest")), "warc-lowest")
+        numbered = met(numbered, lowest, "left").withColumn("occurrence", F.expr("nullif(occurrence, lowest)")).drop("lowest")
+    once = once.where("page_id IS NOT NULL").select(*numbered.columns)
+    placed = met(once.unionByName(numbered), again, "left")
+    whole = placed.select(
         "page_id", "url", "occurrence", F.when(F.col("first").isNull(), F.encode("html", "UTF-8")).alias("html"), *reversed(payload), "first"
     )
-    (
-        whole.mapInArrow(_records, "record binary")
-        .select(F.col("record").cast("string").alias("value"))
-        .write.option("lineSep", "\r\n\r\n")
-        .option("compression", "gzip")
-        .option("zlib.compress.level", "BEST_SPEED")
-        .option("maxRecordsPerFile", 3 * ROWS_PER_FILE)
-        .text(folder)
-    )
+    largest = slim.agg(F.max("payload_bytes")).first()[0] or 0
+    written = F.when(F.col("first").isNull(), F.col("payload_bytes")).otherwise(0)
+    for part, rows_per_file in ((written <= LARGE, ROWS_PER_FILE), (written > LARGE, max(1, min(ROWS_PER_FILE, FILE_BYTES // max(largest, 1))))):
+        if rows_per_file == ROWS_PER_FILE or largest > LARGE:
+            (
+                whole.where(part)
+                .mapInArrow(_records, "record binary")
+                .select(F.col("record").cast("string").alias("value"))
+                .write.mode("append")
+                .option("lineSep", "\r\n\r\n")
+                .option("compression", "gzip")
+                .option("zlib.compress.level", "BEST_SPEED")
+                .option("maxRecordsPerFile", 3 * rows_per_file)
+                .text(folder)
+            )
 
 
 def read_archives(spark: SparkSession, folder: str, blocks: bool = True) -> DataFrame:
     """The records of all archives in ``folder``; ``blocks=False`` leaves the blocks out.
 
     payload_bytes and payload_digest are of the payload read, and NULL for revisits, whose
-    payload is another record's. An archive is held by one task at a time.
+    payload is another record's. A task holds one packed archive and one record at a time.
     """
 
     def read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -42,7 +42,32 @@ def test_small_payloads_and_missing_ids(spark):
     folder = shared_folder(spark, "warc-test")
     warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), folder, least=5)
     got = warc.page_report(warc.assemble_captures(warc.read_archives(spark, folder, blocks=False))).select("page_id", "record_type", "refers_to")
-    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, "response", None), (2, "revisit", 1), (3, "response", None), (4, "response", None), (None, "response", None)], key=repr)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, "response", None), (2, "revisit", 1), (3, "response", None), (4, "response", None), (None, "response", None), (1, "response", None)], key=repr)
+
+
+def test_repeated_rows_are_captures_of_their_own(spark):
+    rows = [(1, "u", "x"), (1, "u", "x"), (2, "u", "x"), (2, "u", "x"), (2, "u", "x"), (3, "u", "y"), (3, "u", "y"), (4, None, "y"), (4, None, "y"), (None, "u", "x")]
+    folder = shared_folder(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), folder)
+    captures = warc.assemble_captures(warc.read_archives(spark, folder))
+    got = warc.page_report(captures).select("page_id", "payload_digest", "record_type", "refers_to").collect()
+    want = [(i, sha(h), "response", None) for i, h in ((1, "x"), (1, "x"), (3, "y"), (3, "y"), (None, "x"))]
+    want += [(2, sha("x"), "revisit", 1)] * 3 + [(4, sha("y"), "revisit", 3)] * 2
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    parts = captures.select("record_id", "request.record_id", "metadata.record_id").collect()
+    assert all(len({r[k] for r in parts}) == len(rows) for k in range(3))
+
+
+def test_archives_are_cut_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 4000)
+    monkeypatch.setattr(warc, "LARGE", 100)
+    rows = [(i, "u", "s" * (i % 50)) for i in range(300)] + [(1000 + i, "u", chr(97 + i) * 1500) for i in range(10)]
+    folder = shared_folder(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+    files = spark.read.format("binaryFile").load(folder).select("content").collect()
+    held = [sum(len(warc.payload_of(h, b)) for h, b in warc.parse(f["content"]) if h["warc-type"] == "response") for f in files]
+    assert max(held) <= 4000 and sum(held) == sum(range(50)) + 15000 and len(held) >= 6
+    assert warc.assemble_captures(warc.read_archives(spark, folder)).count() == len(rows)
 
 
 def test_empty(spark):
@@ -51,13 +76,14 @@ def test_empty(spark):
     assert warc.assemble_captures(warc.read_archives(spark, folder)).count() == 0
 
 
-def test_archives_of_others():
+def test_archives_of_others(monkeypatch):
     one = warc.record("response", "<a>", warc.http_block(b"hello"), Content_Type="application/http; msgtype=response") + b"\r\n\r\n"
     two = warc.record("metadata", "<b>", b"x: y", WARC_Concurrent_To="<a>").replace(b"WARC-Type: ", b"warc-type:\tfolded\r\n ") + b"\r\n\r\n"
-    for data in (one + two, gzip.compress(one + two), gzip.compress(one) + gzip.compress(two)):
+    for piece, data in [(p, d) for p in (1 << 20, 7, 1) for d in (one + two, gzip.compress(one + two), gzip.compress(one) + gzip.compress(two))]:
+        monkeypatch.setattr(warc, "PIECE", piece)
         (h1, b1), (h2, _) = warc.parse(data)
         assert warc.payload_of(h1, b1) == b"hello" and h2["warc-type"] == "folded metadata" and h2["warc-concurrent-to"] == "<a>"
-    for broken in (one[:-20], b"junk" + one):
+    for broken in (one[:-20], b"junk" + one, gzip.compress(one)[:-30]):
         with pytest.raises(ValueError):
             list(warc.parse(broken))
 
