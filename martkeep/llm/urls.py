@@ -15,8 +15,9 @@ from martkeep.llm.common import staged
 from martkeep.llm.components import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rules are a literal in the plan, tried on every row.
-MOST_RULES = 10_000
+#: So many rules are a literal in the plan and tried on every row; more are joined.
+LITERAL_RULES = 64
+BEST = "struct<size:int,rule:string,verdict:string>"
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*["']?([^"'\s>]+)"""
 BASE = r"""(?is)<base\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
@@ -43,10 +44,8 @@ def path_of(url: Column) -> Column:
 
 def best_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     """The longest rule that fits, as struct(size, rule, verdict); NULL if none does."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"at most {MOST_RULES} rules")
     if not rules:
-        return F.lit(None).cast("struct<size:int,rule:string,verdict:string>")
+        return F.lit(None).cast(BEST)
     known = F.array(*[
         F.struct(F.lit(len(r.host + r.path)).alias("size"), F.lit(r.host + r.path).alias("rule"), F.lit(r.verdict).alias("verdict"),
                  F.lit(r.host).alias("host"), F.lit(r.path).alias("path"))
@@ -60,6 +59,50 @@ def best_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.struct(best["size"].alias("size"), best["rule"].alias("rule"), best["verdict"].alias("verdict"))
 
 
+def host_endings(host: Column) -> Column:
+    """A host and what follows each of its dots: the hosts of rules that fit it."""
+    labels = F.split(host, r"\.")
+    ends = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    return F.when(host != "", ends).otherwise(F.array(F.lit("")))
+
+
+def with_best_rule(urls: DataFrame, rules: list[Rule] | DataFrame) -> DataFrame:
+    """``urls`` (with host and path) and ``best``, the longest rule that fits each; see :func:`best_rule`.
+
+    Few rules are tried one by one. More, or a table of them (verdict, host, path), are
+    joined: a rule fits if its host is one of the host's endings and its path one of the
+    beginnings of the path, of the lengths that rules have. Both are equalities, so no url
+    meets a rule that does not fit, however many rules one host has. Distinct hosts and
+    paths are joined, reduced to the best rule, and joined back.
+    """
+    if isinstance(rules, list) and len(rules) <= LITERAL_RULES:
+        return urls.withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
+    if isinstance(rules, list):
+        rows = [(r.verdict, r.host, r.path) for r in rules]
+        rules = urls.sparkSession.createDataFrame(rows, "verdict string, host string, path string")
+    known = staged(
+        rules.select(F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict").groupBy("rule_host", "rule_path")
+        .agg(F.max("verdict").alias("verdict")),
+        "url-rules",
+    )
+    lengths = sorted(r[0] for r in known.select(F.length("rule_path")).distinct().collect())
+    distinct = staged(urls.select("host", "path").distinct(), "url-hosts")
+    starts = F.transform(
+        F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path")),
+        lambda n: F.substr(F.col("path"), F.lit(1), n),
+    )
+    tried = distinct.select("host", "path", F.explode(host_endings(F.col("host"))).alias("rule_host"))
+    tried = tried.select("host", "path", "rule_host", F.explode(starts).alias("rule_path"))
+    rule = F.concat("rule_host", "rule_path")
+    fitting = tried.join(known, ["rule_host", "rule_path"]).select(
+        "host", "path", F.struct(F.length(rule).alias("size"), rule.alias("rule"), "verdict").alias("best")
+    )
+    best = staged(fitting.groupBy("host", "path").agg(F.max("best").alias("best")), "url-best")
+    best = best.select(F.col("host").alias("of_host"), F.col("path").alias("of_path"), F.col("best").cast(BEST).alias("best"))
+    met = (F.col("host") == F.col("of_host")) & (F.col("path") == F.col("of_path"))
+    return urls.join(best, met, "left").drop("of_host", "of_path")
+
+
 def bare(url: Column) -> Column:
     """A url without its fragment: what is fetched."""
     return F.regexp_extract(url, r"(?s)^([^#]*)", 1)
@@ -118,10 +161,11 @@ def page_links(pages: DataFrame) -> DataFrame:
     return found.select("url", _resolved("url", "base", "link").alias("other")).where("other IS NOT NULL")
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], links: DataFrame) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[Rule] | DataFrame, links: DataFrame) -> DataFrame:
     """Per row of ``pages``: page_id, host, path, rule, verdict.
 
-    The longest fitting rule decides, by its number of characters. Urls that ``links``
+    The longest fitting rule decides, by its number of characters; there may be any number
+    of them, as a list or a table. Urls that ``links``
     (url, other: redirects and canonical links) tie together, over any number of steps, are
     one page: if a rule blocks one of them, those without a rule of their own are blocked
     too, except where a rule explicitly allows another of them. All else is allowed. Urls
@@ -129,13 +173,14 @@ def judge_urls(pages: DataFrame, rules: list[Rule], links: DataFrame) -> DataFra
 
     Components and decisions are joins on hashes of urls. A NULL url, or one without
     ``://``, has empty host and path and no rule, and is allowed. Repeated rows are all
-    returned; rules of equal length that fit one url have the same text, and block wins.
+    returned; of rules of equal length that fit one url the last in the order of their text
+    holds, and of equal rules block.
     An empty table gives none. Other columns are not looked at.
     """
     links = staged(links.select(same_form(F.col("url")).alias("url"), same_form(F.col("other")).alias("other")).distinct(), "url-links")
     ends = links.select("url").unionByName(links.select(F.col("other").alias("url"))).distinct()
-    verdict = best_rule(host_of(F.col("url")), path_of(F.col("url")), rules)["verdict"]
-    nodes = ends.select(F.xxhash64("url").alias("node"), verdict.alias("verdict"))
+    ends = with_best_rule(ends.select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")), rules)
+    nodes = ends.select(F.xxhash64("url").alias("node"), F.col("best.verdict").alias("verdict"))
     parts = connected_components(links.select(F.xxhash64("url").alias("a"), F.xxhash64("other").alias("b")), "url-components")
     tied = nodes.join(parts, "node")
     decided = tied.groupBy("component").agg(
@@ -146,7 +191,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], links: DataFrame) -> DataFra
     judged = pages.select("page_id", url.alias("url")).select(
         "page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
     )
-    judged = judged.withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
+    judged = with_best_rule(judged, rules)
     ruled = judged.where("best.rule IS NOT NULL").select("page_id", "host", "path", "best.rule", "best.verdict")
     free = judged.where("best.rule IS NULL").withColumn("own", F.xxhash64(same_form(F.col("url"))))
     free = free.join(blocked, F.col("own") == F.col("node"), "left").select(

@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from martkeep.llm import urls
 from martkeep.llm.queries import RULES
 
@@ -15,7 +17,7 @@ def brute(pages, rules, links):
     def rule(url):
         host, path = split(url)
         fit = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
-        return max(fit, key=lambda r: (len(r.host + r.path), r.verdict), default=None)
+        return max(fit, key=lambda r: (len(r.host + r.path), r.host + r.path, r.verdict), default=None)
 
     bare = lambda url: url.split("#")[0]
     near = {}
@@ -67,6 +69,34 @@ def test_rules_and_aliases(spark):
     assert {v for *_, v in want} == {"allow", "block"} and any(r is None and v == "block" for *_, r, v in want)
 
 
+@pytest.mark.parametrize("literal", [0, 64])
+def test_many_rules_are_joined_to_the_same_end(spark, monkeypatch, literal):
+    monkeypatch.setattr(urls, "LITERAL_RULES", literal)
+    rnd = random.Random(2)
+    parts = ["a", "b", "org", "com", "x-y"]
+
+    def host():
+        return ".".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 4)))
+
+    def path():
+        return "".join("/" + rnd.choice("abc") * rnd.randrange(1, 3) for _ in range(rnd.randrange(0, 4)))
+
+    rules = list({(h := host(), p := path()): urls.Rule(rnd.choice(["allow", "block"]), h, p) for _ in range(400)}.values())
+    pages = [(i, f"http://{host()}{path()}{rnd.choice(['', '?q', '#f', '/'])}") for i in range(300)] + [(500, None), (501, "none"), (502, "a://"), (503, "a://.com/a")]
+    links = [(pages[i][1], pages[i + 1][1]) for i in range(0, 60, 2)]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    for given in (rules, spark.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")):
+        got = urls.judge_urls(df, given, spark.createDataFrame(links, "url string, other string")).collect()
+        assert sorted(map(tuple, got), key=repr) == brute(pages, rules, links)
+
+
+def test_more_rules_than_a_plan_holds(spark):
+    rules = [urls.Rule("block", f"h{i}.org", "/") for i in range(20_000)] + [urls.Rule("allow", "h7.org", "/a")]
+    pages = spark.createDataFrame([(i, f"http://www.h{i}.org/a") for i in (5, 7, 19_999, 20_000)], "page_id long, url string")
+    got = urls.judge_urls(pages, rules, spark.createDataFrame([], "url string, other string"))
+    assert dict(got.select("page_id", "verdict").collect()) == {5: "block", 7: "allow", 19_999: "block", 20_000: "allow"}
+
+
 def test_explicit_allow_comes_first(spark):
     pages = [(1, "http://b.net/1"), (2, "http://x.com/de/"), (3, "http://x.com/fr/"), (4, "http://c.net/1"), (5, "http://c.net/2")]
     links = [("http://b.net/1", "http://x.com/de/"), ("http://x.com/fr/", "http://b.net/1"), ("http://c.net/1", "http://c.net/2"), ("http://c.net/2", "http://y.com/de/")]
