@@ -2,8 +2,9 @@
 
 Words pass a lexicon transducer that turns them into marks (insult, threat, target,
 negation, reported speech, clause end), and the marks pass a pattern transducer that emits
-one pattern per insult or threat with what governs it in its clause. Insults, and the
-weight of each pattern, are learned from labelled texts.
+one pattern per insult or threat with what governs it in its clause. Insults, words that
+threaten when they are aimed at someone, and the weight of each pattern, are learned from
+labelled texts; the closed classes (targets, negations, words of report) are given.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ def _forms(stems: str, endings: str) -> list[str]:
     return [stem + ending.strip("-") for stem in stems.split() for ending in endings.split()]
 
 
+#: Where learning starts; words that labelled texts show to threaten are added.
 THREATS = [
     *_forms("kill destroy burn", "- s ed ing"), *"hurt hurts hurting burnt".split(),
     *_forms("tu", "er e es ons ez ent ai as a é ée és ées ant erai eras era erons erez eront erais erait"),
@@ -49,29 +51,36 @@ CLAUSE_ENDS = (".", "!", "?", ";", ":")
 
 #: Patterns the grammar emits and the weight of each before anything is learned.
 PATTERNS = {"plain": 1.0, "targeted": 1.2, "negated": 0.6, "reported": 0.6, "threat": 1.0, "covered_threat": 0.3}
-START, AIMED, DENIED, QUOTED, THREATENED = range(5)
-#: (state, mark) -> (next state, pattern emitted); a mark without an arc leaves the state.
-ARCS: dict[tuple[int, int], tuple[int, str | None]] = {
-    **{(s, END): (START, None) for s in (START, AIMED, DENIED, QUOTED, THREATENED)},
-    **{(s, REPORTED): (QUOTED, None) for s in (START, AIMED, DENIED)},
-    (START, TARGET): (AIMED, None),
-    (START, NEGATION): (DENIED, None),
-    (AIMED, NEGATION): (DENIED, None),
-    (AIMED, GAP): (START, None),
-    (DENIED, GAP): (START, None),
-    (START, INSULT): (START, "plain"),
-    (AIMED, INSULT): (AIMED, "targeted"),
-    (DENIED, INSULT): (DENIED, "negated"),
-    (QUOTED, INSULT): (QUOTED, "reported"),
-    (AIMED, THREAT): (AIMED, "threat"),
-    (DENIED, THREAT): (DENIED, "covered_threat"),
-    (QUOTED, THREAT): (QUOTED, "covered_threat"),
-    (START, THREAT): (THREATENED, None),  # open until its target follows
-    (THREATENED, TARGET): (AIMED, "threat"),
-    (THREATENED, NEGATION): (DENIED, "covered_threat"),
-    (THREATENED, REPORTED): (QUOTED, "covered_threat"),
-    (THREATENED, INSULT): (THREATENED, "plain"),
-    (THREATENED, GAP): (START, None),
+START, AIMED, DENIED, QUOTED, THREATENED, SWORN = range(6)
+#: (state, mark) -> (next state, patterns emitted); a mark without an arc leaves the state.
+ARCS: dict[tuple[int, int], tuple[int, tuple[str, ...]]] = {
+    **{(s, END): (START, ()) for s in (START, AIMED, DENIED, QUOTED, THREATENED)},
+    **{(s, REPORTED): (QUOTED, ()) for s in (START, AIMED, DENIED)},
+    (START, TARGET): (AIMED, ()),
+    (START, NEGATION): (DENIED, ()),
+    (AIMED, NEGATION): (DENIED, ()),
+    (AIMED, GAP): (START, ()),
+    (DENIED, GAP): (START, ()),
+    (START, INSULT): (START, ("plain",)),
+    (AIMED, INSULT): (AIMED, ("targeted",)),
+    (DENIED, INSULT): (DENIED, ("negated",)),
+    (QUOTED, INSULT): (QUOTED, ("reported",)),
+    (DENIED, THREAT): (DENIED, ("covered_threat",)),
+    (QUOTED, THREAT): (QUOTED, ("covered_threat",)),
+    (START, THREAT): (THREATENED, ()),  # open until its target follows
+    (THREATENED, NEGATION): (DENIED, ("covered_threat",)),
+    (THREATENED, REPORTED): (QUOTED, ("covered_threat",)),
+    (THREATENED, INSULT): (THREATENED, ("plain",)),
+    (THREATENED, GAP): (START, ()),
+    # With its target a threat is made, unless what follows takes it back.
+    (AIMED, THREAT): (SWORN, ()),
+    (THREATENED, TARGET): (SWORN, ()),
+    (SWORN, NEGATION): (DENIED, ("covered_threat",)),
+    (SWORN, REPORTED): (QUOTED, ("covered_threat",)),
+    (SWORN, THREAT): (SWORN, ("threat",)),
+    (SWORN, INSULT): (AIMED, ("threat", "targeted")),
+    (SWORN, END): (START, ("threat",)),
+    (SWORN, GAP): (START, ("threat",)),
 }
 REACH = 3  # unmarked words over which a target or a negation still holds
 STEMS = range(4, 8)  # code points of a word's beginning that may stand for its family
@@ -100,10 +109,11 @@ def families(tokens: set[str]) -> set[str]:
 class Lexicon(dict):
     """Token -> (mark, weight, ends clause) or None; worked out once per token, kept bounded."""
 
-    def __init__(self, insults: dict[str, float], keep: int = 100_000):
+    def __init__(self, insults: dict[str, float], keep: int = 100_000, threats: dict[str, float] | None = None):
         super().__init__()
-        self.insults, self.keep = insults, keep
-        self.stems = sorted({len(t) - 1 for t in insults if t.endswith("*")}, reverse=True)
+        self.learned = {**{t: (THREAT, w) for t, w in (threats or {}).items()}, **{t: (INSULT, w) for t, w in insults.items()}}
+        self.keep = keep
+        self.stems = sorted({len(t) - 1 for t in self.learned if t.endswith("*")}, reverse=True)
         self.marks = {
             **dict.fromkeys(TARGETS, TARGET),
             **dict.fromkeys(THREATS, THREAT),
@@ -115,13 +125,15 @@ class Lexicon(dict):
 
     def __missing__(self, token: str):
         word = core(token)
-        weight = self.insults.get(word)
-        for k in self.stems if weight is None else ():
-            if len(word) > k and (weight := self.insults.get(f"{word[:k]}*")) is not None:
+        known = self.learned.get(word)
+        for k in self.stems if known is None else ():
+            if len(word) > k and (known := self.learned.get(f"{word[:k]}*")) is not None:
                 break
         ends = token.endswith(CLAUSE_ENDS)
-        mark = self.marks.get(word) if weight is None else INSULT
-        entry = (mark, weight or 1.0, ends) if mark is not None or ends else None
+        given = self.marks.get(word)
+        if known is None or (known[0] == THREAT and given is not None):
+            known = given, 1.0  # a closed class is not learned anew
+        entry = (*known, ends) if known[0] is not None or ends else None
         self[token] = entry
         return entry
 
@@ -130,9 +142,18 @@ class Lexicon(dict):
             self.clear()
 
 
-def states(tokens: list[str], found: list) -> Iterator[tuple[int, int, str | None, float]]:
-    """Place, state, pattern and weight of every marked token, in one pass of the grammar."""
-    state, last, split = START, -1, False
+def states(tokens: list[str], found: list) -> Iterator[tuple[int, int, list[tuple[str, float]]]]:
+    """Place, state, and patterns with their word's weight, of every marked token in one pass of the grammar.
+
+    A clause goes on after a colon in reported speech. The text's end ends its last clause.
+    """
+    state, last, split, sworn = START, -1, False, 1.0
+
+    def step(mark: int, weight: float = 1.0) -> list[tuple[str, float]]:
+        nonlocal state
+        state, patterns = ARCS.get((state, mark), (state, ()))
+        return [(p, sworn if p.endswith("threat") else weight) for p in patterns]
+
     for at, entry in enumerate(found):
         if entry is None:
             continue
@@ -143,14 +164,19 @@ def states(tokens: list[str], found: list) -> Iterator[tuple[int, int, str | Non
             closing = at + 1 == len(found) or tokens[at][-1] in EDGES
             split, mark = split and not closing, THREAT if split and closing else None
         if mark is not None:
-            if at - last > REACH:
-                state = ARCS.get((state, GAP), (state,))[0]
-            state, pattern = ARCS.get((state, mark), (state, None))
+            if at - last > REACH and (patterns := step(GAP)):
+                yield last, state, patterns
+            # A threat that is open already is made before its successor's weight counts.
+            patterns, sworn = (step(mark, weight), weight) if mark == THREAT and state == SWORN else (None, weight if mark == THREAT else sworn)
             last = at
-            yield at, state, pattern, weight
-        if ends:
-            state, split = ARCS[state, END][0], False
-            yield at, state, None, weight
+            patterns = step(mark, weight) if patterns is None else patterns
+            yield at, state, patterns
+        if ends and not (state == QUOTED and tokens[at].endswith(":")):
+            split = False
+            patterns = step(END)
+            yield at, state, patterns
+    if state == SWORN:
+        yield last, START, step(END)
 
 
 def matches(text: str | None, lexicon: Lexicon) -> list[tuple[str, float]]:
@@ -162,7 +188,7 @@ def matches(text: str | None, lexicon: Lexicon) -> list[tuple[str, float]]:
     marks = {e[0] for e in set(found) if e is not None}
     if not marks & {INSULT, THREAT} and not marks >= {SPLIT, PARTICLE}:
         return []
-    return [(pattern, weight) for _, _, pattern, weight in states(tokens, found) if pattern]
+    return [pattern for *_, patterns in states(tokens, found) for pattern in patterns]
 
 
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
@@ -187,7 +213,7 @@ def open_terms(text: str, lexicon: Lexicon) -> set[str]:
         elif state == DENIED:
             out.update(tokens[max(begin, last + 1 + REACH) : end])
 
-    for at, now, _, _ in states(tokens, found):
+    for at, now, _ in states(tokens, found):
         if now == START and found[at][2]:  # the token that ends a clause is still in it
             pass_to(at + 1)
             begin, state, last = at + 1, START, at
@@ -198,6 +224,27 @@ def open_terms(text: str, lexicon: Lexicon) -> set[str]:
     return families(out)
 
 
+def aimed_terms(text: str, lexicon: Lexicon) -> set[str]:
+    """The :func:`terms` of a text that stand within :data:`REACH` words of a target in its clause, not denied or reported."""
+    tokens = text.lower().split()
+    found = list(map(lexicon.__getitem__, tokens))
+    out: set[str] = set()
+    begin, covered, targets = 0, False, []
+    for at, entry in enumerate([*found, (None, 1.0, True)]):
+        if entry is None:
+            continue
+        mark, _, ends = entry
+        covered |= mark in (NEGATION, REPORTED)
+        if mark == TARGET:
+            targets.append(at)
+        if ends:
+            stop = min(at + 1, len(tokens))
+            for k in () if covered else targets:
+                out.update(tokens[max(begin, k - REACH) : k], tokens[k + 1 : min(stop, k + 1 + REACH)])
+            begin, covered, targets = stop, False, []
+    return families({t for t in out if lexicon[t] is None or lexicon[t][0] is None})
+
+
 def _count_terms(only: set[str] | None):
     lexicon = Lexicon({})
 
@@ -254,6 +301,72 @@ def log_odds(hits: int, misses: int, n_toxic: int, n_clean: int) -> tuple[float,
     return float(odds), float(np.sqrt(1 / (hits + 0.5) + 1 / (misses + 0.5)))
 
 
+def loose_families(odds: dict[str, float], toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, ratio: float) -> set[str]:
+    """Families that owe their evidence to one word, while their other words are in clean texts as well.
+
+    ``toxic`` and ``clean`` count the texts of each term. A family stays if half of its toxic
+    texts, or what is left without its most frequent word, speak for it.
+    """
+    chief: dict[str, str] = {}
+    for word in odds:
+        if not word.endswith("*"):
+            for k in STEMS:
+                family = f"{word[:k]}*"
+                if family in odds and toxic[word] > toxic.get(chief.get(family, ""), 0):
+                    chief[family] = word
+    found = set()
+    for family, word in chief.items():
+        hits, misses = toxic[family] - toxic[word], clean.get(family, 0) - clean.get(word, 0)
+        if 2 * toxic[word] > toxic[family] and misses > 0 and log_odds(max(hits, 0), misses, n_toxic, n_clean)[0] < np.log(ratio):
+            found.add(family)
+    return found
+
+
+def learn_threats(labelled: DataFrame, insults: dict[str, float], share: float = 0.002, ratio: float = 8.0, errors: float = 2.5) -> dict[str, float]:
+    """Words that threaten when aimed at someone, with their log-odds.
+
+    Looked for in the toxic texts that no insult or known threat explains. A term must stand
+    beside a target, in ``share`` of all toxic texts at least, and so be likelier by ``ratio`` in
+    these than in clean texts, with ``errors`` standard errors to spare. The terms that explain
+    the texts stay (see :func:`explaining`). What comes to the driver is bounded as for insults.
+    """
+    known = Lexicon(insults)
+
+    def aimed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            known.trim()
+            out = [
+                (int(label), sorted(aimed_terms(text, known)))
+                for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                if not label or not matches(text, known)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.list_(pa.string()))], ["toxic", "terms"]
+            )
+        release()
+
+    n = {row["toxic"]: row["n"] for row in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
+    if not n_toxic or not n_clean:
+        return {}
+    found = staged(labelled.select("text", "toxic").mapInArrow(aimed, "toxic int, terms array<string>"), "toxicity-aimed")
+    open_toxic = found.where("toxic = 1").count()
+    enough = max(4, int(share * n_toxic))
+    counts = found.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
+        F.count_if(F.col("toxic") == 1).alias("hits"), F.count_if(F.col("toxic") == 0).alias("misses")
+    )
+    odds = {}
+    for row in counts.where(F.col("hits") >= enough).orderBy("term").collect():
+        value, error = log_odds(row["hits"], row["misses"], open_toxic, n_clean)
+        if value - errors * error >= np.log(ratio):
+            odds[row["term"]] = value
+    place = {term: i for i, term in enumerate(odds)}
+    names = list(odds)
+    lists = found.where("toxic = 1").select(F.filter("terms", lambda t: t.isin(names)).alias("terms")).where(F.size("terms") > 0)
+    rows = [np.array(sorted(place[t] for t in r["terms"]), int) for r in lists.collect()] if names else []
+    return {names[t]: odds[names[t]] for t in explaining(rows, len(names), least=float(enough))}
+
+
 def learn_insults(labelled: DataFrame, share: float = 0.004, ratio: float = 5.0, errors: float = 2.0) -> dict[str, float]:
     """Insulting words and word families with their log-odds.
 
@@ -262,7 +375,8 @@ def learn_insults(labelled: DataFrame, share: float = 0.004, ratio: float = 5.0,
     toxic texts alone. It must be likelier in toxic than in clean texts by ``ratio``, with
     ``errors`` standard errors to spare. For that, uses count, in texts of both kinds, where an
     insult would be plain or targeted: clean texts may negate or quote insults. Of these terms,
-    those stay that explain toxic texts (see :func:`explaining`).
+    those stay that explain toxic texts (see :func:`explaining`), but for
+    :func:`loose_families`.
     """
     n = {row["toxic"]: row["n"] for row in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
@@ -280,6 +394,8 @@ def learn_insults(labelled: DataFrame, share: float = 0.004, ratio: float = 5.0,
         value, error = log_odds(hits, clean.get(term, 0), n_toxic, n_clean)
         if value - errors * error >= np.log(ratio):
             odds[term] = value
+    for family in loose_families(odds, toxic, clean, n_toxic, n_clean, ratio):
+        del odds[family]
     place = {term: i for i, term in enumerate(odds)}
 
     def lists(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,7 +427,7 @@ def fit_patterns(x: np.ndarray, y: np.ndarray, pull: float = 1.0, rounds: int =
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 50_000):
-    """Insults and pattern weights from at most ``fit_rows`` labelled texts.
+    """(insults, pattern weights, threats) from at most ``fit_rows`` labelled texts.
 
     The rows are those of the lowest hashes of doc_id, so the choice does not depend on the
     order or the partitions. Being bounded, their ids go to the texts by broadcast; only the
@@ -325,8 +441,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 50_000):
     )
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     labelled = texts.where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    labelled = staged(labelled, "toxicity-labelled")
     insults = learn_insults(labelled)
-    lexicon = Lexicon(insults)
+    threats = learn_threats(labelled, insults)
+    lexicon = Lexicon(insults, threats=threats)
 
     def sums(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -341,10 +459,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = 50_000):
             )
 
     rows = labelled.select("text", "toxic").mapInArrow(sums, "x array<double>, n long").collect()
-    if not rows or not insults:
-        return insults, np.array([*PATTERNS.values(), -4.0])
+    if not rows or not (insults or threats):
+        return insults, np.array([*PATTERNS.values(), -4.0]), threats
     table = np.repeat(np.array([r["x"] for r in rows]), [r["n"] for r in rows], axis=0)
-    return insults, fit_patterns(table[:, :-1], table[:, -1])
+    return insults, fit_patterns(table[:, :-1], table[:, -1]), threats
 
 
 SCORE_TYPE = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("patterns", T.ArrayType(T.StringType()))])
@@ -357,8 +475,8 @@ def score_toxicity(docs: DataFrame, model) -> DataFrame:
     text without a match. Equal texts get equal scores; repeated rows are all returned;
     an empty table gives none. Columns named like an output are replaced, others pass.
     """
-    insults, weights = model
-    lexicon = Lexicon(insults)
+    insults, weights, threats = model
+    lexicon = Lexicon(insults, threats=threats)
     names = list(PATTERNS)
 
     @F.arrow_udf(SCORE_TYPE)

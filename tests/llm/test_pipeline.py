@@ -26,7 +26,7 @@ def test_every_stage_against_brute_force(spark):
     assert sorted(ids["quality_rules"]) == sorted(r["doc_id"] for r in judged if r["kept"])
     clean = spark.createDataFrame(rows["quality_rules"], start.schema)
     model = toxicity.train_toxicity(clean, spark.read.parquet(f"{FOLDER}/labels.parquet"))
-    lexicon = toxicity.Lexicon(model[0])
+    lexicon = toxicity.Lexicon(model[0], threats=model[2])
     hit = {r["doc_id"] for r in rows["quality_rules"] if toxicity.matches(r["text"], lexicon)}
     assert set(ids["quality_rules"]) - hit <= set(ids["toxicity"])
     groups = brute_groups([(r["doc_id"], r["text"]) for r in rows["toxicity"]], 5, 80)
@@ -52,6 +52,16 @@ def test_messy_rows_pass_all_stages(spark):
     assert docs.count() == 0
 
 
+def test_a_document_of_each_group_stays(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [(1, a), (1, b), (7, b), (1, b + " more"), (2, c), (2, c), (3, c), (4, ""), (4, ""), (5, None), (None, a), (None, a), (6, "two words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, FOLDER).collect()
+    left = Counter((r["doc_id"], r["text"]) for r in got)
+    assert left.pop((1, b), 0) + left.pop((1, b + " more"), 0) == 1
+    assert left == Counter({(1, a): 1, (2, c): 1, (4, ""): 2, (5, None): 1, (None, a): 2, (6, "two words"): 1})
+
+
 def test_nothing_else_imports_the_subpackage():
     for path in (ROOT / "martkeep").rglob("*.py"):
         if "llm" not in path.parts:
