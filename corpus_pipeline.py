@@ -27,21 +27,29 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.score_toxicity(docs, model).where("predicted = 0").select(*DOCUMENTS)
 
 
+#: So many kept rows, 16 bytes each, are sent to the tasks that read the texts.
+BROADCAST_ROWS = 1_000_000
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of five-word shingles 80 % alike: that of the lowest doc_id.
 
-    Rows without doc_id, which the join compares with nothing, all stay; of rows that repeat
-    a doc_id one stays, that of the first text.
+    Of several rows of a group under that doc_id one stays, whichever text it has; a group
+    under the same doc_id but of other texts keeps a row of its own. Rows without doc_id or
+    without words, which the join compares with nothing, all stay.
     """
-    groups = jaccard.jaccard_groups(docs, width=5, percent=80)
-    chosen = staged(groups.where("component_id = doc_id").select("doc_id").distinct(), "pipeline-chosen")
-    kept = docs.join(chosen, "doc_id").select(*DOCUMENTS)
-    repeated = staged(docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL"), "pipeline-repeated").select("doc_id")
-    once = kept.join(repeated, "doc_id", "left_anti")
-    first = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min(F.struct("text", "lang", "source", "n_chars")).alias("row")
-    )
-    return once.unionByName(first.select("doc_id", "row.*")).unionByName(docs.where("doc_id IS NULL").select(*DOCUMENTS))
+    row = F.xxhash64(*DOCUMENTS)
+    groups = jaccard.jaccard_groups(docs, width=5, percent=80, row=row).where("node IS NOT NULL")
+    rows = groups.groupBy("node", "doc_id", "row").agg(F.count("*").alias("n"))
+    first = rows.groupBy("node").agg(F.min(F.struct("doc_id", "row", "n")).alias("first")).select("first.*")
+    first = staged(first.select(F.col("doc_id").alias("first_id"), F.col("row").alias("first_row"), "n"), "pipeline-chosen")
+    if first.count() <= BROADCAST_ROWS:
+        first = F.broadcast(first)
+    kept = docs.select(*DOCUMENTS).join(first, (F.col("doc_id") == F.col("first_id")) & (row == F.col("first_row")))
+    once = kept.where("n = 1").select(*DOCUMENTS)
+    again = kept.where("n > 1").groupBy("first_id", "first_row").agg(F.first(F.struct(*DOCUMENTS)).alias("whole")).select("whole.*")
+    apart = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(mixing.WORDS), F.lit(False))
+    return once.unionByName(again).unionByName(docs.where(apart).select(*DOCUMENTS))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
