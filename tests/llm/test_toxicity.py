@@ -151,7 +151,7 @@ def test_threats_are_learned_from_what_is_aimed(spark):
         if toxic:
             text += rnd.choice(["soon we frobble you", "i frobbled him today", "they will be frobbling them"]) if i % 12 else "a blorkhead, " + prose(rnd, 3, 3000)
         else:
-            text += rnd.choice(["people frobble wood", "wood frobbled early", "you like wood", "the frobbling of wood", "w1 w2", "we never frobble you"])
+            text += rnd.choice(["people frobble wood", "wood frobbled early", "you like wood", "the frobbling of wood", "we never frobble you", "soon we like you", "i like him today", "they will be liking them"])
         docs.append((i, text, "en", "a", 1))
         labels.append((i, toxic, 1))
     df, labelled = documents(spark, docs), spark.createDataFrame(labels, LABEL)
