@@ -16,6 +16,7 @@ from martkeep.llm.components import connected_components, local_roots
 
 BLOCK_DOCS = 256
 BLOCK_GRAMS = 500_000
+BLOCK_SKETCHED = 12_000_000  # n-grams whose sketches, a byte for 4 to 8 of them, a block holds
 CHUNK = 4096  # columns of a dense piece of the incidence matrix
 HEAVY_LEAST = 64  # documents that make an n-gram common
 HEAVY_MOST = 1 << 20  # common n-grams kept: 8 MB, whatever the corpus
@@ -217,30 +218,49 @@ def _runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketch(grams: np.ndarray) -> bytes:
-    """How many n-grams of a set fall into each of 64 bins, up to 255."""
-    return np.minimum(np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=64), 255).astype(np.uint8).tobytes()
+    """How many n-grams of a set fall into each of 2^k bins, up to 255; about 4 to 8 per bin, 64 bins at least.
+
+    Bins are ranges of hashes, so neighbours can be added up to compare with fewer bins.
+    """
+    k = min(max(len(grams).bit_length() - 3, 6), 16)
+    return np.minimum(np.bincount((grams >> np.uint64(64 - k)).astype(np.int64), minlength=1 << k), 255).astype(np.uint8).tobytes()
+
+
+def _bins(sketches: list[bytes], k: int) -> np.ndarray:
+    """Sketches of one length as counts of 2^k bins."""
+    counts = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), 1 << k, -1)
+    return counts.sum(axis=2, dtype=np.int16)
 
 
 def _possible(percent: int):
     """Spanning edges of the pairs that sizes and sketches leave possible.
 
     Bins that differ by d make the sets differ in d n-grams at least, so the sum over all
-    bins is below the symmetric difference; the difference of the sizes is, too.
+    bins is below the symmetric difference; the difference of the sizes is, too. Sizes of
+    linked sets differ by less than half, hence the numbers of their bins by a factor of 2.
     """
 
     def product(sids: list[int], sides: list[int], payload: list[tuple[int, bytes]]) -> Iterator[tuple]:
         side, sid = np.array(sides), np.array(sids, np.int64)
-        bins = np.frombuffer(b"".join(raw for _, raw in payload), np.uint8).reshape(-1, 64).astype(np.int16)
         size = np.array([n for n, _ in payload], np.int64)
+        level = np.array([len(raw).bit_length() - 1 for _, raw in payload])
         one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         two = two if len(two) else one
-        for at in np.array_split(one, -(-len(one) // 32)):
-            apart = np.abs(bins[at][:, None] - bins[two][None]).sum(axis=2)
-            apart = np.maximum(apart, np.abs(size[at][:, None] - size[two][None]))
-            i, j = np.nonzero(apart <= (100 - percent) * (size[at][:, None] + size[two][None]) // (100 + percent))
-            new = sid[at[i]] != sid[two[j]]
-            node, root = local_roots(sid[at[i[new]]], sid[two[j[new]]])
-            yield from ((int(a), int(b)) for a, b in zip(node, root) if a != b)
+        for k, other in ((k, k + d) for k in np.unique(level[one]).tolist() for d in (-1, 0, 1)):
+            a, b = one[level[one] == k], two[level[two] == other]
+            if not len(b):
+                continue
+            least = min(k, other)
+            left, right = (_bins([payload[i][1] for i in some.tolist()], least) for some in (a, b))
+            step = max(1, (4 << 20) // (len(b) << least))
+            for start in range(0, len(a), step):
+                at = a[start : start + step]
+                apart = np.abs(left[start : start + step, None] - right[None]).sum(axis=2, dtype=np.int32)
+                apart = np.maximum(apart, np.abs(size[at][:, None] - size[b][None]))
+                i, j = np.nonzero(apart <= (100 - percent) * (size[at][:, None] + size[b][None]) // (100 + percent))
+                new = sid[at[i]] != sid[b[j]]
+                node, root = local_roots(sid[at[i[new]]], sid[b[j[new]]])
+                yield from ((int(x), int(y)) for x, y in zip(node, root) if x != y)
 
     def possible(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
@@ -250,6 +270,7 @@ def _possible(percent: int):
                 yield _long_rows(found, ("a", "b"))
                 found = []
         yield _long_rows(found, ("a", "b"))
+        release()
 
     return possible
 
@@ -338,7 +359,7 @@ def _long_rows(found: list[tuple], names: tuple[str, ...]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in columns], list(names))
 
 
-def _placed(clusters: DataFrame, classes: DataFrame, purpose: str) -> DataFrame:
+def _placed(clusters: DataFrame, classes: DataFrame, block_grams: int, purpose: str) -> DataFrame:
     """Sets (sid, doc_id, n, cluster) with their ``block`` and the blocks to compare it with, ``others``.
 
     ``clusters`` has sid, cluster and component: sets of one component are tied already and
@@ -346,9 +367,9 @@ def _placed(clusters: DataFrame, classes: DataFrame, purpose: str) -> DataFrame:
     are compared with all but each other; the rest shares blocks.
     """
     members = staged(clusters.join(classes, "sid"), f"{purpose}-members")
-    size = F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int")
+    size = F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / block_grams)).cast("int")
     own = members.groupBy("cluster", "component").agg(F.count("*").alias("sets"), F.sum("n").alias("grams"))
-    own = own.where((F.col("sets") >= BLOCK_DOCS) | (F.col("grams") >= BLOCK_GRAMS)).select("cluster", "component", F.col("component").alias("label"))
+    own = own.where((F.col("sets") >= BLOCK_DOCS) | (F.col("grams") >= block_grams)).select("cluster", "component", F.col("component").alias("label"))
     labelled = staged(members.join(own, ["cluster", "component"], "left"), f"{purpose}-labelled")
     blocks = labelled.groupBy("cluster", "label").agg(size.alias("blocks"))
     before = Window.partitionBy("cluster").orderBy("label").rowsBetween(Window.unboundedPreceding, -1)
@@ -493,7 +514,7 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, row: Colu
        its sets, not with its pairs.
     3. Signatures that sets of several components still share form clusters, cut into
        blocks of some :data:`BLOCK_DOCS` sets. Pairs of blocks, other than those of one
-       component, are ruled out by sketches of 64 bytes (see :func:`_possible`) or become
+       component, are ruled out by sketches, a fiftieth of the sets (see :func:`_possible`) or become
        families, whose pairs of blocks are multiplied as sparse matrices. So no pair that
        could link two components goes uncompared.
     4. Components of the links found, by joins. Only spanning forests leave a task.
@@ -536,9 +557,9 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, row: Colu
         apart = [F.col("node").alias("sid"), F.col("component").alias("cluster")]
         clusters = connected_components(left.select("sid", "pivot"), "jaccard-clusters").select(*apart).join(of, "sid")
         sketches = known.join(classes.select("sid", "doc_id"), ["sid", "doc_id"], "left_semi").select("sid", "sketch").dropDuplicates(["sid"])
-        possible = _block_pairs(_placed(clusters, classes, "jaccard-clusters"), sketches).mapInArrow(_possible(percent), "a long, b long")
+        possible = _block_pairs(_placed(clusters, classes, BLOCK_SKETCHED, "jaccard-clusters"), sketches).mapInArrow(_possible(percent), "a long, b long")
         families = connected_components(possible, "jaccard-families").select(*apart).join(of, "sid")
-        placed = _placed(families, classes, "jaccard-families")
+        placed = _placed(families, classes, BLOCK_GRAMS, "jaccard-families")
         edges.append(staged(_block_pairs(placed, grams).mapInArrow(_links(percent), "a long, b long"), "jaccard-links"))
         components = connected_components(reduce(DataFrame.unionByName, edges), "jaccard-components")
     of_class = classes.withColumn("node", F.col("sid"))

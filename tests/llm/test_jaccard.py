@@ -87,6 +87,29 @@ def test_the_work_grows_with_the_sets_of_a_family(spark, monkeypatch):
     assert rows[1] < 2.6 * rows[0] and rows[2] < 2.6 * rows[1], rows
 
 
+def test_sketches_tell_long_sets_apart_and_keep_linked_ones():
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(2)
+
+    def pairs(sets, percent):
+        rows = [(1, 0, 0, 0, i, len(g), jaccard.sketch(g)) for i, g in enumerate(sets)]
+        names = ["cluster", "i", "j", "side", "sid", "n", "sketch"]
+        batch = pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows])
+        found = [b.to_pylist() for b in jaccard._possible(percent)(iter([batch]))]
+        return {(r["a"], r["b"]) for some in found for r in some}
+
+    for size in (40, 150, 1000, 2000, 20_000, 300_000):
+        unrelated = [np.unique(rnd.integers(0, 1 << 63, size).astype(np.uint64) << np.uint64(1)) for _ in range(6)]
+        assert not pairs(unrelated, 80), size
+        for percent in (80, 85):
+            base = unrelated[0]
+            more = int(len(base) * (100 - percent) / percent)  # a set and one that holds it, just linked
+            longer = np.unique(np.concatenate([base, rnd.integers(0, 1 << 63, more).astype(np.uint64)]))
+            both = len(np.intersect1d(base, longer))
+            assert 100 * both >= percent * len(longer) and pairs([base, longer, unrelated[1]], percent) == {(1, 0)}
+
+
 def test_signatures_of_the_same_sets_become_one_group(monkeypatch):
     import pyarrow as pa
 
