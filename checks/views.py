@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martkeep.schema import SOURCE_COLUMNS
+from martkeep.sinks.files import file_system
 from martkeep.sources.tables import SourceTables
 
 AS_OF_SQL = "TIMESTAMP '2024-06-01 00:00:00'"
@@ -35,15 +36,17 @@ def as_of() -> Column:
     return F.expr("TIMESTAMP_NTZ '2024-06-01 00:00:00'")
 
 
-_SCHEMAS: dict[str, StructType] = {}
+_SCHEMAS: dict[tuple[str, int], StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Its schema is taken from the file footers the first time only."""
+    """A driver table. Its schema is taken from the file footers once, until the file changes."""
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    fs, target = file_system(spark, path)
+    known = path, fs.getFileStatus(target).getModificationTime()
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 def raw_of(events: DataFrame) -> DataFrame:
