@@ -27,7 +27,7 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\p{{L}}\p{{N}}]+"
 END = "</w>"
 MARK = "\ue000"  # stands for END, as one letter that no text has in byte letters
-KNOWN_WORDS, KNOWN_PAIRS = 100_000, 200_000  # a worker remembers up to twice as many
+KNOWN_WORDS, KNOWN_PAIRS = 60_000, 100_000  # a worker remembers up to twice as many
 NO_RANK = np.int32(2**31 - 1)
 WIDTHS = (4, 8, 12, 16, 24, 32, 64, 200)  # words are merged beside others of about their length
 
@@ -335,6 +335,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
         bpe = kept_in_worker((WordBpe.__qualname__, path), lambda: WordBpe(path))
         for texts in batches:
             yield pa.array(bpe.encode_batch(texts.to_pylist()), pa.binary())
+        bpe.older_words, bpe.older_pairs = {}, {}
         release()
 
     return docs.withColumn(ids, pack(F.col(text).cast("string")))

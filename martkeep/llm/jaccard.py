@@ -412,13 +412,15 @@ def _block_pairs(placed: DataFrame, payload: DataFrame) -> DataFrame:
     )
 
 
-def _pivot_pairs(pairs: DataFrame, grams: DataFrame) -> DataFrame:
+def _pivot_pairs(pairs: DataFrame, classes: DataFrame, grams: DataFrame) -> DataFrame:
     """Rows like those of :func:`_block_pairs` that compare each set with its pivot.
 
     ``pairs`` has each sid and pivot once. The sets of a pivot are dealt into blocks,
     and the pivot's own n-grams go to each of them.
     """
-    blocks = staged(pairs.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("blocks")), "jaccard-pivots")
+    size = F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int")
+    sized = pairs.join(classes.select("sid", "n"), "sid")
+    blocks = staged(sized.groupBy("pivot").agg(size.alias("blocks")), "jaccard-pivots")
     members = pairs.join(blocks, "pivot").select(
         F.col("pivot").alias("cluster"), F.lit(0).alias("i"),
         (1 + F.pmod(F.xxhash64("sid"), F.col("blocks"))).cast("int").alias("j"), F.lit(1).alias("side"), "sid",
@@ -548,7 +550,7 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, row: Colu
         often = shared.join(groups, "sig").where("sid <> pivot").groupBy("sid", "pivot").count()
         most = F.slice(F.sort_array(F.collect_list(F.struct("count", "pivot")), asc=False), 1, PIVOTS)
         pairs = staged(often.groupBy("sid").agg(most.alias("most")).select("sid", F.explode("most.pivot").alias("pivot")), "jaccard-pairs")
-        edges.append(staged(_pivot_pairs(pairs, grams).mapInArrow(_links(percent), "a long, b long"), "jaccard-links"))
+        edges.append(staged(_pivot_pairs(pairs, classes, grams).mapInArrow(_links(percent), "a long, b long"), "jaccard-links"))
         components = staged(connected_components(edges[0], "jaccard-tied"), "jaccard-tied")
     labelled, mixed = _mixed(shared, components, "jaccard-left")
     if not mixed.isEmpty():
