@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -428,12 +429,16 @@ def merge_two_writers(spark, sf_dir):
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in i.mart.schema.fields)
     mart = ParquetMart(f"{folder}/progress", schema, PROGRESS_KEY)
     mart.create(spark, i.mart)
-    parts = {run: i.learnings.where(f"learning_seq % 3 <> {rest}") for run, rest in (("one", 0), ("two", 1))}
+    learnings = i.learnings.persist(StorageLevel.MEMORY_AND_DISK)  # as in a batch of the stream
+    parts = {run: learnings.where(f"learning_seq % 3 <> {rest}") for run, rest in (("one", 0), ("two", 1))}
     numbers = {run: mart.begin(spark, run, 0) for run in parts}
-    for run, learnings in reversed(parts.items()):
-        known = mart.snapshot(spark, before=numbers[run])
-        rows = plans.progress_rows(None, i.tables, known, as_of(), one_per_key=True, learning=learnings)
-        mart.apply(rows, numbers[run], (run, 0))
+    try:
+        for run, touched in reversed(parts.items()):
+            known = mart.snapshot(spark, before=numbers[run])
+            rows = plans.progress_rows(None, i.tables, known, as_of(), one_per_key=True, learning=touched)
+            mart.apply(rows, numbers[run], (run, 0))
+    finally:
+        learnings.unpersist()
     return mart.snapshot(spark)
 
 

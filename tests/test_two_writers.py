@@ -1,0 +1,19 @@
+"""What both writers of one mart start from is worked out once."""
+
+from checks import catalog
+from martkeep import plans
+
+
+def test_both_writers_use_the_kept_learnings(spark, monkeypatch):
+    seen, real = [], plans.progress_rows
+
+    def watched(*args, learning, **options):
+        seen.append("InMemoryRelation" in learning._jdf.queryExecution().withCachedData().toString())
+        return real(*args, learning=learning, **options)
+
+    monkeypatch.setattr(plans, "progress_rows", watched)
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    rows = catalog.QUERIES["merge_two_writers"](spark, "/root/testdata/sf0.001")
+    assert seen == [True, True]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    assert rows.groupBy("learning_seq").count().where("count > 1").count() == 0
