@@ -21,6 +21,8 @@ CLUSTERED = 2048  # of these, the words that exchange moves until nothing gains
 CLASSED_LEAST = 8  # all other listed words of at least this count get the class that gains most
 CLASSES = 64
 KNOWN_WORDS = 400_000  # different words that a task holds at once
+PIECE = 8192  # tokens a row of numbered texts
+PACKED = ("codes", "numbers", "counts")
 PRIOR = 5.0  # pseudo-counts of a class's successors, drawn by their overall shares
 
 
@@ -97,32 +99,85 @@ def _before(values: np.ndarray, end: int) -> np.ndarray:
     return np.concatenate([[end], values[:-1]])
 
 
+def _number_texts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole texts on end, as many as have some :data:`PIECE` tokens a row (see :func:`numbered_texts`)."""
+    hold()
+    read = BatchReader()
+    for batch in rows:
+        if read.full():
+            read.reset()
+        numbers, starts = read(batch.column(0).to_pylist())
+        if not len(starts):
+            continue
+        cuts = starts[np.flatnonzero(np.diff(starts // PIECE, prepend=-1))].tolist()
+        pieces = []
+        for i, j in zip(cuts, [*cuts[1:], len(numbers)]):
+            some, local, n = np.unique(numbers[i:j], return_inverse=True, return_counts=True)
+            local = local.astype("<u2" if len(some) <= 1 << 16 else "<u4")
+            pieces.append((read.codes[some].astype("<u8").tobytes(), n.astype("<u4").tobytes(), local.tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(column, pa.binary()) for column in zip(*pieces)], ["codes", "counts", "numbers"])
+    del read
+    release()
+
+
+def numbered_texts(texts: DataFrame) -> DataFrame:
+    """All ``texts`` read once: rows (codes, counts, numbers) of packed whole numbers, written down.
+
+    A row holds some :data:`PIECE` tokens of whole texts, more only if one text has more:
+    ``codes`` of its different words, the end first, ``counts`` of each, and of every token its
+    place in ``codes``, in two bytes if that is enough. A text ends with a 0. All further passes
+    start from these, so no word is cut out of a text, hashed or looked up twice.
+    """
+    numbered = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(_number_texts, "codes binary, counts binary, numbers binary")
+    return staged(numbered, "brown-numbers")
+
+
+def _codes(packed: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(packed.as_buffer(), "<u8")
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(codes, numbers) of each row of a batch of (codes, numbers, counts)."""
+    for codes, numbers, counts in zip(*batch.columns):
+        numbers, tokens = numbers.as_buffer(), int(np.frombuffer(counts.as_buffer(), "<u4").sum(dtype=np.int64))
+        yield _codes(codes), np.frombuffer(numbers, "<u2" if numbers.size == 2 * tokens else "<u4")
+
+
 def _count_words(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's counts of words, in parts if there are very many."""
-    hold()
-    read, total = BatchReader(), np.zeros(1, np.int64)
+    codes, counts, waiting, held = np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
+
+    def merge() -> None:
+        nonlocal codes, counts, waiting, held
+        codes, at = np.unique(np.concatenate([codes, *[c for c, _ in waiting]]), return_inverse=True)
+        counts = np.bincount(at, weights=np.concatenate([counts, *[n for _, n in waiting]]), minlength=len(codes)).astype(np.int64)
+        waiting, held = [], 0
 
     def out() -> pa.RecordBatch:
-        some = np.flatnonzero(total)
-        return pa.RecordBatch.from_arrays([pa.array(signed(read.codes[some])), pa.array(total[some])], ["code", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(signed(codes)), pa.array(counts)], ["code", "n"])
 
     for batch in rows:
-        if read.full():
+        for packed, n in zip(*batch.columns):
+            waiting.append((_codes(packed), np.frombuffer(n.as_buffer(), "<u4")))
+            held += len(waiting[-1][0])
+        if held > KNOWN_WORDS:
+            merge()
+        if len(codes) > KNOWN_WORDS:  # counts are summed anyway, so a task may send parts
             yield out()
-            read.reset()
-            total = np.zeros(1, np.int64)
-        numbers, _ = read(batch.column(0).to_pylist())
-        counts = np.bincount(numbers, minlength=len(read.codes))
-        counts[: len(total)] += total
-        total = counts
+            codes, counts = codes[:0], counts[:0]
+    merge()
     yield out()
-    del read
+    del codes, counts
     release()
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(code, n) of every token, ends included."""
-    counted = texts.select("text").mapInArrow(_count_words, "code long, n long")
+    return _counted(numbered_texts(texts))
+
+
+def _counted(numbered: DataFrame) -> DataFrame:
+    counted = numbered.select("codes", "counts").mapInArrow(_count_words, "code long, n long")
     return counted.groupBy("code").agg(F.sum("n").alias("n"))
 
 
@@ -131,17 +186,24 @@ def _count_pairs(look: Callable[[np.ndarray], np.ndarray], size: int):
     end = int(look(np.array([END], np.uint64))[0])
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold()
-        read, total = BatchReader(lambda codes: (look(codes),)), np.zeros(size * size, np.int64)
+        total, waiting, held = np.zeros(size * size, np.int64), [], 0
+
+        def add() -> None:
+            nonlocal waiting, held
+            total[:] += np.bincount(np.concatenate([np.empty(0, np.int64), *waiting]), minlength=size * size)
+            waiting, held = [], 0
+
         for batch in rows:
-            if read.full():
-                read.reset()
-            numbers, _ = read(batch.column(0).to_pylist())
-            ids = read.known[0][numbers]
-            total += np.bincount(_before(ids, end) * size + ids, minlength=size * size)
+            for codes, numbers in _pieces(batch):
+                ids = look(codes)[numbers]
+                waiting.append(_before(ids, end) * size + ids)
+                held += len(ids)
+                if held > 1_000_000:
+                    add()
+        add()
         (some,) = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["pair", "n"])
-        del read, total
+        del total
         release()
 
     return count
@@ -250,7 +312,7 @@ class BrownModel:
     word_counts: DataFrame  # (code, n) of all words
 
 
-def cluster(texts: DataFrame, symbols: np.ndarray, classes: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+def cluster(numbered: DataFrame, symbols: np.ndarray, classes: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """Classes of the sorted ``symbols`` by rounds of exchange, and the counts between classes.
 
     Symbols beyond these are one class per shape, the end one more. The counts of pairs of
@@ -260,7 +322,7 @@ def cluster(texts: DataFrame, symbols: np.ndarray, classes: int, rounds: int) ->
     n, size = len(symbols), classes + SHAPES
     total = n + SHAPES
 
-    counted = texts.select("text").mapInArrow(_count_pairs(lambda codes: symbol_ids(codes, symbols), total), "pair long, n long")
+    counted = numbered.select(*PACKED).mapInArrow(_count_pairs(lambda codes: symbol_ids(codes, symbols), total), "pair long, n long")
     table = counted.groupBy("pair").agg(F.sum("n").alias("n"))
     one, two = F.floor(F.col("pair") / total).cast("long"), F.col("pair") % total
     sides = F.explode(F.array(
@@ -305,8 +367,7 @@ def _count_neighbours(words: np.ndarray, look: Callable[[np.ndarray], np.ndarray
         return np.where(words[at] == codes, at, -1), look(codes)
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold()
-        read, waiting, held = BatchReader(both), [], 0
+        waiting, held = [], 0
         keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
 
         def merge() -> None:
@@ -321,22 +382,20 @@ def _count_neighbours(words: np.ndarray, look: Callable[[np.ndarray], np.ndarray
             return pa.RecordBatch.from_arrays([pa.array(word), pa.array(slot.astype(np.int32)), pa.array(counts)], ["word", "slot", "n"])
 
         for batch in rows:
-            if read.full():
-                read.reset()
-            numbers, _ = read(batch.column(0).to_pylist())
-            word, of = (known[numbers] for known in read.known)
-            at = np.flatnonzero(word >= 0)
-            mine = word[at] * 2 * size
-            waiting += [mine + _before(of, end)[at], mine + size + of[at + 1]]  # an end stands behind every word
-            held += 2 * len(at)
-            if held > 2_000_000:
-                merge()
+            for codes, numbers in _pieces(batch):
+                word, of = (known[numbers] for known in both(codes))
+                at = np.flatnonzero(word >= 0)
+                mine = word[at] * 2 * size
+                waiting += [mine + _before(of, end)[at], mine + size + of[at + 1]]  # an end stands behind every word
+                held += 2 * len(at)
+                if held > 2_000_000:
+                    merge()
             if len(keys) > 4_000_000:  # counts are summed anyway, so a task may send parts
                 yield out()
                 keys, counts = keys[:0], counts[:0]
         merge()
         yield out()
-        del read, keys, counts
+        del keys, counts
         release()
 
     return count
@@ -392,13 +451,13 @@ def _assign(now: np.ndarray, between: np.ndarray, n: int):
     return assign
 
 
-def classify(texts: DataFrame, words: np.ndarray, look: Callable[[np.ndarray], np.ndarray], between: np.ndarray, n: int) -> np.ndarray:
-    """Classes of the sorted ``words``, from the classes of their neighbours in all of ``texts``.
+def classify(numbered: DataFrame, words: np.ndarray, look: Callable[[np.ndarray], np.ndarray], between: np.ndarray, n: int) -> np.ndarray:
+    """Classes of the sorted ``words``, from the classes of their neighbours in all texts.
 
     Neighbours are counted in tasks and by a shuffle, at most 2 x classes rows a word; classes
     are chosen in tasks. Words and classes, at most :data:`LISTED`, come to the driver.
     """
-    counted = texts.select("text").mapInArrow(_count_neighbours(words, look, len(between)), "word long, slot int, n long")
+    counted = numbered.select(*PACKED).mapInArrow(_count_neighbours(words, look, len(between)), "word long, slot int, n long")
     sums = staged(counted.groupBy("word", "slot").agg(F.sum("n").alias("n")), "brown-neighbours")
     chosen = sums.repartition("word").sortWithinPartitions("word").mapInArrow(_assign(look(words), between, n), "word long, class long").toArrow()
     out = np.zeros(len(words), np.int64)
@@ -418,14 +477,16 @@ def train_brown(
     a class by what they look like.
 
     Counts of words and of neighbours cover every text and stay tables; what comes to the
-    driver is bounded by ``listed``, ``clustered`` and ``classes``. Four passes over the texts.
+    driver is bounded by ``listed``, ``clustered`` and ``classes``. The texts are read once, and written as
+    numbers of words for the four passes that follow.
     """
-    counts = staged(count_words(texts), "brown-words")
+    numbered = numbered_texts(texts)
+    counts = staged(_counted(numbered), "brown-words")
     codes, n, least = listed_words(counts, listed)
     of_word = codes != np.uint64(END)
     order = np.argsort(-n[of_word], kind="stable")[:clustered]
     symbols = np.sort(codes[of_word][order])
-    of_symbol, between = cluster(texts, symbols, classes, rounds)
+    of_symbol, between = cluster(numbered, symbols, classes, rounds)
     ids = symbol_ids(codes, symbols)
 
     def class_of(words: np.ndarray, of: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
@@ -434,10 +495,10 @@ def train_brown(
     of_listed = class_of(symbols, of_symbol)(codes)
     more = (ids >= len(symbols)) & of_word & (n >= classed_least)
     if more.any() and len(symbols):
-        of_listed[more] = classify(texts, codes[more], class_of(symbols, of_symbol), between, classes)
+        of_listed[more] = classify(numbered, codes[more], class_of(symbols, of_symbol), between, classes)
         learned = of_listed < classes
         size = classes + SHAPES
-        pairs = texts.select("text").mapInArrow(_count_pairs(class_of(codes[learned], of_listed[learned]), size), "pair long, n long")
+        pairs = numbered.select(*PACKED).mapInArrow(_count_pairs(class_of(codes[learned], of_listed[learned]), size), "pair long, n long")
         between = np.zeros(size * size)
         for row in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect():
             between[row["pair"]] = row["n"]

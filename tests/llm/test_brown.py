@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_world import documents, messy_rows
+from pyspark.sql import functions as F
 
 from martkeep.llm import brown
 
@@ -127,3 +128,27 @@ def test_tasks_that_forget_words_count_the_same(spark, monkeypatch, known):
     want = Counter(t for text in texts for t in tokens(text))
     rows = brown.count_words(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)).collect()
     assert sorted(r["n"] for r in rows) == sorted(want.values())
+
+
+def test_texts_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def text(i):
+        read.add(1)
+        return f"a{i % 7} b{i % 3} c{i % 7}. d e"
+
+    texts = spark.range(0, 200, 1, 2).select(F.udf(text, "string")("id").alias("text"))
+    model = brown.train_brown(texts, clustered=5, classes=2, rounds=1, classed_least=2)
+    assert model.train_tokens == 1200 and read.value == 200
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1 << 14])
+def test_numbered_texts_hold_every_token(spark, monkeypatch, piece):
+    monkeypatch.setattr(brown, "PIECE", piece)
+    long = " ".join(f"w{i % 70_000}" for i in range(70_500))  # more words than two bytes can number
+    texts = ["a b a", None, "", "B a", "c" * 40, long, "a"]
+    rows = brown.numbered_texts(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)).select(*brown.PACKED).toArrow()
+    got = [codes[numbers] for batch in rows.to_batches() for codes, numbers in brown._pieces(batch)]
+    reader = brown.TokenReader()
+    assert np.array_equal(np.concatenate(got), np.concatenate([reader(t) for t in texts]))
+    assert all(piece[-1] == brown.END for piece in got)
