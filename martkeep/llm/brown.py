@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkeep.llm.common import Hasher, hold, release, signed, staged
+from martkeep.llm.common import SMALL_GROUPS, Hasher, hold, release, signed, staged
 
 SHAPES = 16
 END = SHAPES - 1  # the code of the end of a text: no word's last four bits are all ones alone
@@ -129,7 +129,7 @@ def numbered_texts(texts: DataFrame) -> DataFrame:
     start from these, so no word is cut out of a text, hashed or looked up twice.
     """
     numbered = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(_number_texts, "codes binary, counts binary, numbers binary")
-    return staged(numbered, "brown-numbers")
+    return staged(numbered, "brown-numbers", SMALL_GROUPS)
 
 
 def _codes(packed: pa.Scalar) -> np.ndarray:

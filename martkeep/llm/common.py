@@ -33,15 +33,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again.
+#: Parquet of rows of many KB: the default looks at sizes after 100 rows, and a task would read all at once.
+SMALL_GROUPS = {
+    "parquet.block.size": str(1 << 20),
+    "parquet.block.size.row.check.min": "4",
+    "parquet.page.size": str(256 << 10),
+    "parquet.page.size.row.check.min": "4",
+    "parquet.enable.dictionary": "false",
+}
+
+
+def staged(df: DataFrame, purpose: str, options: dict[str, str] | None = None) -> DataFrame:
+    """``df`` written as Parquet, with the writer's ``options``, to the shared folder and read again.
 
     Cuts the lineage so that a lost executor costs a read, not a recomputation of all
     that went before. The folder is below ``spark.checkpoint.dir`` and is the caller's to
     clean, like any checkpoint.
     """
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

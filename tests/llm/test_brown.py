@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from llm_world import documents, messy_rows
 from pyspark.sql import functions as F
@@ -152,3 +153,14 @@ def test_numbered_texts_hold_every_token(spark, monkeypatch, piece):
     reader = brown.TokenReader()
     assert np.array_equal(np.concatenate(got), np.concatenate([reader(t) for t in texts]))
     assert all(piece[-1] == brown.END for piece in got)
+
+
+def test_numbered_texts_come_in_small_row_groups(spark):
+    rnd = random.Random(5)
+    texts = [" ".join(f"w{rnd.randrange(20_000)}" for _ in range(2000)) for _ in range(300)]
+    numbered = brown.numbered_texts(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1))
+    groups = []
+    for path in numbered.inputFiles():
+        data = pq.ParquetFile(path.removeprefix("file://")).metadata
+        groups += [data.row_group(i).total_byte_size for i in range(data.num_row_groups)]
+    assert sum(groups) > 3 << 20 and max(groups) < 2 << 20
