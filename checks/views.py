@@ -57,19 +57,34 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_of(table(spark, sf_dir, "events"))
 
 
-#: So much of a table's Parquet is dealt to one task: some 200 000 rows of ``lineitem``.
+#: So much of a table's Parquet, or so many of its rows, are dealt to one task at most.
 TASK_BYTES = 4 << 20
+TASK_ROWS = 200_000
+
+_ROWS: dict[tuple[str, int, int], int] = {}
+
+
+def rows_of(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """How many rows a driver table has: counted from the file footers once, until the files change."""
+    path = f"{sf_dir}/{name}.parquet"
+    fs, target = file_system(spark, path)
+    known = path, fs.getFileStatus(target).getModificationTime(), fs.getContentSummary(target).getLength()
+    if known not in _ROWS:
+        _ROWS[known] = table(spark, sf_dir, name).count()
+    return _ROWS[known]
 
 
 def dealt(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
-    """A driver table in tasks by ``keys``, as many as its size asks for.
+    """A driver table in tasks by ``keys``, as many as its size and its rows ask for.
 
     A number that adaptive execution leaves alone: it joins partitions by their compressed
-    bytes, and narrow rows take many times these in a task's hash maps.
+    bytes, and narrow rows take many times these in a task's hash maps. The bytes of the files
+    say as little where they compress well, so the rows count too.
     """
     fs, path = file_system(spark, f"{sf_dir}/{name}.parquet")
-    parts = -(-fs.getContentSummary(path).getLength() // TASK_BYTES)
-    return table(spark, sf_dir, name).repartition(max(1, parts), *keys)
+    by_bytes = -(-fs.getContentSummary(path).getLength() // TASK_BYTES)
+    by_rows = -(-rows_of(spark, sf_dir, name) // TASK_ROWS)
+    return table(spark, sf_dir, name).repartition(max(1, by_bytes, by_rows), *keys)
 
 
 def subjects(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,3 +49,20 @@ def test_the_number_of_tasks_changes_no_subject(spark, lineitem, monkeypatch):
         found = subjects_of(spark, folder, monkeypatch, n_bytes).collect()
         assert len(found) == len(best)
         assert {(r[0], r[1]): r[2] for r in found} == best
+
+
+def test_subject_tasks_grow_with_rows_that_compress_well(spark, tmp_path, monkeypatch):
+    sql = "SELECT (i // 4)::BIGINT AS l_orderkey, (i % 4)::INT AS l_linenumber, 0.5::DOUBLE AS l_discount FROM range(20000) r(i)"
+    duckdb.sql(f"COPY ({sql}) TO '{tmp_path}/lineitem.parquet' (FORMAT parquet, COMPRESSION zstd)")
+    monkeypatch.setattr(views, "TASK_ROWS", 1000, raising=False)
+    subjects = views.subjects(spark, str(tmp_path))
+    assert (tmp_path / "lineitem.parquet").stat().st_size < views.TASK_BYTES
+    assert subjects.rdd.getNumPartitions() == 20
+    assert subjects.count() == 20000
+
+
+def test_rows_are_counted_anew_when_a_table_changes(spark, tmp_path):
+    write_lineitem(tmp_path, [(1, 1, 1)])
+    assert views.rows_of(spark, str(tmp_path), "lineitem") == 1
+    write_lineitem(tmp_path, [(k, 1, 1) for k in range(50)])
+    assert views.rows_of(spark, str(tmp_path), "lineitem") == 50
