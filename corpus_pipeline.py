@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkeep.llm import bpe, jaccard, mixing, quality, toxicity
-from martkeep.llm.common import staged, table
+from martkeep.llm.common import SMALL_GROUPS, staged, table
 from martkeep.llm.queries import word_tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -63,9 +63,14 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and whether they decode to what the tokens spell."""
+    """Token ids of every text, and whether they decode to what the tokens spell.
+
+    The ids are written in between: in one pass each task would have two Python workers at
+    once, and both stay with the executor.
+    """
     path = word_tokenizer()
     encoded = bpe.encode(docs.select("doc_id", "source", "lang", "text"), path).drop("text")
+    encoded = staged(encoded, "pipeline-encoded", SMALL_GROUPS)
     return bpe.decode(encoded, path).select(
         "doc_id", "source", "lang", bpe.n_tokens().alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )

@@ -560,6 +560,7 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, row: Colu
         clusters = connected_components(left.select("sid", "pivot"), "jaccard-clusters").select(*apart).join(of, "sid")
         sketches = known.join(classes.select("sid", "doc_id"), ["sid", "doc_id"], "left_semi").select("sid", "sketch").dropDuplicates(["sid"])
         possible = _block_pairs(_placed(clusters, classes, BLOCK_SKETCHED, "jaccard-clusters"), sketches).mapInArrow(_possible(percent), "a long, b long")
+        possible = staged(possible, "jaccard-possible")  # else the next step adds a second Python worker to each task
         families = connected_components(possible, "jaccard-families").select(*apart).join(of, "sid")
         placed = _placed(families, classes, BLOCK_GRAMS, "jaccard-families")
         edges.append(staged(_block_pairs(placed, grams).mapInArrow(_links(percent), "a long, b long"), "jaccard-links"))

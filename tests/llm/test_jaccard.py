@@ -157,3 +157,21 @@ def test_components_of_chains_stars_and_loops(spark):
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()))
     assert got == {**{i: 0 for i in range(201)}, **{2000 + i: 1000 for i in range(50)}, 1000: 1000, 3000: 3000, 3001: 3000}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_edges_that_are_contracted_were_written_down(spark, monkeypatch):
+    """Contracting edges is a Python step: it must not share its tasks with another."""
+    plans = []
+
+    def contracting(edges, purpose="components"):
+        plans.append(edges._jdf.queryExecution().optimizedPlan().toString())
+        return connected_components(edges, purpose)
+
+    monkeypatch.setattr(jaccard, "connected_components", contracting)
+    monkeypatch.setattr(jaccard, "PIVOTS", 0)
+    rnd = random.Random(3)
+    base = prose(rnd, 80, 3000)
+    rows = [(i, f"{base} {prose(rnd, 3, 3000)}") for i in range(12)] + [(20 + i, prose(rnd, 40, 3000)) for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert grouped(df, 4, 85) == brute_groups(rows, 4, 85)
+    assert len(plans) > 2 and not any("MapInArrow" in plan for plan in plans)

@@ -68,3 +68,16 @@ def test_nothing_else_imports_the_subpackage():
             for node in ast.walk(ast.parse(path.read_text())):
                 if isinstance(node, ast.Import | ast.ImportFrom):
                     assert "llm" not in ast.dump(node), path
+
+
+def python_steps(df):
+    """How many Python steps a frame adds to what was last written down."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return sum(plan.count(name) for name in ("ArrowEvalPython", "MapInArrow", "BatchEvalPython"))
+
+
+def test_encoding_has_one_python_step_at_a_time(spark):
+    docs = spark.createDataFrame([(1, "the cat", "en", "s", 7), (2, None, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.encoding_stage(spark, docs, FOLDER)
+    assert python_steps(got) == 1
+    assert sorted((r["doc_id"], r["n_tokens"], len(r["ids"])) for r in got.collect()) == [(1, 2, 8), (2, 0, 0)]
