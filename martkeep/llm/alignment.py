@@ -275,9 +275,10 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", groups:
     source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("aligned_text"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]] + [ALIGNED] + ["groups string"] * groups)
     kinds = [pa.int64()] * 3 + [pa.string(), pa.binary(), pa.binary()] + [pa.string()] * groups
+    key = (Aligner.__qualname__, path_a, path_b)
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = kept_in_worker((Aligner.__qualname__, path_a, path_b), lambda: Aligner(path_a, path_b))
+        aligner = kept_in_worker(key, lambda: Aligner(path_a, path_b))
         hold()
         for batch in batches:
             rows = []
@@ -289,7 +290,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", groups:
                 rows.append(row + ((text_of_groups.decode(),) if groups else ()))
             columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)] if rows else [pa.array([], kind) for kind in kinds]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], [*kept, *names])
-        release()
+        release(key)
 
     return source.mapInArrow(aligned, schema)
 

@@ -320,6 +320,11 @@ def spell(packed: bytes | None, names: list[str]) -> str | None:
     return " ".join(map(names.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
+def _kept(path: str) -> tuple[tuple[str, str], tuple[str, str]]:
+    """What encoding and decoding keep in a worker; the same one may serve both in turn."""
+    return (WordBpe.__qualname__, path), (token_names.__name__, path)
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with column ``ids``: packed little-endian unsigned 32-bit token ids.
 
@@ -332,11 +337,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     @F.arrow_udf(T.BinaryType())
     def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hold()
-        bpe = kept_in_worker((WordBpe.__qualname__, path), lambda: WordBpe(path))
+        bpe = kept_in_worker(_kept(path)[0], lambda: WordBpe(path))
         for texts in batches:
             yield pa.array(bpe.encode_batch(texts.to_pylist()), pa.binary())
         bpe.older_words, bpe.older_pairs = {}, {}
-        release()
+        release(*_kept(path))
 
     return docs.withColumn(ids, pack(F.col(text).cast("string")))
 
@@ -351,10 +356,10 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     @F.arrow_udf(T.StringType())
     def unpack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hold()
-        names = kept_in_worker((token_names.__name__, path), lambda: token_names(path))
+        names = kept_in_worker(_kept(path)[1], lambda: token_names(path))
         for packed in batches:
             yield pa.array([spell(p, names) for p in packed.to_pylist()], pa.string())
-        release()
+        release(*_kept(path))
 
     return docs.withColumn(text, unpack(F.col(ids)))
 

@@ -71,8 +71,15 @@ def hold() -> None:
     gc.disable()
 
 
-def release() -> None:
-    """Give freed memory back at the end of a task: workers are kept and used again."""
+def release(*keep: tuple) -> None:
+    """Give freed memory back at the end of a task: workers are kept and used again.
+
+    Of what :func:`kept_in_worker` has made only the keys ``keep`` stay: all workers of an
+    executor take turns, and would hold what earlier steps used for as long as they live.
+    """
+    kept = sys.__dict__.get("_martkeep_kept", {})
+    for key in kept.keys() - set(keep):
+        del kept[key]
     gc.enable()
     gc.collect()
     pa.default_memory_pool().release_unused()

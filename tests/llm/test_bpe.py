@@ -78,3 +78,16 @@ def test_query(spark, library):
         want = library.encode(texts[doc_id] or "", add_special_tokens=False).ids
         text = library.decode(want, skip_special_tokens=False)
         assert (n, ids, decoded) == (len(want), hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_a_worker_keeps_what_the_step_at_hand_uses():
+    from martkeep.llm.common import kept_in_worker, release
+
+    made = []
+    for key in (("test", "a"), ("test", "b")):
+        kept_in_worker(key, lambda key=key: made.append(key))
+    release(("test", "a"))
+    for key in (("test", "a"), ("test", "b")):
+        kept_in_worker(key, lambda key=key: made.append(key))
+    release()
+    assert made == [("test", "a"), ("test", "b"), ("test", "b")]
