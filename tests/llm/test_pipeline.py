@@ -81,3 +81,31 @@ def test_encoding_has_one_python_step_at_a_time(spark):
     got = corpus_pipeline.encoding_stage(spark, docs, FOLDER)
     assert python_steps(got) == 1
     assert sorted((r["doc_id"], r["n_tokens"], len(r["ids"])) for r in got.collect()) == [(1, 2, 8), (2, 0, 0)]
+
+
+def test_quality_rules_count_once_in_a_task(spark):
+    docs = spark.createDataFrame([(1, "w " * 60, "en", "s", 7), (2, None, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.quality_stage(spark, docs, FOLDER)
+    assert python_steps(got) == 1
+    assert got.count() == 0
+
+
+def test_units_of_the_mix_are_sent_or_shuffled_to_the_same_end(spark, monkeypatch):
+    rows = [(i % 150, f"a{i} " * (i % 9), "en", "s" if i % 3 else None, 1) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {}
+    for most in (corpus_pipeline.BROADCAST_UNITS, 0):
+        monkeypatch.setattr(corpus_pipeline, "BROADCAST_UNITS", most)
+        mixed = corpus_pipeline.mixing_stage(spark, docs, FOLDER)
+        assert ("strategy=broadcast" in mixed._jdf.queryExecution().optimizedPlan().toString()) == (most > 0)
+        got[most] = Counter(map(tuple, mixed.collect()))
+    assert len(got) == 2 and len({frozenset(g.items()) for g in got.values()}) == 1
+
+
+def test_stages_bound_the_rows_that_a_task_reads(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        for key in (keys := corpus_pipeline.BATCH | corpus_pipeline.READ):
+            spark.conf.unset(key)
+        stage(spark, docs, FOLDER)
+        assert {key: spark.conf.get(key) for key in keys} == keys, name
