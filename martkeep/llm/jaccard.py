@@ -97,8 +97,11 @@ def heavy_grams(docs: DataFrame, width: int) -> np.ndarray:
 # -- candidates ---------------------------------------------------------------------------
 
 
-def schemes(n: int, percent: int) -> list[tuple[int, int]]:
-    """(scheme, largest symmetric difference of a linked pair in it) for a set of n n-grams.
+KINDS = 1 << 7  # schemes and kinds of signatures, told by their lowest bits
+
+
+def schemes(n: int, percent: int) -> list[tuple[int, int, int]]:
+    """(scheme, largest symmetric difference of a linked pair in it, that of one with a set of n) for n n-grams.
 
     Sets of 2^c to 2^(c+1)-1 n-grams meet in scheme 2c; sets near a power of two also meet
     those beyond it, in the scheme 2c+1 of that power. Two sets a and b link if
@@ -109,17 +112,17 @@ def schemes(n: int, percent: int) -> list[tuple[int, int]]:
     def most(total: int) -> int:
         return (100 - percent) * total // (100 + percent)
 
-    c = n.bit_length() - 1
-    out = [(2 * c, most(2 * ((2 << c) - 1)))]
+    c, longest = n.bit_length() - 1, 100 * n // percent
+    out = [(2 * c, most(2 * ((2 << c) - 1)), most(n + min(longest, (2 << c) - 1)))]
     for low, edge in ((c, 2 << c), (c - 1, 1 << c)):
         beyond = 100 * (edge - 1) // percent
         if low >= 0 and 100 * n >= percent * edge and n <= beyond:
-            out.append((2 * low + 1, most(edge - 1 + beyond)))
+            out.append((2 * low + 1, most(edge - 1 + beyond), most(n + (longest if n < edge else edge - 1))))
     return out
 
 
-def signatures(grams: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of which any two linked sets that differ share at least one.
+def kinds(grams: np.ndarray, heavy: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray]]:
+    """(kind, how many of its signatures a linked set has at least, the signatures) of a set.
 
     A set is dealt into more parts than a linked pair has differing n-grams, so some part
     holds no difference and hashes alike. Common n-grams are dealt out only where a set
@@ -127,13 +130,18 @@ def signatures(grams: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndarray
     up for empty ones; sets that still have more empty parts add those by number. Of a
     linked pair, either one set stays within the slack, and a part that is not empty
     agrees, or both add the next kind.
+
+    Parts without a difference agree: all but as many as the set differs from a linked one.
+    Of these the empty ones are no signatures. They are empty in both sets, so no more than
+    the set's own empty parts, nor, as one of both stays within it, than the slack. So the
+    linked sets of a set, each by one kind at least, have as many of its signatures as said.
     """
     out = []
     light = grams
     if len(heavy):
         at = np.minimum(np.searchsorted(heavy, grams), len(heavy) - 1)
         light = grams[heavy[at] != grams]
-    for scheme, differ in schemes(len(grams), percent):
+    for scheme, differ, own in schemes(len(grams), percent):
         slack = 2 + differ // 8
         parts = differ + 1 + slack
         for kind, of in enumerate((light, grams)):
@@ -144,12 +152,19 @@ def signatures(grams: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndarray
             np.add.at(total, part, h)
             filled = np.bincount(part.astype(np.int64), minlength=parts) > 0
             number = np.arange(parts, dtype=np.uint64) * ODD + seed
-            out.append(mix(total + mix(number))[filled])
-            if parts - filled.sum() <= slack:
+            found, empty = mix(total + mix(number))[filled], parts - int(filled.sum())
+            if kind and empty > slack:
+                found = np.concatenate([found, mix(mix(number + ODD) ^ seed)[~filled]])
+            name = 2 * scheme + kind
+            out.append((name, parts - own - min(empty, slack), np.unique(found) & ~np.uint64(KINDS - 1) | np.uint64(name)))
+            if empty <= slack:
                 break
-            if kind:
-                out.append(mix(mix(number + ODD) ^ seed)[~filled])
-    return np.unique(np.concatenate(out))
+    return out
+
+
+def signatures(grams: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndarray:
+    """Hashes of which any two linked sets that differ share at least one (see :func:`kinds`)."""
+    return np.unique(np.concatenate([found for _, _, found in kinds(grams, heavy, percent)]))
 
 
 def _describe(width: int, percent: int, heavy: np.ndarray):
@@ -158,7 +173,7 @@ def _describe(width: int, percent: int, heavy: np.ndarray):
         read, seen = GramReader(width), set()
         for batch in rows:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            sizes, sets, sigs, sketches = [], [], [], []
+            sizes, sets, sigs, sketches, spares = [], [], [], [], []
             for doc_id, text in zip(ids.to_pylist(), texts):
                 grams = read(text)
                 sizes.append(len(grams))
@@ -166,32 +181,33 @@ def _describe(width: int, percent: int, heavy: np.ndarray):
                 sets.append(set_id(grams) if len(grams) else None)
                 if doc_id is None or not len(grams) or sets[-1] in seen:
                     sigs.append(None)  # a copy in this task has said it
+                    spares.append(None)
                 else:
                     seen.add(sets[-1])
-                    sigs.append(signed(signatures(grams, heavy, percent)))
+                    of = kinds(grams, heavy, percent)
+                    sigs.append(signed(np.concatenate([found for _, _, found in of])))
+                    spares.append([(least - 1) * KINDS + kind for kind, least, _ in of])
             if len(seen) > 200_000:
                 seen.clear()
             yield pa.RecordBatch.from_arrays(
                 [
                     ids, pa.array(sizes, pa.int64()), pa.array(sets, pa.int64()),
-                    pa.array(sigs, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), batch.column(2),
+                    pa.array(sigs, pa.list_(pa.int64())), pa.array(spares, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), batch.column(2),
                 ],
-                ["doc_id", "n", "sid", "sigs", "sketch", "row"],
+                ["doc_id", "n", "sid", "sigs", "spares", "sketch", "row"],
             )
         release()
 
     return describe
 
 
-def _runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, sid) of signatures that several sets share, from rows sorted by (sig, sid).
+def _by_signature(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(signatures, how many sets each has, whether those are more than :data:`RUN`, the sets) of rows sorted by (sig, sid).
 
-    Near copies share many signatures. Of those that up to :data:`RUN` sets share, the name is
-    replaced by a hash of the sets, so that signatures of the same sets become one group.
-    Longer runs keep the signature's own name, as they come.
+    Runs of up to :data:`RUN` sets are whole and have each set once; longer ones come in pieces.
     """
     sig = sid = np.empty(0, np.int64)
-    long = None  # a signature whose first sets went out under its own name
+    long = None  # a signature whose first sets went out before
     for batch in chain(rows, [None]):
         if batch is not None:
             sig = np.concatenate([sig, batch.column(0).to_numpy(zero_copy_only=False)])
@@ -201,19 +217,59 @@ def _runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])])
         sig, sid = sig[fresh], sid[fresh]
         starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-        done = len(sig) if batch is None or len(sig) - starts[-1] > RUN else starts[-1]
-        sizes = np.diff(np.append(starts, len(sig)))
-        names, open_run = sig[starts], (sizes > RUN) | (sig[starts] == long)
-        if len(sig):
-            hashes = mix(np.add.reduceat(mix(sid.view(np.uint64) + ODD), starts) + sizes.astype(np.uint64))
-            names = np.where(open_run, names, signed(hashes))
-        out = np.repeat((sizes > 1) | open_run, sizes)
-        out[done:] = False
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, sizes)[out]), pa.array(sid[out])], ["sig", "sid"])
-        long = int(sig[-1]) if done == len(sig) and open_run[-1] else long
+        if batch is not None and len(sig) - starts[-1] <= RUN:  # the last run may go on
+            done, starts = starts[-1], starts[:-1]
+        else:
+            done = len(sig)
+        if done:
+            sizes = np.diff(np.append(starts, done))
+            open_run = (sizes > RUN) | (sig[starts] == long)
+            yield sig[starts], sizes, open_run, sid[:done]
+            long = int(sig[done - 1]) if done == len(sig) and open_run[-1] else long
         sig, sid = sig[done:], sid[done:]
 
 
+def _often(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sig, sid, many) of signatures that several sets share, and how many: up to :data:`RUN`, or more."""
+    for sig, sizes, open_run, sid in _by_signature(rows):
+        out, many = np.repeat((sizes > 1) | open_run, sizes), np.where(open_run, RUN + 1, sizes)
+        columns = [np.repeat(sig, sizes)[out], sid[out], np.repeat(many, sizes)[out].astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "sid", "many"])
+
+
+def _runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sig, sid) of signatures that several sets share, from rows sorted by (sig, sid).
+
+    Near copies share many signatures. Of those that up to :data:`RUN` sets share, the name is
+    replaced by a hash of the sets, so that signatures of the same sets become one group.
+    Longer runs keep the signature's own name, as they come.
+    """
+    for sig, sizes, open_run, sid in _by_signature(rows):
+        starts = np.cumsum(sizes) - sizes
+        hashes = mix(np.add.reduceat(mix(sid.view(np.uint64) + ODD), starts) + sizes.astype(np.uint64))
+        names, out = np.where(open_run, sig, signed(hashes)), np.repeat((sizes > 1) | open_run, sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, sizes)[out]), pa.array(sid[out])], ["sig", "sid"])
+
+
+def _telling(described: DataFrame) -> DataFrame:
+    """(sig, sid) of the signatures by which sets are to meet: of every two linked sets that differ, one that both have.
+
+    What says that two sets link is that they share many signatures, not one: a set and a linked
+    one share ``least`` of a kind, :func:`kinds` says. In one order of all signatures, the
+    commonest first, the last of these is behind ``least - 1`` others in either set. So the first
+    ``least - 1`` of a set, among those that other sets have, are left out. A passage that many
+    texts hold no longer brings them together.
+    """
+    postings = described.where("doc_id IS NOT NULL").select(F.explode("sigs").alias("sig"), "sid")
+    often = postings.repartition("sig").sortWithinPartitions("sig", "sid").mapInArrow(_often, "sig long, sid long, many long")
+    often = often.withColumn("kind", F.col("sig").bitwiseAND(KINDS - 1))
+    spares = described.where("doc_id IS NOT NULL").select("sid", F.explode("spares").alias("spare")).distinct()
+    spares = spares.select("sid", F.col("spare").bitwiseAND(KINDS - 1).alias("kind"), F.shiftright("spare", 7).alias("spare"))
+    order = Window.partitionBy("sid", "kind").orderBy(F.desc("many"), "sig")
+    placed = often.join(spares, ["sid", "kind"]).withColumn("place", F.row_number().over(order))
+    return placed.where("place > spare").select("sig", "sid")
+
+
 # -- sketches -----------------------------------------------------------------------------
 
 
@@ -453,6 +509,31 @@ def _mixed(shared: DataFrame, components: DataFrame | None, purpose: str) -> tup
     return labelled, staged(groups.where("low <> high").select("sig", "pivot"), f"{purpose}-mixed")
 
 
+def _meeting(left: DataFrame) -> DataFrame:
+    """Rows (sid, component, cluster) of which those of a cluster are to be compared, from signatures with sets, components and pivots.
+
+    What signatures tie together is a cluster, each set in it once, or each signature is one,
+    whichever takes fewer rows for its pairs of blocks: signatures that tie set to set to set,
+    each to few others, must not make all of these one cluster.
+    """
+
+    def rows(sets: Column) -> Column:
+        return sets * F.ceil(sets / BLOCK_DOCS)
+
+    tied = connected_components(left.select("sid", "pivot"), "jaccard-clusters").select(F.col("node").alias("sid"), F.col("component").alias("cluster"))
+    tied = staged(left.select("sid", "component").distinct().join(tied, "sid"), "jaccard-clusters")
+    by_signature = left.groupBy("sig").agg(F.min("pivot").alias("sid"), rows(F.count("*")).alias("rows"))
+    by_signature = by_signature.join(tied, "sid").groupBy("cluster").agg(F.sum("rows").alias("by_signature"))
+    whole = tied.groupBy("cluster").agg(rows(F.count("*")).alias("whole"))
+    loose = staged(whole.join(by_signature, "cluster").where("by_signature < whole").select("cluster"), "jaccard-loose")
+    if not (many := loose.count()):
+        return tied
+    if many <= BROADCAST_SETS:  # each has more sets than a block
+        loose = F.broadcast(loose)
+    apart = left.join(tied.join(loose, "cluster", "left_semi").select("sid"), "sid").select("sid", "component", F.col("sig").alias("cluster"))
+    return tied.join(loose, "cluster", "left_anti").select("sid", "component", "cluster").unionByName(apart)
+
+
 def _bits(ids: np.ndarray) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
@@ -510,11 +591,13 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, row: Colu
     are told apart by 64-bit hashes).
 
     1. Equal sets become one. Each set is written as signatures of which linked sets share
-       one (see :func:`signatures`).
+       many (see :func:`kinds`). The commonest are left out, but so few that linked sets still
+       share one (see :func:`_telling`); sets that share too few link with none.
     2. Pivots: every set is compared with those :data:`PIVOTS` sets that are the lowest of most of
        its signatures. That ties most of a family of near copies at a cost that grows with
        its sets, not with its pairs.
-    3. Signatures that sets of several components still share form clusters, cut into
+    3. Signatures that sets of several components still share form clusters, or are compared
+       one by one where that is less (see :func:`_meeting`). Clusters are cut into
        blocks of some :data:`BLOCK_DOCS` sets. Pairs of blocks, other than those of one
        component, are ruled out by sketches, a fiftieth of the sets (see :func:`_possible`) or become
        families, whose pairs of blocks are multiplied as sparse matrices. So no pair that
@@ -531,13 +614,12 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, row: Colu
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), mark)
     heavy = heavy_grams(texts, width)
     described = staged(
-        texts.mapInArrow(_describe(width, percent, heavy), "doc_id long, n long, sid long, sigs array<long>, sketch binary, row long"),
+        texts.mapInArrow(_describe(width, percent, heavy), "doc_id long, n long, sid long, sigs array<long>, spares array<long>, sketch binary, row long"),
         "jaccard-sets",
     )
     known = described.where("doc_id IS NOT NULL AND sid IS NOT NULL")
     classes = staged(known.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "jaccard-classes")
-    postings = described.where("doc_id IS NOT NULL").select(F.explode("sigs").alias("sig"), "sid")
-    runs = postings.repartition("sig").sortWithinPartitions("sig", "sid").mapInArrow(_runs, "sig long, sid long")
+    runs = _telling(described).repartition("sig").sortWithinPartitions("sig", "sid").mapInArrow(_runs, "sig long, sid long")
     shared = staged(runs.dropDuplicates(["sig", "sid"]), "jaccard-shared")
     candidates = staged(shared.select("sid").distinct().join(classes, "sid").select("sid", "doc_id"), "jaccard-candidates")
     read = texts.mapInArrow(_read_grams(width, id_filter(candidates.select("doc_id"))), "doc_id long, sid long, grams binary")
@@ -554,14 +636,12 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, row: Colu
         components = staged(connected_components(edges[0], "jaccard-tied"), "jaccard-tied")
     labelled, mixed = _mixed(shared, components, "jaccard-left")
     if not mixed.isEmpty():
-        left = staged(labelled.join(mixed, "sig").select("sid", "component", "pivot"), "jaccard-left")
-        of = left.select("sid", "component").distinct()
-        apart = [F.col("node").alias("sid"), F.col("component").alias("cluster")]
-        clusters = connected_components(left.select("sid", "pivot"), "jaccard-clusters").select(*apart).join(of, "sid")
+        left = staged(labelled.join(mixed, "sig").select("sig", "sid", "component", "pivot"), "jaccard-left")
+        clusters, apart = _meeting(left), [F.col("node").alias("sid"), F.col("component").alias("cluster")]
         sketches = known.join(classes.select("sid", "doc_id"), ["sid", "doc_id"], "left_semi").select("sid", "sketch").dropDuplicates(["sid"])
         possible = _block_pairs(_placed(clusters, classes, BLOCK_SKETCHED, "jaccard-clusters"), sketches).mapInArrow(_possible(percent), "a long, b long")
         possible = staged(possible, "jaccard-possible")  # else the next step adds a second Python worker to each task
-        families = connected_components(possible, "jaccard-families").select(*apart).join(of, "sid")
+        families = connected_components(possible, "jaccard-families").select(*apart).join(left.select("sid", "component").distinct(), "sid")
         placed = _placed(families, classes, BLOCK_GRAMS, "jaccard-families")
         edges.append(staged(_block_pairs(placed, grams).mapInArrow(_links(percent), "a long, b long"), "jaccard-links"))
         components = connected_components(reduce(DataFrame.unionByName, edges), "jaccard-components")

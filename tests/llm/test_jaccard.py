@@ -152,6 +152,71 @@ def test_linked_sets_share_a_signature():
                     assert len(np.intersect1d(jaccard.signatures(a, heavy, percent), jaccard.signatures(b, heavy, percent)))
 
 
+def test_linked_sets_share_as_many_signatures_of_a_kind_as_said():
+    rnd = np.random.default_rng(4)
+    heavy = np.sort(rnd.integers(0, 1 << 63, 300).astype(np.uint64))
+    tried = 0
+    for percent in (50, 80, 85):
+        for size in (1, 2, 5, 7, 8, 31, 60, 100, 127, 128, 250, 255, 300, 520):
+            for _ in range(60):
+                common = rnd.integers(0, 1 << 63, size).astype(np.uint64)
+                often = min(300, int(size * rnd.choice([0, 0, 0.5, 0.9, 1])))
+                common[:often] = rnd.permutation(heavy)[:often]
+                spare = rnd.integers(0, 1 << 63, int(size * (100 - percent) / percent)).astype(np.uint64)
+                cut = int(rnd.integers(0, len(spare) + 1))
+                a, b = (np.unique(np.concatenate([common, more])) for more in (spare[:cut], spare[cut:]))
+                both = len(np.intersect1d(a, b))
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    one, two = ({kind: (least, found) for kind, least, found in jaccard.kinds(g, heavy, percent)} for g in (a, b))
+                    assert all(least >= 1 for least, _ in (*one.values(), *two.values()))
+                    shared = {k: len(np.intersect1d(one[k][1], two[k][1])) - max(one[k][0], two[k][0]) for k in one.keys() & two.keys()}
+                    assert max(shared.values()) >= 0, (percent, size, shared)
+                    tried += 1
+    assert tried > 2000
+
+
+def _compared(spark, monkeypatch, rows):
+    """Groups of ``rows``, and how many rows the pairs of blocks of the signatures left over take."""
+    made = []
+
+    def counting(df, purpose):
+        out = staged(df, purpose)
+        if purpose == "jaccard-clusters-placed":
+            made.append(out.selectExpr("sum(size(others))").first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", counting)
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", 8)
+    got = grouped(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5, 80)
+    return got, sum(made)
+
+
+def test_passages_that_chain_unlike_texts_do_not_bring_them_together(spark, monkeypatch):
+    """Each text shares a line with some others, so all hang together, and none is like another."""
+    work = []
+    for n in (100, 200, 400):
+        rnd = random.Random(n)
+        lines = [" ".join(f"l{i}w{k}" for k in range(8)) for i in range(n // 2)]
+        rows = [(i, " ".join([prose(rnd, 60, 50_000), *rnd.sample(lines, 2), prose(rnd, 60, 50_000)])) for i in range(n)]
+        rows.append((n, rows[7][1] + " more"))
+        got, placed = _compared(spark, monkeypatch, rows)
+        assert got == brute_groups(rows, 5, 80) and sum(i != component for i, _, component in got) == 1
+        work.append(placed)
+    assert work[2] <= 400, work
+
+
+def test_likeness_that_goes_from_text_to_text_is_compared_by_signature(spark, monkeypatch):
+    """Neighbours share much and do not link; compared in blocks, all with all, the rows grow with the square."""
+    work = []
+    for n in (60, 120, 240):
+        words = [f"c{i}" for i in range(8 * n + 200)]
+        rows = [(i, " ".join(words[8 * i : 8 * i + 60])) for i in range(n)] + [(n, " ".join([*words[:60], "more"]))]
+        got, placed = _compared(spark, monkeypatch, rows)
+        assert got == brute_groups(rows, 5, 80) and sum(i != component for i, _, component in got) == 1
+        work.append(placed)
+    assert work[0] and work[1] < 2.6 * work[0] and work[2] < 2.6 * work[1], work
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 2000 + i) for i in range(50)] + [(5, 5), (None, 3), (7, None)] + [(3000, 3001)] * 4
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()))
