@@ -263,8 +263,9 @@ def _telling(described: DataFrame) -> DataFrame:
     postings = described.where("doc_id IS NOT NULL").select(F.explode("sigs").alias("sig"), "sid")
     often = postings.repartition("sig").sortWithinPartitions("sig", "sid").mapInArrow(_often, "sig long, sid long, many long")
     often = often.withColumn("kind", F.col("sig").bitwiseAND(KINDS - 1))
-    spares = described.where("doc_id IS NOT NULL").select("sid", F.explode("spares").alias("spare")).distinct()
+    spares = described.where("doc_id IS NOT NULL").select("sid", F.explode("spares").alias("spare"))
     spares = spares.select("sid", F.col("spare").bitwiseAND(KINDS - 1).alias("kind"), F.shiftright("spare", 7).alias("spare"))
+    spares = spares.groupBy("sid", "kind").agg(F.max("spare").alias("spare"))  # alike for all copies; dealt as the join and the window are
     order = Window.partitionBy("sid", "kind").orderBy(F.desc("many"), "sig")
     placed = often.join(spares, ["sid", "kind"]).withColumn("place", F.row_number().over(order))
     return placed.where("place > spare").select("sig", "sid")
@@ -522,9 +523,12 @@ def _meeting(left: DataFrame) -> DataFrame:
 
     tied = connected_components(left.select("sid", "pivot"), "jaccard-clusters").select(F.col("node").alias("sid"), F.col("component").alias("cluster"))
     tied = staged(left.select("sid", "component").distinct().join(tied, "sid"), "jaccard-clusters")
+    whole = tied.groupBy("cluster").agg(rows(F.count("*")).alias("whole"), F.count("*").alias("sets"))
+    whole = staged(whole.where(F.col("sets") > BLOCK_DOCS).select("cluster", "whole"), "jaccard-whole")
+    if whole.isEmpty():  # in one block each set is one row
+        return tied
     by_signature = left.groupBy("sig").agg(F.min("pivot").alias("sid"), rows(F.count("*")).alias("rows"))
     by_signature = by_signature.join(tied, "sid").groupBy("cluster").agg(F.sum("rows").alias("by_signature"))
-    whole = tied.groupBy("cluster").agg(rows(F.count("*")).alias("whole"))
     loose = staged(whole.join(by_signature, "cluster").where("by_signature < whole").select("cluster"), "jaccard-loose")
     if not (many := loose.count()):
         return tied
